@@ -69,3 +69,100 @@ ORACLE["drift_metric_map"] = "WITH " + _REPORT_CTE.replace(
     "\"Time\", \"Amount\", \"V1\", \"V2\", \"V3\" INTO", "\"Time\", \"Amount\", \"V1\", \"V2\", \"V3\", \"Class\" INTO") + """
 SELECT 'drift.psi.' || feature AS metric, round(psi, 6) AS value FROM psi
 UNION ALL SELECT 'drift.ks.' || feature AS metric, round(ks, 6) AS value FROM ks"""
+
+
+# --- validation ---------------------------------------------------------------
+
+from vigil.functions.scalars import NUMERIC_TEXT  # noqa: E402
+from vigil.operators.validate import REQUIRED_COLUMNS  # noqa: E402
+from vigil.sources.fixtures import DIRTY_SQL  # noqa: E402
+
+
+def num_sql(col: str) -> str:
+    """DuckDB twin of scalars.to_number for a text column."""
+    v = f"CASE WHEN regexp_matches({col}, '{NUMERIC_TEXT}') THEN TRY_CAST(trim({col}) AS DOUBLE) END"
+    return f"(CASE WHEN isnan({v}) THEN NULL ELSE {v} END)"
+
+
+_DIRTY_COLS = ["txn_id", "Time", "Amount", "V1", "V2", "V3", "Class"]
+_MISSING_REQ = sorted(c for c in REQUIRED_COLUMNS if c not in _DIRTY_COLS)
+_LAB = num_sql('"Class"')
+
+_COUNTERS = DIRTY_SQL + """,
+k AS (SELECT count(*) AS n, """ + ", ".join(
+    f"count(*) FILTER (WHERE \"{c}\" IS NULL) AS m{i}" for i, c in enumerate(_DIRTY_COLS)) + f""",
+  count(*) FILTER (WHERE {_LAB} = 0) AS l0, count(*) FILTER (WHERE {_LAB} = 1) AS l1,
+  count(*) FILTER (WHERE "Class" IS NULL) AS lm,
+  count(*) FILTER (WHERE "Class" IS NOT NULL AND ({_LAB} IS NULL OR {_LAB} NOT IN (0, 1))) AS li,
+  count(*) FILTER (WHERE "Amount" IS NOT NULL AND {num_sql('"Amount"')} IS NULL) AS ai,
+  count(*) FILTER (WHERE {num_sql('"Amount"')} < 0) AS an,
+  count(*) FILTER (WHERE "Time" IS NOT NULL AND {num_sql('"Time"')} IS NULL) AS ti,
+  count(*) FILTER (WHERE {num_sql('"Time"')} < 0) AS tn
+  FROM dirty),
+inv AS (SELECT list_sort(list(v)) AS inv FROM (
+  SELECT DISTINCT "Class" AS v FROM dirty
+  WHERE "Class" IS NOT NULL AND ({_LAB} IS NULL OR {_LAB} NOT IN (0, 1)) ORDER BY v LIMIT 10)),
+kk AS (SELECT * FROM k, inv)"""
+
+_OVER = "concat_ws(', ', " + ", ".join(
+    f"CASE WHEN m{i} / n > 0.0 THEN '{c} (' || printf('%.2f', m{i} / n * 100) || '%)' END"
+    for i, c in enumerate(_DIRTY_COLS)) + ")"
+
+
+def _amount_like(tag: str, title: str) -> str:
+    i, ng = f"{tag}i", f"{tag}n"
+    return f"""CASE WHEN {i} = 0 AND {ng} = 0 THEN '{title} column has no negative or non-numeric values.'
+      WHEN {i} > 0 AND {ng} > 0 THEN printf('{title} column has %d negative values and %d non-numeric values.', {ng}, {i})
+      WHEN {i} > 0 THEN printf('{title} column has %d non-numeric values.', {i})
+      ELSE printf('{title} column has %d negative values.', {ng}) END"""
+
+
+_RATIO = "(CASE WHEN n > 0 THEN l1 / n ELSE 0.0 END)"
+
+ORACLE["validation_checks"] = "WITH " + _COUNTERS + f"""
+SELECT CAST(0 AS BIGINT) AS ord, 'minimum_rows' AS "check", n >= 1000 AS passed,
+       printf('Dataset has %d rows; minimum required is 1000.', n) AS message FROM kk
+UNION ALL SELECT 1, 'required_columns', false, 'Missing required columns: {", ".join(_MISSING_REQ)}' FROM kk
+UNION ALL SELECT 2, 'missing_values', {_OVER} = '',
+       CASE WHEN {_OVER} = '' THEN 'Missing value ratios within threshold (0.00%).'
+            ELSE 'Columns exceed missing value ratio threshold: ' || {_OVER} END FROM kk
+UNION ALL SELECT 3, 'label_column',
+       CASE WHEN n = 0 THEN false WHEN li > 0 THEN false WHEN l0 + l1 = 0 THEN false ELSE true END,
+       CASE WHEN n = 0 THEN 'Label column ''Class'' is present but dataset is empty.'
+            WHEN li > 0 THEN 'Label column ''Class'' contains invalid values: ' || array_to_string(inv[1:5], ', ') || '.'
+            WHEN l0 + l1 = 0 THEN 'Label column ''Class'' has no valid 0/1 values.'
+            ELSE 'Label column ''Class'' contains only 0/1 values.' END FROM kk
+UNION ALL SELECT 4, 'amount_non_negative', ai = 0 AND an = 0, {_amount_like('a', 'Amount')} FROM kk
+UNION ALL SELECT 5, 'time_non_negative', ti = 0 AND tn = 0, {_amount_like('t', 'Time')} FROM kk
+UNION ALL SELECT 6, 'class_balance',
+       CASE WHEN n = 0 OR li > 0 THEN false ELSE {_RATIO} BETWEEN 0.0005 AND 0.03 END,
+       CASE WHEN n = 0 THEN 'Dataset is empty; cannot compute class balance.'
+            WHEN li > 0 THEN 'Label column has invalid values; cannot compute class balance.'
+            WHEN {_RATIO} BETWEEN 0.0005 AND 0.03 THEN 'Class balance ratio within bounds.'
+            ELSE 'Class balance ratio out of bounds: observed ' || printf('%.4f', {_RATIO} * 100)
+                 || '%, expected between 0.05% and 3.00%.' END FROM kk"""
+
+ORACLE["missing_stats"] = "WITH " + _COUNTERS + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(m{i} AS BIGINT) AS missing_count, "
+    f"round(CASE WHEN n > 0 THEN m{i} / n ELSE 0.0 END, 6) AS missing_ratio FROM kk"
+    for i, c in enumerate(_DIRTY_COLS))
+
+ORACLE["label_stats"] = "WITH " + _COUNTERS + """
+SELECT 'Class' AS label_column, CAST(l0 AS BIGINT) AS count_0, CAST(l1 AS BIGINT) AS count_1,
+       CAST(lm AS BIGINT) AS count_missing, CAST(li AS BIGINT) AS invalid_label_count,
+       round(CASE WHEN n > 0 THEN l1 / n END, 6) AS positive_ratio,
+       array_to_string(inv, ', ') AS invalid_labels FROM kk"""
+
+ORACLE["validation_metrics"] = "WITH " + TXN_SQL + f""",
+k AS (SELECT count(*) AS n, sum("Class") AS s FROM transactions)
+SELECT 'validation.total_rows' AS metric, CAST(n AS DOUBLE) AS value FROM k
+UNION ALL SELECT 'validation.missing_columns_count', {float(len([c for c in REQUIRED_COLUMNS if c not in
+    ['txn_id', 'Time', 'Amount', 'V1', 'V2', 'V3', 'Class', 'score']]))} FROM k
+UNION ALL SELECT 'validation.non_numeric_columns_count', 1.0 FROM k
+UNION ALL SELECT 'validation.nan_total', 0.0 FROM k
+UNION ALL SELECT 'validation.class_ratio', round(CASE WHEN n > 0 THEN s / n END, 6) FROM k"""
+
+ORACLE["numeric_coercion"] = "WITH " + DIRTY_SQL + f"""
+SELECT txn_id, round({num_sql('"Amount"')}, 6) AS amount, round({num_sql('"Time"')}, 6) AS time,
+       round({num_sql('"V1"')}, 6) AS v1, CAST(coalesce(TRY_CAST(trunc({_LAB}) AS INTEGER), 0) AS BIGINT) AS label
+FROM dirty"""

@@ -76,3 +76,46 @@ def drift_metric_map(spark, sf_dir):
     ref, cur = fx.drift_pair(spark, sf_dir)
     m = drift_ops.drift_metric_map(ref, cur, "psi").unionByName(drift_ops.drift_metric_map(ref, cur, "ks"))
     return m.select("metric", r6("value").alias("value"))
+
+
+# --- validation (C0-C12, B7-B10) --------------------------------------------
+
+from vigil.functions import scalars as sc  # noqa: E402
+from vigil.operators import validate as val_ops  # noqa: E402
+
+
+def _dirty_validation(spark, sf_dir):
+    return val_ops.validate_data(fx.dirty_transactions(spark, sf_dir), check_balance=True)
+
+
+@register("validation_checks")
+def validation_checks(spark, sf_dir):
+    return _dirty_validation(spark, sf_dir).checks.select(
+        F.col("ord").cast("long").alias("ord"), "check", "passed", "message")
+
+
+@register("missing_stats")
+def missing_stats(spark, sf_dir):
+    return _dirty_validation(spark, sf_dir).column_stats.select(
+        "column", "missing_count", r6("missing_ratio").alias("missing_ratio"))
+
+
+@register("label_stats")
+def label_stats(spark, sf_dir):
+    ls = _dirty_validation(spark, sf_dir).label_stats
+    return ls.select("label_column", "count_0", "count_1", "count_missing", "invalid_label_count",
+                     r6("positive_ratio").alias("positive_ratio"),
+                     F.array_join("invalid_labels", ", ").alias("invalid_labels"))
+
+
+@register("validation_metrics")
+def validation_metrics(spark, sf_dir):
+    m = val_ops.validation_metrics(fx.transactions(spark, sf_dir))
+    return m.select("metric", r6("value").alias("value"))
+
+
+@register("numeric_coercion")
+def numeric_coercion(spark, sf_dir):
+    d = fx.dirty_transactions(spark, sf_dir)
+    return d.select("txn_id", r6(sc.to_number("Amount")).alias("amount"), r6(sc.to_number("Time")).alias("time"),
+                    r6(sc.to_number("V1")).alias("v1"), sc.coerce_label("Class").cast("long").alias("label"))

@@ -81,3 +81,55 @@ ref_long AS (
 cur_long AS (
   SELECT feature, value FROM (UNPIVOT cur ON "Time", "Amount", "V1", "V2", "V3" INTO NAME feature VALUE value)
   WHERE value IS NOT NULL AND NOT isnan(value) AND abs(value) < 'inf'::DOUBLE)"""
+
+
+# Deterministic faults by the first two hex digits of md5(txn_id:'dirty').
+DIRTY_FAULTS = {
+    "Amount": [("00", None), ("01", "'x'"), ("02", "'3f'"), ("03", "'nan'"), ("04", "NEG")],
+    "Time": [("05", None), ("06", "'x'"), ("07", "NEG")],
+    "Class": [("08", "'2'"), ("09", None), ("0a", "'abc'"), ("0b", "'1.5'")],
+    "V1": [("0c", None), ("0d", "'nan'")],
+}
+
+
+def _dirty_case(col: str, text: str, dialect: str) -> str:
+    h = "_h" if dialect == "spark" else "substring(md5(concat_ws(':', txn_id, 'dirty')), 1, 2)"
+    parts = []
+    for code, val in DIRTY_FAULTS.get(col, []):
+        if val is None:
+            v = "NULL"
+        elif val == "NEG":
+            v = f"concat('-', {text})"
+        else:
+            v = val
+        parts.append(f"WHEN {h} = '{code}' THEN {v}")
+    if not parts:
+        return f"{text} AS \"{col}\"" if dialect == "duckdb" else f"{text} AS `{col}`"
+    q = f"\"{col}\"" if dialect == "duckdb" else f"`{col}`"
+    return f"CASE {' '.join(parts)} ELSE {text} END AS {q}"
+
+
+def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with every column as text and deterministic faults:
+    NULLs, 'x', '3f', 'nan', negative amounts/times, labels 2, 'abc', '1.5'."""
+    t = (transactions(spark, sf_dir).drop("score")
+         .withColumn("_h", F.expr("substring(md5(concat_ws(':', txn_id, 'dirty')), 1, 2)")))
+    out = [F.col("txn_id")]
+    for c in ["Time", "Amount", "V1", "V2", "V3", "Class"]:
+        text = F.col(c).cast("string")
+        faults = DIRTY_FAULTS.get(c, [])
+        if not faults:
+            out.append(text.alias(c))
+            continue
+        variants = [F.concat(F.lit("-"), text) if v == "NEG" else
+                    (F.lit(None).cast("string") if v is None else F.lit(v.strip("'"))) for _, v in faults]
+        # One lookup of the hash prefix per column: position 0 keeps the value.
+        pos = F.array_position(F.array(*[F.lit(code) for code, _ in faults]), F.col("_h"))
+        out.append(F.element_at(F.array(text, *variants), (pos + 1).cast("int")).alias(c))
+    return t.select(*out)
+
+
+DIRTY_SQL = TXN_SQL + """,
+dirty AS (SELECT txn_id, """ + ",\n    ".join(
+    _dirty_case(c, f"CAST(\"{c}\" AS VARCHAR)", "duckdb") for c in ["Time", "Amount", "V1", "V2", "V3", "Class"]
+) + """ FROM transactions)"""
