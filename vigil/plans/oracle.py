@@ -166,3 +166,75 @@ ORACLE["numeric_coercion"] = "WITH " + DIRTY_SQL + f"""
 SELECT txn_id, round({num_sql('"Amount"')}, 6) AS amount, round({num_sql('"Time"')}, 6) AS time,
        round({num_sql('"V1"')}, 6) AS v1, CAST(coalesce(TRY_CAST(trunc({_LAB}) AS INTEGER), 0) AS BIGINT) AS label
 FROM dirty"""
+
+
+# --- splits and scaling -------------------------------------------------------
+
+def split_cte(name: str, src: str, test: float, hash_expr: str) -> str:
+    """DuckDB twin of split.mark_split: largest-remainder sizes, md5 order."""
+    return f"""
+{name}_cnt AS (SELECT "Class" AS c, count(*) AS n_c FROM {src} GROUP BY 1),
+{name}_tot AS (SELECT sum(n_c) AS n, CAST(ceil(CAST({test} AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_test FROM {name}_cnt),
+{name}_sh AS (SELECT c, n_c, n - n_test AS n_train, ((n - n_test) * n_c) // n AS fl,
+                     ((n - n_test) * n_c) % n AS rm FROM {name}_cnt, {name}_tot),
+{name}_rk AS (SELECT *, row_number() OVER (ORDER BY rm DESC, c) AS rr, n_train - sum(fl) OVER () AS lft
+              FROM {name}_sh),
+{name}_alloc AS (SELECT c, n_c - (fl + CASE WHEN rr <= lft THEN 1 ELSE 0 END) AS test_c FROM {name}_rk),
+{name} AS (SELECT s.*, row_number() OVER (PARTITION BY s."Class" ORDER BY {hash_expr}) <= a.test_c AS is_test
+           FROM {src} s JOIN {name}_alloc a ON s."Class" = a.c)"""
+
+
+_H42 = "md5(concat_ws(':', txn_id, '42'))"
+_SPLIT = TXN_SQL + "," + split_cte("sp", "transactions", 0.1, _H42) + """,
+train AS (SELECT * FROM sp WHERE NOT is_test)"""
+
+ORACLE["split_members"] = "WITH " + _SPLIT + """
+SELECT txn_id, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split FROM sp"""
+
+ORACLE["split_sizes"] = "WITH " + _SPLIT + """
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, "Class", CAST(count(*) AS BIGINT) AS n
+FROM sp GROUP BY ALL"""
+
+ORACLE["three_way_split"] = "WITH " + TXN_SQL + "," + split_cte("s1", "transactions", 0.2, _H42) + """,
+rest AS (SELECT * EXCLUDE (is_test) FROM s1 WHERE NOT is_test),""" + split_cte(
+    "s2", "rest", 0.2, "md5(concat_ws(':', txn_id, '42', 'val'))") + """
+SELECT txn_id, 'test' AS split FROM s1 WHERE is_test
+UNION ALL SELECT txn_id, CASE WHEN is_test THEN 'val' ELSE 'train' END FROM s2"""
+
+_FOLDS = TXN_SQL + """,
+folds AS (SELECT txn_id, "Class", CAST((row_number() OVER (PARTITION BY "Class"
+          ORDER BY md5(concat_ws(':', txn_id, '42', 'fold'))) - 1) % 5 AS BIGINT) AS fold FROM transactions)"""
+
+ORACLE["kfold_members"] = "WITH " + _FOLDS + "\nSELECT txn_id, fold FROM folds"
+ORACLE["kfold_sizes"] = "WITH " + _FOLDS + "\nSELECT fold, \"Class\", CAST(count(*) AS BIGINT) AS n FROM folds GROUP BY ALL"
+
+ORACLE["undersample"] = "WITH " + TXN_SQL + """,
+neg AS (SELECT txn_id, "Class", row_number() OVER (ORDER BY md5(concat_ws(':', txn_id, '42', 'under'))) AS r
+        FROM transactions WHERE "Class" = 0)
+SELECT txn_id, "Class" FROM transactions WHERE "Class" = 1
+UNION ALL SELECT txn_id, "Class" FROM neg WHERE r <= (SELECT count(*) FROM transactions WHERE "Class" = 1)"""
+
+ORACLE["batches"] = "WITH " + TXN_SQL + """
+SELECT txn_id, CAST((row_number() OVER (ORDER BY txn_id) - 1) // 200 AS BIGINT) AS batch_id FROM transactions"""
+
+_SCALERS = _SPLIT + """,
+q AS (SELECT 'Amount' AS "column", quantile_cont("Amount", [0.25, 0.5, 0.75]) AS v FROM train
+      UNION ALL SELECT 'Time', quantile_cont("Time", [0.25, 0.5, 0.75]) FROM train),
+params AS (SELECT "column", v[2] AS center, CASE WHEN v[3] - v[1] = 0 THEN 1.0 ELSE v[3] - v[1] END AS scale FROM q)"""
+
+ORACLE["scaler_params"] = "WITH " + _SCALERS + """
+SELECT "column", round(center, 6) AS center, round(scale, 6) AS scale FROM params"""
+
+ORACLE["scaled_stats"] = "WITH " + _SCALERS + """,
+sc AS (SELECT 'Amount' AS "column", ("Amount" - (SELECT center FROM params WHERE "column" = 'Amount'))
+              / (SELECT scale FROM params WHERE "column" = 'Amount') AS value FROM train
+       UNION ALL SELECT 'Time', ("Time" - (SELECT center FROM params WHERE "column" = 'Time'))
+              / (SELECT scale FROM params WHERE "column" = 'Time') FROM train)
+SELECT "column", round(avg(value), 6) AS mean, round(min(value), 6) AS min, round(max(value), 6) AS max
+FROM sc GROUP BY 1"""
+
+ORACLE["class_weight"] = "WITH " + _SPLIT + """
+SELECT CAST(count(*) FILTER (WHERE "Class" = 1) AS BIGINT) AS n_pos,
+       CAST(count(*) FILTER (WHERE "Class" = 0) AS BIGINT) AS n_neg,
+       round(count(*) FILTER (WHERE "Class" = 0) / greatest(count(*) FILTER (WHERE "Class" = 1), 1), 6) AS weight
+FROM train"""

@@ -119,3 +119,75 @@ def numeric_coercion(spark, sf_dir):
     d = fx.dirty_transactions(spark, sf_dir)
     return d.select("txn_id", r6(sc.to_number("Amount")).alias("amount"), r6(sc.to_number("Time")).alias("time"),
                     r6(sc.to_number("V1")).alias("v1"), sc.coerce_label("Class").cast("long").alias("label"))
+
+
+# --- splits and scaling (D1-D7, E1-E5) --------------------------------------
+
+from vigil.operators import scale as scale_ops  # noqa: E402
+from vigil.operators import split as split_ops  # noqa: E402
+
+
+def _train_part(spark, sf_dir):
+    train, _ = split_ops.split_data(fx.transactions(spark, sf_dir), "txn_id", "Class", test=0.1, seed=42)
+    return train
+
+
+@register("split_members")
+def split_members(spark, sf_dir):
+    m, _ = split_ops.mark_split(fx.transactions(spark, sf_dir), "txn_id", "Class", test=0.1, seed=42)
+    return m.select("txn_id", F.when(F.col("is_test"), "test").otherwise("train").alias("split"))
+
+
+@register("split_sizes")
+def split_sizes(spark, sf_dir):
+    m = split_members(spark, sf_dir).join(fx.transactions(spark, sf_dir).select("txn_id", "Class"), "txn_id")
+    return m.groupBy("split", "Class").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@register("three_way_split")
+def three_way_split(spark, sf_dir):
+    s = split_ops.three_way_split(fx.transactions(spark, sf_dir), "txn_id", "Class", 0.2, 0.2, seed=42)
+    return s.select("txn_id", "split")
+
+
+@register("kfold_members")
+def kfold_members(spark, sf_dir):
+    return split_ops.stratified_kfold(fx.transactions(spark, sf_dir), "txn_id", "Class", k=5).select(
+        "txn_id", F.col("fold").cast("long").alias("fold"))
+
+
+@register("kfold_sizes")
+def kfold_sizes(spark, sf_dir):
+    f = split_ops.stratified_kfold(fx.transactions(spark, sf_dir), "txn_id", "Class", k=5)
+    return f.groupBy(F.col("fold").cast("long").alias("fold"), "Class").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@register("undersample")
+def undersample(spark, sf_dir):
+    return split_ops.undersample(fx.transactions(spark, sf_dir), "txn_id", "Class").select("txn_id", "Class")
+
+
+@register("batches")
+def batches(spark, sf_dir):
+    return split_ops.batches(fx.transactions(spark, sf_dir), "txn_id", 200).select("txn_id", "batch_id")
+
+
+@register("scaler_params")
+def scaler_params(spark, sf_dir):
+    p = scale_ops.fit_scalers(_train_part(spark, sf_dir))
+    return p.select("column", r6("center").alias("center"), r6("scale").alias("scale"))
+
+
+@register("scaled_stats")
+def scaled_stats(spark, sf_dir):
+    train = _train_part(spark, sf_dir)
+    scaled = scale_ops.transform_with_scalers(train, scale_ops.fit_scalers(train))
+    long = to_long(scaled, [], ["Amount", "Time"], feature_col="column")
+    return long.groupBy("column").agg(r6(F.avg("value")).alias("mean"), r6(F.min("value")).alias("min"),
+                                      r6(F.max("value")).alias("max"))
+
+
+@register("class_weight")
+def class_weight(spark, sf_dir):
+    w = scale_ops.class_weight(_train_part(spark, sf_dir))
+    return w.select("n_pos", "n_neg", r6("weight").alias("weight"))
