@@ -238,3 +238,157 @@ SELECT CAST(count(*) FILTER (WHERE "Class" = 1) AS BIGINT) AS n_pos,
        CAST(count(*) FILTER (WHERE "Class" = 0) AS BIGINT) AS n_neg,
        round(count(*) FILTER (WHERE "Class" = 0) / greatest(count(*) FILTER (WHERE "Class" = 1), 1), 6) AS weight
 FROM train"""
+
+
+# --- classifier metrics -------------------------------------------------------
+
+_SCORED = TXN_SQL + """,
+scored AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS pred FROM transactions)"""
+
+_CURVE = _SCORED + """,
+cd AS (SELECT score AS thr, count(*) FILTER (WHERE "Class" = 1) AS pos, count(*) FILTER (WHERE "Class" <> 1) AS neg
+       FROM transactions WHERE score IS NOT NULL AND NOT isnan(score) GROUP BY score),
+cv AS (SELECT thr, pos, neg, sum(pos) OVER (ORDER BY thr DESC) AS tp, sum(neg) OVER (ORDER BY thr DESC) AS fp,
+              sum(pos) OVER () AS tot_p, sum(neg) OVER () AS tot_n FROM cd),
+pr AS (SELECT thr, tp / (tp + fp) AS prec, CASE WHEN tot_p > 0 THEN tp / tot_p ELSE 1.0 END AS rec FROM cv)"""
+
+_K = """
+k AS (SELECT count(*) FILTER (WHERE "Class" = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE "Class" = 0 AND pred = 1) AS fp,
+             count(*) FILTER (WHERE "Class" = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE "Class" = 1 AND pred = 1) AS tp,
+             count(*) AS n, sum(pred) AS pred_sum FROM scored)"""
+_CONF = _SCORED + "," + _K
+
+ORACLE["confusion"] = "WITH " + _CONF + """
+SELECT CAST(0 AS BIGINT) AS actual, CAST(0 AS BIGINT) AS predicted, CAST(tn AS BIGINT) AS n FROM k
+UNION ALL SELECT 0, 1, fp FROM k UNION ALL SELECT 1, 0, fn FROM k UNION ALL SELECT 1, 1, tp FROM k"""
+
+
+def _d0(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+_AUC = "(SELECT CASE WHEN max(tot_p) > 0 AND max(tot_n) > 0 THEN sum(pos * (tot_n - fp + neg / 2.0)) / (max(tot_p) * max(tot_n)) END FROM cv)"
+_AP = "(SELECT CASE WHEN max(tot_p) > 0 THEN sum(pos * (tp / (tp + fp))) / max(tot_p) END FROM cv)"
+
+ORACLE["basic_metrics"] = "WITH " + _CURVE + "," + _K + f"""
+SELECT 'metrics.accuracy' AS metric, round({_d0('tp + tn', 'n')}, 6) AS value FROM k
+UNION ALL SELECT 'metrics.precision', round({_d0('tp', 'tp + fp')}, 6) FROM k
+UNION ALL SELECT 'metrics.recall', round({_d0('tp', 'tp + fn')}, 6) FROM k
+UNION ALL SELECT 'metrics.f1', round({_d0('2 * tp', '2 * tp + fp + fn')}, 6) FROM k
+UNION ALL SELECT 'metrics.alert_rate', round(CASE WHEN n > 0 THEN pred_sum / n END, 6) FROM k
+UNION ALL SELECT 'metrics.alert_count', round(CASE WHEN n > 0 THEN CAST(pred_sum AS DOUBLE) END, 6) FROM k
+UNION ALL SELECT 'metrics.roc_auc', round({_AUC}, 6)
+UNION ALL SELECT 'metrics.pr_auc', round({_AP}, 6)"""
+
+ORACLE["class_report"] = "WITH " + _CONF + f""",
+r AS (SELECT {_d0('tp', 'tp + fp')} AS p1, {_d0('tp', 'tp + fn')} AS r1, {_d0('tn', 'tn + fn')} AS p0,
+             {_d0('tn', 'tn + fp')} AS r0, {_d0('2 * tp', '2 * tp + fp + fn')} AS f1, {_d0('2 * tn', '2 * tn + fn + fp')} AS f0,
+             CAST(tp + fn AS DOUBLE) AS s1, CAST(tn + fp AS DOUBLE) AS s0, CAST(n AS DOUBLE) AS n,
+             {_d0('tp + tn', 'n')} AS acc FROM k)
+SELECT '0' AS label, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, round(s0, 6) AS support FROM r
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), round(s1, 6) FROM r
+UNION ALL SELECT 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6), round(n, 6) FROM r
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), round(n, 6) FROM r
+UNION ALL SELECT 'weighted avg', round({_d0('p0 * s0 + p1 * s1', 'n')}, 6), round({_d0('r0 * s0 + r1 * s1', 'n')}, 6),
+                 round({_d0('f0 * s0 + f1 * s1', 'n')}, 6), round(n, 6) FROM r"""
+
+ORACLE["roc_auc"] = "WITH " + _CURVE + f"\nSELECT round({_AUC}, 6) AS roc_auc"
+ORACLE["average_precision"] = "WITH " + _CURVE + f"\nSELECT round({_AP}, 6) AS average_precision"
+ORACLE["pr_curve"] = "WITH " + _CURVE + """
+SELECT round(thr, 6) AS threshold, round(prec, 6) AS precision, round(rec, 6) AS recall FROM pr
+UNION ALL SELECT NULL, 1.0, 0.0"""
+ORACLE["best_f1_threshold"] = "WITH " + _CURVE + """,
+f AS (SELECT *, 2 * prec * rec / (prec + rec + 1e-12) AS f1 FROM pr)
+SELECT round(thr, 6) AS threshold, round(prec, 6) AS precision, round(rec, 6) AS recall, round(f1, 6) AS f1
+FROM f ORDER BY f1 DESC, thr ASC LIMIT 1"""
+ORACLE["recall_at_precision"] = "WITH " + _CURVE + """,
+ok AS (SELECT count(*) FILTER (WHERE prec >= 0.1) AS nok FROM pr),
+a AS (SELECT * FROM pr WHERE prec >= 0.1 ORDER BY rec DESC, thr ASC LIMIT 1),
+b AS (SELECT * FROM pr ORDER BY prec DESC, thr ASC LIMIT 1),
+pick AS (SELECT * FROM a WHERE (SELECT nok FROM ok) > 0 UNION ALL SELECT * FROM b WHERE (SELECT nok FROM ok) = 0)
+SELECT round(thr, 6) AS threshold, round(prec, 6) AS precision, round(rec, 6) AS recall,
+       (SELECT nok FROM ok) > 0 AS meets_floor FROM pick"""
+
+ORACLE["topk_table"] = "WITH " + TXN_SQL + """,
+tot AS (SELECT count(*) AS n, sum("Class") AS tot_p FROM transactions),
+rk AS (SELECT row_number() OVER (ORDER BY score DESC, txn_id) AS rnk, "Class" FROM transactions),
+cum AS (SELECT rnk, sum("Class") OVER (ORDER BY rnk) AS cum_tp FROM rk),
+ks AS (SELECT unnest([50, 100, 200, 500, 1000, 2000]) AS k_req),
+kk AS (SELECT k_req, least(k_req, n) AS alerts_k, tot_p FROM ks, tot)
+SELECT CAST(k_req AS BIGINT) AS k_req, CAST(alerts_k AS BIGINT) AS alerts_k, CAST(coalesce(cum_tp, 0) AS BIGINT) AS tp,
+       CAST(alerts_k - coalesce(cum_tp, 0) AS BIGINT) AS fp,
+       round(coalesce(cum_tp, 0) / greatest(alerts_k, 1), 6) AS precision,
+       round(coalesce(cum_tp, 0) / greatest(tot_p, 1), 6) AS recall
+FROM kk LEFT JOIN cum ON cum.rnk = kk.alerts_k"""
+
+ORACLE["calibration"] = "WITH " + TXN_SQL + f""",
+e AS (SELECT quantile_cont(score, {_PROBS10}) AS edges FROM transactions),
+b AS (SELECT score, "Class", len(list_filter(edges, lambda x: x < score)) AS bin FROM transactions, e)
+SELECT CAST(bin AS BIGINT) AS bin, round(avg(score), 6) AS mean_pred, round(avg("Class"), 6) AS frac_pos,
+       CAST(count(*) AS BIGINT) AS n FROM b GROUP BY bin"""
+
+ORACLE["brier"] = "WITH " + TXN_SQL + """
+SELECT round(avg(pow(score - "Class", 2)), 6) AS brier FROM transactions"""
+
+ORACLE["feature_ap"] = "WITH " + TXN_SQL + """,
+l AS (UNPIVOT (SELECT "Class", "Time", "Amount", "V1", "V2", "V3" FROM transactions)
+      ON "Time", "Amount", "V1", "V2", "V3" INTO NAME feature VALUE value),
+b AS (SELECT feature, '+' AS sign, value AS v, "Class" AS y FROM l
+      UNION ALL SELECT feature, '-', -value, "Class" FROM l),
+d AS (SELECT feature, sign, v, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg
+      FROM b GROUP BY ALL),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY feature, sign ORDER BY v DESC) AS tp,
+             sum(neg) OVER (PARTITION BY feature, sign ORDER BY v DESC) AS fp,
+             sum(pos) OVER (PARTITION BY feature, sign) AS tot_p FROM d),
+ap AS (SELECT feature, sign, CASE WHEN max(tot_p) > 0 THEN sum(pos * (tp / (tp + fp))) / max(tot_p) END AS ap
+       FROM c GROUP BY ALL),
+w AS (SELECT feature, max(ap) FILTER (WHERE sign = '+') AS ap_pos, max(ap) FILTER (WHERE sign = '-') AS ap_neg
+      FROM ap GROUP BY feature)
+SELECT feature, round(ap_pos, 6) AS ap_pos, round(ap_neg, 6) AS ap_neg, round(greatest(ap_pos, ap_neg), 6) AS strength,
+       CASE WHEN ap_pos >= ap_neg THEN '+' ELSE '-' END AS direction FROM w"""
+
+ORACLE["canonical_metrics"] = "WITH " + _CONF + f""",
+views AS (SELECT 'c1' AS view, "Class" AS y, score AS p FROM transactions
+          UNION ALL SELECT 'c0', 1 - "Class", 1 - score FROM transactions),
+views2 AS (SELECT * FROM views UNION ALL SELECT 'micro', y, p FROM views),
+vd AS (SELECT view, p AS thr, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg
+       FROM views2 GROUP BY ALL),
+vc AS (SELECT *, sum(pos) OVER (PARTITION BY view ORDER BY thr DESC) AS tp, sum(neg) OVER (PARTITION BY view ORDER BY thr DESC) AS fp,
+              sum(pos) OVER (PARTITION BY view) AS tot_p, sum(neg) OVER (PARTITION BY view) AS tot_n FROM vd),
+rk AS (SELECT view, sum(pos * (tp / (tp + fp))) / max(tot_p) AS ap,
+              sum(pos * (tot_n - fp + neg / 2.0)) / (max(tot_p) * max(tot_n)) AS auc FROM vc GROUP BY view),
+r AS (SELECT {_d0('tp', 'tp + fp')} AS p1, {_d0('tp', 'tp + fn')} AS r1, {_d0('tn', 'tn + fn')} AS p0,
+             {_d0('tn', 'tn + fp')} AS r0, {_d0('2 * tp', '2 * tp + fp + fn')} AS f1, {_d0('2 * tn', '2 * tn + fn + fp')} AS f0,
+             CAST(tp + fn AS DOUBLE) AS s1, CAST(tn + fp AS DOUBLE) AS s0, CAST(n AS DOUBLE) AS n,
+             {_d0('tp + tn', 'n')} AS acc, CAST(tp AS DOUBLE) AS dtp, CAST(tn AS DOUBLE) AS dtn,
+             CAST(fp AS DOUBLE) AS dfp, CAST(fn AS DOUBLE) AS dfn FROM k),
+m AS (SELECT *, (r0 + r1) / 2 AS bal,
+             sqrt((dtp + dfp) * (dtp + dfn) * (dtn + dfp) * (dtn + dfn)) AS mden,
+             (SELECT ap FROM rk WHERE view = 'c0') AS ap0, (SELECT ap FROM rk WHERE view = 'c1') AS ap1,
+             (SELECT ap FROM rk WHERE view = 'micro') AS apm, (SELECT auc FROM rk WHERE view = 'c0') AS auc0,
+             (SELECT auc FROM rk WHERE view = 'c1') AS auc1, (SELECT auc FROM rk WHERE view = 'micro') AS aucm,
+             (SELECT -avg("Class" * ln(least(greatest(score, 1e-15), 1 - 1e-15))
+                          + (1 - "Class") * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15))) FROM transactions) AS ll
+      FROM r)
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'metrics.weighted_accuracy' AS metric, {_d0('s1 * dtp + s0 * dtn', 's1 * s1 + s0 * s0')} AS value FROM m
+  UNION ALL SELECT 'metrics.AUC_micro', aucm FROM m
+  UNION ALL SELECT 'metrics.precision_score_weighted', {_d0('p0 * s0 + p1 * s1', 'n')} FROM m
+  UNION ALL SELECT 'metrics.f1_score_macro', (f0 + f1) / 2 FROM m
+  UNION ALL SELECT 'metrics.norm_macro_recall', (bal - 0.5) / 0.5 FROM m
+  UNION ALL SELECT 'metrics.average_precision_score_weighted', {_d0('ap0 * s0 + ap1 * s1', 'n')} FROM m
+  UNION ALL SELECT 'metrics.AUC_macro', (auc0 + auc1) / 2 FROM m
+  UNION ALL SELECT 'metrics.f1_score_micro', acc FROM m
+  UNION ALL SELECT 'metrics.recall_score_macro', bal FROM m
+  UNION ALL SELECT 'metrics.recall_score_micro', acc FROM m
+  UNION ALL SELECT 'metrics.precision_score_micro', acc FROM m
+  UNION ALL SELECT 'metrics.AUC_weighted', {_d0('auc0 * s0 + auc1 * s1', 'n')} FROM m
+  UNION ALL SELECT 'metrics.log_loss', ll FROM m
+  UNION ALL SELECT 'metrics.average_precision_score_macro', (ap0 + ap1) / 2 FROM m
+  UNION ALL SELECT 'metrics.f1_score_weighted', {_d0('f0 * s0 + f1 * s1', 'n')} FROM m
+  UNION ALL SELECT 'metrics.precision_score_macro', (p0 + p1) / 2 FROM m
+  UNION ALL SELECT 'metrics.average_precision_score_micro', apm FROM m
+  UNION ALL SELECT 'metrics.recall_score_weighted', {_d0('r0 * s0 + r1 * s1', 'n')} FROM m
+  UNION ALL SELECT 'metrics.matthews_correlation', CASE WHEN mden > 0 THEN (dtp * dtn - dfp * dfn) / mden ELSE 0.0 END FROM m
+  UNION ALL SELECT 'metrics.accuracy', acc FROM m
+  UNION ALL SELECT 'metrics.balanced_accuracy', bal FROM m)"""

@@ -191,3 +191,103 @@ def scaled_stats(spark, sf_dir):
 def class_weight(spark, sf_dir):
     w = scale_ops.class_weight(_train_part(spark, sf_dir))
     return w.select("n_pos", "n_neg", r6("weight").alias("weight"))
+
+
+# --- classifier metrics (G1-G16) ----------------------------------------------
+
+from vigil.operators import metrics as met  # noqa: E402
+
+THRESHOLD = 0.5
+TOPK = [50, 100, 200, 500, 1000, 2000]
+
+
+def _scored(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir)
+    return t.withColumn("pred", sc.threshold_label("score", THRESHOLD))
+
+
+@register("confusion")
+def confusion(spark, sf_dir):
+    k = met.confusion_counts(_scored(spark, sf_dir), "Class", "pred")
+    return met.confusion_long(k).select(F.col("actual").cast("long").alias("actual"),
+                                        F.col("predicted").cast("long").alias("predicted"), "n")
+
+
+@register("basic_metrics")
+def basic_metrics(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    b = met.basic_metrics(met.confusion_counts(s, "Class", "pred"))
+    c = met.curve(s)
+    rk = met.roc_auc(c).crossJoin(met.average_precision(c))
+    allm = b.crossJoin(rk)
+    names = ["accuracy", "precision", "recall", "f1", "alert_rate", "alert_count"]
+    arr = [F.struct(F.lit(f"metrics.{m}").alias("metric"), F.col(m).alias("value")) for m in names]
+    arr += [F.struct(F.lit("metrics.roc_auc").alias("metric"), F.col("roc_auc").alias("value")),
+            F.struct(F.lit("metrics.pr_auc").alias("metric"), F.col("average_precision").alias("value"))]
+    return allm.select(F.inline(F.array(*arr))).select("metric", r6("value").alias("value"))
+
+
+@register("class_report")
+def class_report(spark, sf_dir):
+    r = met.classification_report(met.confusion_counts(_scored(spark, sf_dir), "Class", "pred"))
+    return r.select("label", *[r6(c).alias(c) for c in ["precision", "recall", "f1_score", "support"]])
+
+
+@register("roc_auc")
+def roc_auc(spark, sf_dir):
+    return met.roc_auc(met.curve(fx.transactions(spark, sf_dir))).select(r6("roc_auc").alias("roc_auc"))
+
+
+@register("average_precision")
+def average_precision(spark, sf_dir):
+    return met.average_precision(met.curve(fx.transactions(spark, sf_dir))).select(
+        r6("average_precision").alias("average_precision"))
+
+
+@register("pr_curve")
+def pr_curve(spark, sf_dir):
+    p = met.pr_curve(met.curve(fx.transactions(spark, sf_dir)))
+    return p.select(r6("threshold").alias("threshold"), r6("precision").alias("precision"), r6("recall").alias("recall"))
+
+
+@register("best_f1_threshold")
+def best_f1_threshold(spark, sf_dir):
+    b = met.best_f1_threshold(met.curve(fx.transactions(spark, sf_dir)))
+    return b.select(*[r6(c).alias(c) for c in ["threshold", "precision", "recall", "f1"]])
+
+
+@register("recall_at_precision")
+def recall_at_precision(spark, sf_dir):
+    b = met.recall_at_precision(met.curve(fx.transactions(spark, sf_dir)), 0.10)
+    return b.select(*[r6(c).alias(c) for c in ["threshold", "precision", "recall"]], "meets_floor")
+
+
+@register("topk_table")
+def topk_table(spark, sf_dir):
+    t = met.topk_table(fx.transactions(spark, sf_dir), TOPK)
+    return t.select("k_req", "alerts_k", "tp", "fp", r6("precision").alias("precision"), r6("recall").alias("recall"))
+
+
+@register("calibration")
+def calibration(spark, sf_dir):
+    c = met.calibration(fx.transactions(spark, sf_dir), n_bins=10)
+    return c.select(F.col("bin").cast("long").alias("bin"), r6("mean_pred").alias("mean_pred"),
+                    r6("frac_pos").alias("frac_pos"), "n")
+
+
+@register("brier")
+def brier(spark, sf_dir):
+    return met.brier(fx.transactions(spark, sf_dir)).select(r6("brier").alias("brier"))
+
+
+@register("feature_ap")
+def feature_ap(spark, sf_dir):
+    f = met.feature_ap(fx.transactions(spark, sf_dir), fx.TXN_FEATURES)
+    return f.select("feature", r6("ap_pos").alias("ap_pos"), r6("ap_neg").alias("ap_neg"),
+                    r6("strength").alias("strength"), "direction")
+
+
+@register("canonical_metrics")
+def canonical_metrics(spark, sf_dir):
+    m = met.canonical_metrics(_scored(spark, sf_dir))
+    return m.select("metric", r6("value").alias("value"))
