@@ -29,7 +29,7 @@ from vigil.session import shuffle_partitions
 INF = float("inf")
 
 # Number of approximate quantile bounds used to bucket an order column.
-DEFAULT_BOUNDS = 32
+DEFAULT_BOUNDS = 64
 # Accuracy passed to percentile_approx; bounds only steer balance, never results.
 BOUND_ACCURACY = 2000
 
@@ -61,7 +61,7 @@ def to_long(df: DataFrame, id_cols: Sequence[str], features: Sequence[str],
 
 
 def _bounds_table(spark: SparkSession, df: DataFrame, group: list[str], value: str,
-                  n_bounds: int, name: str = "_bounds") -> DataFrame | None:
+                  n_bounds: int, name: str = "_bounds") -> DataFrame:
     """Collect per-group approximate quantile bounds of ``value`` (NaN/NULL ignored)
     and return them as a small driver-built table (group..., _bounds array)."""
     probs = [i / n_bounds for i in range(1, n_bounds)]
@@ -79,14 +79,75 @@ def _bounds_table(spark: SparkSession, df: DataFrame, group: list[str], value: s
 
 
 def _value_bucket(value: str, bounds: str, descending: bool) -> Column:
-    """Monotone bucket of ``value`` over sorted ``bounds``; agrees with Spark's
-    sort order for NULL (first ascending, last descending) and NaN (largest)."""
+    """Monotone bucket 2g+e of ``value`` over sorted distinct ``bounds``: g counts
+    the bounds before the value in the order and e = 1 when the value equals a
+    bound, so a hot value that spans many quantiles gets a bucket of its own.
+    NULL sorts first ascending and last descending, NaN sorts largest (Spark's order)."""
     v = F.col(value)
+    b = F.col(bounds)
+    e = F.array_contains(b, v).cast("int")
     if descending:
-        nb = F.size(F.filter(F.col(bounds), lambda b: b > v))
-        return F.when(v.isNull(), F.size(bounds) + 1).otherwise(nb)
-    nb = F.size(F.filter(F.col(bounds), lambda b: b < v))
-    return F.when(v.isNull(), F.lit(-1)).otherwise(nb)
+        g = F.size(F.filter(b, lambda x: x > v))
+        return F.when(v.isNull(), 2 * F.size(b) + 4).otherwise(2 * g + e)
+    g = F.size(F.filter(b, lambda x: x < v))
+    return F.when(v.isNull(), F.lit(-1)).otherwise(2 * g + e)
+
+
+MAX_LEVELS = 4
+MIN_BUCKET_ROWS = 20000
+
+
+def order_buckets(df: DataFrame, group: list[str], order: str | None, descending: bool,
+                  key_hex: str | None = None, n_bounds: int = DEFAULT_BOUNDS) -> DataFrame:
+    """Add ``_b`` (array<int>), a bucket path that is monotone in the order
+    (group..., order, key_hex): equal paths hold contiguous runs of the order
+    and paths compare lexicographically. Buckets above the target size are
+    refined level by level with finer quantile bounds; buckets holding a single
+    value are split by a prefix of ``key_hex``. Each level costs one bounded
+    collect (counts per bucket, bounds of the big buckets)."""
+    spark = df.sparkSession
+    work = df
+    if order is not None:
+        bt = _bounds_table(spark, df.select(*group, order), group, order, n_bounds)
+        work = work.join(F.broadcast(bt), group, "left") if group else work.crossJoin(F.broadcast(bt))
+        work = work.withColumn("_b", F.array(_value_bucket(order, "_bounds", descending))).drop("_bounds")
+    else:
+        work = work.withColumn("_b", F.array(F.lit(0)))
+    ofield = [T.StructField(g, df.schema[g].dataType, True) for g in group]
+    bschema = T.StructField("_b", T.ArrayType(T.IntegerType()), True)
+    target = None
+    for level in range(MAX_LEVELS + 1):
+        aggs = [F.count(F.lit(1)).alias("_cnt")]
+        if order is not None:
+            aggs += [F.min(order).alias("_lo"), F.max(order).alias("_hi")]
+        counts = work.groupBy(*group, "_b").agg(*aggs).collect()
+        if target is None:
+            total = sum(r["_cnt"] for r in counts)
+            target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * shuffle_partitions(spark))))
+        big = [r for r in counts if r["_cnt"] > target]
+        single = [r for r in big if order is None or r["_lo"] == r["_hi"]]
+        multi = [r for r in big if order is not None and r["_lo"] != r["_hi"]]
+        if multi and level < MAX_LEVELS:
+            sel = spark.createDataFrame([tuple(r[g] for g in group) + (list(r["_b"]),) for r in multi],
+                                        T.StructType(ofield + [bschema]))
+            sub = work.join(F.broadcast(sel), [*group, "_b"], "left_semi")
+            bt = _bounds_table(spark, sub.select(*group, "_b", order), [*group, "_b"], order, n_bounds)
+            work = (work.join(F.broadcast(bt), [*group, "_b"], "left")
+                    .withColumn("_b", F.when(F.col("_bounds").isNull(), F.col("_b")).otherwise(
+                        F.concat("_b", F.array(_value_bucket(order, "_bounds", descending)))))
+                    .drop("_bounds"))
+            if not single:
+                continue
+        if single and key_hex is not None:
+            lens = [tuple(r[g] for g in group) + (list(r["_b"]),
+                    min(6, math.ceil(math.log(r["_cnt"] / target, 16)))) for r in single]
+            ldf = spark.createDataFrame(lens, T.StructType(ofield + [bschema, T.StructField("_hl", T.IntegerType())]))
+            work = (work.join(F.broadcast(ldf), [*group, "_b"], "left")
+                    .withColumn("_b", F.when(F.col("_hl").isNull(), F.col("_b")).otherwise(F.concat(
+                        "_b", F.array(F.conv(F.expr(f"substring({key_hex}, 1, _hl)"), 16, 10).cast("int")))))
+                    .drop("_hl"))
+        break
+    return work
 
 
 def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descending: bool = True,
@@ -97,35 +158,11 @@ def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descendin
     ``key_hex`` must be a unique, uniformly distributed lower-case hex string
     (for example an md5); it breaks ties and splits hot buckets.
     """
-    spark = df.sparkSession
     group = _cols(group)
-    work = df
-    if order is not None:
-        bt = _bounds_table(spark, df.select(*group, order), group, order, n_bounds)
-        work = work.join(F.broadcast(bt), group, "left") if group else work.crossJoin(F.broadcast(bt))
-        work = work.withColumn("_nb", _value_bucket(order, "_bounds", descending)).drop("_bounds")
-    else:
-        work = work.withColumn("_nb", F.lit(0))
-
-    # Sub-bucket length per (group, _nb) from a bounded count table.
-    counts = work.groupBy(*group, "_nb").count().collect()
-    total = sum(r["count"] for r in counts)
-    target = max(1, math.ceil(total / (4 * shuffle_partitions(spark))))
-    lens = []
-    for r in counts:
-        c = r["count"]
-        length = 0 if c <= target else min(12, math.ceil(math.log(c / target, 16)))
-        lens.append(tuple(r[g] for g in group) + (r["_nb"], length))
-    len_schema = T.StructType(
-        [T.StructField(g, df.schema[g].dataType, True) for g in group]
-        + [T.StructField("_nb", T.IntegerType(), True), T.StructField("_hl", T.IntegerType(), True)])
-    len_df = spark.createDataFrame(lens, len_schema)
-    work = (work.join(F.broadcast(len_df), [*group, "_nb"], "left")
-            .withColumn("_hb", F.expr(f"substring({key_hex}, 1, _hl)")).drop("_hl"))
-
-    bucket = [*group, "_nb", "_hb"]
+    work = order_buckets(df, group, order, descending, key_hex, n_bounds)
+    bucket = [*group, "_b"]
     sizes = work.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_bn"))
-    w_off = Window.partitionBy(*group).orderBy("_nb", "_hb").rowsBetween(Window.unboundedPreceding, -1)
+    w_off = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0))).drop("_bn")
 
     o = []
@@ -134,10 +171,10 @@ def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descendin
     o.append(F.col(key_hex).asc())
     w = Window.partitionBy(*bucket).orderBy(*o)
     ranked = work.withColumn("_rn", F.row_number().over(w))
-    # offsets has at most one row per non-empty bucket: about 4 x shuffle partitions rows.
+    # offsets has one row per non-empty bucket: about 4 x shuffle partitions rows.
     out = (ranked.join(F.broadcast(offsets), bucket, "inner")
            .withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("long"))
-           .drop("_nb", "_hb", "_rn", "_off"))
+           .drop("_b", "_rn", "_off"))
     return out
 
 
@@ -150,15 +187,11 @@ def running_sums(df: DataFrame, value: str, sums: Sequence[str], group: str | Se
 
     Values must already be distinct per group (use ``groupBy(group, value)``).
     """
-    spark = df.sparkSession
     group = _cols(group)
-    bt = _bounds_table(spark, df.select(*group, value), group, value, n_bounds)
-    work = df.join(F.broadcast(bt), group, "left") if group else df.crossJoin(F.broadcast(bt))
-    work = work.withColumn("_nb", _value_bucket(value, "_bounds", descending)).drop("_bounds")
-
-    bucket = [*group, "_nb"]
+    work = order_buckets(df, group, value, descending, None, n_bounds)
+    bucket = [*group, "_b"]
     totals = work.groupBy(*bucket).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    w_off = Window.partitionBy(*group).orderBy("_nb").rowsBetween(Window.unboundedPreceding, -1)
+    w_off = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*bucket, *[
         F.coalesce(F.sum(f"_t_{s}").over(w_off), F.lit(0)).alias(f"_o_{s}") for s in sums])
 
@@ -166,7 +199,7 @@ def running_sums(df: DataFrame, value: str, sums: Sequence[str], group: str | Se
     w = Window.partitionBy(*bucket).orderBy(ordc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = work.select("*", *[F.sum(s).over(w).alias(f"_w_{s}") for s in sums])
     out = within.join(F.broadcast(offsets), bucket, "inner")
-    out = out.select(*[c for c in df.columns], *(["_nb"] if keep_bucket else []),
+    out = out.select(*[c for c in df.columns], *(["_b"] if keep_bucket else []),
                      *[(F.col(f"_o_{s}") + F.col(f"_w_{s}")).alias(f"{s}{inclusive_suffix}") for s in sums])
     return out
 
@@ -185,7 +218,7 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str | Sequen
     cum = running_sums(d, value, ["_c"], group=group, keep_bucket=True)  # _c_cum = count of values <= v
     cum = cum.withColumn("_lo", F.col("_c_cum") - F.col("_c"))  # rows strictly below v
     # One row per (group, bucket): the range of order positions it holds.
-    ranges = cum.groupBy(*group, "_nb").agg(F.min("_lo").alias("_blo"), F.max("_c_cum").alias("_bhi"))
+    ranges = cum.groupBy(*group, "_b").agg(F.min("_lo").alias("_blo"), F.max("_c_cum").alias("_bhi"))
     n = ranges.groupBy(*group).agg(F.max("_bhi").alias("_n"))
     p = spark.createDataFrame([(float(x),) for x in probs], T.StructType([T.StructField(prob_col, T.DoubleType())]))
     targets = (n.crossJoin(F.broadcast(p))
@@ -202,8 +235,8 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str | Sequen
             [*(F.col(f"t.{g}") == F.col(f"r.{g}") for g in group),
              F.col("r._blo") <= F.col(f"t.{pos}"), F.col(f"t.{pos}") < F.col("r._bhi")], "inner")
             .select(*[F.col(f"t.{g}").alias(g) for g in group], F.col(f"t.{prob_col}").alias(prob_col),
-                    F.col("r._nb").alias("_nb"), F.col(f"t.{pos}").alias("_p")))
-        hit = (cum.join(F.broadcast(tb), [*group, "_nb"], "inner")
+                    F.col("r._b").alias("_b"), F.col(f"t.{pos}").alias("_p")))
+        hit = (cum.join(F.broadcast(tb), [*group, "_b"], "inner")
                .where((F.col("_lo") <= F.col("_p")) & (F.col("_p") < F.col("_c_cum"))))
         return hit.select(*group, prob_col, F.col(value).alias(alias))
 

@@ -392,3 +392,118 @@ SELECT metric, round(value, 6) AS value FROM (
   UNION ALL SELECT 'metrics.matthews_correlation', CASE WHEN mden > 0 THEN (dtp * dtn - dfp * dfn) / mden ELSE 0.0 END FROM m
   UNION ALL SELECT 'metrics.accuracy', acc FROM m
   UNION ALL SELECT 'metrics.balanced_accuracy', bal FROM m)"""
+
+
+# --- alerts, runs, registry ---------------------------------------------------------
+
+from vigil.functions.scalars import CANONICAL_METRIC_KEYS, METRIC_ALIASES, MIN_DIRECTION_MARKERS  # noqa: E402
+from vigil.sources.fixtures import ASSETS_SQL, RUNS_SQL  # noqa: E402
+
+ORACLE["alerts_topk"] = "WITH " + TXN_SQL + """,
+r AS (SELECT txn_id, score, row_number() OVER (ORDER BY score DESC, txn_id) AS rnk FROM transactions),
+kk AS (SELECT least(100, count(*)) AS k FROM transactions),
+a AS (SELECT txn_id, score, rnk, CAST(rnk <= k AS BIGINT) AS alert, k FROM r, kk)
+SELECT txn_id, CAST(rnk AS BIGINT) AS rank, alert, CAST(k AS BIGINT) AS k,
+       round(CASE WHEN k > 0 THEN (SELECT min(score) FROM a WHERE alert = 1) ELSE 1.0 END, 6) AS threshold FROM a"""
+
+_PER_BATCH = TXN_SQL + """,
+b AS (SELECT *, (row_number() OVER (ORDER BY txn_id) - 1) // 200 AS batch_id FROM transactions),
+c AS (SELECT *, count(*) OVER (PARTITION BY batch_id) AS batch_rows FROM b),
+d AS (SELECT *, CAST(ceil(CAST(0.1 AS DOUBLE) * batch_rows) AS BIGINT) AS max_alerts FROM c),
+e AS (SELECT *, least(max_alerts, batch_rows) AS k,
+             row_number() OVER (PARTITION BY batch_id ORDER BY score DESC, txn_id) AS rnk FROM d),
+f AS (SELECT *, CAST(rnk <= k AS BIGINT) AS alert FROM e),
+g AS (SELECT *, CASE WHEN k > 0 THEN min(CASE WHEN alert = 1 THEN score END) OVER (PARTITION BY batch_id)
+                     ELSE 1.0 END AS threshold FROM f)"""
+
+ORACLE["alerts_per_batch"] = "WITH " + _PER_BATCH + """
+SELECT txn_id, CAST(batch_id AS BIGINT) AS batch_id, CAST(rnk AS BIGINT) AS rank, alert, CAST(k AS BIGINT) AS k,
+       round(threshold, 6) AS threshold FROM g"""
+
+ORACLE["batch_merge"] = "WITH " + _PER_BATCH + """,
+s AS (SELECT batch_id, count(*) AS n_predictions, sum(alert) AS num_alerts, min(threshold) AS threshold_used,
+             min(max_alerts) AS max_alerts, count(score) = count(*) AS has_p FROM g GROUP BY batch_id)
+SELECT CAST(sum(n_predictions) AS BIGINT) AS n_predictions, CAST(sum(num_alerts) AS BIGINT) AS total_alerts,
+       bool_and(has_p) AS probabilities_available, round(arg_min(threshold_used, batch_id), 6) AS threshold_used,
+       CAST(arg_min(max_alerts, batch_id) AS BIGINT) AS max_alerts, CAST(arg_min(num_alerts, batch_id) AS BIGINT) AS num_alerts,
+       CAST(count(*) AS BIGINT) AS n_batches FROM s"""
+
+
+def norm_metric_sql(x: str) -> tuple[str, str, str, str]:
+    """DuckDB twin of scalars.normalize_metric / metric_direction: (bare, full, valid, direction)."""
+    raw = f"trim({x})"
+    bare = f"(CASE WHEN starts_with({raw}, 'metrics.') THEN substr({raw}, 9) ELSE {raw} END)"
+    canon = "(CASE lower(" + bare + ") " + " ".join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in METRIC_ALIASES.items()) + " END)"
+    bare2 = f"coalesce(substr({canon}, 9), {bare})"
+    full = f"('metrics.' || {bare2})"
+    keys = ", ".join(f"'{k}'" for k in CANONICAL_METRIC_KEYS)
+    valid = f"coalesce({full} IN ({keys}) AND {raw} <> '', false)"
+    direction = "(CASE WHEN " + " OR ".join(
+        f"contains(lower({bare2}), '{m}')" for m in MIN_DIRECTION_MARKERS) + " THEN 'min' ELSE 'max' END)"
+    return bare2, full, valid, direction
+
+
+_b, _f, _v, _d = norm_metric_sql("primary_metric")
+ORACLE["metric_alias"] = "WITH " + RUNS_SQL + f"""
+SELECT run_id, primary_metric, {_b} AS bare, {_f} AS full, {_v} AS valid, {_d} AS direction FROM runs"""
+
+ORACLE["run_metrics_long"] = "WITH " + RUNS_SQL + "\nSELECT run_id, key, round(value, 6) AS value FROM run_metrics"
+
+
+def _best_sql(requested: list[str]) -> str:
+    rb, _, _, rd = norm_metric_sql("requested")
+    vals = ", ".join(f"('{r}')" for r in requested)
+    return f""",
+req AS (SELECT requested, {rb} AS metric, {rd} AS direction FROM (VALUES {vals}) t(requested)),
+exps AS (SELECT DISTINCT trim(e) AS e FROM (SELECT unnest(string_split('custom_train, automl_train, custom_train', ',')) AS e)),
+rr AS (SELECT * FROM runs WHERE experiment_name IN (SELECT e FROM exps WHERE e <> '') AND status = 'FINISHED'),
+v AS (SELECT q.requested, q.metric, q.direction, m.run_id, rr.experiment_name, m.value
+      FROM run_metrics m JOIN rr USING (run_id) JOIN req q ON m.key = q.metric WHERE m.value IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY requested
+           ORDER BY CASE WHEN direction = 'min' THEN value ELSE -value END, run_id) AS rn FROM v),
+best AS (SELECT requested, metric, direction, run_id, experiment_name, value AS metric_value FROM ranked WHERE rn = 1)"""
+
+
+ORACLE["best_run"] = "WITH " + RUNS_SQL + _best_sql(["auc", "metrics.accuracy", "log_loss"]) + """
+SELECT requested, metric, direction, run_id, experiment_name, round(metric_value, 6) AS metric_value FROM best"""
+
+_VERS = ASSETS_SQL + r""",
+vp AS (SELECT *, CASE WHEN regexp_matches(trim(version), '^[0-9]+(\.[0-9]+)*$')
+                      THEN list_transform(string_split(trim(version), '.'), lambda x: CAST(x AS BIGINT)) END AS parts
+       FROM assets),
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY parts IS NOT NULL DESC,
+           parts DESC NULLS LAST, lower(trim(version)) DESC, asset_id DESC) AS rn FROM vp) WHERE rn = 1)"""
+
+ORACLE["latest_version"] = "WITH " + _VERS + "\nSELECT name, version, asset_id FROM latest"
+
+ORACLE["next_version"] = "WITH " + _VERS + """,
+mx AS (SELECT name, (SELECT parts FROM vp v2 WHERE v2.name = v1.name AND parts IS NOT NULL
+                     ORDER BY parts DESC LIMIT 1) AS v FROM (SELECT DISTINCT name FROM vp) v1)
+SELECT name, CASE WHEN v IS NULL THEN '1.0'
+                  ELSE array_to_string(list_concat(v[1:len(v) - 1], [v[len(v)] + 1]), '.') END AS next_version FROM mx"""
+
+_PROD = RUNS_SQL + "," + _VERS + """,
+prod AS (SELECT l.name, l.version AS prod_version,
+                CASE WHEN tag_key IN ('run_id', 'mlflow_run_id', 'best_run_id') THEN tag_run END AS prod_run_id
+         FROM latest l),
+prodm AS (SELECT p.name, p.prod_version, p.prod_run_id, m.value AS prod_value
+          FROM prod p LEFT JOIN run_metrics m ON m.run_id = p.prod_run_id AND m.key = 'AUC_macro')"""
+
+ORACLE["prod_metric"] = "WITH " + _PROD + """
+SELECT name, prod_version, prod_run_id, round(prod_value, 6) AS prod_value FROM prodm"""
+
+ORACLE["promotion"] = "WITH " + _PROD + _best_sql(["auc"]) + """,
+j AS (SELECT * FROM best, prodm),
+d AS (SELECT *, metric_value >= 0.6 AS meets, abs(metric_value - prod_value) <= 0.001 AS same,
+             CASE WHEN direction = 'min' THEN metric_value < prod_value - 0.001 ELSE metric_value > prod_value + 0.001 END AS better
+      FROM j),
+e AS (SELECT *, CASE WHEN prod_value IS NULL THEN CASE WHEN meets THEN 'promote' ELSE 'stage' END
+                     WHEN same THEN 'skip' WHEN meets AND better THEN 'promote' ELSE 'stage' END AS decision,
+                CASE WHEN prod_value IS NULL THEN CASE WHEN meets THEN 'no_prod_model' ELSE 'below_min_threshold' END
+                     WHEN same THEN 'equal_metric' WHEN meets AND better THEN 'better_metric'
+                     WHEN NOT meets THEN 'below_min_threshold' ELSE 'worse_metric' END AS reason FROM d)
+SELECT name, metric, run_id, round(metric_value, 6) AS metric_value, prod_version, prod_run_id,
+       round(prod_value, 6) AS prod_value, decision, reason, decision = 'promote' AS should_promote,
+       CASE WHEN decision = 'skip' THEN NULL WHEN decision = 'promote' THEN name ELSE 'model_' || run_id END AS model_name
+FROM e"""

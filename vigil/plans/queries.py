@@ -291,3 +291,86 @@ def feature_ap(spark, sf_dir):
 def canonical_metrics(spark, sf_dir):
     m = met.canonical_metrics(_scored(spark, sf_dir))
     return m.select("metric", r6("value").alias("value"))
+
+
+# --- alerts and best runs (H1-H6) -----------------------------------------------
+
+from vigil.operators import alerts as alert_ops  # noqa: E402
+from vigil.operators import registry as reg  # noqa: E402
+
+
+def _per_batch(spark, sf_dir):
+    b = split_ops.batches(fx.transactions(spark, sf_dir), "txn_id", 200)
+    return alert_ops.alert_budget_per_batch(b, "score", "txn_id", alert_rate=0.1)
+
+
+@register("alerts_topk")
+def alerts_topk(spark, sf_dir):
+    a = alert_ops.alert_budget(fx.transactions(spark, sf_dir), "score", "txn_id", max_alerts=100)
+    return a.select("txn_id", "rank", F.col("alert").cast("long").alias("alert"), "k", r6("threshold").alias("threshold"))
+
+
+@register("alerts_per_batch")
+def alerts_per_batch(spark, sf_dir):
+    a = _per_batch(spark, sf_dir)
+    return a.select("txn_id", "batch_id", "rank", F.col("alert").cast("long").alias("alert"), "k",
+                    r6("threshold").alias("threshold"))
+
+
+@register("batch_merge")
+def batch_merge(spark, sf_dir):
+    m = alert_ops.merge_batches(alert_ops.batch_summaries(_per_batch(spark, sf_dir)))
+    return m.select("n_predictions", "total_alerts", "probabilities_available", r6("threshold_used").alias("threshold_used"),
+                    "max_alerts", "num_alerts", "n_batches")
+
+
+BEST_RUN_METRICS = ["auc", "metrics.accuracy", "log_loss"]
+EXPERIMENTS = "custom_train, automl_train, custom_train"
+
+
+@register("best_run")
+def best_run(spark, sf_dir):
+    b = alert_ops.best_runs(fx.runs(spark, sf_dir), fx.run_metrics(spark, sf_dir), BEST_RUN_METRICS, EXPERIMENTS)
+    return b.select("requested", "metric", "direction", "run_id", "experiment_name",
+                    r6("metric_value").alias("metric_value"))
+
+
+# --- registry (J1-J9, B14-B17) ----------------------------------------------------
+
+@register("metric_alias")
+def metric_alias(spark, sf_dir):
+    r = fx.runs(spark, sf_dir)
+    m = sc.normalize_metric("primary_metric")
+    return r.select("run_id", "primary_metric", m["bare"].alias("bare"), m["full"].alias("full"),
+                    m["valid"].alias("valid"), sc.metric_direction(m["bare"]).alias("direction"))
+
+
+@register("run_metrics_long")
+def run_metrics_long(spark, sf_dir):
+    return fx.run_metrics(spark, sf_dir).select("run_id", "key", r6("value").alias("value"))
+
+
+@register("latest_version")
+def latest_version(spark, sf_dir):
+    return reg.latest_versions(fx.model_assets(spark, sf_dir)).select("name", "version", "asset_id")
+
+
+@register("next_version")
+def next_version(spark, sf_dir):
+    return reg.next_versions(fx.model_assets(spark, sf_dir))
+
+
+@register("prod_metric")
+def prod_metric(spark, sf_dir):
+    p = reg.prod_metrics(fx.model_assets(spark, sf_dir), fx.run_metrics(spark, sf_dir), "AUC_macro")
+    return p.select("name", "prod_version", "prod_run_id", r6("prod_value").alias("prod_value"))
+
+
+@register("promotion")
+def promotion(spark, sf_dir):
+    best = alert_ops.best_runs(fx.runs(spark, sf_dir), fx.run_metrics(spark, sf_dir), ["auc"], EXPERIMENTS)
+    prod = reg.prod_metrics(fx.model_assets(spark, sf_dir), fx.run_metrics(spark, sf_dir), "AUC_macro")
+    d = reg.decide(best, prod, epsilon=0.0, delta=0.001, min_threshold=0.6)
+    return d.select("name", "metric", "run_id", r6("metric_value").alias("metric_value"), "prod_version",
+                    "prod_run_id", r6("prod_value").alias("prod_value"), "decision", "reason", "should_promote",
+                    "model_name")

@@ -133,3 +133,84 @@ DIRTY_SQL = TXN_SQL + """,
 dirty AS (SELECT txn_id, """ + ",\n    ".join(
     _dirty_case(c, f"CAST(\"{c}\" AS VARCHAR)", "duckdb") for c in ["Time", "Amount", "V1", "V2", "V3", "Class"]
 ) + """ FROM transactions)"""
+
+
+# --- run and asset tables ------------------------------------------------------
+
+# Spellings a sweep may record as its primary metric (chosen by l_suppkey % 8).
+PRIMARY_METRIC_SPELLINGS = ["auc", "AUC", "roc_auc", "metrics.AUC_macro", "average_precision",
+                            "Accuracy", "log_loss", "f1"]
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per supplier: run_id, experiment_name, status, primary_metric."""
+    li = table(spark, sf_dir, "lineitem")
+    s = li.select("l_suppkey").distinct()
+    k = F.col("l_suppkey")
+    spell = F.element_at(F.array(*[F.lit(x) for x in PRIMARY_METRIC_SPELLINGS]), (k % 8 + 1).cast("int"))
+    return s.select(
+        F.concat(F.lit("run-"), k.cast("string")).alias("run_id"),
+        F.when(k % 3 == 0, "custom_train").when(k % 3 == 1, "automl_train").otherwise("scratch").alias("experiment_name"),
+        F.when(k % 7 == 0, "FAILED").otherwise("FINISHED").alias("status"),
+        spell.alias("primary_metric"))
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long run metrics (run_id, key, value) from per-supplier averages;
+    AUC_macro is missing for every 11th supplier."""
+    li = table(spark, sf_dir, "lineitem")
+    g = li.groupBy("l_suppkey").agg(F.avg("l_discount").alias("d"), F.avg("l_tax").alias("t"),
+                                   F.avg("l_quantity").alias("q"))
+    k = F.col("l_suppkey")
+    rid = F.concat(F.lit("run-"), k.cast("string"))
+    auc = F.when(k % 11 != 0, F.round(F.lit(0.5) + F.col("d") * 4, 6))
+    arr = F.array(F.struct(F.lit("AUC_macro").alias("key"), auc.alias("value")),
+                  F.struct(F.lit("accuracy").alias("key"), F.round(1 - F.col("t"), 6).alias("value")),
+                  F.struct(F.lit("log_loss").alias("key"), F.round(F.col("q") / 50, 6).alias("value")))
+    return g.select(rid.alias("run_id"), F.inline(arr)).where(F.col("value").isNotNull())
+
+
+def model_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Asset catalogue from ``part``: name = brand, version text
+    ``p_size.(p_partkey % 10)`` or, for every 13th part, a non-numeric text;
+    tags carry the run that produced it under one of three tag keys."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    version = F.when(k % 13 == 0, F.concat(F.lit("v"), F.col("p_size").cast("string"))).otherwise(
+        F.concat(F.col("p_size").cast("string"), F.lit("."), (k % 10).cast("string")))
+    run = F.concat(F.lit("run-"), (k % 97).cast("string"))
+    tag_key = F.element_at(F.array(F.lit("run_id"), F.lit("mlflow_run_id"), F.lit("best_run_id"), F.lit("note")),
+                           (k % 4 + 1).cast("int"))
+    return p.select(F.col("p_brand").alias("name"), version.alias("version"), k.alias("asset_id"),
+                    F.create_map(tag_key, run, F.lit("dataset_version"),
+                                 F.concat(F.lit("d"), (k % 5).cast("string"))).alias("tags"),
+                    F.concat(F.lit("/assets/"), F.col("p_brand"), F.lit("/"), version).alias("path"))
+
+
+RUNS_SQL = """
+runs AS (
+  SELECT 'run-' || CAST(l_suppkey AS VARCHAR) AS run_id,
+         CASE WHEN l_suppkey % 3 = 0 THEN 'custom_train' WHEN l_suppkey % 3 = 1 THEN 'automl_train' ELSE 'scratch' END
+           AS experiment_name,
+         CASE WHEN l_suppkey % 7 = 0 THEN 'FAILED' ELSE 'FINISHED' END AS status,
+         ['""" + "', '".join(PRIMARY_METRIC_SPELLINGS) + """'][l_suppkey % 8 + 1] AS primary_metric
+  FROM (SELECT DISTINCT l_suppkey FROM lineitem)),
+run_agg AS (
+  SELECT 'run-' || CAST(l_suppkey AS VARCHAR) AS run_id,
+         CASE WHEN l_suppkey % 11 <> 0 THEN round(0.5 + avg(l_discount) * 4, 6) END AS auc,
+         round(1 - avg(l_tax), 6) AS acc, round(avg(l_quantity) / 50, 6) AS ll
+  FROM lineitem GROUP BY l_suppkey),
+run_metrics AS (
+  SELECT run_id, 'AUC_macro' AS key, auc AS value FROM run_agg WHERE auc IS NOT NULL
+  UNION ALL SELECT run_id, 'accuracy', acc FROM run_agg
+  UNION ALL SELECT run_id, 'log_loss', ll FROM run_agg)"""
+
+ASSETS_SQL = """
+assets AS (
+  SELECT p_brand AS name, p_partkey AS asset_id,
+         CASE WHEN p_partkey % 13 = 0 THEN 'v' || CAST(p_size AS VARCHAR)
+              ELSE CAST(p_size AS VARCHAR) || '.' || CAST(p_partkey % 10 AS VARCHAR) END AS version,
+         ['run_id', 'mlflow_run_id', 'best_run_id', 'note'][p_partkey % 4 + 1] AS tag_key,
+         'run-' || CAST(p_partkey % 97 AS VARCHAR) AS tag_run,
+         'd' || CAST(p_partkey % 5 AS VARCHAR) AS dataset_version
+  FROM part)"""
