@@ -94,11 +94,12 @@ def _value_bucket(value: str, bounds: str, descending: bool) -> Column:
 
 
 MAX_LEVELS = 4
+LEVEL_LOG: list = []  # (level, refined buckets, single-value buckets), for tests
 MIN_BUCKET_ROWS = 20000
 
 
 def order_buckets(df: DataFrame, group: list[str], order: str | None, descending: bool,
-                  key_hex: str | None = None, n_bounds: int = DEFAULT_BOUNDS) -> DataFrame:
+                  key_hex: str | None = None, n_bounds: int | None = None) -> DataFrame:
     """Add ``_b`` (array<int>), a bucket path that is monotone in the order
     (group..., order, key_hex): equal paths hold contiguous runs of the order
     and paths compare lexicographically. Buckets above the target size are
@@ -106,6 +107,7 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
     value are split by a prefix of ``key_hex``. Each level costs one bounded
     collect (counts per bucket, bounds of the big buckets)."""
     spark = df.sparkSession
+    n_bounds = n_bounds or DEFAULT_BOUNDS
     work = df
     if order is not None:
         bt = _bounds_table(spark, df.select(*group, order), group, order, n_bounds)
@@ -128,6 +130,7 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
         single = [r for r in big if order is None or r["_lo"] == r["_hi"]]
         multi = [r for r in big if order is not None and r["_lo"] != r["_hi"]]
         if multi and level < MAX_LEVELS:
+            LEVEL_LOG.append((level, len(multi), len(single)))
             sel = spark.createDataFrame([tuple(r[g] for g in group) + (list(r["_b"]),) for r in multi],
                                         T.StructType(ofield + [bschema]))
             sub = work.join(F.broadcast(sel), [*group, "_b"], "left_semi")
@@ -139,6 +142,7 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
             if not single:
                 continue
         if single and key_hex is not None:
+            LEVEL_LOG.append(("hex", len(single)))
             lens = [tuple(r[g] for g in group) + (list(r["_b"]),
                     min(6, math.ceil(math.log(r["_cnt"] / target, 16)))) for r in single]
             ldf = spark.createDataFrame(lens, T.StructType(ofield + [bschema, T.StructField("_hl", T.IntegerType())]))
@@ -152,7 +156,7 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
 
 def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descending: bool = True,
                 group: str | Sequence[str] | None = None, rank_col: str = "rank",
-                n_bounds: int = DEFAULT_BOUNDS) -> DataFrame:
+                n_bounds: int | None = None) -> DataFrame:
     """Exact ``row_number`` over (group..., order [desc], key_hex asc).
 
     ``key_hex`` must be a unique, uniformly distributed lower-case hex string
@@ -179,7 +183,7 @@ def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descendin
 
 
 def running_sums(df: DataFrame, value: str, sums: Sequence[str], group: str | Sequence[str] | None = None,
-                 descending: bool = False, n_bounds: int = DEFAULT_BOUNDS,
+                 descending: bool = False, n_bounds: int | None = None,
                  inclusive_suffix: str = "_cum", keep_bucket: bool = False) -> DataFrame:
     """For a table with one row per distinct (group, value) and count-like
     columns ``sums``, add ``<s>_cum`` = sum of ``s`` over rows with value before
