@@ -60,22 +60,37 @@ def to_long(df: DataFrame, id_cols: Sequence[str], features: Sequence[str],
     return long
 
 
-def _bounds_table(spark: SparkSession, df: DataFrame, group: list[str], value: str,
-                  n_bounds: int, name: str = "_bounds") -> DataFrame:
-    """Collect per-group approximate quantile bounds of ``value`` (NaN/NULL ignored)
-    and return them as a small driver-built table (group..., _bounds array)."""
+def _bounds_info(df: DataFrame, group: list[str], value: str, n_bounds: int) -> list[tuple]:
+    """Collect, per group: (group values, sorted distinct bounds, multiplicity of
+    each bound among the raw quantiles, row count). One aggregate job; the
+    result is bounded by groups x n_bounds numbers."""
     probs = [i / n_bounds for i in range(1, n_bounds)]
     v = F.col(value)
     clean = F.when(v.isNotNull() & ~F.isnan(v), v)
-    agg = F.percentile_approx(clean, probs, BOUND_ACCURACY).alias(name)
-    rows = (df.groupBy(*group).agg(agg) if group else df.agg(agg)).collect()
-    data = []
+    aggs = [F.percentile_approx(clean, probs, BOUND_ACCURACY).alias("_q"), F.count(F.lit(1)).alias("_n")]
+    rows = (df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)).collect()
+    out = []
     for r in rows:
-        b = r[name]
-        bounds = sorted(set(x for x in b if x is not None)) if b else []
-        data.append(tuple(r[g] for g in group) + (bounds,))
-    fields = [df.schema[g] for g in group] + [T.StructField(name, T.ArrayType(T.DoubleType()), True)]
-    return spark.createDataFrame(data, T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]))
+        raw = [x for x in (r["_q"] or []) if x is not None]
+        bounds = sorted(set(raw))
+        mult = [raw.count(x) for x in bounds]
+        out.append((tuple(r[g] for g in group), bounds, mult, r["_n"]))
+    return out
+
+
+def _bounds_df(spark: SparkSession, schema_src: DataFrame, group: list[str], info: list[tuple],
+               extra: list[str] | None = None, name: str = "_bounds") -> DataFrame:
+    fields = [T.StructField(g, schema_src.schema[g].dataType, True) for g in group]
+    fields += [T.StructField(e, T.ArrayType(T.IntegerType()), True) for e in (extra or [])]
+    fields.append(T.StructField(name, T.ArrayType(T.DoubleType()), True))
+    return spark.createDataFrame([tuple(gv) + (b,) for gv, b, *_ in info], T.StructType(fields))
+
+
+def _bounds_table(spark: SparkSession, df: DataFrame, group: list[str], value: str,
+                  n_bounds: int, name: str = "_bounds") -> DataFrame:
+    """Per-group approximate quantile bounds as a small driver-built table."""
+    info = _bounds_info(df, group, value, n_bounds)
+    return _bounds_df(spark, df, [g for g in group if g != "_b"], info, ["_b"] if "_b" in group else None, name)
 
 
 def _value_bucket(value: str, bounds: str, descending: bool) -> Column:
@@ -98,44 +113,96 @@ LEVEL_LOG: list = []  # (level, refined buckets, single-value buckets), for test
 MIN_BUCKET_ROWS = 20000
 
 
+def _hex_len(rows: float, target: float) -> int:
+    return min(6, max(1, math.ceil(math.log(rows / target, 16))))
+
+
+def _apply_hex(work: DataFrame, spark: SparkSession, group: list[str], key_hex: str,
+               lens: list[tuple], ofield: list) -> DataFrame:
+    """Append a key-prefix level to the listed single-value buckets."""
+    bschema = T.StructField("_b", T.ArrayType(T.IntegerType()), True)
+    ldf = spark.createDataFrame(lens, T.StructType(ofield + [bschema, T.StructField("_hl", T.IntegerType())]))
+    return (work.join(F.broadcast(ldf), [*group, "_b"], "left")
+            .withColumn("_b", F.when(F.col("_hl").isNull(), F.col("_b")).otherwise(F.concat(
+                "_b", F.array(F.conv(F.expr(f"substring({key_hex}, 1, _hl)"), 16, 10).cast("int")))))
+            .drop("_hl"))
+
+
 def order_buckets(df: DataFrame, group: list[str], order: str | None, descending: bool,
-                  key_hex: str | None = None, n_bounds: int | None = None) -> DataFrame:
+                  key_hex: str | None = None, n_bounds: int | None = None,
+                  group_counts: dict | None = None) -> DataFrame:
     """Add ``_b`` (array<int>), a bucket path that is monotone in the order
     (group..., order, key_hex): equal paths hold contiguous runs of the order
-    and paths compare lexicographically. Buckets above the target size are
-    refined level by level with finer quantile bounds; buckets holding a single
-    value are split by a prefix of ``key_hex``. Each level costs one bounded
-    collect (counts per bucket, bounds of the big buckets)."""
+    and paths compare lexicographically.
+
+    Level 0 cuts the order at approximate quantiles (one bounded collect that
+    also returns the row count). The quantile guarantee bounds every bucket's
+    size, so buckets are only counted when that bound exceeds the target;
+    then over-full buckets are refined level by level with finer bounds, and
+    buckets holding a single value are split by a prefix of ``key_hex``.
+    """
     spark = df.sparkSession
     n_bounds = n_bounds or DEFAULT_BOUNDS
-    work = df
-    if order is not None:
-        bt = _bounds_table(spark, df.select(*group, order), group, order, n_bounds)
-        work = work.join(F.broadcast(bt), group, "left") if group else work.crossJoin(F.broadcast(bt))
-        work = work.withColumn("_b", F.array(_value_bucket(order, "_bounds", descending))).drop("_bounds")
-    else:
-        work = work.withColumn("_b", F.array(F.lit(0)))
+    parts = shuffle_partitions(spark)
     ofield = [T.StructField(g, df.schema[g].dataType, True) for g in group]
     bschema = T.StructField("_b", T.ArrayType(T.IntegerType()), True)
-    target = None
+
+    if order is None:
+        if group_counts is None:
+            rows = (df.groupBy(*group).count() if group else df.groupBy().count()).collect()
+            group_counts = {tuple(r[g] for g in group): r["count"] for r in rows}
+        else:
+            group_counts = {(k if isinstance(k, tuple) else (k,)) if group else (): v
+                            for k, v in group_counts.items()}
+        total = sum(group_counts.values())
+        target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * parts)))
+        work = df.withColumn("_b", F.array(F.lit(0)))
+        lens = [tuple(gv) + ([0], _hex_len(n, target)) for gv, n in group_counts.items() if n > target]
+        if lens and key_hex is not None:
+            LEVEL_LOG.append(("hex", len(lens)))
+            work = _apply_hex(work, spark, group, key_hex, lens, ofield)
+        return work
+
+    info = _bounds_info(df.select(*group, order), group, order, n_bounds)
+    total = sum(i[3] for i in info)
+    target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * parts)))
+    bt = _bounds_df(spark, df, group, info)
+    work = df.join(F.broadcast(bt), group, "left") if group else df.crossJoin(F.broadcast(bt))
+    work = work.withColumn("_b", F.array(_value_bucket(order, "_bounds", descending))).drop("_bounds")
+
+    # Size bounds from the quantile guarantee (rank error n / accuracy).
+    need_count = False
+    lens = []
+    for gv, bounds, mult, n in info:
+        step, err = n / n_bounds, 2 * n / BOUND_ACCURACY
+        if step + 2 * err > target:
+            need_count = True
+        for i, m in enumerate(mult):
+            est = (m + 1) * step + 2 * err
+            if est > target and key_hex is not None:
+                code = 2 * (len(bounds) - 1 - i) + 1 if descending else 2 * i + 1
+                lens.append(tuple(gv) + ([code], _hex_len(est, target)))
+    if not need_count:
+        if lens:
+            LEVEL_LOG.append(("hex", len(lens)))
+            work = _apply_hex(work, spark, group, key_hex, lens, ofield)
+        return work
+
     for level in range(MAX_LEVELS + 1):
-        aggs = [F.count(F.lit(1)).alias("_cnt")]
-        if order is not None:
-            aggs += [F.min(order).alias("_lo"), F.max(order).alias("_hi")]
-        counts = work.groupBy(*group, "_b").agg(*aggs).collect()
-        if target is None:
-            total = sum(r["_cnt"] for r in counts)
-            target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * shuffle_partitions(spark))))
+        counts = work.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_cnt"), F.min(order).alias("_lo"),
+                                                F.max(order).alias("_hi")).collect()
         big = [r for r in counts if r["_cnt"] > target]
-        single = [r for r in big if order is None or r["_lo"] == r["_hi"]]
-        multi = [r for r in big if order is not None and r["_lo"] != r["_hi"]]
+        single = [r for r in big if r["_lo"] == r["_hi"]]
+        multi = [r for r in big if r["_lo"] != r["_hi"]]
         if multi and level < MAX_LEVELS:
             LEVEL_LOG.append((level, len(multi), len(single)))
             sel = spark.createDataFrame([tuple(r[g] for g in group) + (list(r["_b"]),) for r in multi],
                                         T.StructType(ofield + [bschema]))
             sub = work.join(F.broadcast(sel), [*group, "_b"], "left_semi")
-            bt = _bounds_table(spark, sub.select(*group, "_b", order), [*group, "_b"], order, n_bounds)
-            work = (work.join(F.broadcast(bt), [*group, "_b"], "left")
+            binfo = _bounds_info(sub.select(*group, "_b", order), [*group, "_b"], order, n_bounds)
+            bt2 = _bounds_df(spark, df, group, [(gv[:-1] + (list(gv[-1]),), b, m, n) for gv, b, m, n in binfo],
+                             ["_b"])
+            work = (work.join(F.broadcast(bt2), [*group, "_b"], "left")
                     .withColumn("_b", F.when(F.col("_bounds").isNull(), F.col("_b")).otherwise(
                         F.concat("_b", F.array(_value_bucket(order, "_bounds", descending)))))
                     .drop("_bounds"))
@@ -143,27 +210,22 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
                 continue
         if single and key_hex is not None:
             LEVEL_LOG.append(("hex", len(single)))
-            lens = [tuple(r[g] for g in group) + (list(r["_b"]),
-                    min(6, math.ceil(math.log(r["_cnt"] / target, 16)))) for r in single]
-            ldf = spark.createDataFrame(lens, T.StructType(ofield + [bschema, T.StructField("_hl", T.IntegerType())]))
-            work = (work.join(F.broadcast(ldf), [*group, "_b"], "left")
-                    .withColumn("_b", F.when(F.col("_hl").isNull(), F.col("_b")).otherwise(F.concat(
-                        "_b", F.array(F.conv(F.expr(f"substring({key_hex}, 1, _hl)"), 16, 10).cast("int")))))
-                    .drop("_hl"))
+            lens = [tuple(r[g] for g in group) + (list(r["_b"]), _hex_len(r["_cnt"], target)) for r in single]
+            work = _apply_hex(work, spark, group, key_hex, lens, ofield)
         break
     return work
 
 
 def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descending: bool = True,
                 group: str | Sequence[str] | None = None, rank_col: str = "rank",
-                n_bounds: int | None = None) -> DataFrame:
+                n_bounds: int | None = None, group_counts: dict | None = None) -> DataFrame:
     """Exact ``row_number`` over (group..., order [desc], key_hex asc).
 
     ``key_hex`` must be a unique, uniformly distributed lower-case hex string
     (for example an md5); it breaks ties and splits hot buckets.
     """
     group = _cols(group)
-    work = order_buckets(df, group, order, descending, key_hex, n_bounds)
+    work = order_buckets(df, group, order, descending, key_hex, n_bounds, group_counts)
     bucket = [*group, "_b"]
     sizes = work.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_bn"))
     w_off = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -72,7 +72,8 @@ def mark_split(df: DataFrame, key: str, label: str = "Class", test: float = 0.1,
     h = df.withColumn("_sh", _hash(key, seed, *salt))
     if test == 0:
         return df.withColumn(flag, F.lit(False)), sizes
-    ranked = global_rank(h, "_sh", group=label if stratify else None, rank_col="_srk")
+    ranked = global_rank(h, "_sh", group=label if stratify else None, rank_col="_srk",
+                         group_counts=counts if stratify else None)
     bound = F.element_at(_size_map(sizes), F.col(label)) if stratify else F.lit(sizes["__all__"])
     return ranked.withColumn(flag, F.col("_srk") <= bound).drop("_sh", "_srk"), sizes
 
