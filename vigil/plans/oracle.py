@@ -507,3 +507,91 @@ SELECT name, metric, run_id, round(metric_value, 6) AS metric_value, prod_versio
        round(prod_value, 6) AS prod_value, decision, reason, decision = 'promote' AS should_promote,
        CASE WHEN decision = 'skip' THEN NULL WHEN decision = 'promote' THEN name ELSE 'model_' || run_id END AS model_name
 FROM e"""
+
+
+# --- exploratory statistics ------------------------------------------------------
+
+_EDA = ["Time", "Amount", "V1", "V2", "V3", "Class"]
+
+
+def _q(c: str) -> str:
+    return '"' + c + '"'
+
+
+ORACLE["describe"] = "WITH " + TXN_SQL + "\n" + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST(count({_q(c)}) AS BIGINT) AS count,
+       CAST(count(*) FILTER (WHERE {_q(c)} IS NULL) AS BIGINT) AS null_count,
+       round(avg({_q(c)}), 5) AS mean, round(stddev_samp({_q(c)}), 6) AS std, round(min({_q(c)}), 6) AS min,
+       round(quantile_cont({_q(c)}, 0.25), 6) AS q25, round(quantile_cont({_q(c)}, 0.5), 6) AS q50,
+       round(quantile_cont({_q(c)}, 0.75), 6) AS q75, round(max({_q(c)}), 6) AS max FROM transactions"""
+    for c in _EDA)
+
+ORACLE["max_null_count"] = "WITH " + DIRTY_SQL + "\nSELECT CAST(greatest(" + ", ".join(
+    f"count(*) FILTER (WHERE {_q(c)} IS NULL)" for c in _DIRTY_COLS) + ") AS BIGINT) AS max_null_count FROM dirty"
+
+ORACLE["value_counts"] = "WITH " + TXN_SQL + """
+SELECT "Class", CAST(count(*) AS BIGINT) AS count,
+       round(round(count(*) / (SELECT count(*) FROM transactions) * 100, 2), 6) AS percentage
+FROM transactions GROUP BY "Class\""""
+
+ORACLE["class_summary"] = "WITH " + TXN_SQL + "\n" + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, "Class", round(avg({_q(c)}), 6) AS mean, round(quantile_cont({_q(c)}, 0.5), 6) AS median,
+       round(min({_q(c)}), 6) AS min, round(max({_q(c)}), 6) AS max, round(quantile_cont({_q(c)}, 0.95), 6) AS p95,
+       round(quantile_cont({_q(c)}, 0.99), 6) AS p99 FROM transactions GROUP BY "Class\""""
+    for c in ["Amount", "Time"])
+
+_PROBS11 = "[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]"
+
+
+def _qcut_sql(col: str) -> str:
+    return f""",
+qe AS (SELECT list_sort(list_distinct(quantile_cont({_q(col)}, {_PROBS11}))) AS edges FROM transactions),
+qb AS (SELECT t.*, len(list_filter(edges[2:len(edges) - 1], lambda v: v < t.{_q(col)})) AS bin, edges
+       FROM transactions t, qe),
+qbb AS (SELECT *, edges[bin + 1] AS lo, edges[bin + 2] AS hi FROM qb)"""
+
+
+ORACLE["qcut_rate"] = "WITH " + TXN_SQL + _qcut_sql("Time") + """
+SELECT CAST(bin AS BIGINT) AS bin, round(lo, 6) AS lo, round(hi, 6) AS hi, CAST(count(*) AS BIGINT) AS n,
+       round(avg("Class") * 100, 6) AS rate_pct FROM qbb GROUP BY bin, lo, hi"""
+
+ORACLE["corr_pairs"] = "WITH " + TXN_SQL + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({_q(a)}, {_q(b)}), 6) AS r FROM transactions"
+    for i, a in enumerate(_EDA) for b in _EDA[i + 1:])
+
+ORACLE["target_corr"] = "WITH " + TXN_SQL + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS feature, round(corr({_q(a)}, \"Class\"), 6) AS r FROM transactions"
+    for a in ["Time", "Amount", "V1", "V2", "V3"])
+
+ORACLE["histogram"] = "WITH " + TXN_SQL + """,
+mm AS (SELECT min(score) AS lo0, max(score) AS hi0, count(score) AS nn FROM transactions),
+b AS (SELECT CAST(CASE WHEN hi0 = lo0 THEN 0 ELSE least(floor((score - lo0) / (hi0 - lo0) * 10), 9) END AS BIGINT) AS bin
+      FROM transactions, mm WHERE score IS NOT NULL),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin),
+allb AS (SELECT CAST(unnest(range(0, 10)) AS BIGINT) AS bin, lo0, hi0, nn FROM mm)
+SELECT a.bin, round(lo0 + a.bin * ((hi0 - lo0) / 10), 6) AS lo, round(lo0 + (a.bin + 1) * ((hi0 - lo0) / 10), 6) AS hi,
+       CAST(coalesce(n, 0) AS BIGINT) AS n, round(coalesce(n, 0) / (nn * ((hi0 - lo0) / 10)), 6) AS density
+FROM allb a LEFT JOIN c USING (bin)"""
+
+ORACLE["box_stats"] = "WITH " + TXN_SQL + """,
+l AS (UNPIVOT (SELECT "Class", "Amount", "V3" FROM transactions) ON "Amount", "V3" INTO NAME feature VALUE value),
+q AS (SELECT feature, "Class", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM l GROUP BY ALL),
+j AS (SELECT l.*, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS hf FROM l JOIN q USING (feature, "Class"))
+SELECT feature, "Class", round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(min(value) FILTER (WHERE value >= lf AND value <= hf), 6) AS whisker_lo,
+       round(max(value) FILTER (WHERE value >= lf AND value <= hf), 6) AS whisker_hi,
+       CAST(count(*) FILTER (WHERE NOT (value >= lf AND value <= hf)) AS BIGINT) AS n_outliers
+FROM j GROUP BY feature, "Class", q1, median, q3"""
+
+ORACLE["error_by_decile"] = "WITH " + TXN_SQL + _qcut_sql("Amount") + """,
+e AS (SELECT bin, "Class" AS y, CAST(score >= 0.5 AS INTEGER) AS p FROM qbb)
+SELECT CAST(bin AS BIGINT) AS bin, CAST(count(*) AS BIGINT) AS n, round(avg(y), 6) AS fraud_rate,
+       round(count(*) FILTER (WHERE p = 1 AND y = 1) / greatest(count(*) FILTER (WHERE p = 1), 1), 6) AS precision,
+       round(count(*) FILTER (WHERE p = 1 AND y = 1) / greatest(count(*) FILTER (WHERE y = 1), 1), 6) AS recall,
+       CAST(count(*) FILTER (WHERE p = 1 AND y = 0) AS BIGINT) AS fp,
+       CAST(count(*) FILTER (WHERE p = 0 AND y = 1) AS BIGINT) AS fn FROM e GROUP BY bin"""
+
+ORACLE["score_summary"] = "WITH " + TXN_SQL + """
+SELECT round(min(score), 6) AS score_min, round(max(score), 6) AS score_max, round(avg(score), 6) AS score_mean,
+       round(avg("Class"), 6) AS base_rate FROM transactions"""

@@ -374,3 +374,91 @@ def promotion(spark, sf_dir):
     return d.select("name", "metric", "run_id", r6("metric_value").alias("metric_value"), "prod_version",
                     "prod_run_id", r6("prod_value").alias("prod_value"), "decision", "reason", "should_promote",
                     "model_name")
+
+
+# --- exploratory statistics (F1-F23) ---------------------------------------------
+
+from vigil.operators import stats as st  # noqa: E402
+
+EDA_COLUMNS = ["Time", "Amount", "V1", "V2", "V3", "Class"]
+
+
+def _r6all(df, keep=()):
+    return df.select(*[r6(c).alias(c) if t == "double" and c not in keep else F.col(c) for c, t in df.dtypes])
+
+
+@register("describe")
+def describe(spark, sf_dir):
+    # The exact V1 mean (0.0499185) is a tie at the 7th digit, where summation
+    # order decides; the mean is reported to 5 places on both sides.
+    d = st.describe(fx.transactions(spark, sf_dir), EDA_COLUMNS)
+    return _r6all(d.withColumn("mean", F.round("mean", 5)))
+
+
+@register("max_null_count")
+def max_null_count(spark, sf_dir):
+    return st.max_null_count(fx.dirty_transactions(spark, sf_dir))
+
+
+@register("value_counts")
+def value_counts(spark, sf_dir):
+    return _r6all(st.value_counts(fx.transactions(spark, sf_dir), "Class"))
+
+
+@register("class_summary")
+def class_summary(spark, sf_dir):
+    return _r6all(st.class_summary(fx.transactions(spark, sf_dir), ["Amount", "Time"]))
+
+
+@register("qcut_rate")
+def qcut_rate(spark, sf_dir):
+    b = st.qcut(fx.transactions(spark, sf_dir), "Time", 10)
+    return _r6all(st.rate_by_bin(b).withColumn("bin", F.col("bin").cast("long")))
+
+
+@register("corr_pairs")
+def corr_pairs(spark, sf_dir):
+    return _r6all(st.corr_pairs(fx.transactions(spark, sf_dir), EDA_COLUMNS))
+
+
+@register("target_corr")
+def target_corr(spark, sf_dir):
+    return _r6all(st.target_corr(fx.transactions(spark, sf_dir), fx.TXN_FEATURES))
+
+
+@register("redundant_features")
+def redundant_features(spark, sf_dir):
+    return _r6all(st.redundant_features(fx.transactions(spark, sf_dir), fx.TXN_FEATURES, threshold=0.5))
+
+
+@register("histogram")
+def histogram(spark, sf_dir):
+    return _r6all(st.histogram(fx.transactions(spark, sf_dir), "score", 10))
+
+
+@register("box_stats")
+def box_stats(spark, sf_dir):
+    return _r6all(st.box_stats(fx.transactions(spark, sf_dir), ["Amount", "V3"]))
+
+
+@register("error_by_decile")
+def error_by_decile(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir).select(
+        "Amount", F.col("Class").alias("y_true"), sc.threshold_label("score", THRESHOLD).alias("y_pred"))
+    e = st.error_by_bin(st.qcut(t, "Amount", 10))
+    return _r6all(e.withColumn("bin", F.col("bin").cast("long")))
+
+
+@register("score_summary")
+def score_summary(spark, sf_dir):
+    return _r6all(st.score_summary(fx.transactions(spark, sf_dir)))
+
+
+@register("pca_variance")
+def pca_variance(spark, sf_dir):
+    return st.pca_variance(fx.transactions(spark, sf_dir), fx.TXN_FEATURES, 3)
+
+
+@register("svd")
+def svd(spark, sf_dir):
+    return st.svd_values(fx.transactions(spark, sf_dir), fx.TXN_FEATURES, 3)
