@@ -595,3 +595,49 @@ SELECT CAST(bin AS BIGINT) AS bin, CAST(count(*) AS BIGINT) AS n, round(avg(y),
 ORACLE["score_summary"] = "WITH " + TXN_SQL + """
 SELECT round(min(score), 6) AS score_min, round(max(score), 6) AS score_max, round(avg(score), 6) AS score_mean,
        round(avg("Class"), 6) AS base_rate FROM transactions"""
+
+
+# --- payloads ------------------------------------------------------------------------
+
+from vigil.sources.fixtures import REQUEST_ID_SPELLINGS  # noqa: E402
+
+_REQ = """
+li AS (SELECT l.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+              l_extendedprice, l_discount, l_tax, l_quantity) - 1 AS idx
+       FROM lineitem l WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"""
+
+ORACLE["parse_requests"] = "WITH " + _REQ + """
+SELECT l_orderkey AS request_key, CAST(idx AS BIGINT) AS record_idx, round(CAST(l_linenumber AS DOUBLE), 6) AS row_id,
+       round(l_extendedprice, 6) AS "Amount", round(l_discount, 6) AS "V1", round(l_tax, 6) AS "V2",
+       round(l_quantity, 6) AS "V3",
+       CAST(CASE l_orderkey % 6 WHEN 0 THEN coalesce(nullif(l_orderkey % 3, 0), 3) WHEN 1 THEN l_orderkey % 4
+                                WHEN 2 THEN 2 END AS DOUBLE) AS max_alerts
+FROM li WHERE l_orderkey % 6 <> 3 OR idx = 0"""
+
+ORACLE["request_id"] = """
+SELECT o_orderkey AS request_key,
+       CASE WHEN o_orderkey % 6 <= 2 AND o_orderkey % 5 < 4 THEN 'req-' || CAST(o_orderkey AS VARCHAR)
+            ELSE md5(CAST(o_orderkey AS VARCHAR) || ':request') END AS request_id
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)"""
+
+_RESP = _PER_BATCH + """,
+rp AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY txn_id) - 1 AS pos, batch_id % 5 AS shape FROM g)"""
+
+ORACLE["parse_responses"] = "WITH " + _RESP + """
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(pos AS BIGINT) AS pos, CAST(alert AS BIGINT) AS prediction,
+       round(CASE WHEN shape = 1 THEN NULL ELSE score END, 6) AS probability,
+       round(CASE WHEN shape IN (2, 3, 4) THEN threshold END, 6) AS threshold_used,
+       CAST(CASE WHEN shape IN (2, 4) THEN max_alerts END AS DOUBLE) AS max_alerts,
+       CAST(CASE WHEN shape IN (2, 4) THEN sum(alert) OVER (PARTITION BY batch_id) END AS DOUBLE) AS num_alerts
+FROM rp"""
+
+ORACLE["response_merge"] = "WITH " + _RESP + """,
+pb AS (SELECT batch_id, count(*) AS n, sum(alert) AS alerts, bool_and(shape <> 1) AS hp,
+              min(CASE WHEN shape IN (2, 3, 4) THEN threshold END) AS t,
+              min(CASE WHEN shape IN (2, 4) THEN max_alerts END) AS m,
+              CASE WHEN min(shape) IN (2, 4) THEN sum(alert) END AS c FROM rp GROUP BY batch_id)
+SELECT CAST(sum(n) AS BIGINT) AS n_predictions, CAST(sum(alerts) AS BIGINT) AS total_alerts,
+       bool_and(hp) AS probabilities_available,
+       round(arg_min(t, batch_id) FILTER (WHERE t IS NOT NULL), 6) AS threshold_used,
+       CAST(arg_min(m, batch_id) FILTER (WHERE m IS NOT NULL) AS BIGINT) AS max_alerts,
+       CAST(arg_min(c, batch_id) FILTER (WHERE c IS NOT NULL) AS BIGINT) AS num_alerts FROM pb"""

@@ -462,3 +462,47 @@ def pca_variance(spark, sf_dir):
 @register("svd")
 def svd(spark, sf_dir):
     return st.svd_values(fx.transactions(spark, sf_dir), fx.TXN_FEATURES, 3)
+
+
+# --- payloads (K1-K4) ----------------------------------------------------------------
+
+from vigil.operators import payload as pl  # noqa: E402
+
+
+@register("parse_requests")
+def parse_requests(spark, sf_dir):
+    r = pl.parse_requests(fx.request_logs(spark, sf_dir), keep=["request_key"])
+    return r.select("request_key", F.col("record_idx").cast("long").alias("record_idx"),
+                    *[r6(F.col("record")[c]).alias(c) for c in fx.REQUEST_COLUMNS],
+                    F.col("max_alerts").cast("double").alias("max_alerts"))
+
+
+@register("request_id")
+def request_id(spark, sf_dir):
+    logs = fx.request_logs(spark, sf_dir)
+    return logs.select("request_key", pl.request_id(logs, "request_key").alias("request_id"))
+
+
+def _responses(spark, sf_dir):
+    return pl.build_responses(_per_batch(spark, sf_dir))
+
+
+@register("build_response")
+def build_response(spark, sf_dir):
+    return _responses(spark, sf_dir)
+
+
+@register("parse_responses")
+def parse_responses(spark, sf_dir):
+    p = pl.parse_responses(_responses(spark, sf_dir))
+    return p.select("batch_id", F.col("pos").cast("long").alias("pos"), F.col("prediction").cast("long").alias("prediction"),
+                    r6("probability").alias("probability"), r6("threshold_used").alias("threshold_used"),
+                    F.col("max_alerts").cast("double").alias("max_alerts"),
+                    F.col("num_alerts").cast("double").alias("num_alerts"))
+
+
+@register("response_merge")
+def response_merge(spark, sf_dir):
+    m = pl.merge_responses(pl.parse_responses(_responses(spark, sf_dir)))
+    return m.select("n_predictions", "total_alerts", "probabilities_available", r6("threshold_used").alias("threshold_used"),
+                    "max_alerts", "num_alerts")

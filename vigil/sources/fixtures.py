@@ -214,3 +214,43 @@ assets AS (
          'run-' || CAST(p_partkey % 97 AS VARCHAR) AS tag_run,
          'd' || CAST(p_partkey % 5 AS VARCHAR) AS dataset_version
   FROM part)"""
+
+
+# --- request / response logs -------------------------------------------------------
+
+REQUEST_COLUMNS = ["row_id", "Amount", "V1", "V2", "V3"]
+# Request-id key written by a client, chosen by o_orderkey % 5 (4 = none).
+REQUEST_ID_SPELLINGS = ["request_id", "requestId", "correlation_id", "correlationId"]
+
+
+def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scoring request per order: its line items as records, in one of six
+    payload shapes chosen by ``o_orderkey % 6``; columns (request_key, payload)."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("request_key"))
+    rows = li.groupBy(F.col("l_orderkey").alias("request_key")).agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity"))).alias("rows"))
+    j = o.join(rows, "request_key")
+    k = F.col("request_key")
+    data = F.transform("rows", lambda r: F.array(r["l_linenumber"].cast("double"), r["l_extendedprice"],
+                                                  r["l_discount"], r["l_tax"], r["l_quantity"]))
+    dicts = F.transform("rows", lambda r: F.struct(
+        r["l_linenumber"].cast("double").alias("row_id"), r["l_extendedprice"].alias("Amount"),
+        r["l_discount"].alias("V1"), r["l_tax"].alias("V2"), r["l_quantity"].alias("V3")))
+    cols = F.array(*[F.lit(c) for c in REQUEST_COLUMNS])
+    def field(c):
+        return lambda d: d[c]
+    lists = F.struct(*[F.transform(dicts, field(c)).alias(c) for c in REQUEST_COLUMNS])
+    shape = k % 6
+    body = (F.when(shape == 0, F.to_json(F.struct(
+                F.struct(cols.alias("columns"), data.alias("data"), F.lit(3).alias("max_alerts")).alias("input_data"),
+                (k % 3).alias("max_alerts"))))
+            .when(shape == 1, F.to_json(F.struct(cols.alias("columns"), data.alias("data"), (k % 4).alias("max_alerts"))))
+            .when(shape == 2, F.to_json(F.struct(dicts.alias("data"), F.lit(2).alias("alert_cap"))))
+            .when(shape == 3, F.to_json(F.element_at(dicts, 1)))
+            .when(shape == 4, F.to_json(lists))
+            .otherwise(F.to_json(dicts)))
+    id_key = F.element_at(F.array(*[F.lit(x) for x in REQUEST_ID_SPELLINGS]), (k % 5 + 1).cast("int"))
+    with_id = F.concat(F.lit('{"'), id_key, F.lit('":"req-'), k.cast("string"), F.lit('",'), F.expr("substring(_b, 2)"))
+    return j.select("request_key", body.alias("_b")).select(
+        "request_key", F.when((shape <= 2) & (k % 5 < 4), with_id).otherwise(F.col("_b")).alias("payload"))
