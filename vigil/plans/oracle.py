@@ -641,3 +641,23 @@ SELECT CAST(sum(n) AS BIGINT) AS n_predictions, CAST(sum(alerts) AS BIGINT) AS t
        round(arg_min(t, batch_id) FILTER (WHERE t IS NOT NULL), 6) AS threshold_used,
        CAST(arg_min(m, batch_id) FILTER (WHERE m IS NOT NULL) AS BIGINT) AS max_alerts,
        CAST(arg_min(c, batch_id) FILTER (WHERE c IS NOT NULL) AS BIGINT) AS num_alerts FROM pb"""
+
+
+# --- scans ------------------------------------------------------------------------------
+
+ORACLE["csv_scan"] = "WITH " + TXN_SQL + """
+SELECT txn_id, round("Time", 6) AS "Time", round("Amount", 6) AS "Amount", round("V1", 6) AS "V1",
+       round("V2", 6) AS "V2", round("V3", 6) AS "V3", "Class", round(score, 6) AS score FROM transactions"""
+
+ORACLE["file_union"] = "WITH " + TXN_SQL + """
+SELECT txn_id, round("Amount", 6) AS "Amount",
+       round(CASE WHEN txn_id >= '8' AND "Class" = 0 THEN NULL ELSE "V3" END, 6) AS "V3", "Class" FROM transactions"""
+
+ORACLE["head_sample"] = "WITH " + TXN_SQL + """
+SELECT txn_id, round("Amount", 6) AS "Amount" FROM transactions ORDER BY txn_id LIMIT 1000"""
+
+ORACLE["descriptor_scan"] = "WITH " + TXN_SQL + """
+SELECT txn_id, round("Amount", 6) AS "Amount", "Class" FROM transactions"""
+
+ORACLE["asset_lookup"] = "WITH " + TXN_SQL + """
+SELECT txn_id, round("Amount", 6) AS "Amount" FROM transactions WHERE txn_id < '8'"""

@@ -506,3 +506,63 @@ def response_merge(spark, sf_dir):
     m = pl.merge_responses(pl.parse_responses(_responses(spark, sf_dir)))
     return m.select("n_predictions", "total_alerts", "probabilities_available", r6("threshold_used").alias("threshold_used"),
                     "max_alerts", "num_alerts")
+
+
+# --- scans and sinks (A1-A11) ---------------------------------------------------------
+
+from vigil.sources import files as io  # noqa: E402
+
+TXN_SCHEMA = ("txn_id string, Time double, Amount double, V1 double, V2 double, V3 double, "
+              "Class int, score double")
+
+
+@register("csv_scan")
+def csv_scan(spark, sf_dir):
+    folder = io.scratch_dir(spark, "csv")
+    fx.transactions(spark, sf_dir).write.option("header", True).csv(folder)
+    df = io.read_tabular(spark, folder + "/*.csv", TXN_SCHEMA)
+    return _r6all(df)
+
+
+@register("file_union")
+def file_union(spark, sf_dir):
+    root = io.scratch_dir(spark, "dir")
+    t = fx.transactions(spark, sf_dir)
+    t.where(F.col("txn_id") < "8").write.parquet(root + "/a/part_a.parquet")
+    t.where((F.col("txn_id") >= "8") & (F.col("Class") == 0)).drop("V3").write.option("header", True) \
+        .csv(root + "/b/nested/part_b")
+    t.where((F.col("txn_id") >= "8") & (F.col("Class") != 0)).write.parquet(root + "/c/part_c.parquet")
+    schema = "txn_id string, Time double, Amount double, V1 double, V2 double, Class int, score double"
+    df = io.read_directory(spark, root, csv_schema=schema)
+    return df.select("txn_id", r6("Amount").alias("Amount"), r6("V3").alias("V3"), F.col("Class").cast("int"))
+
+
+@register("head_sample")
+def head_sample(spark, sf_dir):
+    return io.head_sample(fx.transactions(spark, sf_dir), 1000, "txn_id").select("txn_id", r6("Amount").alias("Amount"))
+
+
+@register("descriptor_scan")
+def descriptor_scan(spark, sf_dir):
+    folder = io.scratch_dir(spark, "mltable")
+    fx.transactions(spark, sf_dir).write.option("header", True).csv(folder + "/data")
+    text = ["type: mltable", "paths:", "  - folder: ./data", "transformations:", "  - read_delimited:",
+            "      delimiter: ','", "      header: all_files_same_headers", "      encoding: utf8"]
+    spark.createDataFrame([(x,) for x in text], "value string").coalesce(1).write.text(folder + "/_d")
+    io._promote_single_text(spark, folder + "/_d", folder + "/MLTable")
+    df = io.read_descriptor(spark, folder, TXN_SCHEMA)
+    return df.select("txn_id", r6("Amount").alias("Amount"), "Class")
+
+
+@register("asset_lookup")
+def asset_lookup(spark, sf_dir):
+    root = io.scratch_dir(spark, "assets")
+    t = fx.transactions(spark, sf_dir)
+    t.where(F.col("txn_id") < "8").write.parquet(root + "/v1/data.parquet")
+    t.write.parquet(root + "/v2/data.parquet")
+    assets = spark.createDataFrame(
+        [("transactions", "1", root + "/v1/data.parquet", []),
+         ("transactions", "2", root + "/v2/data.parquet", ["latest"])],
+        "name string, version string, path string, labels array<string>")
+    path = io.resolve_asset(assets, "azureml:transactions:1")
+    return io.read_tabular(spark, path).select("txn_id", r6("Amount").alias("Amount"))
