@@ -566,3 +566,121 @@ def asset_lookup(spark, sf_dir):
         "name string, version string, path string, labels array<string>")
     path = io.resolve_asset(assets, "azureml:transactions:1")
     return io.read_tabular(spark, path).select("txn_id", r6("Amount").alias("Amount"))
+
+
+# --- training, selection, scoring (I1-I12, G14, D7, F24) ------------------------------------
+
+from vigil.operators import train as tr  # noqa: E402
+
+TRAIN_FEATURES = ["Time", "Amount", "V1", "V2", "V3"]
+SMALL_GBT = {"maxIter": 20, "maxDepth": 4}
+
+
+_SETUP_CACHE: dict = {}
+
+
+def _training_setup(spark, sf_dir):
+    """D1 split, D2 validation flag, E1/E2 scaling fitted on train only, E5 weights.
+    The test part stays raw and is scaled at scoring time (E3).
+
+    The marked table is checkpointed (reliable, into spark.checkpoint.dir) so
+    the later passes (scaler quantiles, weights, boosting iterations) do not
+    recompute the split; the result is shared by the training queries of
+    one session."""
+    key = (id(spark), sf_dir)
+    if key in _SETUP_CACHE:
+        return _SETUP_CACHE[key]
+    from vigil.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    t = fx.transactions(spark, sf_dir)
+    marked, _ = split_ops.mark_split(t, "txn_id", "Class", test=0.1, seed=42)
+    marked = marked.checkpoint()
+    train = marked.where(~F.col("is_test")).drop("is_test")
+    test = marked.where(F.col("is_test")).drop("is_test")
+    train, _ = split_ops.mark_split(train, "txn_id", "Class", test=0.2, seed=42, salt=("val",), flag="is_val")
+    train = train.checkpoint()
+    params = scale_ops.collect_params(scale_ops.fit_scalers(train))
+    w = scale_ops.class_weight(train.where(~F.col("is_val"))).first()["weight"]
+    train = scale_ops.with_weights(scale_ops.transform_with_scalers(train, params), w)
+    _SETUP_CACHE[key] = (train, test, params)
+    return _SETUP_CACHE[key]
+
+
+@register("gbt_scores")
+def gbt_scores(spark, sf_dir):
+    train, test, params = _training_setup(spark, sf_dir)
+    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT))
+    scored = tr.score(r.model, scale_ops.apply_for_serving(test, params), ["txn_id", "Class"])
+    return scored.select("txn_id", "Class", r6("p_hat").alias("p_hat"))
+
+
+@register("gbt_metrics")
+def gbt_metrics(spark, sf_dir):
+    train, test, params = _training_setup(spark, sf_dir)
+    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT, variant="lgbm"))
+    ev = tr.evaluate(tr.score(r.model, scale_ops.apply_for_serving(test, params), ["Class"]))
+    return ev.select(r6("average_precision").alias("average_precision"), r6("roc_auc").alias("roc_auc"))
+
+
+@register("random_search")
+def random_search(spark, sf_dir):
+    train, test, params = _training_setup(spark, sf_dir)
+    fit_part = train.where(~F.col("is_val")).drop("is_val")
+    valid = train.where(F.col("is_val"))
+    space = {"maxDepth": ("choice", [3, 4, 5]), "stepSize": ("uniform", 0.05, 0.3),
+             "subsamplingRate": ("uniform", 0.6, 1.0)}
+    return tr.random_search(fit_part, valid, TRAIN_FEATURES, space, n_trials=3, base={"maxIter": 10})
+
+
+@register("model_selection")
+def model_selection(spark, sf_dir):
+    train, _, _ = _training_setup(spark, sf_dir)
+    folds = split_ops.stratified_kfold(train.drop("weight"), "txn_id", "Class", k=5).checkpoint()
+    return tr.model_selection(folds, TRAIN_FEATURES, fold_col="fold")
+
+
+@register("fold_ap")
+def fold_ap(spark, sf_dir):
+    train, _, _ = _training_setup(spark, sf_dir)
+    folds = split_ops.stratified_kfold(train, "txn_id", "Class", k=5).checkpoint()
+    res, _ = tr.fold_scores(folds, TRAIN_FEATURES, k=5, params={"maxIter": 10, "maxDepth": 3})
+    return res.select(F.col("fold").cast("long").alias("fold"), r6("average_precision").alias("average_precision"),
+                      r6("roc_auc").alias("roc_auc"))
+
+
+@register("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    train, test, params = _training_setup(spark, sf_dir)
+    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT))
+    valid = scale_ops.apply_for_serving(test, params)
+    return tr.permutation_importance(r.model, valid, TRAIN_FEATURES, "txn_id", n_repeats=2)
+
+
+@register("importances")
+def importances(spark, sf_dir):
+    train, _, _ = _training_setup(spark, sf_dir)
+    return tr.feature_importances(tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT)))
+
+
+@register("fold_importance_summary")
+def fold_importance_summary(spark, sf_dir):
+    train, _, _ = _training_setup(spark, sf_dir)
+    # F24 summarises any per-fold importance table; here the fold models'
+    # own importances (I8) feed it, permutation importance has its own query.
+    folds = split_ops.stratified_kfold(train, "txn_id", "Class", k=5).checkpoint()
+    per = None
+    _, results = tr.fold_scores(folds, TRAIN_FEATURES, k=5, params={"maxIter": 10, "maxDepth": 3})
+    for f, res in enumerate(results):
+        fi = tr.feature_importances(res).select("feature", "importance", F.lit(f).alias("fold"))
+        per = fi if per is None else per.unionByName(fi)
+    return tr.fold_importance_summary(per)
+
+
+@register("platt")
+def platt(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir)
+    a, b = tr.platt(t)
+    cal = tr.apply_platt(t, a, b)
+    before = met.brier(t).first()["brier"]
+    after = met.brier(cal.drop("score").withColumnRenamed("calibrated", "score")).first()["brier"]
+    return spark.createDataFrame([(a, b, before, after)], "a double, b double, brier_before double, brier_after double")
