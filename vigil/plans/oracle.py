@@ -661,3 +661,91 @@ SELECT txn_id, round("Amount", 6) AS "Amount", "Class" FROM transactions"""
 
 ORACLE["asset_lookup"] = "WITH " + TXN_SQL + """
 SELECT txn_id, round("Amount", 6) AS "Amount" FROM transactions WHERE txn_id < '8'"""
+
+
+# --- streaming and pipelines --------------------------------------------------------------
+
+ORACLE["stream_alerts"] = """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_day, event_id, round(value, 6) AS value,
+       CAST(rn AS BIGINT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY value DESC, event_id) AS rn
+      FROM events WHERE value IS NOT NULL) WHERE rn <= 5"""
+
+ORACLE["stream_drift"] = f"""
+WITH evf AS (SELECT ts, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+evl AS (SELECT ts, feature, v FROM (UNPIVOT evf ON value, k INTO NAME feature VALUE v)
+        WHERE v IS NOT NULL AND NOT isnan(v)),
+refl AS (SELECT * FROM evl WHERE ts < TIMESTAMP '2024-01-08 00:00:00'),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(v, {_PROBS10}))) AS e FROM refl GROUP BY feature),
+bl AS (SELECT l.ts, l.feature, len(list_filter(g.e, lambda x: x <= l.v)) AS bin FROM evl l JOIN edges g USING (feature)),
+refc AS (SELECT feature, bin, count(*) AS nr FROM bl WHERE ts < TIMESTAMP '2024-01-08 00:00:00' GROUP BY ALL),
+curc AS (SELECT date_trunc('day', ts) AS d, feature, bin, count(*) AS nc FROM bl GROUP BY ALL),
+grid AS (SELECT d, feature, unnest(range(0, len(e) + 1)) AS bin FROM (SELECT DISTINCT d FROM curc), edges),
+fullb AS (SELECT g.d, g.feature, g.bin, coalesce(nr, 0) AS nr, coalesce(nc, 0) AS nc
+          FROM grid g LEFT JOIN refc r USING (feature, bin) LEFT JOIN curc c USING (d, feature, bin)),
+sh AS (SELECT *, greatest(nr / sum(nr) OVER (PARTITION BY d, feature), 1e-6) AS rs,
+              greatest(nc / sum(nc) OVER (PARTITION BY d, feature), 1e-6) AS cs FROM fullb),
+nm AS (SELECT *, rs / sum(rs) OVER (PARTITION BY d, feature) AS rn, cs / sum(cs) OVER (PARTITION BY d, feature) AS cn
+       FROM sh)
+SELECT strftime(d, '%Y-%m-%d') AS window_day, feature, round(sum((rn - cn) * ln(rn / cn)), 6) AS psi,
+       CAST(sum(nc) AS BIGINT) AS n FROM nm GROUP BY d, feature"""
+
+ORACLE["data_pipeline"] = "WITH " + _SPLIT + """
+SELECT CAST(count(*) FILTER (WHERE NOT is_test) AS BIGINT) AS train_rows,
+       CAST(count(*) FILTER (WHERE is_test) AS BIGINT) AS test_rows, 'Class' AS label_column,
+       CAST(42 AS BIGINT) AS seed, 0.1::DOUBLE AS test_ratio, true AS validation_passed, 'completed' AS status FROM sp"""
+
+
+def per_batch_cte(src: str) -> str:
+    return f""",
+b AS (SELECT *, (row_number() OVER (ORDER BY txn_id) - 1) // 200 AS batch_id FROM {src}),
+c AS (SELECT *, count(*) OVER (PARTITION BY batch_id) AS batch_rows FROM b),
+d AS (SELECT *, CAST(ceil(CAST(0.1 AS DOUBLE) * batch_rows) AS BIGINT) AS max_alerts FROM c),
+e AS (SELECT *, least(max_alerts, batch_rows) AS k,
+             row_number() OVER (PARTITION BY batch_id ORDER BY score DESC, txn_id) AS rnk FROM d),
+f AS (SELECT *, CAST(rnk <= k AS BIGINT) AS alert FROM e),
+g AS (SELECT *, CASE WHEN k > 0 THEN min(CASE WHEN alert = 1 THEN score END) OVER (PARTITION BY batch_id)
+                     ELSE 1.0 END AS threshold FROM f)"""
+
+
+_EVAL_SQL = """,
+ek AS (SELECT count(*) FILTER (WHERE "Class" = 0 AND alert = 0) AS tn, count(*) FILTER (WHERE "Class" = 0 AND alert = 1) AS fp,
+              count(*) FILTER (WHERE "Class" = 1 AND alert = 0) AS fn, count(*) FILTER (WHERE "Class" = 1 AND alert = 1) AS tp,
+              count(*) AS n, sum(alert) AS pred_sum FROM g),
+ecd AS (SELECT score AS thr, count(*) FILTER (WHERE "Class" = 1) AS pos, count(*) FILTER (WHERE "Class" <> 1) AS neg
+        FROM g GROUP BY score),
+ecv AS (SELECT pos, neg, sum(pos) OVER (ORDER BY thr DESC) AS tp, sum(neg) OVER (ORDER BY thr DESC) AS fp,
+               sum(pos) OVER () AS tot_p, sum(neg) OVER () AS tot_n FROM ecd),
+evals AS (
+  SELECT 'metrics.accuracy' AS metric, """ + _d0('tp + tn', 'n') + """ AS value FROM ek
+  UNION ALL SELECT 'metrics.precision', """ + _d0('tp', 'tp + fp') + """ FROM ek
+  UNION ALL SELECT 'metrics.recall', """ + _d0('tp', 'tp + fn') + """ FROM ek
+  UNION ALL SELECT 'metrics.f1', """ + _d0('2 * tp', '2 * tp + fp + fn') + """ FROM ek
+  UNION ALL SELECT 'metrics.alert_rate', CASE WHEN n > 0 THEN pred_sum / n END FROM ek
+  UNION ALL SELECT 'metrics.alert_count', CASE WHEN n > 0 THEN CAST(pred_sum AS DOUBLE) END FROM ek
+  UNION ALL SELECT 'metrics.roc_auc', (SELECT sum(pos * (tot_n - fp + neg / 2.0)) / (max(tot_p) * max(tot_n)) FROM ecv)
+  UNION ALL SELECT 'metrics.pr_auc', (SELECT sum(pos * (tp / (tp + fp))) / max(tot_p) FROM ecv))"""
+
+ORACLE["evaluation"] = "WITH " + TXN_SQL + per_batch_cte("transactions") + _EVAL_SQL + """
+SELECT metric, round(value, 6) AS value FROM evals"""
+
+ORACLE["monitor"] = "WITH " + _REPORT_CTE + per_batch_cte("cur") + _EVAL_SQL + """,
+b0 AS (SELECT min(threshold) AS t, min(max_alerts) AS m, sum(alert) AS c FROM g WHERE batch_id = 0),
+summ AS (SELECT max(psi) AS psi_max, avg(psi) AS psi_mean, count(*) FILTER (WHERE psi_exceeds) AS pe,
+                max(ks) AS ks_max, avg(ks) AS ks_mean, count(*) FILTER (WHERE ks_exceeds) AS ke FROM report),
+allm AS (
+  SELECT metric, value FROM evals
+  UNION ALL SELECT 'metrics.threshold_used', t FROM b0
+  UNION ALL SELECT 'metrics.max_alerts', CAST(m AS DOUBLE) FROM b0
+  UNION ALL SELECT 'metrics.num_alerts', CAST(c AS DOUBLE) FROM b0
+  UNION ALL SELECT 'drift.psi_max', psi_max FROM summ
+  UNION ALL SELECT 'drift.psi_mean', psi_mean FROM summ
+  UNION ALL SELECT 'drift.psi_exceeded_count', CAST(pe AS DOUBLE) FROM summ
+  UNION ALL SELECT 'drift.ks_max', ks_max FROM summ
+  UNION ALL SELECT 'drift.ks_mean', ks_mean FROM summ
+  UNION ALL SELECT 'drift.ks_exceeded_count', CAST(ke AS DOUBLE) FROM summ
+  UNION ALL SELECT 'drift.detected', CASE WHEN pe > 0 OR ke > 0 THEN 1.0 ELSE 0.0 END FROM summ)
+SELECT metric, round(value, 6) AS value FROM allm WHERE value IS NOT NULL"""
+
+ORACLE["promote_pipeline"] = ORACLE["promotion"].rsplit("SELECT name, metric", 1)[0] + """
+SELECT decision, reason, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY decision, reason"""

@@ -684,3 +684,109 @@ def platt(spark, sf_dir):
     before = met.brier(t).first()["brier"]
     after = met.brier(cal.drop("score").withColumnRenamed("calibrated", "score")).first()["brier"]
     return spark.createDataFrame([(a, b, before, after)], "a double, b double, brier_before double, brier_after double")
+
+
+# --- streaming (L1-L3) -------------------------------------------------------------------
+
+from vigil.plans import pipelines as pipes  # noqa: E402
+from vigil.streaming import monitor as sm  # noqa: E402
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+DRIFT_REF_END = "2024-01-08 00:00:00"
+
+
+def _event_chunks(spark, sf_dir, parts: int = 4) -> str:
+    """Events written as ``parts`` files in time order (one write each, so file
+    times follow event time) for a file stream read one file per trigger."""
+    ev = fx.table(spark, sf_dir, "events")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    folder = io.scratch_dir(spark, "events-stream")
+    step = (hi - lo) / parts
+    for i in range(parts):
+        a, b = lo + step * i, (lo + step * (i + 1) if i < parts - 1 else None)
+        cond = F.col("ts") >= F.lit(a) if i > 0 else F.lit(True)
+        if b is not None:
+            cond = cond & (F.col("ts") < F.lit(b))
+        ev.where(cond).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+@register("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    s = sm.file_stream(spark, _event_chunks(spark, sf_dir), EVENT_SCHEMA, max_files=1)
+    a = sm.stream_alerts(s.where(F.col("value").isNotNull()), "ts", "event_id", "value", k=5)
+    return a.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "event_id",
+                    r6("value").alias("value"), F.col("rank").cast("long").alias("rank"))
+
+
+def _event_features(df):
+    return df.select("ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+
+
+@register("stream_drift")
+def stream_drift(spark, sf_dir):
+    ev = _event_features(fx.table(spark, sf_dir, "events"))
+    ref = ev.where(F.col("ts") < F.lit(DRIFT_REF_END).cast("timestamp_ntz"))
+    feats = ["value", "k"]
+    edges_df = drift_ops.psi_edges(to_long(ref, [], feats), bins=10)
+    edges = {r["feature"]: list(r["edges"]) for r in edges_df.collect()}  # features x 9 numbers
+    ref_long = to_long(ref, [], feats)
+    emap = F.create_map(*[x for f in feats for x in (F.lit(f), F.array(*[F.lit(e) for e in edges[f]]))])
+    ref_counts = (ref_long.withColumn("bin", F.size(F.filter(F.element_at(emap, F.col("feature")),
+                                                             lambda e: e <= F.col("value"))))
+                  .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    s = _event_features(sm.file_stream(spark, _event_chunks(spark, sf_dir), EVENT_SCHEMA, max_files=1))
+    counts = sm.stream_bin_counts(s, "ts", feats, edges)
+    psi = sm.windowed_psi(counts, ref_counts, edges)
+    return psi.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "feature",
+                      r6("psi").alias("psi"), "n")
+
+
+@register("stream_scores")
+def stream_scores(spark, sf_dir):
+    train, _, params = _training_setup(spark, sf_dir)
+    feats = ["Amount", "V1", "V2", "V3"]
+    model = tr.fit(train, feats, tr.gbt(SMALL_GBT)).model
+    folder = io.scratch_dir(spark, "requests")
+    fx.request_logs(spark, sf_dir).write.parquet(folder)
+
+    def transform(stream):
+        recs = pl.parse_requests(stream, keep=["request_key"])
+        flat = recs.select("request_key", "record_idx", *[F.col("record")[c].alias(c) for c in fx.REQUEST_COLUMNS])
+        scaled = scale_ops.apply_for_serving(flat, params)
+        return tr.score(model, scaled, ["request_key", "record_idx"])
+    out = sm.stream_scores(sm.file_stream(spark, folder, "request_key bigint, payload string"), transform)
+    return out.select("request_key", F.col("record_idx").cast("long").alias("record_idx"), r6("p_hat").alias("p_hat"))
+
+
+# --- pipelines (M1-M4) ----------------------------------------------------------------------
+
+@register("data_pipeline")
+def data_pipeline(spark, sf_dir):
+    p = pipes.prepare(fx.transactions(spark, sf_dir), "txn_id",
+                      required_columns=["Time", "Amount", "V1", "V2", "V3", "Class"],
+                      output=io.scratch_dir(spark, "prepared"))
+    return p.metadata.select("train_rows", "test_rows", "label_column", F.col("seed").cast("long").alias("seed"),
+                             "test_ratio", "validation_passed", "status")
+
+
+@register("evaluation")
+def evaluation(spark, sf_dir):
+    per = _per_batch(spark, sf_dir).withColumnRenamed("alert", "pred")
+    return pipes.evaluate(per, "Class", "pred", "score").select("metric", r6("value").alias("value"))
+
+
+@register("monitor")
+def monitor(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir)
+    ref, cur = t.where(F.col("Time") < fx.DRIFT_CUT_SECONDS), t.where(F.col("Time") >= fx.DRIFT_CUT_SECONDS)
+    m = pipes.monitor(cur, ref.drop("score"), mode="both")
+    return m.select("metric", r6("value").alias("value"))
+
+
+@register("promote_pipeline")
+def promote_pipeline(spark, sf_dir):
+    best = alert_ops.best_runs(fx.runs(spark, sf_dir), fx.run_metrics(spark, sf_dir), ["auc"], EXPERIMENTS)
+    d = pipes.promote(best, fx.model_assets(spark, sf_dir), fx.run_metrics(spark, sf_dir), "AUC_macro",
+                      delta=0.001, min_threshold=0.6)
+    return d.groupBy("decision", "reason").agg(F.count(F.lit(1)).cast("long").alias("n"))
