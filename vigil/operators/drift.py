@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.schema import numeric_features, shared_numeric
-from vigil.operators.primitives import exact_quantiles, running_sums, to_long
+from vigil.operators.primitives import exact_quantiles, order_statistics, running_sums, to_long
 
 EPS = 1e-6
 
@@ -36,47 +36,71 @@ def sided_long(reference: DataFrame, current: DataFrame, features: Sequence[str]
     return r.unionByName(c)
 
 
+def _interior_probs(bins: int) -> list[float]:
+    if bins < 2:
+        raise ValueError("psi_bins must be >= 2")
+    return [i / bins for i in range(1, bins)]
+
+
 def psi_edges(long_ref: DataFrame, bins: int = 10) -> DataFrame:
     """(feature, edges) — the distinct interior quantile edges of the
     reference side, sorted; the outer edges are -inf / +inf implicitly."""
-    if bins < 2:
-        raise ValueError("psi_bins must be >= 2")
-    probs = [i / bins for i in range(1, bins)]
-    q = exact_quantiles(long_ref, probs, group="feature", value="value")
+    q = exact_quantiles(long_ref, _interior_probs(bins), group="feature", value="value")
     return q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
 
 
-def psi_by_feature(long: DataFrame, bins: int = 10) -> DataFrame:
-    """F10 + F11: (feature, psi, n_ref, n_cur) from a sided long table.
+def distinct_counts(long: DataFrame) -> DataFrame:
+    """(feature, value, _nr, _nc): the sided long table reduced to distinct
+    values (map-side partial aggregation); every later step reads this."""
+    return long.groupBy("feature", "value").agg(
+        F.count_if(F.col("side") == 0).alias("_nr"), F.count_if(F.col("side") == 1).alias("_nc"))
 
-    ``psi`` is NULL when a side has no finite value."""
-    edges = psi_edges(long.where(F.col("side") == 0), bins)
-    # edges holds one short array per feature: bounded by the feature count.
-    binned = (long.join(F.broadcast(edges), "feature", "left")
+
+def drift_tables(long: DataFrame, bins: int = 10, with_ks: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """PSI (feature, psi, n_ref, n_cur) and KS (feature, ks) from ONE pass of
+    cumulative counts over the distinct values: the reference side's
+    cumulative counts give the exact quantile edges, both sides' give KS."""
+    d = distinct_counts(long)
+    cum = running_sums(d, "value", ["_nr", "_nc"], group="feature", keep_bucket=True)
+    q = order_statistics(cum, _interior_probs(bins), "feature", "value", "_nr", "_nr_cum")
+    edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
+    tot = d.groupBy("feature").agg(F.sum("_nr").alias("_tr"), F.sum("_nc").alias("_tc"))
+    # edges and tot hold one short row per feature: bounded by the feature count.
+    binned = (d.join(F.broadcast(edges), "feature", "left")
               .withColumn("bin", F.coalesce(F.size(F.filter("edges", lambda e: e <= F.col("value"))), F.lit(0))))
-    counts = binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col("side") == 0).alias("_nr"), F.count_if(F.col("side") == 1).alias("_nc"))
-    feats = long.select("feature").distinct()
-    all_bins = (feats.join(F.broadcast(edges), "feature", "left")
-                .select("feature", F.explode(F.sequence(F.lit(0), F.coalesce(F.size("edges"), F.lit(0)))).alias("bin")))
+    counts = binned.groupBy("feature", "bin").agg(F.sum("_nr").alias("_nr"), F.sum("_nc").alias("_nc"))
+    all_bins = (tot.join(F.broadcast(edges), "feature", "left")
+                .select("feature", "_tr", "_tc",
+                        F.explode(F.sequence(F.lit(0), F.coalesce(F.size("edges"), F.lit(0)))).alias("bin")))
     full = all_bins.join(counts, ["feature", "bin"], "left").fillna(0, ["_nr", "_nc"])
     w = Window.partitionBy("feature")  # at most `bins` rows per feature
-    full = (full.withColumn("_tr", F.sum("_nr").over(w)).withColumn("_tc", F.sum("_nc").over(w))
-            .withColumn("_rs", F.greatest(F.try_divide("_nr", "_tr"), F.lit(EPS)))
+    full = (full.withColumn("_rs", F.greatest(F.try_divide("_nr", "_tr"), F.lit(EPS)))
             .withColumn("_cs", F.greatest(F.try_divide("_nc", "_tc"), F.lit(EPS))))
     full = (full.withColumn("_rs", F.col("_rs") / F.sum("_rs").over(w))
             .withColumn("_cs", F.col("_cs") / F.sum("_cs").over(w)))
-    return full.groupBy("feature").agg(
+    psi = full.groupBy("feature").agg(
         F.when((F.max("_tr") > 0) & (F.max("_tc") > 0),
                F.sum((F.col("_rs") - F.col("_cs")) * F.log(F.col("_rs") / F.col("_cs")))).alias("psi"),
         F.max("_tr").cast("long").alias("n_ref"), F.max("_tc").cast("long").alias("n_cur"))
+    ks = None
+    if with_ks:
+        gaps = cum.join(F.broadcast(tot), "feature").select(
+            "feature", F.abs(F.try_divide("_nr_cum", "_tr") - F.try_divide("_nc_cum", "_tc")).alias("_gap"),
+            "_tr", "_tc")
+        ks = gaps.groupBy("feature").agg(F.when((F.max("_tr") > 0) & (F.max("_tc") > 0), F.max("_gap")).alias("ks"))
+    return psi, ks
+
+
+def psi_by_feature(long: DataFrame, bins: int = 10) -> DataFrame:
+    """F10 + F11: (feature, psi, n_ref, n_cur) from a sided long table;
+    ``psi`` is NULL when a side has no finite value."""
+    return drift_tables(long, bins, with_ks=False)[0]
 
 
 def ks_by_feature(long: DataFrame) -> DataFrame:
     """(feature, ks) — max gap of the right-continuous empirical CDFs,
     evaluated at every observed value; NULL when a side is empty."""
-    d = long.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == 0).alias("_nr"), F.count_if(F.col("side") == 1).alias("_nc"))
+    d = distinct_counts(long)
     tot = d.groupBy("feature").agg(F.sum("_nr").alias("_tr"), F.sum("_nc").alias("_tc"))
     cum = running_sums(d, "value", ["_nr", "_nc"], group="feature")
     # tot has one row per feature.
@@ -98,10 +122,10 @@ def drift_report(reference: DataFrame, current: DataFrame, config: DriftConfig =
             raise ValueError("No numeric features found for drift computation.")
     long = sided_long(reference, current, feats)
     names = long.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
-    psi = psi_by_feature(long, config.psi_bins).select("feature", "psi")
-    rep = names.join(psi, "feature", "left")
+    psi, ks = drift_tables(long, config.psi_bins, with_ks=config.include_ks)
+    rep = names.join(psi.select("feature", "psi"), "feature", "left")
     if config.include_ks:
-        rep = rep.join(ks_by_feature(long), "feature", "left")
+        rep = rep.join(ks, "feature", "left")
     else:
         rep = rep.withColumn("ks", F.lit(None).cast("double"))
     return rep.select(

@@ -276,15 +276,25 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str | Sequen
 
     Returns (group..., prob, q). Distinct values are counted, their cumulative
     counts come from P2, and the two order statistics around ``(n-1)p`` are
-    looked up with an equi-join on the bucket that holds them.
-    """
+    looked up with an equi-join on the bucket that holds them."""
     group = _cols(group)
-    spark = long.sparkSession
     d = long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_sums(d, value, ["_c"], group=group, keep_bucket=True)  # _c_cum = count of values <= v
-    cum = cum.withColumn("_lo", F.col("_c_cum") - F.col("_c"))  # rows strictly below v
+    cum = running_sums(d, value, ["_c"], group=group, keep_bucket=True)
+    return order_statistics(cum, probs, group, value, "_c", "_c_cum", out_col, prob_col)
+
+
+def order_statistics(cum: DataFrame, probs: Sequence[float], group: str | Sequence[str], value: str,
+                     count_col: str, cum_col: str, out_col: str = "q", prob_col: str = "prob") -> DataFrame:
+    """Linear-interpolated quantiles from a cumulative table (one row per
+    distinct (group, value) with its count, the inclusive cumulative count in
+    ascending value order and the bucket path ``_b`` of ``running_sums``).
+    Rows with a zero count are ignored."""
+    group = _cols(group)
+    spark = cum.sparkSession
+    c = cum.where(F.col(count_col) > 0).select(*group, value, "_b", F.col(cum_col).alias("_cc"),
+                                               (F.col(cum_col) - F.col(count_col)).alias("_lo"))
     # One row per (group, bucket): the range of order positions it holds.
-    ranges = cum.groupBy(*group, "_b").agg(F.min("_lo").alias("_blo"), F.max("_c_cum").alias("_bhi"))
+    ranges = c.groupBy(*group, "_b").agg(F.min("_lo").alias("_blo"), F.max("_cc").alias("_bhi"))
     n = ranges.groupBy(*group).agg(F.max("_bhi").alias("_n"))
     p = spark.createDataFrame([(float(x),) for x in probs], T.StructType([T.StructField(prob_col, T.DoubleType())]))
     targets = (n.crossJoin(F.broadcast(p))
@@ -302,13 +312,12 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str | Sequen
              F.col("r._blo") <= F.col(f"t.{pos}"), F.col(f"t.{pos}") < F.col("r._bhi")], "inner")
             .select(*[F.col(f"t.{g}").alias(g) for g in group], F.col(f"t.{prob_col}").alias(prob_col),
                     F.col("r._b").alias("_b"), F.col(f"t.{pos}").alias("_p")))
-        hit = (cum.join(F.broadcast(tb), [*group, "_b"], "inner")
-               .where((F.col("_lo") <= F.col("_p")) & (F.col("_p") < F.col("_c_cum"))))
+        hit = (c.join(F.broadcast(tb), [*group, "_b"], "inner")
+               .where((F.col("_lo") <= F.col("_p")) & (F.col("_p") < F.col("_cc"))))
         return hit.select(*group, prob_col, F.col(value).alias(alias))
 
     lo = order_stat("_i", "_vlo")
     hi = order_stat("_j", "_vhi")
-    res = (targets.join(lo, [*group, prob_col]).join(hi, [*group, prob_col])
-           .select(*group, prob_col,
-                   (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias(out_col)))
-    return res
+    return (targets.join(lo, [*group, prob_col]).join(hi, [*group, prob_col])
+            .select(*group, prob_col,
+                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias(out_col)))
