@@ -485,16 +485,17 @@ SELECT name, CASE WHEN v IS NULL THEN '1.0'
 
 _PROD = RUNS_SQL + "," + _VERS + """,
 prod AS (SELECT l.name, l.version AS prod_version,
-                CASE WHEN tag_key IN ('run_id', 'mlflow_run_id', 'best_run_id') THEN tag_run END AS prod_run_id
+                CASE WHEN tag_key IN ('run_id', 'mlflow_run_id', 'best_run_id') THEN tag_run END AS prod_run_id,
+                l.dataset_version
          FROM latest l),
-prodm AS (SELECT p.name, p.prod_version, p.prod_run_id, m.value AS prod_value
+prodm AS (SELECT p.name, p.prod_version, p.prod_run_id, m.value AS prod_value, p.dataset_version
           FROM prod p LEFT JOIN run_metrics m ON m.run_id = p.prod_run_id AND m.key = 'AUC_macro')"""
 
 ORACLE["prod_metric"] = "WITH " + _PROD + """
-SELECT name, prod_version, prod_run_id, round(prod_value, 6) AS prod_value FROM prodm"""
+SELECT name, prod_version, prod_run_id, round(prod_value, 6) AS prod_value, dataset_version FROM prodm"""
 
 ORACLE["promotion"] = "WITH " + _PROD + _best_sql(["auc"]) + """,
-j AS (SELECT * FROM best, prodm),
+j AS (SELECT * EXCLUDE (dataset_version) FROM best, prodm),
 d AS (SELECT *, metric_value >= 0.6 AS meets, abs(metric_value - prod_value) <= 0.001 AS same,
              CASE WHEN direction = 'min' THEN metric_value < prod_value - 0.001 ELSE metric_value > prod_value + 0.001 END AS better
       FROM j),
@@ -749,3 +750,23 @@ SELECT metric, round(value, 6) AS value FROM allm WHERE value IS NOT NULL"""
 
 ORACLE["promote_pipeline"] = ORACLE["promotion"].rsplit("SELECT name, metric", 1)[0] + """
 SELECT decision, reason, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY decision, reason"""
+
+
+ORACLE["eval_at_threshold"] = "WITH " + _SPLIT + """,
+cd AS (SELECT score AS thr, count(*) FILTER (WHERE "Class" = 1) AS pos, count(*) FILTER (WHERE "Class" <> 1) AS neg
+       FROM sp WHERE NOT is_test GROUP BY score),
+cv AS (SELECT thr, sum(pos) OVER (ORDER BY thr DESC) AS tp, sum(neg) OVER (ORDER BY thr DESC) AS fp,
+              sum(pos) OVER () AS tot_p FROM cd),
+pr AS (SELECT thr, tp / (tp + fp) AS prec, CASE WHEN tot_p > 0 THEN tp / tot_p ELSE 1.0 END AS rec FROM cv),
+best AS (SELECT thr FROM (SELECT thr, 2 * prec * rec / (prec + rec + 1e-12) AS f1 FROM pr) ORDER BY f1 DESC, thr LIMIT 1),
+scored AS (SELECT "Class", CAST(score >= (SELECT thr FROM best) AS INTEGER) AS pred FROM sp WHERE is_test),""" + _K + f""",
+r AS (SELECT {_d0('tp', 'tp + fp')} AS p1, {_d0('tp', 'tp + fn')} AS r1, {_d0('tn', 'tn + fn')} AS p0,
+             {_d0('tn', 'tn + fp')} AS r0, {_d0('2 * tp', '2 * tp + fp + fn')} AS f1, {_d0('2 * tn', '2 * tn + fn + fp')} AS f0,
+             CAST(tp + fn AS DOUBLE) AS s1, CAST(tn + fp AS DOUBLE) AS s0, CAST(n AS DOUBLE) AS n,
+             {_d0('tp + tn', 'n')} AS acc, round((SELECT thr FROM best), 6) AS threshold FROM k)
+SELECT '0' AS label, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, round(s0, 6) AS support, threshold FROM r
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), round(s1, 6), threshold FROM r
+UNION ALL SELECT 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6), round(n, 6), threshold FROM r
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), round(n, 6), threshold FROM r
+UNION ALL SELECT 'weighted avg', round({_d0('p0 * s0 + p1 * s1', 'n')}, 6), round({_d0('r0 * s0 + r1 * s1', 'n')}, 6),
+                 round({_d0('f0 * s0 + f1 * s1', 'n')}, 6), round(n, 6), threshold FROM r"""

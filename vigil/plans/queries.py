@@ -362,8 +362,11 @@ def next_version(spark, sf_dir):
 
 @register("prod_metric")
 def prod_metric(spark, sf_dir):
-    p = reg.prod_metrics(fx.model_assets(spark, sf_dir), fx.run_metrics(spark, sf_dir), "AUC_macro")
-    return p.select("name", "prod_version", "prod_run_id", r6("prod_value").alias("prod_value"))
+    assets = fx.model_assets(spark, sf_dir)
+    p = reg.prod_metrics(assets, fx.run_metrics(spark, sf_dir), "AUC_macro")
+    dv = reg.latest_versions(assets).select("name", reg.dataset_version_of("tags").alias("dataset_version"))
+    return p.join(dv, "name").select("name", "prod_version", "prod_run_id", r6("prod_value").alias("prod_value"),
+                                     "dataset_version")
 
 
 @register("promotion")
@@ -790,3 +793,44 @@ def promote_pipeline(spark, sf_dir):
     d = pipes.promote(best, fx.model_assets(spark, sf_dir), fx.run_metrics(spark, sf_dir), "AUC_macro",
                       delta=0.001, min_threshold=0.6)
     return d.groupBy("decision", "reason").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+# --- more compositions: G10, I10 ------------------------------------------------------------
+
+
+@register("eval_at_threshold")
+def eval_at_threshold(spark, sf_dir):
+    """Threshold with the best F1 on the train part, applied to the test part."""
+    m, _ = split_ops.mark_split(fx.transactions(spark, sf_dir), "txn_id", "Class", test=0.1, seed=42)
+    thr = met.best_f1_threshold(met.curve(m.where(~F.col("is_test")))).select(F.col("threshold").alias("_thr"))
+    test = m.where(F.col("is_test")).crossJoin(F.broadcast(thr))  # one-row threshold
+    scored = test.withColumn("pred", sc.threshold_label("score", F.col("_thr")))
+    rep = met.classification_report(met.confusion_counts(scored, "Class", "pred"))
+    return rep.crossJoin(thr).select("label", *[r6(c).alias(c) for c in ["precision", "recall", "f1_score", "support"]],
+                                     r6("_thr").alias("threshold"))
+
+
+@register("score_requests")
+def score_requests(spark, sf_dir):
+    """I10 on a log table: parse each request (K1), keep its row id (B4), drop
+    label/ids (B1), scale (E3), project (B2), score (I9), then the alert
+    budget per request with its own cap, default 100 (H1 + H3)."""
+    from vigil.functions import schema as sch
+    train, _, params = _training_setup(spark, sf_dir)
+    feats = ["Amount", "V1", "V2", "V3"]
+    model = tr.fit(train, feats, tr.gbt(SMALL_GBT)).model
+    recs = pl.parse_requests(fx.request_logs(spark, sf_dir), keep=["request_key"])
+    flat = recs.select("request_key", "record_idx", "max_alerts",
+                       *[F.col("record")[c].alias(c) for c in fx.REQUEST_COLUMNS])
+    flat, rid = sch.extract_row_id(flat)
+    scaled = scale_ops.apply_for_serving(flat, params)
+    feats_df = sch.project_features(scaled.drop("Class"), ["request_key", "record_idx", "max_alerts", rid, *feats])
+    scored = tr.score(model, feats_df, ["request_key", "record_idx", "max_alerts", rid])
+    scored = scored.withColumn("_key", F.format_string("%012d", "record_idx"))
+    cap = alert_ops.resolve_cap(F.col("max_alerts").cast("long"))
+    per = scored.withColumn("_cap", cap)
+    from pyspark.sql import Window
+    w = Window.partitionBy("request_key").orderBy(F.col("p_hat").desc(), F.col("_key"))  # one request per window
+    out = per.withColumn("rank", F.row_number().over(w)).withColumn("alert", (F.col("rank") <= F.col("_cap")).cast("int"))
+    return out.select("request_key", F.col("record_idx").cast("long").alias("record_idx"), rid,
+                      r6("p_hat").alias("p_hat"), F.col("rank").cast("long").alias("rank"), "alert")
