@@ -48,7 +48,8 @@ def test_best_run_and_decision(spark):
                                "run_id string, key string, value double")
     b = A.best_runs(runs, rm, ["accuracy"], "exp").first()
     assert (b["run_id"], b["metric_value"]) == ("run-2", 0.95)
-    prod = spark.createDataFrame([("prod", 0.94), ("other", None)], "name string, prod_value double")
+    prod = spark.createDataFrame([("prod", "accuracy", 0.94), ("other", "accuracy", None)],
+                                 "name string, metric string, prod_value double")
     best = A.best_runs(runs, rm, ["accuracy"], "exp")
     d = {r["name"]: (r["decision"], r["reason"]) for r in R.decide(best, prod, delta=0.005).collect()}
     assert d == {"prod": ("promote", "better_metric"), "other": ("promote", "no_prod_model")}

@@ -33,13 +33,11 @@ def alert_budget(df: DataFrame, score: str, key_hex: str, max_alerts: int = DEFA
     k = min(max(cap, 0), n); threshold = lowest alerted score, 1.0 if k = 0."""
     cap = max(int(max_alerts), 0)
     ranked = global_rank(df, key_hex, order=score, descending=True, rank_col="rank")
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    with_k = ranked.crossJoin(F.broadcast(n)).withColumn("k", F.least(F.lit(cap), F.col("_n")).cast("long"))
-    alerted = with_k.withColumn("alert", (F.col("rank") <= F.col("k")).cast("int"))
-    th = alerted.where(F.col("alert") == 1).agg(F.min(score).alias("_th"))
-    return (alerted.crossJoin(F.broadcast(th))
-            .withColumn("threshold", F.when(F.col("k") > 0, F.col("_th")).otherwise(F.lit(1.0)))
-            .drop("_n", "_th"))
+    k = F.least(F.lit(cap), df.agg(F.count(F.lit(1))).scalar()).cast("long")
+    alerted = ranked.withColumn("k", k).withColumn("alert", (F.col("rank") <= F.col("k")).cast("int"))
+    # lowest alerted score = the score at rank k (a scalar subquery)
+    th = alerted.where(F.col("alert") == 1).agg(F.min(score)).scalar()
+    return alerted.withColumn("threshold", F.when(F.col("k") > 0, th).otherwise(F.lit(1.0)))
 
 
 def alert_budget_per_batch(df: DataFrame, score: str, key: str, batch_col: str = "batch_id",

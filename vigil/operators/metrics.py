@@ -35,10 +35,13 @@ def curve(df: DataFrame, label: str = "Class", score: str = "score",
         F.count_if(F.col("_y") == 1).cast("long").alias("pos"),
         F.count_if(F.col("_y") != 1).cast("long").alias("neg"))
     cum = running_sums(d, "_p", ["pos", "neg"], group=g or None, descending=True)
-    tot = d.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")) if g else \
-        d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    # tot has one row per group.
-    j = cum.join(F.broadcast(tot), g, "inner") if g else cum.crossJoin(F.broadcast(tot))
+    if g:
+        tot = d.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        # tot has one row per group.
+        j = cum.join(F.broadcast(tot), g, "inner")
+    else:
+        # whole-table totals as scalar subqueries
+        j = cum.withColumn("P", d.agg(F.sum("pos")).scalar()).withColumn("N", d.agg(F.sum("neg")).scalar())
     return j.select(*g, F.col("_p").alias("threshold"), "pos", "neg",
                     F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"), "P", "N")
 
@@ -166,9 +169,9 @@ def topk_table(df: DataFrame, ks: Sequence[int], label: str = "Class", score: st
     w = Window.orderBy(F.col("_p").desc(), F.col("_k").asc()).rowsBetween(Window.unboundedPreceding, 0)
     top = top.select(F.row_number().over(Window.orderBy(F.col("_p").desc(), F.col("_k").asc())).alias("rank"),
                      F.sum("_y").over(w).alias("cum_tp"))
-    tot = df.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("P"))
+    n = df.agg(F.count(F.lit(1))).scalar()
     kdf = spark.createDataFrame([(int(k),) for k in ks], "k_req long")
-    kk = kdf.crossJoin(tot).withColumn("alerts_k", F.least("k_req", "n"))
+    kk = kdf.withColumn("P", df.agg(F.sum(label)).scalar()).withColumn("alerts_k", F.least("k_req", n))
     j = kk.join(top, kk["alerts_k"] == top["rank"], "left")
     tp = F.coalesce(F.col("cum_tp"), F.lit(0)).cast("long")
     return j.select("k_req", F.col("alerts_k").cast("long").alias("alerts_k"), tp.alias("tp"),
@@ -187,7 +190,8 @@ def calibration(df: DataFrame, label: str = "Class", score: str = "score", n_bin
         probs = [i / n_bins for i in range(1, n_bins)]
         q = exact_quantiles(d.select(F.lit("s").alias("g"), F.col("_p").alias("value")), probs, group="g")
         edges = q.agg(F.array_sort(F.collect_list("q")).alias("edges"))
-    b = d.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("_p"))))
+    e = edges.select("edges").scalar()  # one short array
+    b = d.withColumn("_edges", e).withColumn("bin", F.size(F.filter("_edges", lambda x: x < F.col("_p"))))
     return b.groupBy("bin").agg(F.avg("_p").alias("mean_pred"), F.avg("_y").alias("frac_pos"),
                                 F.count(F.lit(1)).cast("long").alias("n"))
 
@@ -251,8 +255,12 @@ def canonical_metrics(df: DataFrame, label: str = "Class", score: str = "score",
     rk = average_precision(c, ["view"]).join(roc_auc(c, ["view"]), "view")
     rk = rk.groupBy().pivot("view", ["c0", "c1", "micro"]).agg(F.first("average_precision").alias("ap"),
                                                                F.first("roc_auc").alias("auc"))
-    ll = log_loss(df, label, score)
-    allm = conf.crossJoin(rk).crossJoin(ll)
+    # one-row results attached as scalar subqueries
+    allm = conf
+    for v in ("c0", "c1", "micro"):
+        for m in ("ap", "auc"):
+            allm = allm.withColumn(f"{v}_{m}", rk.select(f"{v}_{m}").scalar())
+    allm = allm.withColumn("log_loss", log_loss(df, label, score).scalar())
     s0c, s1c, nc = F.col("_s0"), F.col("_s1"), F.col("_n")
     allm = allm.select(
         "*",
@@ -271,8 +279,9 @@ def canonical_metrics(df: DataFrame, label: str = "Class", score: str = "score",
 def platt_training_rows(df: DataFrame, label: str = "Class", score: str = "score") -> DataFrame:
     """G14 helper: Platt's smoothed targets as two weighted rows per record,
     t+ = (P+1)/(P+2) for positives, t- = 1/(N+2) for negatives."""
-    tot = df.agg(F.count_if(F.col(label) == 1).alias("_P"), F.count_if(F.col(label) != 1).alias("_N"))
-    j = df.select(F.col(label).alias("_y"), F.col(score).cast("double").alias("s")).crossJoin(F.broadcast(tot))
+    j = df.select(F.col(label).alias("_y"), F.col(score).cast("double").alias("s")) \
+        .withColumn("_P", df.agg(F.count_if(F.col(label) == 1)).scalar()) \
+        .withColumn("_N", df.agg(F.count_if(F.col(label) != 1)).scalar())
     t = F.when(F.col("_y") == 1, (F.col("_P") + 1) / (F.col("_P") + 2)).otherwise(1 / (F.col("_N") + 2))
     one = j.select("s", F.lit(1.0).alias("target"), t.alias("w"))
     zero = j.select("s", F.lit(0.0).alias("target"), (1 - t).alias("w"))

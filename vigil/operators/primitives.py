@@ -166,8 +166,11 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
     info = _bounds_info(df.select(*group, order), group, order, n_bounds)
     total = sum(i[3] for i in info)
     target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * parts)))
-    bt = _bounds_df(spark, df, group, info)
-    work = df.join(F.broadcast(bt), group, "left") if group else df.crossJoin(F.broadcast(bt))
+    if group:
+        bt = _bounds_df(spark, df, group, info)
+        work = df.join(F.broadcast(bt), group, "left")
+    else:  # one bounds list: a literal array, no join
+        work = df.withColumn("_bounds", F.array(*[F.lit(float(b)) for b in info[0][1]]).cast("array<double>"))
     work = work.withColumn("_b", F.array(_value_bucket(order, "_bounds", descending))).drop("_bounds")
 
     # Size bounds from the quantile guarantee (rank error n / accuracy).
@@ -296,8 +299,7 @@ def order_statistics(cum: DataFrame, probs: Sequence[float], group: str | Sequen
     # One row per (group, bucket): the range of order positions it holds.
     ranges = c.groupBy(*group, "_b").agg(F.min("_lo").alias("_blo"), F.max("_cc").alias("_bhi"))
     n = ranges.groupBy(*group).agg(F.max("_bhi").alias("_n"))
-    p = spark.createDataFrame([(float(x),) for x in probs], T.StructType([T.StructField(prob_col, T.DoubleType())]))
-    targets = (n.crossJoin(F.broadcast(p))
+    targets = (n.withColumn(prob_col, F.explode(F.array(*[F.lit(float(x)) for x in probs])))
                .withColumn("_pos", (F.col("_n") - 1) * F.col(prob_col))
                .withColumn("_i", F.floor("_pos").cast("long"))
                .withColumn("_j", F.ceil("_pos").cast("long"))

@@ -103,14 +103,17 @@ def prod_metrics(assets: DataFrame, run_metrics: DataFrame, metric: str) -> Data
                                             run_of_tags("tags").alias("prod_run_id"))
     m = run_metrics.where(F.col("key") == metric).select(F.col("run_id").alias("prod_run_id"),
                                                          F.col("value").alias("prod_value"))
-    return latest.join(m, "prod_run_id", "left").select("name", "prod_version", "prod_run_id", "prod_value")
+    return latest.join(m, "prod_run_id", "left").select("name", F.lit(metric).alias("metric"), "prod_version",
+                                                        "prod_run_id", "prod_value")
 
 
 def decide(candidate: DataFrame, prod: DataFrame, epsilon: float = 0.0, delta: float = 0.0,
            min_threshold: float | None = None, prod_model_name: str | None = None) -> DataFrame:
     """J4 + J7: candidate (metric, direction, run_id, metric_value) against
-    every production model row (name, prod_*); one decision per pair."""
-    j = candidate.crossJoin(prod) if "name" not in candidate.columns else candidate.join(prod, "name")
+    every production model row (name, metric, prod_*) of the same metric: one
+    decision per model (an equi-join on the metric name)."""
+    keys = ["name"] if "name" in candidate.columns else ["metric"]
+    j = candidate.join(prod, keys)
     meets = meets_min("metric_value", "direction", min_threshold)
     same = is_same("metric_value", "prod_value", epsilon, delta)
     better = is_better("metric_value", "prod_value", "direction", epsilon, delta)

@@ -44,9 +44,8 @@ def max_null_count(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """value, count, percentage (2 places) of all rows."""
     c = df.groupBy(column).agg(F.count(F.lit(1)).cast("long").alias("count"))
-    tot = df.agg(F.count(F.lit(1)).alias("_tot"))
-    return c.crossJoin(F.broadcast(tot)).select(column, "count",
-                                                F.round(F.col("count") / F.col("_tot") * 100, 2).alias("percentage"))
+    tot = df.agg(F.count(F.lit(1))).scalar()
+    return c.select(column, "count", F.round(F.col("count") / tot * 100, 2).alias("percentage"))
 
 
 def class_summary(df: DataFrame, features: Sequence[str], label: str = "Class") -> DataFrame:
@@ -72,13 +71,14 @@ def quantile_edges(df: DataFrame, column: str, q: int = 10) -> DataFrame:
 def qcut(df: DataFrame, column: str, q: int = 10, bin_col: str = "bin") -> DataFrame:
     """right-closed quantile bins (lowest edge included), duplicate edges
     dropped; adds ``bin`` and the bin's ``lo``/``hi`` edges."""
-    e = quantile_edges(df, column, q)
+    e = quantile_edges(df, column, q).select("edges").scalar()  # one short array
     x = F.col(column)
-    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
+    # a subquery cannot sit inside a lambda: bind it to a column first
+    inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
     b = F.size(F.filter(inner, lambda v: v < x))
-    return (df.crossJoin(F.broadcast(e)).withColumn(bin_col, b)
-            .withColumn("lo", F.element_at("edges", F.col(bin_col) + 1))
-            .withColumn("hi", F.element_at("edges", F.col(bin_col) + 2)).drop("edges"))
+    return (df.withColumn("_edges", e).withColumn(bin_col, b)
+            .withColumn("lo", F.element_at("_edges", F.col(bin_col) + 1))
+            .withColumn("hi", F.element_at("_edges", F.col(bin_col) + 2)).drop("_edges"))
 
 
 def rate_by_bin(binned: DataFrame, label: str = "Class", bin_col: str = "bin") -> DataFrame:
@@ -152,11 +152,12 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     bin, lo, hi, n, density = n / (N * width)."""
     x = F.col(column).cast("double")
     mm = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_N"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-        F.least(F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1)))
-    b = df.where(x.isNotNull()).crossJoin(F.broadcast(mm)).withColumn("bin", idx.cast("long"))
+    lo_s, hi_s = df.agg(F.min(x)).scalar(), df.agg(F.max(x)).scalar()
+    idx = F.when(hi_s == lo_s, F.lit(0)).otherwise(
+        F.least(F.floor((x - lo_s) / (hi_s - lo_s) * bins), F.lit(bins - 1)))
+    b = df.where(x.isNotNull()).withColumn("bin", idx.cast("long"))
     c = b.groupBy("bin").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    width = (F.col("_hi") - F.col("_lo")) / bins
     allb = mm.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (allb.withColumn("bin", F.col("bin").cast("long")).join(c, "bin", "left").fillna(0, ["n"])
             .select("bin", (F.col("_lo") + F.col("bin") * width).alias("lo"),

@@ -105,7 +105,7 @@ def evaluate(scored: DataFrame, label: str = "Class", score_col: str = "p_hat",
     """AP and ROC-AUC of scored rows (per group)."""
     c = met.curve(scored, label, score_col, group=list(group) or None)
     return met.average_precision(c, group).join(met.roc_auc(c, group), list(group)) if group else \
-        met.average_precision(c).crossJoin(met.roc_auc(c))
+        met.average_precision(c).withColumn("roc_auc", met.roc_auc(c).scalar())
 
 
 def sample_grid(space: dict, n_trials: int, seed: int = 42) -> list[dict]:
@@ -200,11 +200,11 @@ def permutation_importance(model: PipelineModel, valid: DataFrame, features: Seq
     salt = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
     a = global_rank(v.withColumn("_pa", F.md5(F.concat_ws(":", salt, F.lit("perm-a")))), "_pa", group=g,
                     rank_col="_ra").drop("_pa")
-    reps = spark.range(n_repeats).select(F.col("id").cast("int").alias("repeat"))
-    vb = v.select(key, g, *features).crossJoin(F.broadcast(reps)).withColumn(
+    rep_ids = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat")
+    vb = v.select(key, g, *features, rep_ids).withColumn(
         "_pb", F.md5(F.concat_ws(":", salt, F.lit("perm-b"), F.col("repeat").cast("string"))))
     b = global_rank(vb, "_pb", group=[g, "repeat"], rank_col="_ra").drop("_pb", key)
-    ar = a.crossJoin(F.broadcast(reps))
+    ar = a.select("*", rep_ids)
     copies = None
     for f in features:
         pb = b.select(g, "repeat", "_ra", F.col(f).alias("_pv"))

@@ -71,7 +71,8 @@ def evaluate(scored: DataFrame, label: str = "Class", pred: str = "pred", score:
     b = met.basic_metrics(met.confusion_counts(scored, label, pred))
     if score:
         c = met.curve(scored, label, score)
-        b = b.crossJoin(met.roc_auc(c)).crossJoin(met.average_precision(c))
+        b = b.withColumn("roc_auc", met.roc_auc(c).scalar()) \
+            .withColumn("average_precision", met.average_precision(c).scalar())
     else:
         b = b.withColumn("roc_auc", F.lit(None).cast("double")).withColumn("average_precision",
                                                                            F.lit(None).cast("double"))

@@ -218,8 +218,8 @@ def basic_metrics(spark, sf_dir):
     s = _scored(spark, sf_dir)
     b = met.basic_metrics(met.confusion_counts(s, "Class", "pred"))
     c = met.curve(s)
-    rk = met.roc_auc(c).crossJoin(met.average_precision(c))
-    allm = b.crossJoin(rk)
+    allm = b.withColumn("roc_auc", met.roc_auc(c).scalar()) \
+        .withColumn("average_precision", met.average_precision(c).scalar())
     names = ["accuracy", "precision", "recall", "f1", "alert_rate", "alert_count"]
     arr = [F.struct(F.lit(f"metrics.{m}").alias("metric"), F.col(m).alias("value")) for m in names]
     arr += [F.struct(F.lit("metrics.roc_auc").alias("metric"), F.col("roc_auc").alias("value")),
@@ -802,12 +802,11 @@ def promote_pipeline(spark, sf_dir):
 def eval_at_threshold(spark, sf_dir):
     """Threshold with the best F1 on the train part, applied to the test part."""
     m, _ = split_ops.mark_split(fx.transactions(spark, sf_dir), "txn_id", "Class", test=0.1, seed=42)
-    thr = met.best_f1_threshold(met.curve(m.where(~F.col("is_test")))).select(F.col("threshold").alias("_thr"))
-    test = m.where(F.col("is_test")).crossJoin(F.broadcast(thr))  # one-row threshold
-    scored = test.withColumn("pred", sc.threshold_label("score", F.col("_thr")))
+    thr = met.best_f1_threshold(met.curve(m.where(~F.col("is_test")))).select("threshold").scalar()
+    scored = m.where(F.col("is_test")).withColumn("pred", sc.threshold_label("score", thr))
     rep = met.classification_report(met.confusion_counts(scored, "Class", "pred"))
-    return rep.crossJoin(thr).select("label", *[r6(c).alias(c) for c in ["precision", "recall", "f1_score", "support"]],
-                                     r6("_thr").alias("threshold"))
+    return rep.select("label", *[r6(c).alias(c) for c in ["precision", "recall", "f1_score", "support"]],
+                      r6(thr).alias("threshold"))
 
 
 @register("score_requests")
