@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.schema import numeric_features, shared_numeric
-from vigil.operators.primitives import exact_quantiles, order_statistics, running_sums, to_long
+from vigil.operators.primitives import exact_quantiles, materialize, order_statistics, running_sums, to_long
 
 EPS = 1e-6
 
@@ -60,7 +60,7 @@ def drift_tables(long: DataFrame, bins: int = 10, with_ks: bool = True) -> tuple
     """PSI (feature, psi, n_ref, n_cur) and KS (feature, ks) from ONE pass of
     cumulative counts over the distinct values: the reference side's
     cumulative counts give the exact quantile edges, both sides' give KS."""
-    d = distinct_counts(long)
+    d = materialize(distinct_counts(long))
     cum = running_sums(d, "value", ["_nr", "_nc"], group="feature", keep_bucket=True)
     q = order_statistics(cum, _interior_probs(bins), "feature", "value", "_nr", "_nr_cum")
     edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
@@ -100,7 +100,7 @@ def psi_by_feature(long: DataFrame, bins: int = 10) -> DataFrame:
 def ks_by_feature(long: DataFrame) -> DataFrame:
     """(feature, ks) — max gap of the right-continuous empirical CDFs,
     evaluated at every observed value; NULL when a side is empty."""
-    d = distinct_counts(long)
+    d = materialize(distinct_counts(long))
     tot = d.groupBy("feature").agg(F.sum("_nr").alias("_tr"), F.sum("_nc").alias("_tc"))
     cum = running_sums(d, "value", ["_nr", "_nc"], group="feature")
     # tot has one row per feature.

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.operators.primitives import _cols, finite, running_sums
+from vigil.operators.primitives import _cols, finite, materialize, running_sums
 
 LOG_EPS = 1e-15
 
@@ -31,9 +31,9 @@ def curve(df: DataFrame, label: str = "Class", score: str = "score",
     """One row per (group, distinct score): pos, neg, tp, fp (cumulative over
     scores >= this one), P, N (group totals)."""
     g = _cols(group)
-    d = _prep(df, label, score, g).groupBy(*g, "_p").agg(
+    d = materialize(_prep(df, label, score, g).groupBy(*g, "_p").agg(
         F.count_if(F.col("_y") == 1).cast("long").alias("pos"),
-        F.count_if(F.col("_y") != 1).cast("long").alias("neg"))
+        F.count_if(F.col("_y") != 1).cast("long").alias("neg")))
     cum = running_sums(d, "_p", ["pos", "neg"], group=g or None, descending=True)
     if g:
         tot = d.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))

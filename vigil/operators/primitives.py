@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.session import shuffle_partitions
+from vigil.session import ensure_checkpoint_dir, shuffle_partitions
 
 INF = float("inf")
 
@@ -42,6 +42,14 @@ def _cols(names: str | Sequence[str] | None) -> list[str]:
     return list(names)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Eager, reliable checkpoint into ``spark.checkpoint.dir``: for tables
+    that feed both a bounds job and a final plan (computed once, lineage cut,
+    recoverable after executor loss). Never ``localCheckpoint``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def finite(c: Column | str) -> Column:
     """Not null, not NaN, not infinite."""
     c = F.col(c) if isinstance(c, str) else c
@@ -281,7 +289,7 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str | Sequen
     counts come from P2, and the two order statistics around ``(n-1)p`` are
     looked up with an equi-join on the bucket that holds them."""
     group = _cols(group)
-    d = long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    d = materialize(long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))
     cum = running_sums(d, value, ["_c"], group=group, keep_bucket=True)
     return order_statistics(cum, probs, group, value, "_c", "_c_cum", out_col, prob_col)
 
