@@ -770,3 +770,12 @@ UNION ALL SELECT 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6), round(
 UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), round(n, 6), threshold FROM r
 UNION ALL SELECT 'weighted avg', round({_d0('p0 * s0 + p1 * s1', 'n')}, 6), round({_d0('r0 * s0 + r1 * s1', 'n')}, 6),
                  round({_d0('f0 * s0 + f1 * s1', 'n')}, 6), round(n, 6), threshold FROM r"""
+
+ORACLE["kernel_density"] = "WITH " + TXN_SQL + """,
+st AS (SELECT min("Amount") AS lo, max("Amount") AS hi, stddev_samp("Amount") AS sd, count(*) AS n,
+              stddev_samp("Amount") * pow(count(*), -1.0 / 5) AS h FROM transactions),
+g AS (SELECT i AS point, lo + i * ((hi - lo) / 49) AS x FROM st, range(0, 50) r(i)),
+k AS (SELECT g.point, g.x, sum(exp(-0.5 * pow((g.x - t."Amount") / st.h, 2))) AS s
+      FROM g, transactions t, st GROUP BY g.point, g.x)
+SELECT CAST(point AS BIGINT) AS point, round(x, 6) AS x,
+       round(s / ((SELECT n FROM st) * (SELECT h FROM st) * sqrt(2 * pi())) * 1e6, 6) AS density_e6 FROM k"""

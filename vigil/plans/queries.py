@@ -833,3 +833,11 @@ def score_requests(spark, sf_dir):
     out = per.withColumn("rank", F.row_number().over(w)).withColumn("alert", (F.col("rank") <= F.col("_cap")).cast("int"))
     return out.select("request_key", F.col("record_idx").cast("long").alias("record_idx"), rid,
                       r6("p_hat").alias("p_hat"), F.col("rank").cast("long").alias("rank"), "alert")
+
+
+@register("kernel_density")
+def kernel_density(spark, sf_dir):
+    """density of Amount on a 50-point grid (reported x 1e6 for the oracle)."""
+    k = st.kernel_density(fx.transactions(spark, sf_dir), "Amount", 50)
+    return k.select(F.col("point").cast("long").alias("point"), r6("x").alias("x"),
+                    r6(F.col("density") * 1e6).alias("density_e6"))
