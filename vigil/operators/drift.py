@@ -174,3 +174,20 @@ def drift_log_metrics(summary: DataFrame) -> DataFrame:
                   F.struct(F.lit("drift.detected").alias("key"),
                            F.col("drift_detected").cast("double").alias("value")))
     return s.select(F.inline(arr)).where(F.col("value").isNotNull())
+
+
+def run_drift_check(reference: DataFrame, current: DataFrame, output_dir: str, run_id: str,
+                    config: DriftConfig = DriftConfig(), features: Iterable[str] | None = None) -> DataFrame:
+    """F16: choose features (B5), build the report (F13) and summary (F14),
+    write both (A8, NaN as NULL) and append the seven run metrics to
+    ``output_dir/metrics`` (A9, NULLs dropped). Returns the logged metrics,
+    read back from the written table."""
+    from vigil.sources.files import log_metrics, write_report
+    # one row per feature, written three times: compute it once
+    report = materialize(drift_report(reference, current, config, features))
+    summary = materialize(drift_summary(report, config))
+    write_report(report, output_dir + "/drift_report", "json")
+    write_report(report, output_dir + "/drift_report_csv", "csv")
+    write_report(summary, output_dir + "/drift_summary", "json")
+    log_metrics(drift_log_metrics(summary), run_id, output_dir + "/metrics")
+    return report.sparkSession.read.parquet(output_dir + "/metrics")

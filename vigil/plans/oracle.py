@@ -779,3 +779,16 @@ k AS (SELECT g.point, g.x, sum(exp(-0.5 * pow((g.x - t."Amount") / st.h, 2))) AS
       FROM g, transactions t, st GROUP BY g.point, g.x)
 SELECT CAST(point AS BIGINT) AS point, round(x, 6) AS x,
        round(s / ((SELECT n FROM st) * (SELECT h FROM st) * sqrt(2 * pi())) * 1e6, 6) AS density_e6 FROM k"""
+
+ORACLE["drift_job"] = "WITH " + _REPORT_CTE + """,
+summ AS (SELECT max(psi) AS psi_max, avg(psi) AS psi_mean, count(*) FILTER (WHERE psi_exceeds) AS pe,
+                max(ks) AS ks_max, avg(ks) AS ks_mean, count(*) FILTER (WHERE ks_exceeds) AS ke FROM report),
+allm AS (
+  SELECT 'drift.psi_max' AS metric, psi_max AS value FROM summ
+  UNION ALL SELECT 'drift.psi_mean', psi_mean FROM summ
+  UNION ALL SELECT 'drift.psi_exceeded_count', CAST(pe AS DOUBLE) FROM summ
+  UNION ALL SELECT 'drift.ks_max', ks_max FROM summ
+  UNION ALL SELECT 'drift.ks_mean', ks_mean FROM summ
+  UNION ALL SELECT 'drift.ks_exceeded_count', CAST(ke AS DOUBLE) FROM summ
+  UNION ALL SELECT 'drift.detected', CASE WHEN pe > 0 OR ke > 0 THEN 1.0 ELSE 0.0 END FROM summ)
+SELECT 'drift-run' AS run_id, metric, round(value, 6) AS value FROM allm WHERE value IS NOT NULL"""

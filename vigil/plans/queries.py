@@ -841,3 +841,12 @@ def kernel_density(spark, sf_dir):
     k = st.kernel_density(fx.transactions(spark, sf_dir), "Amount", 50)
     return k.select(F.col("point").cast("long").alias("point"), r6("x").alias("x"),
                     r6(F.col("density") * 1e6).alias("density_e6"))
+
+
+@register("drift_job")
+def drift_job(spark, sf_dir):
+    """F16 end to end: report and summary written, seven metrics appended and read back."""
+    ref, cur = fx.drift_pair(spark, sf_dir)
+    out = io.scratch_dir(spark, "drift-job")
+    m = drift_ops.run_drift_check(ref, cur, out, run_id="drift-run")
+    return m.select("run_id", F.col("key").alias("metric"), r6("value").alias("value"))
