@@ -251,3 +251,15 @@ def kernel_density(df: DataFrame, column: str, points: int = 50, bandwidth: floa
     norm = 1.0 / (st["n"] * h * (2 * 3.141592653589793) ** 0.5)
     xs = F.element_at(g, F.col("point") + 1)
     return sums.select(F.col("point").cast("int").alias("point"), xs.alias("x"), (F.col("s") * norm).alias("density"))
+
+
+def head_tail(df: DataFrame, order: str, n: int, key: str) -> DataFrame:
+    """H6: the n first and n last rows by ``order`` (ties by ``key``), each a
+    bounded TakeOrdered; rows tagged with ``end`` ('head'/'tail') and position."""
+    from pyspark.sql import Window
+    head = df.orderBy(F.col(order).desc(), F.col(key)).limit(n).withColumn("end", F.lit("head"))
+    tail = df.orderBy(F.col(order).asc(), F.col(key)).limit(n).withColumn("end", F.lit("tail"))
+    both = head.unionByName(tail)
+    # at most 2n rows, one window per end
+    w = Window.partitionBy("end").orderBy(F.when(F.col("end") == "head", -F.col(order)).otherwise(F.col(order)), key)
+    return both.withColumn("position", F.row_number().over(w))

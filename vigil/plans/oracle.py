@@ -792,3 +792,11 @@ allm AS (
   UNION ALL SELECT 'drift.ks_exceeded_count', CAST(ke AS DOUBLE) FROM summ
   UNION ALL SELECT 'drift.detected', CASE WHEN pe > 0 OR ke > 0 THEN 1.0 ELSE 0.0 END FROM summ)
 SELECT 'drift-run' AS run_id, metric, round(value, 6) AS value FROM allm WHERE value IS NOT NULL"""
+
+ORACLE["corr_head_tail"] = "WITH " + TXN_SQL + ",\ntc AS (" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS feature, corr({_q(a)}, \"Class\") AS r FROM transactions"
+    for a in ["Time", "Amount", "V1", "V2", "V3"]) + """),
+h AS (SELECT 'head' AS "end", row_number() OVER (ORDER BY r DESC, feature) AS position, feature, r FROM tc),
+t AS (SELECT 'tail' AS "end", row_number() OVER (ORDER BY r ASC, feature) AS position, feature, r FROM tc)
+SELECT "end", CAST(position AS BIGINT) AS position, feature, round(r, 6) AS r FROM h WHERE position <= 2
+UNION ALL SELECT "end", CAST(position AS BIGINT), feature, round(r, 6) FROM t WHERE position <= 2"""

@@ -850,3 +850,11 @@ def drift_job(spark, sf_dir):
     out = io.scratch_dir(spark, "drift-job")
     m = drift_ops.run_drift_check(ref, cur, out, run_id="drift-run")
     return m.select("run_id", F.col("key").alias("metric"), r6("value").alias("value"))
+
+
+@register("corr_head_tail")
+def corr_head_tail(spark, sf_dir):
+    """H6: strongest and weakest target correlations (sorted head and tail)."""
+    tc = st.target_corr(fx.transactions(spark, sf_dir), fx.TXN_FEATURES)
+    ht = st.head_tail(tc, "r", 2, "feature")
+    return ht.select("end", F.col("position").cast("long").alias("position"), "feature", r6("r").alias("r"))
