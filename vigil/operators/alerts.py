@@ -35,8 +35,10 @@ def alert_budget(df: DataFrame, score: str, key_hex: str, max_alerts: int = DEFA
     ranked = global_rank(df, key_hex, order=score, descending=True, rank_col="rank")
     k = F.least(F.lit(cap), df.agg(F.count(F.lit(1))).scalar()).cast("long")
     alerted = ranked.withColumn("k", k).withColumn("alert", (F.col("rank") <= F.col("k")).cast("int"))
-    # lowest alerted score = the score at rank k (a scalar subquery)
-    th = alerted.where(F.col("alert") == 1).agg(F.min(score)).scalar()
+    # lowest alerted score = the k-th score in the same order: a bounded
+    # TakeOrdered (at most k rows) instead of a second pass of the ranking
+    th = (df.orderBy(F.col(score).desc(), F.col(key_hex).asc()).limit(cap)
+          .agg(F.min(score)).scalar())
     return alerted.withColumn("threshold", F.when(F.col("k") > 0, th).otherwise(F.lit(1.0)))
 
 
