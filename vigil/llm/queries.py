@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from vigil.llm.quality import op1_quality
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op5_exact_dedup": op5_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_exact_dedup": OP5_SQL,
+}
