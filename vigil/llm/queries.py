@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.quality import op1_quality
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_near_dedup": op7_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
