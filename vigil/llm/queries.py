@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from vigil.llm.bpe import op8_bpe
+from vigil.llm.decontaminate import op10_decontaminate
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.quality import op1_quality
+from vigil.llm.token_counts import op6_token_counts
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_near_dedup": op7_near_dedup,
+    "op8_bpe": op8_bpe,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
