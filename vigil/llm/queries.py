@@ -7,10 +7,12 @@ from vigil.llm.decontaminate import op10_decontaminate
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.quality import op1_quality
+from vigil.llm.sharding import op2_sharding
 from vigil.llm.token_counts import op6_token_counts
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_sharding": op2_sharding,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_near_dedup": op7_near_dedup,
