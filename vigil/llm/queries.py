@@ -5,6 +5,7 @@ from __future__ import annotations
 from vigil.llm.bpe import op8_bpe
 from vigil.llm.decontaminate import op10_decontaminate
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from vigil.llm.html_text import op4_html_text
 from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.quality import op1_quality
 from vigil.llm.sharding import op2_sharding
@@ -13,6 +14,7 @@ from vigil.llm.token_counts import op6_token_counts
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
+    "op4_html_text": op4_html_text,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_near_dedup": op7_near_dedup,
