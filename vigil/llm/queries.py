@@ -7,6 +7,7 @@ from vigil.llm.decontaminate import op10_decontaminate
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from vigil.llm.html_text import op4_html_text
 from vigil.llm.near_dedup import op7_near_dedup
+from vigil.llm.ngram_lm import OP3_SQL, op3_ngram_lm
 from vigil.llm.quality import op1_quality
 from vigil.llm.sharding import op2_sharding
 from vigil.llm.token_counts import op6_token_counts
@@ -14,6 +15,7 @@ from vigil.llm.token_counts import op6_token_counts
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
+    "op3_ngram_lm": op3_ngram_lm,
     "op4_html_text": op4_html_text,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_ngram_lm": OP3_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
