@@ -9,6 +9,7 @@ from vigil.llm.html_text import op4_html_text
 from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.ngram_lm import OP3_SQL, op3_ngram_lm
 from vigil.llm.quality import op1_quality
+from vigil.llm.secrets import op9_secrets
 from vigil.llm.sharding import op2_sharding
 from vigil.llm.token_counts import op6_token_counts
 
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_near_dedup": op7_near_dedup,
     "op8_bpe": op8_bpe,
+    "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
 }
 
