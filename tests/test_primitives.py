@@ -72,4 +72,27 @@ def test_refinement_paths_are_exercised(spark, tiny_buckets):
     df = _tied_frame(spark)
     P.global_rank(df, "k", order="v", rank_col="r").count()
     kinds = {e[0] for e in P.LEVEL_LOG}
-    assert "hex" in kinds and 0 in kinds
+    assert "key" in kinds and 0 in kinds
+
+
+KEYS = {
+    "bigint": "i", "decimal text": "cast(i as string)", "T text": "format_string('T%05d', i)",
+    "md5": "md5(cast(i as string))", "date": "date_add(date'2000-01-01', cast(i as int))",
+}
+
+
+def test_rank_is_the_same_for_every_key_and_size(spark):
+    for n in (1000, 60000):
+        for name, key in KEYS.items():
+            df = spark.range(n).withColumnRenamed("id", "i").withColumn("k", F.expr(key)).withColumn("s", F.lit(0.5)).repartition(6)
+            got = P.global_rank(df, "k", rank_col="r").join(P.global_rank(df, "k", order="s", rank_col="r3").select("i", "r3"), "i")
+            want = df.withColumn("r2", F.row_number().over(Window.orderBy("k"))).select("i", "r2")
+            assert got.join(want, "i").where("r != r2 OR r3 != r2").count() == 0, (n, name)
+
+
+def test_null_groups_are_kept(spark, tiny_buckets):
+    df = _tied_frame(spark).withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    got = P.global_rank(df, "k", order="v", group="g", rank_col="r")
+    want = df.withColumn("r2", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), "k")))
+    assert got.count() == df.count()
+    assert got.join(want, "i").where("r != r2").count() == 0

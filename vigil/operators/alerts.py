@@ -21,24 +21,26 @@ DEFAULT_ALERT_CAP = 100
 
 def resolve_cap(outer: Column, inner: Column | None = None, default: int = DEFAULT_ALERT_CAP) -> Column:
     """H3: request value, else the inner value, else the default; an outer 0
-    falls through to the inner one (as the nested request shape does)."""
-    parts = [F.nullif(outer, F.lit(0))]
-    if inner is not None:
-        parts.append(inner)
-    return F.coalesce(*parts, F.lit(default))
+    falls through to an inner one (as the nested request shape does) and is
+    kept when there is none: a cap of 0 means no alerts."""
+    if inner is None:
+        return F.coalesce(outer, F.lit(default))
+    return F.coalesce(F.nullif(outer, F.lit(0)), inner, outer, F.lit(default))
 
 
 def alert_budget(df: DataFrame, score: str, key_hex: str, max_alerts: int = DEFAULT_ALERT_CAP) -> DataFrame:
     """H1 over a whole table: rank (score desc, key asc), alert = rank <= k with
-    k = min(max(cap, 0), n); threshold = lowest alerted score, 1.0 if k = 0."""
+    k = min(max(cap, 0), n); threshold = lowest alerted score, 1.0 if k = 0.
+    Missing scores (NULL, NaN) rank last."""
     cap = max(int(max_alerts), 0)
-    ranked = global_rank(df, key_hex, order=score, descending=True, rank_col="rank")
+    df = df.withColumn("_rank_score", F.when(~F.isnan(score), F.col(score)))
+    ranked = global_rank(df, key_hex, order="_rank_score", descending=True, rank_col="rank").drop("_rank_score")
     k = F.least(F.lit(cap), df.agg(F.count(F.lit(1))).scalar()).cast("long")
     alerted = ranked.withColumn("k", k).withColumn("alert", (F.col("rank") <= F.col("k")).cast("int"))
     # lowest alerted score = the k-th score in the same order: a bounded
     # TakeOrdered (at most k rows) instead of a second pass of the ranking
-    th = (df.orderBy(F.col(score).desc(), F.col(key_hex).asc()).limit(cap)
-          .agg(F.min(score)).scalar())
+    th = (df.orderBy(F.col("_rank_score").desc(), F.col(key_hex).asc()).limit(cap)
+          .agg(F.min("_rank_score")).scalar())
     return alerted.withColumn("threshold", F.when(F.col("k") > 0, th).otherwise(F.lit(1.0)))
 
 
@@ -50,7 +52,7 @@ def alert_budget_per_batch(df: DataFrame, score: str, key: str, batch_col: str =
     if max_alerts is None and not 0.0 <= alert_rate <= 1.0:
         raise ValueError("alert_rate must be between 0.0 and 1.0.")
     wb = Window.partitionBy(batch_col)
-    w = wb.orderBy(F.col(score).desc(), F.col(key).asc())
+    w = wb.orderBy(F.when(~F.isnan(score), F.col(score)).desc(), F.col(key).asc())  # missing scores last
     out = df.withColumn("batch_rows", F.count(F.lit(1)).over(wb))
     cap = F.lit(max(int(max_alerts), 0)) if max_alerts is not None else \
         F.ceil(F.lit(float(alert_rate)) * F.col("batch_rows"))

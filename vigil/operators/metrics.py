@@ -16,32 +16,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.operators.primitives import _cols, finite, materialize, running_sums
+from vigil.operators.primitives import _cols, _null_safe, finite, materialize, running_sums
 
 LOG_EPS = 1e-15
 
 
 def _prep(df: DataFrame, label: str, score: str, group: list[str]) -> DataFrame:
-    return df.select(*group, F.col(label).cast("int").alias("_y"), F.col(score).cast("double").alias("_p")) \
-        .where(finite("_p"))
+    p = F.col(score).cast("double")
+    return df.select(*group, F.col(label).cast("int").alias("_y"), F.when(finite(p), p).alias("_p"))
 
 
 def curve(df: DataFrame, label: str = "Class", score: str = "score",
-          group: str | Sequence[str] | None = None) -> DataFrame:
+          group: str | Sequence[str] | None = None, drop_missing: bool = False) -> DataFrame:
     """One row per (group, distinct score): pos, neg, tp, fp (cumulative over
-    scores >= this one), P, N (group totals)."""
+    scores >= this one), P, N (group totals).
+
+    A group in which any score is missing (NULL, NaN, infinite) has NULL totals
+    and so no AP or AUC, unless ``drop_missing`` leaves such rows out (for
+    features, whose missing values are no failure of a model)."""
     g = _cols(group)
-    d = materialize(_prep(df, label, score, g).groupBy(*g, "_p").agg(
+    every = materialize(_prep(df, label, score, g).groupBy(*g, "_p").agg(
         F.count_if(F.col("_y") == 1).cast("long").alias("pos"),
         F.count_if(F.col("_y") != 1).cast("long").alias("neg")))
+    d = every.where(F.col("_p").isNotNull())
+    whole = F.lit(True) if drop_missing else F.count("_p") == F.count(F.lit(1))
+    pos, neg = F.when(whole, F.sum("pos")).alias("P"), F.when(whole, F.sum("neg")).alias("N")
     cum = running_sums(d, "_p", ["pos", "neg"], group=g or None, descending=True)
     if g:
-        tot = d.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        tot = every.groupBy(*g).agg(pos, neg)
         # tot has one row per group.
-        j = cum.join(F.broadcast(tot), g, "inner")
+        j = _null_safe(cum, tot, g, "inner")
     else:
         # whole-table totals as scalar subqueries
-        j = cum.withColumn("P", d.agg(F.sum("pos")).scalar()).withColumn("N", d.agg(F.sum("neg")).scalar())
+        j = cum.withColumn("P", every.agg(pos).scalar()).withColumn("N", every.agg(neg).scalar())
     return j.select(*g, F.col("_p").alias("threshold"), "pos", "neg",
                     F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"), "P", "N")
 
@@ -208,7 +215,7 @@ def feature_ap(df: DataFrame, features: Sequence[str], label: str = "Class") ->
         .unpivot(["_y"], list(features), "feature", "value")
     both = long.select("feature", "_y", F.col("value").alias("v"), F.lit("+").alias("sign")).unionByName(
         long.select("feature", "_y", (-F.col("value")).alias("v"), F.lit("-").alias("sign")))
-    c = curve(both, "_y", "v", group=["feature", "sign"])
+    c = curve(both, "_y", "v", group=["feature", "sign"], drop_missing=True)
     ap = average_precision(c, ["feature", "sign"])
     wide = ap.groupBy("feature").pivot("sign", ["+", "-"]).agg(F.first("average_precision"))
     pos, neg = F.col("`+`"), F.col("`-`")

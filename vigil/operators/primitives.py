@@ -9,10 +9,9 @@ Both P1 and P2 cut the order into buckets whose bounds are collected once
 (a bounded list of numbers, so every later branch of the plan sees the same
 literals), count rows per bucket in a small table, turn those counts into
 offsets with a window over that small table, and finish with a window that is
-partitioned by (group, bucket). Hot tied values are split further by a prefix
-of a uniformly distributed hex key (md5), whose length is chosen from the
-per-bucket counts, so one value holding a third of the rows still spreads over
-many tasks.
+partitioned by (group, bucket). Hot tied values are split further by bounds on
+the key in its own order, so one value holding a third of the rows still spreads
+over many tasks.
 """
 
 from __future__ import annotations
@@ -121,19 +120,69 @@ LEVEL_LOG: list = []  # (level, refined buckets, single-value buckets), for test
 MIN_BUCKET_ROWS = 20000
 
 
-def _hex_len(rows: float, target: float) -> int:
-    return min(6, max(1, math.ceil(math.log(rows / target, 16))))
-
-
-def _apply_hex(work: DataFrame, spark: SparkSession, group: list[str], key_hex: str,
-               lens: list[tuple], ofield: list) -> DataFrame:
-    """Append a key-prefix level to the listed single-value buckets."""
+KEY_BOUNDS = 512  # at most so many bounds cut one single-value bucket by its key
+
+
+def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a small table by columns in which NULL equals NULL (a NULL group is a group)."""
+    small = right.select(*[F.col(c).alias(f"_j_{c}") if c in cols else F.col(c) for c in right.columns])
+    if not cols:
+        return left.join(F.broadcast(small), how=how)
+    cond = None
+    for c in cols:
+        same = left[c].eqNullSafe(small[f"_j_{c}"])
+        cond = same if cond is None else cond & same
+    out = left.join(F.broadcast(small), cond, how)
+    return out if how == "left_semi" else out.drop(*[f"_j_{c}" for c in cols])
+
+
+def _key_number(key: str, kind: T.DataType, skip: Column) -> Column:
+    """A double that never falls as the key rises in Spark's own order: the
+    number itself, or of other keys six bytes of their text behind the ``skip``
+    leading bytes that all keys of the bucket share."""
+    if isinstance(kind, T.NumericType):
+        return F.col(key).cast("double")
+    if not isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.unix_micros(F.col(key).cast("timestamp")).cast("double") if isinstance(kind, (T.DateType, T.TimestampType)) \
+            else F.lit(0.0)
+    part = F.rpad(F.expr(f"substring(hex(`{key}`), 2 * _skip + 1, 12)"), 12, "0")
+    return F.when(F.col(key).isNotNull(), F.conv(part, 16, 10).cast("double"))
+
+
+def _common_bytes(lo, hi) -> int:
+    if lo is None or hi is None:
+        return 0
+    x = lo.encode() if isinstance(lo, str) else bytes(lo)
+    y = hi.encode() if isinstance(hi, str) else bytes(hi)
+    n = 0
+    while n < min(len(x), len(y)) and x[n] == y[n]:
+        n += 1
+    return n
+
+
+def _split_by_key(work: DataFrame, spark: SparkSession, group: list[str], key: str, picked: list[tuple],
+                  rows: float, target: int, ofield: list) -> DataFrame:
+    """Append a level to the listed single-value buckets: bounds on the key's
+    own order, so that ranks stay the same at every size and for every key type."""
+    kind = work.schema[key].dataType
     bschema = T.StructField("_b", T.ArrayType(T.IntegerType()), True)
-    ldf = spark.createDataFrame(lens, T.StructType(ofield + [bschema, T.StructField("_hl", T.IntegerType())]))
-    return (work.join(F.broadcast(ldf), [*group, "_b"], "left")
-            .withColumn("_b", F.when(F.col("_hl").isNull(), F.col("_b")).otherwise(F.concat(
-                "_b", F.array(F.conv(F.expr(f"substring({key_hex}, 1, _hl)"), 16, 10).cast("int")))))
-            .drop("_hl"))
+    sel = spark.createDataFrame(picked, T.StructType([*ofield, bschema]))
+    sub = _null_safe(work, sel, [*group, "_b"], "left_semi")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        ends = sub.groupBy(*group, "_b").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
+        skips = [tuple(r[g] for g in group) + (list(r["_b"]), _common_bytes(r["lo"], r["hi"])) for r in ends]
+    else:
+        skips = [(*p, 0) for p in picked]
+    stable = spark.createDataFrame(skips, T.StructType([*ofield, bschema, T.StructField("_skip", T.IntegerType())]))
+    n_bounds = int(min(KEY_BOUNDS, max(4, math.ceil(2 * rows / target))))
+    numbered = _null_safe(sub, stable, [*group, "_b"]).withColumn("_kn", _key_number(key, kind, F.col("_skip")))
+    info = _bounds_info(numbered.select(*group, "_b", "_kn"), [*group, "_b"], "_kn", n_bounds)
+    bt = _bounds_df(spark, work, group, [(gv[:-1] + (list(gv[-1]),), b, m, n) for gv, b, m, n in info], ["_b"])
+    small = _null_safe(stable, bt, [*group, "_b"])
+    out = _null_safe(work, small, [*group, "_b"]).withColumn("_kn", _key_number(key, kind, F.col("_skip")))
+    return (out.withColumn("_b", F.when(F.col("_bounds").isNull(), F.col("_b")).otherwise(
+                F.concat("_b", F.array(_value_bucket("_kn", "_bounds", False)))))
+            .drop("_skip", "_kn", "_bounds"))
 
 
 def order_buckets(df: DataFrame, group: list[str], order: str | None, descending: bool,
@@ -147,7 +196,7 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
     also returns the row count). The quantile guarantee bounds every bucket's
     size, so buckets are only counted when that bound exceeds the target;
     then over-full buckets are refined level by level with finer bounds, and
-    buckets holding a single value are split by a prefix of ``key_hex``.
+    buckets holding a single value are cut by bounds on ``key_hex`` itself.
     """
     spark = df.sparkSession
     n_bounds = n_bounds or DEFAULT_BOUNDS
@@ -165,10 +214,10 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
         total = sum(group_counts.values())
         target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * parts)))
         work = df.withColumn("_b", F.array(F.lit(0)))
-        lens = [tuple(gv) + ([0], _hex_len(n, target)) for gv, n in group_counts.items() if n > target]
+        lens = [tuple(gv) + ([0],) for gv, n in group_counts.items() if n > target]
         if lens and key_hex is not None:
-            LEVEL_LOG.append(("hex", len(lens)))
-            work = _apply_hex(work, spark, group, key_hex, lens, ofield)
+            LEVEL_LOG.append(("key", len(lens)))
+            work = _split_by_key(work, spark, group, key_hex, lens, max(group_counts.values()), target, ofield)
         return work
 
     info = _bounds_info(df.select(*group, order), group, order, n_bounds)
@@ -176,14 +225,14 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
     target = max(MIN_BUCKET_ROWS, math.ceil(total / (4 * parts)))
     if group:
         bt = _bounds_df(spark, df, group, info)
-        work = df.join(F.broadcast(bt), group, "left")
+        work = _null_safe(df, bt, group)
     else:  # one bounds list: a literal array, no join
         work = df.withColumn("_bounds", F.array(*[F.lit(float(b)) for b in info[0][1]]).cast("array<double>"))
     work = work.withColumn("_b", F.array(_value_bucket(order, "_bounds", descending))).drop("_bounds")
 
     # Size bounds from the quantile guarantee (rank error n / accuracy).
     need_count = False
-    lens = []
+    lens, largest = [], 0.0
     for gv, bounds, mult, n in info:
         step, err = n / n_bounds, 2 * n / BOUND_ACCURACY
         if step + 2 * err > target:
@@ -192,11 +241,12 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
             est = (m + 1) * step + 2 * err
             if est > target and key_hex is not None:
                 code = 2 * (len(bounds) - 1 - i) + 1 if descending else 2 * i + 1
-                lens.append(tuple(gv) + ([code], _hex_len(est, target)))
+                lens.append(tuple(gv) + ([code],))
+                largest = max(largest, est)
     if not need_count:
         if lens:
-            LEVEL_LOG.append(("hex", len(lens)))
-            work = _apply_hex(work, spark, group, key_hex, lens, ofield)
+            LEVEL_LOG.append(("key", len(lens)))
+            work = _split_by_key(work, spark, group, key_hex, lens, largest, target, ofield)
         return work
 
     for level in range(MAX_LEVELS + 1):
@@ -209,20 +259,20 @@ def order_buckets(df: DataFrame, group: list[str], order: str | None, descending
             LEVEL_LOG.append((level, len(multi), len(single)))
             sel = spark.createDataFrame([tuple(r[g] for g in group) + (list(r["_b"]),) for r in multi],
                                         T.StructType(ofield + [bschema]))
-            sub = work.join(F.broadcast(sel), [*group, "_b"], "left_semi")
+            sub = _null_safe(work, sel, [*group, "_b"], "left_semi")
             binfo = _bounds_info(sub.select(*group, "_b", order), [*group, "_b"], order, n_bounds)
             bt2 = _bounds_df(spark, df, group, [(gv[:-1] + (list(gv[-1]),), b, m, n) for gv, b, m, n in binfo],
                              ["_b"])
-            work = (work.join(F.broadcast(bt2), [*group, "_b"], "left")
+            work = (_null_safe(work, bt2, [*group, "_b"])
                     .withColumn("_b", F.when(F.col("_bounds").isNull(), F.col("_b")).otherwise(
                         F.concat("_b", F.array(_value_bucket(order, "_bounds", descending)))))
                     .drop("_bounds"))
             if not single:
                 continue
         if single and key_hex is not None:
-            LEVEL_LOG.append(("hex", len(single)))
-            lens = [tuple(r[g] for g in group) + (list(r["_b"]), _hex_len(r["_cnt"], target)) for r in single]
-            work = _apply_hex(work, spark, group, key_hex, lens, ofield)
+            LEVEL_LOG.append(("key", len(single)))
+            lens = [tuple(r[g] for g in group) + (list(r["_b"]),) for r in single]
+            work = _split_by_key(work, spark, group, key_hex, lens, max(r["_cnt"] for r in single), target, ofield)
         break
     return work
 
@@ -232,8 +282,8 @@ def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descendin
                 n_bounds: int | None = None, group_counts: dict | None = None) -> DataFrame:
     """Exact ``row_number`` over (group..., order [desc], key_hex asc).
 
-    ``key_hex`` must be a unique, uniformly distributed lower-case hex string
-    (for example an md5); it breaks ties and splits hot buckets.
+    ``key_hex`` names a unique key of any orderable type; it breaks ties in its
+    own order, and bounds on it split hot buckets. NULL groups are a group.
     """
     group = _cols(group)
     work = order_buckets(df, group, order, descending, key_hex, n_bounds, group_counts)
@@ -249,7 +299,7 @@ def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descendin
     w = Window.partitionBy(*bucket).orderBy(*o)
     ranked = work.withColumn("_rn", F.row_number().over(w))
     # offsets has one row per non-empty bucket: about 4 x shuffle partitions rows.
-    out = (ranked.join(F.broadcast(offsets), bucket, "inner")
+    out = (_null_safe(ranked, offsets, bucket, "inner")
            .withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("long"))
            .drop("_b", "_rn", "_off"))
     return out
@@ -275,7 +325,7 @@ def running_sums(df: DataFrame, value: str, sums: Sequence[str], group: str | Se
     ordc = F.col(value).desc() if descending else F.col(value).asc()
     w = Window.partitionBy(*bucket).orderBy(ordc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = work.select("*", *[F.sum(s).over(w).alias(f"_w_{s}") for s in sums])
-    out = within.join(F.broadcast(offsets), bucket, "inner")
+    out = _null_safe(within, offsets, bucket, "inner")
     out = out.select(*[c for c in df.columns], *(["_b"] if keep_bucket else []),
                      *[(F.col(f"_o_{s}") + F.col(f"_w_{s}")).alias(f"{s}{inclusive_suffix}") for s in sums])
     return out

@@ -101,9 +101,10 @@ def prod_metrics(assets: DataFrame, run_metrics: DataFrame, metric: str) -> Data
     value of ``metric`` (NULL when the run or the value is missing)."""
     latest = latest_versions(assets).select(F.col("name"), F.col("version").alias("prod_version"),
                                             run_of_tags("tags").alias("prod_run_id"))
-    m = run_metrics.where(F.col("key") == metric).select(F.col("run_id").alias("prod_run_id"),
+    m = run_metrics.where(F.col("key") == metric).select(F.col("run_id").alias("prod_run_id"), "key",
                                                          F.col("value").alias("prod_value"))
-    return latest.join(m, "prod_run_id", "left").select("name", F.lit(metric).alias("metric"), "prod_version",
+    # taken from the data where there is any, so that the join in ``decide`` stays an equi-join
+    return latest.join(m, "prod_run_id", "left").select("name", F.coalesce("key", F.lit(metric)).alias("metric"), "prod_version",
                                                         "prod_run_id", "prod_value")
 
 
@@ -111,9 +112,10 @@ def decide(candidate: DataFrame, prod: DataFrame, epsilon: float = 0.0, delta: f
            min_threshold: float | None = None, prod_model_name: str | None = None) -> DataFrame:
     """J4 + J7: candidate (metric, direction, run_id, metric_value) against
     every production model row (name, metric, prod_*) of the same metric: one
-    decision per model (an equi-join on the metric name)."""
+    decision per model (an equi-join on the metric name). Without a production
+    model the candidate has one decision of its own, with a NULL name."""
     keys = ["name"] if "name" in candidate.columns else ["metric"]
-    j = candidate.join(prod, keys)
+    j = candidate.join(prod, keys, "left")
     meets = meets_min("metric_value", "direction", min_threshold)
     same = is_same("metric_value", "prod_value", epsilon, delta)
     better = is_better("metric_value", "prod_value", "direction", epsilon, delta)

@@ -55,7 +55,7 @@ def _hash(key: str, *salt) -> F.Column:
 
 
 def _size_map(sizes: dict):
-    return F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(int(v)))])
+    return F.create_map(*[x for k, v in sizes.items() if k is not None for x in (F.lit(k), F.lit(int(v)))])
 
 
 def mark_split(df: DataFrame, key: str, label: str = "Class", test: float = 0.1, seed: int = 42,
@@ -74,7 +74,8 @@ def mark_split(df: DataFrame, key: str, label: str = "Class", test: float = 0.1,
         return df.withColumn(flag, F.lit(False)), sizes
     ranked = global_rank(h, "_sh", group=label if stratify else None, rank_col="_srk",
                          group_counts=counts if stratify else None)
-    bound = F.element_at(_size_map(sizes), F.col(label)) if stratify else F.lit(sizes["__all__"])
+    # rows without a label are a stratum of their own
+    bound = F.coalesce(F.element_at(_size_map(sizes), F.col(label)), F.lit(sizes.get(None, 0))) if stratify else F.lit(sizes["__all__"])
     return ranked.withColumn(flag, F.col("_srk") <= bound).drop("_sh", "_srk"), sizes
 
 

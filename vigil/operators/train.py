@@ -79,7 +79,8 @@ def gbt(params: dict | None = None, label: str = "Class", weight: str | None = "
     """A boosted-tree estimator with the variant's defaults."""
     p = dict(XGB_DEFAULTS if variant == "xgb" else LGBM_DEFAULTS)
     p.update(params or {})
-    p["stepSize"] = min(max(float(p["stepSize"]), 1e-6), 1.0)
+    if not 0.0 < float(p["stepSize"]) <= 1.0:
+        raise ValueError(f"stepSize must be above 0 and at most 1, not {p['stepSize']}")
     if weight:
         p["weightCol"] = weight
     if validation:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.scalars import coerce_label, normalize_metric
 from vigil.operators import alerts as alert_ops
 from vigil.operators import drift as drift_ops
 from vigil.operators import metrics as met
@@ -67,7 +68,9 @@ def prepare(df: DataFrame, key: str, label: str = "Class", test: float = 0.1, se
 
 def evaluate(scored: DataFrame, label: str = "Class", pred: str = "pred", score: str | None = "score") -> DataFrame:
     """M2: (metric, value) rows: accuracy, precision, recall, f1, alert rate
-    and count, ROC-AUC and AP (NULL without scores)."""
+    and count, ROC-AUC and AP (NULL without scores, or if any score is
+    missing). Labels are coerced first (B8): an unreadable one counts as 0."""
+    scored = scored.withColumn(label, coerce_label(F.col(label), scored.schema[label].dataType))
     b = met.basic_metrics(met.confusion_counts(scored, label, pred))
     if score:
         c = met.curve(scored, label, score)
@@ -119,7 +122,10 @@ def promote(best: DataFrame, assets: DataFrame, run_metrics: DataFrame, metric:
     """M4: decide for every model name; the decisions gate later publishing
     (a promoted name would be re-scored / registered by the caller). A dry
     run writes nothing."""
-    prod = reg.prod_metrics(assets, run_metrics, metric)
+    named = assets.sparkSession.range(1).select(normalize_metric(F.lit(metric)).alias("m")).select("m.*").first()
+    if not named["valid"]:
+        raise ValueError(f"Unknown metric: {metric}")
+    prod = reg.prod_metrics(assets, run_metrics, named["bare"])
     d = reg.decide(best, prod, epsilon, delta, min_threshold)
     if output and not dry_run:
         d.write.mode("append").parquet(output)
