@@ -35,7 +35,7 @@ from vigil.llm.pieces import Splitter, byte_chars
 
 LIMIT = 1024
 #: Pieces whose count a worker remembers; the memo is emptied when it is full.
-MEMO = 300_000
+MEMO = 1_000_000
 #: Bytes up to which a piece is remembered (longer ones are rare and large).
 MEMO_BYTES = 64
 
@@ -72,13 +72,10 @@ class PrefixCounter:
         self.special = regex.compile("|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
         self.split = Splitter(public_tokenizers.PATTERN)
         self.memo: dict[str, int] = {}
-        self.fit_memo: dict[tuple[int, int], bool] = {}
+        self.fit_memo: dict[int, bool] = {}  # by a << 20 | b
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the text of tokens a and b is encoded as just a and b."""
-        known = self.fit_memo.get((a, b))
-        if known is not None:
-            return known
         xs, ys, rank, merge = self.right[a], self.left[b], self.rank, self.merge
         i = j = 0
         far = len(self.merge) + 1
@@ -96,25 +93,28 @@ class PrefixCounter:
                 i += 1
             else:
                 j += 1
-        if len(self.fit_memo) >= 2 * MEMO:
+        if len(self.fit_memo) >= MEMO:
             self.fit_memo.clear()
-        self.fit_memo[(a, b)] = ok
+        self.fit_memo[a << 20 | b] = ok
         return ok
 
     def prefixes(self, piece: bytes) -> list[int]:
         """Token counts of piece[:0], piece[:1], ... piece[:]."""
         n = len(piece)
-        count, last = [0] * (n + 1), [-1] * (n + 1)
-        ids, fits, longest = self.ids, self.fits, self.longest
+        count, last = [0] * (n + 1), [0] * (n + 1)
+        ids, fits, longest, known = self.ids.get, self.fits, self.longest, self.fit_memo.get
         for i in range(1, n + 1):
-            for k in range(max(0, i - longest), i):  # long tokens first
-                t = ids.get(piece[k:i])
-                if t is not None and (k == 0 or fits(last[k], t)):
-                    if k == 0 and len(self.left[t]) == 1 and i > 1:
-                        continue  # a token that no merges lead to
-                    last[i] = t
-                    count[i] = count[k] + 1
-                    break
+            t = ids(piece[:i]) if i <= longest else None
+            if t is not None and (i == 1 or len(self.left[t]) > 1):  # else no merges lead to it
+                last[i], count[i] = t, 1
+                continue
+            for k in range(max(1, i - longest), i):  # long tokens first
+                t = ids(piece[k:i])
+                if t is not None:
+                    ok = known(last[k] << 20 | t)
+                    if ok or ok is None and fits(last[k], t):
+                        last[i], count[i] = t, count[k] + 1
+                        break
         return count
 
     def piece(self, piece: str) -> int:
