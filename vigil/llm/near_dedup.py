@@ -15,12 +15,14 @@ shingle). Two texts are linked when 100 * |A & B| >= percent * |A | B|.
    gives m - 1 candidate edges, a star around its smallest member.
 4. Candidates are confirmed on the full sets; confirmed links give components.
 5. A star alone can miss a link between two members that are both unlike the
-   hub. So in every bucket that still holds several components, the members
-   outside its largest component are tested against another hub, drawn at
-   random from that component, until a round finds no new link (at most
-   ``HUB_ROUNDS``). A linked pair shares 16 of the 42 bands on average, each
-   with its own hub. All pairs of a bucket are never emitted, so this is a high
-   recall and not a proof; the README has the measured figures.
+   hub. So in every bucket that still holds several components, each member
+   outside its largest component meets the members of the other components,
+   once for each pair (in the first band that both share), unless no link is
+   possible: two sets are linked only if both have at least
+   percent / (100 + percent) * (|A| + |B|) shingles in common with any other
+   set at all, and shingles that a single set has are counted beforehand.
+   After that, all pairs that share a bucket are connected, tested or proved
+   unlike. Pairs inside a component are never emitted.
 
 With 42 bands of 6, two sets at similarity 0.8 share no band with probability
 3e-6, at 0.85 with 2e-9.
@@ -46,8 +48,6 @@ from vigil.llm.components import components
 
 BINS, BANDS, WIDTH = 256, 42, 6
 SHINGLE = 5
-#: Rounds of further hubs for buckets that hold several components.
-HUB_ROUNDS = 4
 #: Of a hundred: the similarity of the query and of the pipeline's stage.
 QUERY_PERCENT, STAGE_PERCENT = 85, 80
 #: Up to so many ids the candidates or dropped rows are broadcast to a text scan; beyond it they are joined by shuffle.
@@ -141,6 +141,30 @@ def _near_size(n: str, m: str, percent: int):
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
 
+def _able(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, shared): the nodes that can have a link among ``nodes``.
+
+    ``shared`` counts the shingles that another of the nodes has too. A link
+    needs at least percent of a hundred of a set to be shared, so nodes below
+    are taken out; that lowers the counts of others, so it is done twice.
+    """
+
+    def spread(batches):
+        for b in batches:
+            each = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)]
+            rep = b.column(0).take(pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each])))
+            yield pa.RecordBatch.from_arrays([rep, pa.array(np.concatenate(each) if each else np.zeros(0, np.int64))], ["rep", "h"])
+
+    kind = nodes.schema["rep"].dataType.simpleString()
+    for _ in range(2):
+        of = sets.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "shingles")
+        single = map_arrow(of, spread, f"rep {kind}, h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep")).where("c = 1")
+        alone = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+        nodes = cut(nodes.select("rep", "n").join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+                    .where(F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("n")))
+    return nodes
+
+
 def near_dedup(docs: DataFrame, percent: int = QUERY_PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (see the module)."""
     source = only(docs, doc_id=id_col, text=text_col)
@@ -148,9 +172,9 @@ def near_dedup(docs: DataFrame, percent: int = QUERY_PERCENT, id_col: str = "doc
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     reps = cut(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
 
-    entries = reps.select("rep", "n", F.explode("bands").alias("key"))
+    entries = reps.select("rep", "n", F.posexplode("bands").alias("band", "key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("hub")).where("size > 1").drop("size")
-    members = cut(entries.join(shared, "key").select("key", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")))
+    members = cut(entries.join(shared, "key").select("key", "band", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")))
     star = cut(members.where((F.col("rep") != F.col("hub")) & _near_size("n", "hub_n", percent)).select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct())
 
     wanted = cut(members.select("rep").distinct())
@@ -159,21 +183,25 @@ def near_dedup(docs: DataFrame, percent: int = QUERY_PERCENT, id_col: str = "doc
     links = cut(confirmed(star, sets, percent))
     comps = components(links, "a", "b")
 
-    tested = star
-    for turn in range(1, HUB_ROUNDS + 1):  # other hubs for the buckets that still hold several components
-        placed = members.join(comps, members["rep"] == comps["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-        drawn = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), F.col("rep").alias("hub"), F.col("n").alias("hub_n"))).alias("hub")
-        sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"), drawn)
-        top = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp", "hub")).alias("top")).where("comps > 1")
-        pairs = (placed.join(top.select("key", F.col("top.comp").alias("top"), F.col("top.hub.hub").alias("hub"), F.col("top.hub.hub_n").alias("hub_n")), "key")
-                 .where((F.col("comp") != F.col("top")) & _near_size("n", "hub_n", percent))
-                 .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct())
-        fresh = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        more = cut(confirmed(fresh, sets, percent))
-        if more.isEmpty():
-            break
-        tested, links = tested.unionByName(fresh), links.unionByName(more)
-        comps = components(links, "a", "b")
+    # buckets that still hold several components: members outside the largest one against the members of the others
+    placed = cut(members.join(comps, members["rep"] == comps["node"], "left").select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("comp")))
+    groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
+    most = groups.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp")).alias("top")).where("comps > 1")
+    split = cut(placed.join(most.select("key", F.col("top.comp").alias("top")), "key"))
+    if not split.isEmpty():
+        able = _able(split.select("rep", "n").distinct(), sets, percent)
+        nodes = able.join(reps.select(F.col("rep").alias("r"), "bands"), F.col("rep") == F.col("r")).select("rep", "shared", "bands")
+        rows_in = split.join(cut(nodes), "rep")
+        mine = rows_in.where("comp != top").select("key", "band", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_comp"), F.col("shared").alias("a_s"), F.col("bands").alias("a_b"))
+        others = rows_in.select("key", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_comp"), F.col("shared").alias("b_s"), F.col("bands").alias("b_b"), "top")
+        earlier = F.exists(F.zip_with(F.slice("a_b", 1, F.col("band")), F.slice("b_b", 1, F.col("band")), lambda x, y: x == y), lambda same: same)
+        rest = (mine.join(others, "key")
+                .where((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a") > F.col("b"))) & _near_size("a_n", "b_n", percent)
+                       & ((100 + percent) * F.least("a_s", "b_s") >= percent * (F.col("a_n") + F.col("b_n"))) & ~earlier)
+                .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        more = cut(confirmed(rest.join(star, ["a", "b"], "left_anti"), sets, percent))
+        if not more.isEmpty():
+            comps = components(links.unionByName(more), "a", "b")
 
     labels = reps.join(comps, reps["rep"] == comps["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
     in_sets = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
