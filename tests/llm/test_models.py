@@ -1,0 +1,104 @@
+"""Quality classifier, HTML blocks, language model and secret scan."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from vigil.llm import html_text as ht
+from vigil.llm import ngram_lm as lm
+from vigil.llm import quality as q
+from vigil.llm import secrets as sc
+from vigil.llm.secret_labels import findings
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_sum_of_squares_identity():
+    r = np.random.default_rng(1)
+    m = q.Machine(0.3, r.normal(size=50), r.normal(size=(50, 4)) * 0.2)
+    idx, val = np.array([3, 8, 9, 41]), np.array([0.5, -1.0, 2.0, 0.25])
+    pairs = sum(float(m.v[idx[i]] @ m.v[idx[j]]) * val[i] * val[j] for i in range(4) for j in range(i + 1, 4))
+    assert math.isclose(m.score(idx, val), 1 / (1 + math.exp(-(m.w0 + float(m.w[idx] @ val) + pairs))), rel_tol=1e-9)
+
+
+def test_quality_held_out(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = q.op1_quality(spark, SF).collect()
+    assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert len(held) > 50 and np.mean([a == b for a, b in held]) >= 0.97
+
+
+def test_quality_edge_rows(spark):
+    docs = spark.createDataFrame([(1, None, None, "s"), (2, "", 0, None), (None, "some words", 3, "s"), (1, "!" * 90000, 5, "s")], "doc_id long, text string, n_chars long, score string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    model = q.train(docs, none)
+    assert [r.score for r in q.score(docs, model).collect()] == [0.5] * 4
+    assert q.score(docs.limit(0), model).count() == 0
+    assert q.accept(docs, model).count() == 0 and q.accept(docs, model, threshold=0.4).columns == docs.columns
+
+
+def test_tree_fits_its_labels():
+    x, y = ht.labelled()
+    assert (ht.classify(ht.tree(), x) == (y > 0)).all()
+
+
+@pytest.mark.parametrize("html, want", [
+    (None, ""), ("", ""), ("<nav>Menu</nav><article><h1>A &amp; B</h1><p>One\n two&nbsp;three.<p>Four</article><footer>x</footer>", "A & B\nOne two three.\nFour"),
+    ("<article><p>Kept.</p><script>var t='</p>';</script><style>p{}</style><div class='comments'><p>Gone.</p></div></article>", "Kept."),
+    ("<div class='cookie-notice'>We use cookies.</div><main><p>Text.</p><form><label>Mail</label></form></main><aside>Side</aside>", "Text."),
+    ("<article><p>Never closed", "Never closed"), ("<article>" + "<p>word</p>" * 3000 + "</article>", "\n".join(["word"] * 3000)),
+])
+def test_main_text(html, want):
+    assert ht.main_text(html) == want
+
+
+def test_pages(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    n = 0
+    for r in ht.op4_html_text(spark, SF).collect():
+        assert r.n_chars == len(r.text)
+        if (m := re.search(r"/(\d+)(?:[?#/.]|$)", r.url)) and int(m[1]) in texts:
+            lines = [" ".join(x.split()) for x in texts[int(m[1])].split("\n")]
+            n += r.text.endswith("\n".join(x for x in lines if x))
+    assert n > 150
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert ht.extract(empty).count() == 0
+
+
+def test_language_model_matches_brute_force(spark):
+    rows = [(1, "a b a b c"), (2, "A b"), (3, None), (4, " "), (5, "z"), (None, "a b"), (6, "b c b c " * 500), (2, "q r")]
+    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for _, t in rows]
+    uni, bi = Counter(w for a in words for w in a), Counter(p for a in words for p in zip(a, a[1:]))
+    n, want, size = sum(uni.values()), {}, {}
+    for (i, _), a in zip(rows, words):
+        s = 0.0
+        for k, w in enumerate(a):
+            pair = (a[k - 1], w) if k else None
+            s += math.log(bi[pair] / uni[pair[0]]) if pair and bi[pair] >= 2 else math.log(0.4 * uni[w] / n)
+        want[i], size[i] = want.get(i, 0.0) + s, size.get(i, 0) + len(a)
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n int").repartition(3)
+    got = lm.scores(df).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert math.isclose(r.log_score, want[r.doc_id], abs_tol=1e-6) and r.n_words == size[r.doc_id]
+        assert (r.mean_log_score is None) == (r.n_words == 0)
+    assert lm.scores(df.limit(0)).count() == 0
+
+
+def test_secrets(spark):
+    key, sha = "AKIA" + "Q7ZK2M4XW9BD3TFH", "9f8b2c1d0e3a4f5b6c7d8e9f0a1b2c3d4e5f6a7b"
+    rows = [(1, f'say token = "{sha}" here'), (2, f"aws {key} end"), (3, "card 4111111111111111 paid"), (4, None), (5, ""), (6, f"see commit {sha} for it"),
+            (7, "plain words only"), (8, "pad " * 20000 + f"password: {sha}"), (None, f'api_key="{sha}"'), (1, f'say token = "{sha}" here')]
+    df = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, score string").repartition(2)
+    model = sc.train(spark)
+    got = sc.scan(df, model).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(map(str, [1, 1, 2, 8, None]))
+    assert {r.candidate for r in got} == {key, sha}
+    assert sc.scan(df.limit(0), model).count() == 0
+    other = sc.featured(spark.createDataFrame(findings(300, 77), "before string, candidate string, after string, label int"))
+    table = sc.VectorAssembler(inputCols=sc.FEATURES, outputCol="features").transform(other)
+    assert model.transform(table).selectExpr("avg(if(prediction = label, 1, 0)) a").first().a >= 0.97
