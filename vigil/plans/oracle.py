@@ -613,7 +613,7 @@ SELECT l_orderkey AS request_key, CAST(idx AS BIGINT) AS record_idx, round(CAST(
        round(l_quantity, 6) AS "V3",
        CAST(CASE l_orderkey % 6 WHEN 0 THEN coalesce(nullif(l_orderkey % 3, 0), 3) WHEN 1 THEN l_orderkey % 4
                                 WHEN 2 THEN 2 END AS DOUBLE) AS max_alerts
-FROM li WHERE l_orderkey % 6 <> 3 OR idx = 0"""
+FROM li"""
 
 ORACLE["request_id"] = """
 SELECT o_orderkey AS request_key,

@@ -241,7 +241,8 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     def field(c):
         return lambda d: d[c]
     lists = F.struct(*[F.transform(dicts, field(c)).alias(c) for c in REQUEST_COLUMNS])
-    shape = k % 6
+    # a dict of scalars holds one record, so orders with more lines are sent as a list
+    shape = F.when((k % 6 == 3) & (F.size(dicts) > 1), F.lit(5)).otherwise(k % 6)
     body = (F.when(shape == 0, F.to_json(F.struct(
                 F.struct(cols.alias("columns"), data.alias("data"), F.lit(3).alias("max_alerts")).alias("input_data"),
                 (k % 3).alias("max_alerts"))))
@@ -253,4 +254,4 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     id_key = F.element_at(F.array(*[F.lit(x) for x in REQUEST_ID_SPELLINGS]), (k % 5 + 1).cast("int"))
     with_id = F.concat(F.lit('{"'), id_key, F.lit('":"req-'), k.cast("string"), F.lit('",'), F.expr("substring(_b, 2)"))
     return j.select("request_key", body.alias("_b")).select(
-        "request_key", F.when((shape <= 2) & (k % 5 < 4), with_id).otherwise(F.col("_b")).alias("payload"))
+        "request_key", F.when((k % 6 <= 2) & (k % 5 < 4), with_id).otherwise(F.col("_b")).alias("payload"))
