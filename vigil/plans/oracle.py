@@ -217,6 +217,12 @@ UNION ALL SELECT txn_id, "Class" FROM neg WHERE r <= (SELECT count(*) FROM trans
 ORACLE["batches"] = "WITH " + TXN_SQL + """
 SELECT txn_id, CAST((row_number() OVER (ORDER BY txn_id) - 1) // 200 AS BIGINT) AS batch_id FROM transactions"""
 
+_NUM = "CAST('0x' || substr(txn_id, 18, 15) AS BIGINT)"
+ORACLE["batches_by_int_key"] = "WITH " + TXN_SQL + f"""
+SELECT txn_id, CAST((row_number() OVER (ORDER BY {_NUM}) - 1) // 200 AS BIGINT) AS batch_id FROM transactions"""
+ORACLE["batches_by_text_key"] = "WITH " + TXN_SQL + f"""
+SELECT txn_id, CAST((row_number() OVER (ORDER BY 'T' || CAST({_NUM} AS VARCHAR)) - 1) // 200 AS BIGINT) AS batch_id FROM transactions"""
+
 _SCALERS = _SPLIT + """,
 q AS (SELECT 'Amount' AS "column", quantile_cont("Amount", [0.25, 0.5, 0.75]) AS v FROM train
       UNION ALL SELECT 'Time', quantile_cont("Time", [0.25, 0.5, 0.75]) FROM train),
@@ -406,6 +412,11 @@ a AS (SELECT txn_id, score, rnk, CAST(rnk <= k AS BIGINT) AS alert, k FROM r, kk
 SELECT txn_id, CAST(rnk AS BIGINT) AS rank, alert, CAST(k AS BIGINT) AS k,
        round(CASE WHEN k > 0 THEN (SELECT min(score) FROM a WHERE alert = 1) ELSE 1.0 END, 6) AS threshold FROM a"""
 
+ORACLE["alerts_by_int_key"] = "WITH " + TXN_SQL + f""",
+t AS (SELECT txn_id, {_NUM} AS num FROM transactions),
+r AS (SELECT txn_id, num, CASE WHEN num % 5 > 1 THEN row_number() OVER (PARTITION BY num % 5 > 1 ORDER BY num) END AS rank FROM t)
+SELECT txn_id, CAST(rank AS BIGINT) AS rank, CAST(coalesce(rank <= 100, false) AS BIGINT) AS alert, CAST(100 AS BIGINT) AS k, 0.5::DOUBLE AS threshold FROM r"""
+
 _PER_BATCH = TXN_SQL + """,
 b AS (SELECT *, (row_number() OVER (ORDER BY txn_id) - 1) // 200 AS batch_id FROM transactions),
 c AS (SELECT *, count(*) OVER (PARTITION BY batch_id) AS batch_rows FROM b),
@@ -510,6 +521,21 @@ SELECT name, metric, run_id, round(metric_value, 6) AS metric_value, prod_versio
 FROM e"""
 
 
+ORACLE["promotion_first_model"] = "WITH " + _PROD + _best_sql(["auc"]) + """
+SELECT metric, run_id, round(metric_value, 6) AS metric_value, CASE WHEN metric_value >= 0.6 THEN 'promote' ELSE 'stage' END AS decision,
+       CASE WHEN metric_value >= 0.6 THEN 'no_prod_model' ELSE 'below_min_threshold' END AS reason, metric_value >= 0.6 AS should_promote
+FROM best"""
+
+ORACLE["incomplete_scores"] = "WITH " + TXN_SQL + """,
+t AS (SELECT CAST("Class" = 1 AS INTEGER) AS y, CAST(score >= 0.5 AS INTEGER) AS p FROM transactions),
+c AS (SELECT count(*) FILTER (WHERE y = 1 AND p = 1) AS tp, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+             count(*) FILTER (WHERE y = 1 AND p = 0) AS fn, count(*) FILTER (WHERE y = 0 AND p = 0) AS tn, count(*) AS n FROM t)
+SELECT m.metric, round(m.value, 6) AS value FROM c, LATERAL (VALUES
+  ('metrics.accuracy', (tp + tn) / n), ('metrics.precision', CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END),
+  ('metrics.recall', CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END), ('metrics.f1', CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END),
+  ('metrics.alert_rate', (tp + fp) / n), ('metrics.alert_count', CAST(tp + fp AS DOUBLE)), ('metrics.roc_auc', NULL), ('metrics.pr_auc', NULL)) AS m(metric, value)"""
+
+
 # --- exploratory statistics ------------------------------------------------------
 
 _EDA = ["Time", "Amount", "V1", "V2", "V3", "Class"]

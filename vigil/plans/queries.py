@@ -172,6 +172,23 @@ def batches(spark, sf_dir):
     return split_ops.batches(fx.transactions(spark, sf_dir), "txn_id", 200).select("txn_id", "batch_id")
 
 
+def _with_number(spark, sf_dir):
+    """Transactions with a bigint key that is not in the order of ``txn_id``."""
+    t = fx.transactions(spark, sf_dir)
+    return t.withColumn("num", F.conv(F.substring("txn_id", 18, 15), 16, 10).cast("long"))
+
+
+@register("batches_by_int_key")
+def batches_by_int_key(spark, sf_dir):
+    return split_ops.batches(_with_number(spark, sf_dir), "num", 200).select("txn_id", "batch_id")
+
+
+@register("batches_by_text_key")
+def batches_by_text_key(spark, sf_dir):
+    t = _with_number(spark, sf_dir).withColumn("num_text", F.concat(F.lit("T"), F.col("num").cast("string")))
+    return split_ops.batches(t, "num_text", 200).select("txn_id", "batch_id")
+
+
 @register("scaler_params")
 def scaler_params(spark, sf_dir):
     p = scale_ops.fit_scalers(_train_part(spark, sf_dir))
@@ -310,6 +327,15 @@ def alerts_topk(spark, sf_dir):
     return a.select("txn_id", "rank", F.col("alert").cast("long").alias("alert"), "k", r6("threshold").alias("threshold"))
 
 
+@register("alerts_by_int_key")
+def alerts_by_int_key(spark, sf_dir):
+    """All scores tied or missing, so that the integer key alone decides."""
+    t = _with_number(spark, sf_dir).withColumn("tied", F.when(F.col("num") % 5 > 0, F.lit(0.5)))
+    t = t.withColumn("tied", F.when(F.col("num") % 5 == 1, F.lit(float("nan"))).otherwise(F.col("tied")))
+    a = alert_ops.alert_budget(t, "tied", "num", max_alerts=100)
+    return a.select("txn_id", F.when(F.col("num") % 5 > 1, F.col("rank")).alias("rank"), F.col("alert").cast("long").alias("alert"), "k", "threshold")
+
+
 @register("alerts_per_batch")
 def alerts_per_batch(spark, sf_dir):
     a = _per_batch(spark, sf_dir)
@@ -379,6 +405,24 @@ def promotion(spark, sf_dir):
                     "model_name")
 
 
+@register("promotion_first_model")
+def promotion_first_model(spark, sf_dir):
+    """J4 without any production model: one decision for the candidate itself."""
+    best = alert_ops.best_runs(fx.runs(spark, sf_dir), fx.run_metrics(spark, sf_dir), ["auc"], EXPERIMENTS)
+    d = pipes.promote(best, fx.model_assets(spark, sf_dir).where(F.lit(False)), fx.run_metrics(spark, sf_dir), "auc", min_threshold=0.6)
+    return d.select("metric", "run_id", r6("metric_value").alias("metric_value"), "decision", "reason", "should_promote")
+
+
+@register("incomplete_scores")
+def incomplete_scores(spark, sf_dir):
+    """M2 with missing scores and labels as dirty text: AP and AUC are NULL, labels are coerced."""
+    t = fx.transactions(spark, sf_dir).select(
+        F.when(F.col("Class") == 1, "1").when(F.substring("txn_id", 1, 1) == "0", "n/a").otherwise("0").alias("Class"), "score",
+        F.when(F.substring("txn_id", 1, 1) != "1", F.col("score")).alias("some"))
+    t = t.withColumn("pred", (F.col("score") >= 0.5).cast("int")).drop("score").withColumnRenamed("some", "score")
+    return pipes.evaluate(t, "Class", "pred", "score").select("metric", r6("value").alias("value"))
+
+
 # --- exploratory statistics (F1-F23) ---------------------------------------------
 
 from vigil.operators import stats as st  # noqa: E402
