@@ -69,7 +69,8 @@ def test_pages(spark):
     assert ht.extract(empty).count() == 0
 
 
-def test_language_model_matches_brute_force(spark):
+@pytest.mark.parametrize("min_count, frequent", [(2, None), (2, 0), (2, 1), (2, 3), (1, None), (1, 2), (3, 2)])
+def test_language_model_matches_brute_force(spark, min_count, frequent):
     rows = [(1, "a b a b c"), (2, "A b"), (3, None), (4, " "), (5, "z"), (None, "a b"), (6, "b c b c " * 500), (2, "q r")]
     words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for _, t in rows]
     uni, bi = Counter(w for a in words for w in a), Counter(p for a in words for p in zip(a, a[1:]))
@@ -78,15 +79,16 @@ def test_language_model_matches_brute_force(spark):
         s = 0.0
         for k, w in enumerate(a):
             pair = (a[k - 1], w) if k else None
-            s += math.log(bi[pair] / uni[pair[0]]) if pair and bi[pair] >= 2 else math.log(0.4 * uni[w] / n)
+            s += math.log(bi[pair] / uni[pair[0]]) if pair and bi[pair] >= min_count else math.log(0.4 * uni[w] / n)
         want[i], size[i] = want.get(i, 0.0) + s, size.get(i, 0) + len(a)
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n int").repartition(3)
-    got = lm.scores(df).collect()
+    given = {"min_count": min_count, **({} if frequent is None else {"frequent_rows": frequent})}
+    got = lm.scores(df, **given).collect()
     assert len(got) == len(want)
     for r in got:
         assert math.isclose(r.log_score, want[r.doc_id], abs_tol=1e-6) and r.n_words == size[r.doc_id]
         assert (r.mean_log_score is None) == (r.n_words == 0)
-    assert lm.scores(df.limit(0)).count() == 0
+    assert lm.scores(df.limit(0), **given).count() == 0
 
 
 def test_secrets(spark):
