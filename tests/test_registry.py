@@ -55,6 +55,9 @@ def test_best_run_and_decision(spark):
     assert d == {"prod": ("promote", "better_metric"), "other": ("promote", "no_prod_model")}
     with pytest.raises(ValueError):
         A.best_runs(runs, rm, ["not_a_metric"], "exp")
+    for none in ("", " , ", []):
+        with pytest.raises(ValueError, match="experiment"):
+            A.best_runs(runs, rm, ["accuracy"], none)
 
 
 def test_idempotency_key(spark):

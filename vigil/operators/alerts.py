@@ -96,6 +96,8 @@ def best_runs(runs: DataFrame, run_metrics: DataFrame, metrics: Sequence[str],
     (B16) and status with a non-null value, and take the best (ties: run_id)."""
     spark = runs.sparkSession
     exp_text = experiments if isinstance(experiments, str) else ",".join(experiments)
+    if not exp_text.replace(",", " ").strip():
+        raise ValueError("Name at least one experiment.")
     req = spark.createDataFrame([(m,) for m in metrics], "requested string")
     req = req.select("requested", normalize_metric("requested").alias("m"))
     bad = [r["requested"] for r in req.where(~F.col("m.valid")).select("requested").collect()]
