@@ -34,6 +34,8 @@ XGB_DEFAULTS = {"maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featur
                 "maxIter": 2000}
 LGBM_DEFAULTS = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
                  "maxIter": 5000, "minInstancesPerNode": 20}
+# The most trials that the reference's sweep starts.
+SEARCH_TRIALS = 300
 
 
 @dataclass
@@ -126,18 +128,20 @@ def sample_grid(space: dict, n_trials: int, seed: int = 42) -> list[dict]:
     return out
 
 
-def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], space: dict, n_trials: int,
-                  label: str = "Class", seed: int = 42, base: dict | None = None,
+def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], space: dict,
+                  n_trials: int = SEARCH_TRIALS, label: str = "Class", seed: int = 42, base: dict | None = None,
                   metric: str = "average_precision") -> DataFrame:
     """I4: bounded trials; each trial is one fit on the (cached by the caller)
-    split and one Spark evaluation. Returns (trial, params json, ap, roc_auc)."""
+    split, stopped early on ``valid``, and one Spark evaluation on it. Settings
+    that neither ``base`` nor ``space`` names are the variant's defaults.
+    Returns (trial, params json, ap, roc_auc)."""
     spark = train.sparkSession
+    marked = train.withColumn("is_val", F.lit(False)).unionByName(valid.withColumn("is_val", F.lit(True)))
     rows = []
     for i, p in enumerate(sample_grid(space, n_trials, seed)):
         params = dict(base or {})
         params.update(p)
-        r = fit(train, features, gbt(params, label=label, weight="weight" if "weight" in train.columns else None,
-                                     validation=None), label)
+        r = fit(marked, features, gbt(params, label=label, weight="weight" if "weight" in train.columns else None), label)
         ev = evaluate(score(r.model, valid, [label]), label).first()
         rows.append((i, str(sorted(params.items())), ev["average_precision"], ev["roc_auc"]))
     return spark.createDataFrame(rows, "trial int, params string, average_precision double, roc_auc double")
@@ -172,12 +176,14 @@ def model_selection(df: DataFrame, features: Sequence[str], label: str = "Class"
 def fold_scores(df: DataFrame, features: Sequence[str], label: str = "Class", fold_col: str = "fold",
                 k: int = 5, params: dict | None = None) -> tuple[DataFrame, list[TrainResult]]:
     """For each fold, train on the others and report AP / ROC-AUC on it.
-    All folds' validation scores are evaluated in one grouped job."""
+    Rows of the other folds that ``is_val`` marks (if there is such a column)
+    stop the rounds early; without it all rounds are run. All folds'
+    validation scores are evaluated in one grouped job."""
     results, scored = [], None
     for f in range(k):
         tr = df.where(F.col(fold_col) != f)
-        r = fit(tr, features, gbt(params or {"maxIter": 20, "maxDepth": 4}, label=label,
-                                  weight="weight" if "weight" in df.columns else None, validation=None), label)
+        r = fit(tr, features, gbt(params, label=label, weight="weight" if "weight" in df.columns else None,
+                                  validation="is_val" if "is_val" in df.columns else None), label)
         results.append(r)
         s = score(r.model, df.where(F.col(fold_col) == f), [label, fold_col])
         scored = s if scored is None else scored.unionByName(s)

@@ -620,7 +620,6 @@ def asset_lookup(spark, sf_dir):
 from vigil.operators import train as tr  # noqa: E402
 
 TRAIN_FEATURES = ["Time", "Amount", "V1", "V2", "V3"]
-SMALL_GBT = {"maxIter": 20, "maxDepth": 4}
 
 
 _SETUP_CACHE: dict = {}
@@ -656,7 +655,7 @@ def _training_setup(spark, sf_dir):
 @register("gbt_scores")
 def gbt_scores(spark, sf_dir):
     train, test, params = _training_setup(spark, sf_dir)
-    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT))
+    r = tr.fit(train, TRAIN_FEATURES, tr.gbt())
     scored = tr.score(r.model, scale_ops.apply_for_serving(test, params), ["txn_id", "Class"])
     return scored.select("txn_id", "Class", r6("p_hat").alias("p_hat"))
 
@@ -664,7 +663,7 @@ def gbt_scores(spark, sf_dir):
 @register("gbt_metrics")
 def gbt_metrics(spark, sf_dir):
     train, test, params = _training_setup(spark, sf_dir)
-    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT, variant="lgbm"))
+    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(variant="lgbm"))
     ev = tr.evaluate(tr.score(r.model, scale_ops.apply_for_serving(test, params), ["Class"]))
     return ev.select(r6("average_precision").alias("average_precision"), r6("roc_auc").alias("roc_auc"))
 
@@ -676,7 +675,7 @@ def random_search(spark, sf_dir):
     valid = train.where(F.col("is_val"))
     space = {"maxDepth": ("choice", [3, 4, 5]), "stepSize": ("uniform", 0.05, 0.3),
              "subsamplingRate": ("uniform", 0.6, 1.0)}
-    return tr.random_search(fit_part, valid, TRAIN_FEATURES, space, n_trials=3, base={"maxIter": 10})
+    return tr.random_search(fit_part, valid, TRAIN_FEATURES, space)
 
 
 @register("model_selection")
@@ -690,7 +689,7 @@ def model_selection(spark, sf_dir):
 def fold_ap(spark, sf_dir):
     train, _, _ = _training_setup(spark, sf_dir)
     folds = split_ops.stratified_kfold(train, "txn_id", "Class", k=5).checkpoint()
-    res, _ = tr.fold_scores(folds, TRAIN_FEATURES, k=5, params={"maxIter": 10, "maxDepth": 3})
+    res, _ = tr.fold_scores(folds, TRAIN_FEATURES, k=5)
     return res.select(F.col("fold").cast("long").alias("fold"), r6("average_precision").alias("average_precision"),
                       r6("roc_auc").alias("roc_auc"))
 
@@ -698,15 +697,15 @@ def fold_ap(spark, sf_dir):
 @register("permutation_importance")
 def permutation_importance(spark, sf_dir):
     train, test, params = _training_setup(spark, sf_dir)
-    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT))
+    r = tr.fit(train, TRAIN_FEATURES, tr.gbt())
     valid = scale_ops.apply_for_serving(test, params)
-    return tr.permutation_importance(r.model, valid, TRAIN_FEATURES, "txn_id", n_repeats=2)
+    return tr.permutation_importance(r.model, valid, TRAIN_FEATURES, "txn_id")
 
 
 @register("importances")
 def importances(spark, sf_dir):
     train, _, _ = _training_setup(spark, sf_dir)
-    return tr.feature_importances(tr.fit(train, TRAIN_FEATURES, tr.gbt(SMALL_GBT)))
+    return tr.feature_importances(tr.fit(train, TRAIN_FEATURES, tr.gbt()))
 
 
 @register("fold_importance_summary")
@@ -716,7 +715,7 @@ def fold_importance_summary(spark, sf_dir):
     # own importances (I8) feed it, permutation importance has its own query.
     folds = split_ops.stratified_kfold(train, "txn_id", "Class", k=5).checkpoint()
     per = None
-    _, results = tr.fold_scores(folds, TRAIN_FEATURES, k=5, params={"maxIter": 10, "maxDepth": 3})
+    _, results = tr.fold_scores(folds, TRAIN_FEATURES, k=5)
     for f, res in enumerate(results):
         fi = tr.feature_importances(res).select("feature", "importance", F.lit(f).alias("fold"))
         per = fi if per is None else per.unionByName(fi)
@@ -793,7 +792,7 @@ def stream_drift(spark, sf_dir):
 def stream_scores(spark, sf_dir):
     train, _, params = _training_setup(spark, sf_dir)
     feats = ["Amount", "V1", "V2", "V3"]
-    model = tr.fit(train, feats, tr.gbt(SMALL_GBT)).model
+    model = tr.fit(train, feats, tr.gbt()).model
     folder = io.scratch_dir(spark, "requests")
     fx.request_logs(spark, sf_dir).write.parquet(folder)
 
@@ -861,7 +860,7 @@ def score_requests(spark, sf_dir):
     from vigil.functions import schema as sch
     train, _, params = _training_setup(spark, sf_dir)
     feats = ["Amount", "V1", "V2", "V3"]
-    model = tr.fit(train, feats, tr.gbt(SMALL_GBT)).model
+    model = tr.fit(train, feats, tr.gbt()).model
     recs = pl.parse_requests(fx.request_logs(spark, sf_dir), keep=["request_key"])
     flat = recs.select("request_key", "record_idx", "max_alerts",
                        *[F.col("record")[c].alias(c) for c in fx.REQUEST_COLUMNS])
