@@ -91,6 +91,14 @@ def test_language_model_matches_brute_force(spark, min_count, frequent):
     assert lm.scores(df.limit(0), **given).count() == 0
 
 
+def test_pair_seen_once_counts(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "a c c")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.scores(df).collect()}
+    assert [got[i].counted_pairs for i in (1, 2)] == [1, 2]
+    assert math.isclose(got[1].log_score, math.log(0.4 * 2 / 5) + math.log(1 / 2), abs_tol=1e-9)
+    assert "HAVING" not in lm.OP3_WHOLE_SQL and "HAVING count(*) >= 2" in lm.OP3_SQL
+
+
 def test_secrets(spark):
     key, sha = "AKIA" + "Q7ZK2M4XW9BD3TFH", "9f8b2c1d0e3a4f5b6c7d8e9f0a1b2c3d4e5f6a7b"
     rows = [(1, f'say token = "{sha}" here'), (2, f"aws {key} end"), (3, "card 4111111111111111 paid"), (4, None), (5, ""), (6, f"see commit {sha} for it"),

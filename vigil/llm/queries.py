@@ -7,7 +7,7 @@ from vigil.llm.decontaminate import op10_decontaminate
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from vigil.llm.html_text import op4_html_text
 from vigil.llm.near_dedup import op7_near_dedup
-from vigil.llm.ngram_lm import OP3_SQL, op3_ngram_lm
+from vigil.llm.ngram_lm import OP3_SQL, OP3_WHOLE_SQL, op3_ngram_lm, op3_ngram_lm_whole
 from vigil.llm.quality import op1_quality
 from vigil.llm.secrets import op9_secrets
 from vigil.llm.sharding import op2_sharding
@@ -17,6 +17,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
     "op3_ngram_lm": op3_ngram_lm,
+    "op3_ngram_lm_whole": op3_ngram_lm_whole,
     "op4_html_text": op4_html_text,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
@@ -28,5 +29,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op3_ngram_lm": OP3_SQL,
+    "op3_ngram_lm_whole": OP3_WHOLE_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
