@@ -1,7 +1,9 @@
 """Operator 9: secret scan with a random forest that removes false positives.
 
-Words that hold a run of at least 16 key characters with a digit are
-candidates. Each gets its length, character classes and transitions, the share
+Candidates are runs of at least 16 key characters, with or without digits (so
+all known shapes are among them), the value of any characters, from 4 on, that
+a key word and an assignment precede, and the password in the user part of a
+URL. Each gets its length, character classes and transitions, the share
 covered by a small dictionary, signs of a path, and what its neighbouring words
 say. A random forest, trained from the labelled findings of ``secret_labels``,
 scores them; findings below the threshold are dropped.
@@ -26,6 +28,12 @@ from vigil.llm.common import only, read_table
 from vigil.llm.secret_labels import findings
 
 CANDIDATE = r"[A-Za-z0-9+/_=.~-]{16,}"
+KEY = r"(?:token|secret|passw|passwd|passphrase|pass|pwd|api[-_]?key|apikey|access[-_]?key|private[-_]?key|auth|bearer|credential)[\w.-]*[\"'\]]*"
+ASSIGN = r" ?(?:=>|:=|=|:) ?(?:(?:bearer|basic) )?"
+#: A value after a key word, at the end of some words: in double quotes, in single quotes, or bare; the password of a URL; and what a text with either holds.
+KEYED = rf"(?i){KEY}{ASSIGN}(?:\"([^\s\"]{{4,}})\"\S*|'([^\s']{{4,}})'\S*|[\"']?([^\s\"'][^\s]{{2,}}[^\s\"',;.)\]}}])[\"',;.)\]}}]*)$"
+IN_URL = r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*:([^\s/]+)@"
+EITHER = rf"(?i){KEY}\s?(?:=>|:=|=|:)|{IN_URL}"
 THRESHOLD = 0.5
 BEFORE = 3
 #: The dictionary, and words that speak for or against a credential nearby.
@@ -36,7 +44,7 @@ DICTIONARY = (
 FOR_WORDS = r"(?i)(token|secret|passw|passwd|pwd|api[-_]?key|apikey|access[-_]?key|private[-_]?key|auth|bearer|credential)"
 AGAINST_WORDS = r"(?i)(^|[^a-z])(commit|sha\d*|md5|hash|checksum|digest|uuid|guid|revision|build|card|phone|tel|order|isbn|account|version|id|file|image|see|example|sample|placeholder)([^a-z]|$)"
 FEATURES = ["f_length", "f_transitions", "f_digits", "f_upper", "f_lower", "f_symbols", "f_distinct", "f_hex", "f_dictionary", "f_slashes", "f_extension", "f_parts",
-            "f_for", "f_against", "f_assigned", "f_quoted", "f_known"]
+            "f_for", "f_against", "f_assigned", "f_quoted", "f_known", "f_keyed", "f_url", "f_code"]
 
 
 def featured(df: DataFrame) -> DataFrame:
@@ -62,6 +70,9 @@ def featured(df: DataFrame) -> DataFrame:
         "f_assigned": flag(F.col("before").rlike("[=:][\"'\\s]*$")),
         "f_quoted": flag(F.col("before").rlike("[\"']$")),
         "f_known": flag(c.rlike("^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36})$")),
+        "f_keyed": flag(F.col("before").rlike(rf"(?i){KEY}{ASSIGN}[\"']?$")),
+        "f_url": flag(F.col("before").rlike(r"://[^\s/:@]*:$")),
+        "f_code": flag(c.rlike(r"^[$<{%(\[]|[()\[\]{}<>]")),
     }
     return df.withColumn("__classes", classes).withColumns(made).drop("__classes")
 
@@ -77,16 +88,28 @@ def train(spark: SparkSession, labelled: list[tuple[str, str, str, int]] | None
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, word_at (from 0), before, candidate, after of every candidate."""
     words = F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+")
-    df = only(docs, doc_id=id_col, text=text_col).where(F.col("text").rlike(CANDIDATE)).select("doc_id", words.alias("ws"))
-    numbered = F.transform("ws", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    held = F.filter(numbered, lambda s: (F.length(s["w"]) >= 16) & s["w"].rlike("[0-9]") & s["w"].rlike(CANDIDATE))
+    df = only(docs, doc_id=id_col, text=text_col).where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(EITHER))
+    df = df.select("doc_id", words.alias("ws"), F.col("text").rlike(EITHER).alias("either"))
+
+    def left(i, n):
+        return F.concat_ws(" ", F.slice("ws", F.greatest(i - n, F.lit(0)) + 1, F.least(i, F.lit(n))))
+
+    def special(w, i):  # the value after a key word, or the password in a URL, or the empty text
+        own = F.concat_ws(" ", left(i, BEFORE), w)
+        value = F.concat(*[F.regexp_extract(own, KEYED, k) for k in (1, 2, 3)])
+        url = F.regexp_extract(w, IN_URL, 1)
+        return F.when(~F.col("either") | (F.length(w) < 4), "").when(url != "", url).otherwise(value)
+
+    numbered = F.transform("ws", lambda w, i: F.struct(w.alias("w"), i.alias("i"), special(w, i).alias("value")))
+    held = F.filter(numbered, lambda s: (s["value"] != "") | (F.length(s["w"]) >= 16) & s["w"].rlike(CANDIDATE))
     near = F.transform(held, lambda s: F.struct(
-        s["i"].alias("word_at"), s["w"].alias("w"),
-        F.concat_ws(" ", F.slice("ws", F.greatest(s["i"] - BEFORE, F.lit(0)) + 1, F.least(s["i"], F.lit(BEFORE)))).alias("left"),
+        s["i"].alias("word_at"), s["w"].alias("w"), s["value"].alias("value"), left(s["i"], BEFORE).alias("left"),
         F.concat_ws(" ", F.slice("ws", s["i"] + 2, 2)).alias("after")))
-    each = df.select("doc_id", F.inline(near)).withColumn("candidate", F.explode(F.regexp_extract_all("w", F.lit(CANDIDATE), F.lit(0))))
-    return each.where(F.col("candidate").rlike("[0-9]")).select(
-        "doc_id", "word_at", F.concat_ws(" ", "left", F.expr("substring_index(w, candidate, 1)")).alias("before"), "candidate", "after")
+    runs = F.regexp_extract_all("w", F.lit(CANDIDATE), F.lit(0))
+    apart = F.filter(runs, lambda r: (F.col("value") == "") | ~(F.contains(r, F.col("value")) | F.contains(F.col("value"), r)))
+    each = df.select("doc_id", "ws", "either", F.inline(near)).select(
+        "doc_id", "word_at", "w", "left", "after", F.explode(F.concat(F.when(F.col("value") != "", F.array("value")).otherwise(F.array().cast("array<string>")), apart)).alias("candidate"))
+    return each.select("doc_id", "word_at", F.concat_ws(" ", "left", F.expr("substring_index(w, candidate, 1)")).alias("before"), "candidate", "after")
 
 
 def scan(docs: DataFrame, model: RandomForestClassificationModel, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
