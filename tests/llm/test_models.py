@@ -56,6 +56,21 @@ def test_main_text(html, want):
     assert ht.main_text(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<html><head><title>x</title><body><article><p>One.</p><p>Two words</p></article>", "One.\nTwo words"),
+    ("<head><title>x</title><link rel=a><article><p>One.</p></article>", "One."), ("<head><title>x</title>Plain text of a page.", "Plain text of a page."),
+    ("<head><noscript><p>Off</p></noscript><title>x</title></head><article><p>One.</p></article>", "One."),
+    ("<main class='content has-sidebar'><p>One.</p><p>Two</p></main>", "One.\nTwo"), ("<div class='layout right-sidebar'><article><p>One.</p></article></div>", "One."),
+    ("<div class='layout right-sidebar'><div class='content'><p>One.</p></div><div class='sidebar'><p>Side</p></div></div>", "One."),
+    ("<form id='aspnetForm'><article><p>One.</p><form><p>Mail</p></form></article></form>", "One."), ("<div class='site-header-wide'><main><p>One.</p></main></div>", "One."),
+    ("<article><p>One.</p></article><ol class='comment-list'><li><article class='comment-body'><p>Gone.</p></article></li></ol>", "One."),
+    ("<article><p>One.</p></article><aside><article><p>Gone.</p></article></aside>", "One."),
+    ("<article><p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be.</p></article>", "Let x be."),
+])
+def test_ordinary_markup(html, want):
+    assert ht.main_text(html) == want
+
+
 def test_pages(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     n = 0

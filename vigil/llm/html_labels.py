@@ -39,4 +39,9 @@ PAGES = [
     f'<form><p>- Search this page for words that you would like to find in it</p></form><p>+ {_LONG}</p><p>+ {_MID}</p><p>+ {_LONG}</p>',
     f'<main><h1>+ In main</h1><p>+ {_MID}</p><p>+ Done.</p><form><p>- {_MID}</p></form></main><div role="contentinfo">- {_MID}</div><dialog><p>- {_LONG}</p></dialog>',
     f'<div role="banner">- {_MID}</div><div role="navigation"><ul>{_LINKS}</ul></div><div role="main"><p>+ {_LONG}</p><p>+ Soon.</p></div><div role="complementary"><p>- {_LONG}</p></div>',
+    # a head without an end, the article inside elements named after the layout, formulas
+    f"<html><head><title>Not shown</title><meta charset=utf-8><body><nav><ul>{_LINKS}</ul></nav><article><p>+ {_LONG}</p><p>+ {_MID}</p></article><footer>- {_MID}</footer>",
+    f'<div class="layout right-sidebar"><article><h1>+ In a layout</h1><p>+ {_LONG}</p><p>+ Short.</p></article><div class="sidebar"><p>- {_LONG}</p></div></div>',
+    f'<main class="content has-sidebar"><h1>+ Beside it</h1><p>+ {_LONG}</p><p>+ Let <math><mi>x</mi></math> be a number.</p><aside><p>- {_MID}</p></aside></main>',
+    f'<div class="comment-list"><article class="comment-body"><p>- {_LONG}</p></article></div>',
 ]

@@ -5,7 +5,11 @@ count and link density, those of its two neighbours, and flags of the elements
 and class names around it. A decision tree, trained on the small labelled table
 of ``html_labels``, tells blocks of the article from menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments. Scripts, styles and
-other content that is never shown are no blocks at all.
+other content that is never shown are no blocks at all. An ``article`` or
+``main`` inside an element whose class name or id stands for something else is
+the article all the same; class names such as ``has-sidebar`` or
+``right-sidebar`` on an element that holds the article describe the layout. A
+``head`` ends where the first block begins, also without ``</head>``.
 
 In the text character references are decoded, white space inside a block is
 one space, blocks are trimmed, empty blocks dropped and the rest joined by one
@@ -36,7 +40,8 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption label legend".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("head script style noscript template svg math textarea select option button iframe object canvas title".split())
+HIDDEN_TAGS = frozenset("head script style noscript template svg annotation annotation-xml textarea select option button iframe object canvas title".split())
+HEAD_TAGS = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_P = BLOCK_TAGS - {"body", "html", "label", "legend"}
 
 #: Elements, roles and parts of class names or ids that stand for what is not the article, and for the article.
@@ -46,6 +51,13 @@ OUTER_NAMES = re.compile(
     r"(^|[-_\s])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|gdpr|popup|modal|overlay|side-?bar|widget|menu\w*|nav\w*|breadcrumbs?|"
     r"header|masthead|logo|foot\w*|copyright|imprint|comments?|disqus|replies|respond|share|sharing|social|related|recommend\w*|trending|newsletter|"
     r"subscri\w*|sign-?up|login|search|form|toolbar|pagination|pager|tags)($|[-_\s])", re.I)
+#: Class names that only say how the page is laid out, and names of boxes whose articles are teasers or comments.
+LAYOUT_NAMES = re.compile(r"(?<!\S)((has|no|with|without)[-_]\S+|\S+[-_](open|closed))(?!\S)", re.I)
+SIDE_LAYOUT = re.compile(r"(?<!\S)((left|right)[-_]side-?bar|side-?bar[-_](left|right))(?!\S)", re.I)
+LAYOUT = re.compile(r"(?<!\S)(layout|page|site|wrapper|wrap|container|grid|row|columns)(?!\S)", re.I)
+HARD_NAMES = re.compile(
+    r"((^|[-_\s])(ads?|advert\w*|sponsor\w*|promo\w*|comments?|disqus|replies|respond|related|recommend\w*|trending|newsletter|widget|popup|modal|overlay|cookies?|consent|foot\w*)($|[-_\s])"
+    r"|(?<!\S)side-?bar(?!\S))", re.I)
 INNER_NAMES = re.compile(r"(^|[-_\s])(article|content|post|entry|story|text|body|main|page-?body)($|[-_\s])", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "outer", "inner", "heading", "item", "header", "point", "first")
@@ -68,7 +80,7 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool]] = []  # open elements: tag, whether it is outer, whether inner
+        self.stack: list[tuple[str, int, bool]] = []  # open elements: tag, whether it is outer (2: also for an article inside; -1, -2: it ends such marks from further out), whether inner
         self.hidden = self.links = 0
         self.blocks: list[Block] = []
         self.parts: list[str] = []
@@ -80,10 +92,16 @@ class _Blocks(HTMLParser):
             tags = [t for t, _, _ in self.stack]
             inner = max((k for k, e in enumerate(self.stack) if e[2]), default=-1)
             header = any(t == "header" for t in tags) and "article" not in tags and inner < 0
-            self.blocks.append(Block(text, len(text.split()), len(" ".join(self.linked).split()), any(e[1] for e in self.stack), inner >= 0,
+            self.blocks.append(Block(text, len(text.split()), len(" ".join(self.linked).split()), self._outer(), inner >= 0,
                                      any(re.fullmatch("h[1-6]", t) for t in tags), "li" in tags, header))
         self.parts, self.linked = [], []
 
+    def _outer(self) -> bool:
+        state = 0
+        for _, mark, _ in self.stack:
+            state = max(state, mark) if mark >= 0 else 0 if state <= -mark else state
+        return state > 0
+
     def _pop(self, at: int) -> None:
         for tag, _, _ in self.stack[at:]:
             self.hidden -= tag in HIDDEN_TAGS
@@ -93,7 +111,15 @@ class _Blocks(HTMLParser):
     def _open(self, tag: str) -> int:
         return next((k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k][0] == tag), -1)
 
+    def _end_head(self) -> None:
+        if self.stack and self.stack[-1][0] == "head":
+            self._pop(len(self.stack) - 1)
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self._end_head()
+        if tag == "body" and (k := self._open("head")) >= 0:
+            self._pop(k)
         if tag in BLOCK_TAGS:
             self._flush()
             if tag in CLOSES_P and (k := self._open("p")) >= 0:
@@ -107,12 +133,20 @@ class _Blocks(HTMLParser):
         named = {k: v or "" for k, v in attrs if k in ("class", "id", "role")}
         names = f"{named.get('class', '')} {named.get('id', '')}"
         role = named.get("role", "")
+        names = LAYOUT_NAMES.sub(" ", names)
+        if LAYOUT.search(names):
+            names = SIDE_LAYOUT.sub(" ", names)
         plain = tag in ("html", "body")
-        outer = not plain and (tag in OUTER_TAGS or role in OUTER_ROLES or bool(names.strip() and OUTER_NAMES.search(names)))
-        inner = not plain and not outer and (tag in ("article", "main") or role in ("main", "article") or bool(names.strip() and INNER_NAMES.search(names)))
+        main = tag == "main" or role == "main"
+        article = main or tag == "article" or role == "article"
+        named_outer = (HARD_NAMES if article else OUTER_NAMES).search(names) and not main
+        outer = not plain and (tag in OUTER_TAGS or role in OUTER_ROLES or bool(named_outer))
+        inner = not plain and not outer and (article or bool(names.strip() and INNER_NAMES.search(names)))
+        hard = tag in OUTER_TAGS - {"form"} or role in OUTER_ROLES - {"form"} or bool(HARD_NAMES.search(names))
+        mark = 1 + hard if outer else -2 if main and inner else -1 if article and inner else 0
         self.hidden += tag in HIDDEN_TAGS
         self.links += tag == "a"
-        self.stack.append((tag, outer, inner))
+        self.stack.append((tag, mark, inner))
 
     def handle_startendtag(self, tag, attrs):
         if tag == "br":
@@ -127,6 +161,8 @@ class _Blocks(HTMLParser):
             self._pop(k)
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         if not self.hidden:
             self.parts.append(data)
             if self.links:
