@@ -5,7 +5,8 @@ Five stages, each a (name, function) pair in ``STAGES``; a function takes
 as Parquet into the shared folder that the session names in
 ``spark.checkpoint.dir`` and read again as the next one's input, so a lost
 executor costs at most one stage. All stages but the last return the columns of
-``documents``; the last returns doc_id, n_tokens and ids.
+``documents``; the last returns doc_id, n_tokens, ids
+and decoded_sha256 (of the bytes that the ids decode to).
 """
 
 from __future__ import annotations

@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 import corpus_pipeline
@@ -31,3 +32,10 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
         out = stage(spark, docs.limit(0), SF)
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
+
+
+def test_last_stage_decodes(spark):
+    docs = spark.createDataFrame([(1, "a b \u00e9\U0001f600"), (2, None), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()}
+    for i, t in ((1, "a b \u00e9\U0001f600"), (2, ""), (3, "")):
+        assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()

@@ -125,24 +125,28 @@ def codec(vocabulary: str = VOCABULARY) -> Codec:
     return _CODECS[vocabulary]
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids of every row; with ``offsets`` also starts and ends (code points) of the tokens."""
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False, decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids of every row; with ``offsets`` also starts and ends (code points) of the tokens, with ``decoded`` the digest of the ids decoded again."""
     source = only(docs, doc_id=id_col, text=text_col)
 
     def run(batches):
         c = codec(vocabulary)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
-            ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in c.encode(texts)]
+            packed = list(c.encode(texts))
+            ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in packed]
             cols, names = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids"]
             if offsets:
                 spans = [c.offsets(t) for t in texts]
                 cols += [pa.array([[s[k] for s in x] for x in spans], pa.list_(pa.int32())) for k in (0, 1)]
                 names += ["starts", "ends"]
+            if decoded:
+                cols.append(pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in packed], pa.string()))
+                names.append("decoded_sha256")
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return map_arrow(source, run, f"doc_id {kind}, n_tokens long, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else ""))
+    return map_arrow(source, run, f"doc_id {kind}, n_tokens long, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "") + (", decoded_sha256 string" if decoded else ""))
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -179,5 +183,5 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the ids of every document that is left."""
-    return encode(docs)
+    """Pipeline stage: the ids of every document that is left, and the digest of their decoding."""
+    return encode(docs, decoded=True)
