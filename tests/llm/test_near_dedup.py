@@ -78,3 +78,10 @@ def test_components_of_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 200), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
+
+
+def test_repeated_id_with_another_text_stays(spark):
+    a, b = "one two three four five six seven", "quite another text that resembles nothing else at all"
+    rows = [(1, a, 0), (2, a.upper(), 1), (2, b, 2), (3, a, 3), (4, None, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(2)
+    assert sorted(r.n for r in nd.representatives(df).collect()) == [0, 2, 4]

@@ -29,9 +29,10 @@ With 42 bands of 6, two sets at similarity 0.8 share no band with probability
 
 Defined cases: null or empty texts and texts of white space have an empty set,
 are linked with nothing and stay; a row with a null id is linked with nothing,
-has a null component and stays; rows that share an id are one node, linked if
-any of its texts is; repeated rows are each returned; extra columns are
-ignored.
+has a null component and stays; of rows that share an id those whose set a
+smaller id has too belong to that one's component, the others are one node,
+linked if any of their texts is, and ``representatives`` drops only the texts
+that are marked; repeated rows are each returned; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -167,6 +168,11 @@ def _able(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, percent: int = QUERY_PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (see the module)."""
+    return _marked(docs, percent, id_col, text_col).drop("digest")
+
+
+def _marked(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """As ``near_dedup``, with the digest of the row's set."""
     source = only(docs, doc_id=id_col, text=text_col)
     rows = cut(signatures(source))
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -205,7 +211,7 @@ def near_dedup(docs: DataFrame, percent: int = QUERY_PERCENT, id_col: str = "doc
 
     labels = reps.join(comps, reps["rep"] == comps["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
     in_sets = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-    named = in_sets.join(labels, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    named = in_sets.join(labels, "digest", "left").select("doc_id", "n_shingles", "digest", F.coalesce("component", "doc_id").alias("component_id"))
     return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -215,11 +221,25 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def representatives(docs: DataFrame, percent: int = STAGE_PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay (the smallest id of each component), columns unchanged."""
-    gone = cut(near_dedup(docs, percent, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone_id")).distinct())
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[f"`{id_col}`"] == gone["__gone_id"], "left_anti")
+    """The rows that stay (the smallest id of each component), columns unchanged.
+
+    Ids of which all rows go are dropped by the id; of an id that keeps a row only the texts whose set is marked go.
+    """
+    marked = cut(_marked(docs, percent, id_col, text_col))
+    gone = cut(marked.where("not kept").select(F.col("doc_id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct())
+    ids, kept = gone.select("__gone_id").distinct(), marked.where("kept").select(F.col("doc_id").alias("__gone_id"))
+    some = cut(ids.join(kept, "__gone_id", "left_semi"))
+    whole = cut(ids.join(some, "__gone_id", "left_anti"))
+    if whole.count() <= BROADCAST_ROWS:
+        whole = F.broadcast(whole)
+    stay = docs.join(whole, docs[f"`{id_col}`"] == whole["__gone_id"], "left_anti")
+    if some.isEmpty():
+        return stay
+    text = F.sha2(F.col(f"`{text_col}`"), 256)
+    texts = docs.join(some, docs[f"`{id_col}`"] == some["__gone_id"], "left_semi").select(text.alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    digests = signatures(texts).select(F.col("doc_id").alias("__gone_text"), F.col("digest").alias("__gone_digest")).distinct()
+    parts = cut(gone.join(some, "__gone_id", "left_semi").join(digests, "__gone_digest").select("__gone_id", "__gone_text"))
+    return stay.join(parts, (F.col(f"`{id_col}`") == F.col("__gone_id")) & (text == F.col("__gone_text")), "left_anti")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
