@@ -6,9 +6,11 @@ from vigil.llm.bpe import op8_bpe
 from vigil.llm.decontaminate import op10_decontaminate
 from vigil.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from vigil.llm.html_text import op4_html_text
+from vigil.llm.merkle import OP13_SQL, op13_merkle
 from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.ngram_lm import OP3_SQL, OP3_WHOLE_SQL, op3_ngram_lm, op3_ngram_lm_whole
 from vigil.llm.quality import op1_quality
+from vigil.llm.runs import op12_runs
 from vigil.llm.secrets import op9_secrets
 from vigil.llm.sharding import op2_sharding
 from vigil.llm.token_counts import op6_token_counts
@@ -25,10 +27,13 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
+    "op12_runs": op12_runs,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE: dict[str, str] = {
     "op3_ngram_lm": OP3_SQL,
     "op3_ngram_lm_whole": OP3_WHOLE_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op13_merkle": OP13_SQL,
 }
