@@ -9,6 +9,7 @@ from vigil.llm.html_text import op4_html_text
 from vigil.llm.merkle import OP13_SQL, op13_merkle
 from vigil.llm.near_dedup import op7_near_dedup
 from vigil.llm.ngram_lm import OP3_SQL, OP3_WHOLE_SQL, op3_ngram_lm, op3_ngram_lm_whole
+from vigil.llm.packing import op11_packing
 from vigil.llm.quality import op1_quality
 from vigil.llm.runs import op12_runs
 from vigil.llm.secrets import op9_secrets
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
+    "op11_packing": op11_packing,
     "op12_runs": op12_runs,
     "op13_merkle": op13_merkle,
 }
