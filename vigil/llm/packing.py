@@ -24,51 +24,111 @@ and only then; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from vigil.llm.common import cut, map_arrow, only, read_table
+from vigil.llm.pieces import Splitter, byte_chars
 from vigil.session import shuffle_partitions
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
 #: Words whose ids a worker remembers; the memo is emptied when it is full. Longer words are not remembered.
-MEMO, MEMO_BYTES = 300_000, 64
+MEMO, MEMO_BYTES = 1_000_000, 64
+#: A byte that no word has which is learned together with others.
+MARK = "\0"
 
 
 class WordEncoder:
-    """Ids of texts under a vocabulary whose pre-tokenisation never joins what white space parts.
-
-    The words between ASCII white space are encoded once and remembered.
+    """Ids of texts under a lower-casing vocabulary with word ends, whose pre-tokenisation never joins what white space parts.
+
+    The words between ASCII white space are encoded once and remembered. New
+    ones are encoded together: normalised (by the library unless they are ASCII),
+    cut by the vocabulary's own pattern, and given to a tokenizer with the
+    vocabulary's merges that only parts at spaces, with a mark between words to
+    tell their ids apart. Words with the string of an added token, with control
+    characters, or with code points that the pattern engines class differently go
+    through the vocabulary's whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
-        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = spec["pre_tokenizer"]["pretokenizers"]
+        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]], [x["type"] for x in steps]
+        if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) or steps[0]["behavior"] != "Removed" or spec["model"]["end_of_word_suffix"] != "</w>":
+            raise ValueError("only vocabularies of lower-cased words with word ends are supported")
+        self.whole = Tokenizer.from_file(path)
+        vocab = spec["model"]["vocab"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        self.parts = Tokenizer(models.BPE(vocab, merges, end_of_word_suffix="</w>"))
+        self.parts.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        chars = byte_chars()
+        self.mark = vocab[chars[ord(MARK)] + "</w>"]
+        splitter = Splitter(steps[0]["pattern"]["Regex"])
+        self.find, self.disputed = splitter.find, splitter.disputed
+        self.odd = regex.compile("|".join([r"[\x00-\x1f\x7f]", *[regex.escape(t["content"]) for t in spec["added_tokens"]]]))
+        self.bytes = str.maketrans({chr(b): c for b, c in chars.items() if b != 32})
         self.memo: dict[bytes, bytes] = {}
 
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words, memo = text.split(), self.memo
-        new = [w for w in dict.fromkeys(words) if w not in memo]
-        if not new:
-            return b"".join(map(memo.__getitem__, words))
-        found = self.tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
-        got = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
-        out = b"".join([got[w] if w in got else memo[w] for w in words])
-        if len(memo) + len(got) > MEMO:
-            memo.clear()
-        memo.update((w, x) for w, x in got.items() if len(w) <= MEMO_BYTES)
-        return out
+    def _parts(self, words: list[str], normal: Callable[[str], str]) -> str | None:
+        """The parts of normalised words, parted by spaces, with ``MARK`` before each word but the first; None if a word is split or joined by it."""
+        line = normal(" ".join(words))
+        if line.count(" ") != len(words) - 1 or self.disputed is not None and not line.isascii() and self.disputed.search(line):
+            return None
+        return " ".join(self.find(line.replace(" ", f" {MARK} ")))
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        line, got = b" ".join(words).decode("utf-8"), {}
+        texts = line.split(" ")
+        odd = [k for k, t in enumerate(texts) if self.odd.search(t)] if self.odd.search(line) else []
+        rest = set(range(len(words))).difference(odd) if odd else range(len(words))
+        plain, wide = [], []
+        for k in rest:
+            (plain if texts[k].isascii() else wide).append(k)
+        for group, normal in ((plain, str.lower), (wide, self.whole.normalizer.normalize_str)):
+            if not group:
+                continue
+            line = self._parts([texts[k] for k in group], normal)
+            if line is None:  # one by one, to find out which
+                single = [(k, self._parts([texts[k]], normal)) for k in group]
+                odd += [k for k, x in single if x is None]
+                group, line = [k for k, x in single if x is not None], f" {MARK} ".join([x for _, x in single if x is not None])
+                if not group:
+                    continue
+            ids = np.array(self.parts.encode_batch_fast([line.encode("utf-8").decode("latin-1").translate(self.bytes)], add_special_tokens=False)[0].ids, "<u4")
+            marks = np.flatnonzero(ids == self.mark)
+            packed, starts, ends = ids.tobytes(), [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), 4 * len(ids)]
+            got.update((words[k], packed[a:b]) for k, a, b in zip(group, starts, ends))
+        got.update((words[k], np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()) for k in odd)
+        return got
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        split = [t.split() for t in texts]
+        words = set(chain.from_iterable(split))
+        here = dict(zip(words, map(self.memo.get, words)))  # small enough to stay near the processor
+        new = [w for w, x in here.items() if x is None]
+        if new:
+            got = self._learn(new)
+            here.update(got)
+            if len(self.memo) >= MEMO:
+                self.memo = {}
+            self.memo.update((w, x) for w, x in got.items() if len(w) <= MEMO_BYTES)
+        return [b"".join(map(here.__getitem__, w)) for w in split]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -92,8 +152,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, voca
         e = encoder(vocabulary)
         for b in batches:
             row, nth, size, crc, ids = [], [], [], [], []
-            for k, text in enumerate(b.column(1).cast(pa.binary()).to_pylist()):
-                packed = e.encode(text or b"") + end
+            texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
+            for k, packed in enumerate(e.encode(texts)):
+                packed += end
                 for i, at in enumerate(range(0, len(packed), 4 * capacity)):
                     part = packed[at: at + 4 * capacity]
                     row.append(k)
