@@ -24,6 +24,7 @@ and only then; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import zlib
@@ -84,8 +85,13 @@ class WordEncoder:
         self.bytes = str.maketrans({chr(b): c for b, c in chars.items() if b != 32})
         self.memo: dict[bytes, bytes] = {}
 
-    def _parts(self, words: list[str], normal: Callable[[str], str]) -> str | None:
-        """The parts of normalised words, parted by spaces, with ``MARK`` before each word but the first; None if a word is split or joined by it."""
+    def _parts(self, words: list[str], normal: Callable[[str], str] | None) -> str | None:
+        """The parts of normalised words, parted by spaces, with ``MARK`` before each word but the first; None if a word is split or joined by it.
+
+        Without ``normal`` the words are ASCII letters, each one part.
+        """
+        if normal is None:
+            return f" {MARK} ".join(words).lower()
         line = normal(" ".join(words))
         if line.count(" ") != len(words) - 1 or self.disputed is not None and not line.isascii() and self.disputed.search(line):
             return None
@@ -94,30 +100,39 @@ class WordEncoder:
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         line, got = b" ".join(words).decode("utf-8"), {}
         texts = line.split(" ")
-        odd = [k for k, t in enumerate(texts) if self.odd.search(t)] if self.odd.search(line) else []
-        rest = set(range(len(words))).difference(odd) if odd else range(len(words))
-        plain, wide = [], []
-        for k in rest:
-            (plain if texts[k].isascii() else wide).append(k)
-        for group, normal in ((plain, str.lower), (wide, self.whole.normalizer.normalize_str)):
+        any_odd = self.odd.search(line) is not None
+        # 0: ASCII letters, 1: other ASCII, 2: the rest, 3: for the whole tokenizer
+        kinds = [(0 if t.isalpha() else 3 if any_odd and self.odd.search(t) else 1) if t.isascii() else 3 if any_odd and self.odd.search(t) else 2 for t in texts]
+        odd = [t for t, k in zip(texts, kinds) if k == 3]
+        for kind, normal in ((0, None), (1, str.lower), (2, self.whole.normalizer.normalize_str)):
+            group = [t for t, k in zip(texts, kinds) if k == kind]
             if not group:
                 continue
-            line = self._parts([texts[k] for k in group], normal)
+            line = self._parts(group, normal)
             if line is None:  # one by one, to find out which
-                single = [(k, self._parts([texts[k]], normal)) for k in group]
-                odd += [k for k, x in single if x is None]
-                group, line = [k for k, x in single if x is not None], f" {MARK} ".join([x for _, x in single if x is not None])
+                single = [(t, self._parts([t], normal)) for t in group]
+                odd += [t for t, x in single if x is None]
+                group, line = [t for t, x in single if x is not None], f" {MARK} ".join([x for _, x in single if x is not None])
                 if not group:
                     continue
-            ids = np.array(self.parts.encode_batch_fast([line.encode("utf-8").decode("latin-1").translate(self.bytes)], add_special_tokens=False)[0].ids, "<u4")
-            marks = np.flatnonzero(ids == self.mark)
-            packed, starts, ends = ids.tobytes(), [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), 4 * len(ids)]
-            got.update((words[k], packed[a:b]) for k, a, b in zip(group, starts, ends))
-        got.update((words[k], np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()) for k in odd)
+            shown = line.replace(MARK, self.bytes[0]) if line.isascii() else line.encode("utf-8").decode("latin-1").translate(self.bytes)
+            ids = np.array(self.parts.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+            marks = 4 * np.flatnonzero(ids == self.mark)
+            packed = ids.tobytes()
+            each = [packed[a:b] for a, b in zip([0, *(marks + 4).tolist()], [*marks.tolist(), len(packed)])]
+            got.update(zip([t.encode("utf-8") for t in group], each, strict=True))
+        got.update((t.encode("utf-8"), np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()) for t in odd)
         return got
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        gc.disable()  # many lists of words and no cycles: passes over them would find nothing
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         words = set(chain.from_iterable(split))
         here = dict(zip(words, map(self.memo.get, words)))  # small enough to stay near the processor
