@@ -47,19 +47,6 @@ def test_running_sums_match(spark, tiny_buckets):
     assert (m["c_cum"] == m["want"]).all()
 
 
-def test_exact_quantiles_match_numpy(spark, tiny_buckets):
-    rng = np.random.default_rng(3)
-    x = np.concatenate([rng.normal(size=500), np.full(300, 1.5), rng.integers(0, 4, 200)])
-    pdf = pd.DataFrame({"feature": ["a"] * 600 + ["b"] * 400, "value": x})
-    df = spark.createDataFrame(pdf)
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = P.exact_quantiles(df, probs).toPandas()
-    for f, sub in pdf.groupby("feature"):
-        want = np.quantile(sub["value"].to_numpy(), probs)
-        g = got[got.feature == f].sort_values("prob")["q"].to_numpy()
-        assert np.allclose(g, want, rtol=0, atol=1e-12)
-
-
 def test_rank_is_repartition_proof(spark, tiny_buckets):
     df = _tied_frame(spark)
     a = P.global_rank(df.repartition(1), "k", order="v", rank_col="r").select("i", "r")

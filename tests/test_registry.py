@@ -64,3 +64,29 @@ def test_idempotency_key(spark):
     import hashlib
     want = hashlib.sha1("a::b::sha".encode()).hexdigest()[:7]
     assert _one(spark, S.idempotency_key([F.lit(" a "), F.lit(""), F.lit("b")], F.lit("sha"))) == want
+
+
+def test_ledger_is_idempotent(spark, tmp_path):
+    rows = [("brand", "AUC_macro", "max", "run-1", "automl_train", 0.9, "2.0", "run-0", 0.8, "promote", "better_metric", True, "brand"),
+            ("other", "AUC_macro", "max", "run-1", "automl_train", 0.9, "1.0", "run-5", 0.9, "skip", "equal_metric", False, None),
+            ("third", "AUC_macro", "max", "run-1", "automl_train", 0.9, "1.0", "run-6", 0.95, "stage", "worse_metric", False, "model_run-1")]
+    d = spark.createDataFrame(rows, "name string, metric string, direction string, run_id string, experiment_name string, metric_value double, prod_version string, "
+                                    "prod_run_id string, prod_value double, decision string, reason string, should_promote boolean, model_name string")
+    versions = spark.createDataFrame([("brand", "2.1")], "name string, next_version string")
+    path = f"{tmp_path}/ledger"
+    dry = R.promotion_records(d, ["a", "b"], versions, git_sha="abc")
+    assert dry.columns[:17] == R.RECORD_FIELDS and dry.where("tags IS NOT NULL OR model_version IS NOT NULL").count() == 0
+    assert R.append_promotions(dry, path).count() == 0 and not (tmp_path / "ledger").exists()
+    real = R.promotion_records(d, ["a", "b"], versions, dataset_version="d7", git_sha="abc", dry_run=False)
+    assert sorted(r.model_id for r in R.append_promotions(real, path).collect()) == ["brand:2.1", "model_run-1:1"]
+    assert R.append_promotions(real, path).count() == 0
+    ledger = {r.model_name: r for r in spark.read.parquet(path).collect()}
+    import hashlib
+    key = hashlib.sha1("automl_train::AUC_macro::run-1::abc".encode()).hexdigest()[:7]
+    assert set(ledger["brand"].tags) == set(R.TAG_KEYS) and {r.idempotency_key for r in ledger.values()} == {key}
+    assert (ledger["brand"].tags["stage"], ledger["brand"].tags["dataset_version"], ledger["model_run-1"].tags["alias"]) == ("production", "d7", "staging")
+    # equal metrics register only when forced; that model is in the ledger already
+    forced = R.promotion_records(d.where("decision = 'skip'"), ["a"], versions, git_sha="abc", dry_run=False, force=True)
+    assert forced.first().model_name == "model_run-1" and R.append_promotions(forced, path).count() == 0
+    other = R.promotion_records(d.where("decision = 'skip'"), ["a"], versions, git_sha="new", dry_run=False, force=True)
+    assert R.append_promotions(other, path).count() == 1 and spark.read.parquet(path).count() == 3

@@ -47,3 +47,19 @@ def test_value_counts_and_describe(spark):
     q = np.quantile(pdf["x"], [0.25, 0.5, 0.75])
     assert (d["q25"], d["q50"], d["q75"]) == pytest.approx(tuple(q))
     assert d["std"] == pytest.approx(pdf["x"].std())
+
+
+def test_projections_equal_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4)) + [5, 0, -2, 1]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)] + [(300, 1.0, None, 2.0, 3.0)], "i int, a double, b double, c double, d double")
+    feats = list("abcd")
+    for p, m in ((S.pca(df, feats, 3), x - x.mean(axis=0)), (S.truncated_svd(df, feats, 3), x)):
+        _, sv, vt = np.linalg.svd(m, full_matrices=False)
+        vt = vt[:3] * np.sign(vt[np.arange(3), np.abs(vt[:3]).argmax(axis=1)])[:, None]
+        want = sv[:3] if m is x else sv[:3] ** 2 / (sv ** 2).sum()
+        assert np.allclose(p.values, want, rtol=1e-9)
+        got = p.rows(df).orderBy("i").collect()
+        assert np.allclose([[r.pc1, r.pc2, r.pc3] for r in got[:300]], m @ vt.T, atol=1e-8)
+        assert got[300].pc1 is None and got[300].a == 1.0

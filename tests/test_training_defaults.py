@@ -18,8 +18,7 @@ def _rows(spark, n=400):
 
 
 @pytest.mark.parametrize("name, variant", [(n, "xgb") for n in (
-    "gbt_scores", "random_search", "fold_ap", "fold_importance_summary", "permutation_importance", "importances", "stream_scores", "score_requests")]
-    + [("gbt_metrics", "lgbm")])
+    "random_search", "fold_ap", "fold_importance_summary", "permutation_importance", "importances", "stream_scores", "score_requests")])
 def test_estimator_of_query(spark, monkeypatch, name, variant):
     made = []
 
@@ -40,6 +39,21 @@ def test_estimator_of_query(spark, monkeypatch, name, variant):
     assert {r.is_val for r in train.select("is_val").distinct().collect()} == {True, False}
 
 
+@pytest.mark.parametrize("name, variant", [("gbt_scores", "xgb"), ("gbt_metrics", "lgbm"), ("early_stopping", "xgb")])
+def test_patient_queries(spark, monkeypatch, name, variant):
+    asked = []
+
+    def fit(train, features, *args, **kwargs):
+        asked.append((list(features), args, kwargs))
+        raise Stop
+
+    monkeypatch.setattr(TR, "fit_with_patience", fit)
+    monkeypatch.setattr(Q, "_training_setup", lambda *_: (_rows(spark), _rows(spark), None))
+    with pytest.raises(Stop):
+        Q.QUERIES[name](spark, "unused")
+    assert asked == [(Q.TRAIN_FEATURES, (), {} if variant == "xgb" else {"variant": variant})]
+
+
 def test_trials_and_repeats(spark, monkeypatch):
     asked = {}
     draw = TR.sample_grid
@@ -50,4 +64,4 @@ def test_trials_and_repeats(spark, monkeypatch):
     monkeypatch.setattr(TR, "fit", lambda *_: TR.TrainResult(None, [], "Class"))
     monkeypatch.setattr(TR, "permutation_importance", lambda *a, n_repeats=5, **_: asked.update(repeats=n_repeats))
     Q.QUERIES["permutation_importance"](spark, "unused")
-    assert asked == {"trials": 300, "repeats": 5}
+    assert asked == {"trials": Q.QUERY_TRIALS, "repeats": 5} and TR.SEARCH_TRIALS == 300

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.schema import numeric_features, shared_numeric
-from vigil.operators.primitives import exact_quantiles, materialize, order_statistics, running_sums, to_long
+from vigil.operators.primitives import materialize, running_sums, to_long
+from vigil.operators.select import edge_bin, exact_quantiles
 
 EPS = 1e-6
 
@@ -57,23 +58,20 @@ def distinct_counts(long: DataFrame) -> DataFrame:
 
 
 def drift_tables(long: DataFrame, bins: int = 10, with_ks: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """PSI (feature, psi, n_ref, n_cur) and KS (feature, ks) from ONE pass of
-    cumulative counts over the distinct values: the reference side's
-    cumulative counts give the exact quantile edges, both sides' give KS."""
-    d = materialize(distinct_counts(long))
-    cum = running_sums(d, "value", ["_nr", "_nc"], group="feature", keep_bucket=True)
-    q = order_statistics(cum, _interior_probs(bins), "feature", "value", "_nr", "_nr_cum")
-    edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-    tot = d.groupBy("feature").agg(F.sum("_nr").alias("_tr"), F.sum("_nc").alias("_tc"))
-    # edges and tot hold one short row per feature: bounded by the feature count.
-    binned = (d.join(F.broadcast(edges), "feature", "left")
-              .withColumn("bin", F.coalesce(F.size(F.filter("edges", lambda e: e <= F.col("value"))), F.lit(0))))
-    counts = binned.groupBy("feature", "bin").agg(F.sum("_nr").alias("_nr"), F.sum("_nc").alias("_nc"))
-    all_bins = (tot.join(F.broadcast(edges), "feature", "left")
-                .select("feature", "_tr", "_tc",
-                        F.explode(F.sequence(F.lit(0), F.coalesce(F.size("edges"), F.lit(0)))).alias("bin")))
-    full = all_bins.join(counts, ["feature", "bin"], "left").fillna(0, ["_nr", "_nc"])
+    """PSI (feature, psi, n_ref, n_cur) and KS (feature, ks).
+
+    PSI takes its edges by selection on the reference side and counts bins in
+    one grouped pass; only KS needs the order of the distinct values."""
+    d = materialize(distinct_counts(long)) if with_ks else None
+    edges = psi_edges(long.where(F.col("side") == 0), bins)
+    # edges has one short row per feature: bounded by the feature count.
+    counts = (long.join(F.broadcast(edges), "feature", "left")
+              .withColumn("bin", edge_bin(F.col("value"), F.col("edges"), bins - 1))
+              .groupBy("feature", "bin").agg(F.count_if(F.col("side") == 0).alias("_nr"), F.count_if(F.col("side") == 1).alias("_nc")))
     w = Window.partitionBy("feature")  # at most `bins` rows per feature
+    every = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))
+    full = (counts.join(every, ["feature", "bin"], "full").fillna(0, ["_nr", "_nc"])
+            .withColumn("_tr", F.sum("_nr").over(w)).withColumn("_tc", F.sum("_nc").over(w)))
     full = (full.withColumn("_rs", F.greatest(F.try_divide("_nr", "_tr"), F.lit(EPS)))
             .withColumn("_cs", F.greatest(F.try_divide("_nc", "_tc"), F.lit(EPS))))
     full = (full.withColumn("_rs", F.col("_rs") / F.sum("_rs").over(w))
@@ -82,13 +80,19 @@ def drift_tables(long: DataFrame, bins: int = 10, with_ks: bool = True) -> tuple
         F.when((F.max("_tr") > 0) & (F.max("_tc") > 0),
                F.sum((F.col("_rs") - F.col("_cs")) * F.log(F.col("_rs") / F.col("_cs")))).alias("psi"),
         F.max("_tr").cast("long").alias("n_ref"), F.max("_tc").cast("long").alias("n_cur"))
-    ks = None
-    if with_ks:
-        gaps = cum.join(F.broadcast(tot), "feature").select(
-            "feature", F.abs(F.try_divide("_nr_cum", "_tr") - F.try_divide("_nc_cum", "_tc")).alias("_gap"),
-            "_tr", "_tc")
-        ks = gaps.groupBy("feature").agg(F.when((F.max("_tr") > 0) & (F.max("_tc") > 0), F.max("_gap")).alias("ks"))
-    return psi, ks
+    return psi, _ks(d) if with_ks else None
+
+
+def _ks(d: DataFrame) -> DataFrame:
+    """(feature, ks) from ``distinct_counts``."""
+    tot = d.groupBy("feature").agg(F.sum("_nr").alias("_tr"), F.sum("_nc").alias("_tc"))
+    cum = running_sums(d, "value", ["_nr", "_nc"], group="feature")
+    # tot has one row per feature.
+    gaps = cum.join(F.broadcast(tot), "feature").select(
+        "feature", F.abs(F.try_divide("_nr_cum", "_tr") - F.try_divide("_nc_cum", "_tc")).alias("_gap"),
+        "_tr", "_tc")
+    return gaps.groupBy("feature").agg(
+        F.when((F.max("_tr") > 0) & (F.max("_tc") > 0), F.max("_gap")).alias("ks"))
 
 
 def psi_by_feature(long: DataFrame, bins: int = 10) -> DataFrame:
@@ -100,15 +104,7 @@ def psi_by_feature(long: DataFrame, bins: int = 10) -> DataFrame:
 def ks_by_feature(long: DataFrame) -> DataFrame:
     """(feature, ks) — max gap of the right-continuous empirical CDFs,
     evaluated at every observed value; NULL when a side is empty."""
-    d = materialize(distinct_counts(long))
-    tot = d.groupBy("feature").agg(F.sum("_nr").alias("_tr"), F.sum("_nc").alias("_tc"))
-    cum = running_sums(d, "value", ["_nr", "_nc"], group="feature")
-    # tot has one row per feature.
-    gaps = cum.join(F.broadcast(tot), "feature").select(
-        "feature", F.abs(F.try_divide("_nr_cum", "_tr") - F.try_divide("_nc_cum", "_tc")).alias("_gap"),
-        "_tr", "_tc")
-    return gaps.groupBy("feature").agg(
-        F.when((F.max("_tr") > 0) & (F.max("_tc") > 0), F.max("_gap")).alias("ks"))
+    return _ks(materialize(distinct_counts(long)))
 
 
 def drift_report(reference: DataFrame, current: DataFrame, config: DriftConfig = DriftConfig(),

@@ -14,9 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigil.operators.primitives import _cols, _null_safe, finite, materialize, running_sums
+from vigil.operators.select import edge_bin, exact_quantiles
 
 LOG_EPS = 1e-15
 
@@ -34,10 +34,20 @@ def curve(df: DataFrame, label: str = "Class", score: str = "score",
     A group in which any score is missing (NULL, NaN, infinite) has NULL totals
     and so no AP or AUC, unless ``drop_missing`` leaves such rows out (for
     features, whose missing values are no failure of a model)."""
+    return curve_of_counts(score_counts(df, label, score, group), group, drop_missing)
+
+
+def score_counts(df: DataFrame, label: str = "Class", score: str = "score", group: str | Sequence[str] | None = None) -> DataFrame:
+    """One row per (group, distinct score ``_p``; NULL if missing): pos, neg. The only pass over the rows."""
     g = _cols(group)
-    every = materialize(_prep(df, label, score, g).groupBy(*g, "_p").agg(
+    return materialize(_prep(df, label, score, g).groupBy(*g, "_p").agg(
         F.count_if(F.col("_y") == 1).cast("long").alias("pos"),
         F.count_if(F.col("_y") != 1).cast("long").alias("neg")))
+
+
+def curve_of_counts(every: DataFrame, group: str | Sequence[str] | None = None, drop_missing: bool = False) -> DataFrame:
+    """``curve`` of a table as ``score_counts`` gives it."""
+    g = _cols(group)
     d = every.where(F.col("_p").isNotNull())
     whole = F.lit(True) if drop_missing else F.count("_p") == F.count(F.lit(1))
     pos, neg = F.when(whole, F.sum("pos")).alias("P"), F.when(whole, F.sum("neg")).alias("N")
@@ -60,6 +70,16 @@ def average_precision(c: DataFrame, group: Sequence[str] = ()) -> DataFrame:
                                     / F.max("P")).alias("average_precision"))
 
 
+def average_precision_reversed(c: DataFrame, group: Sequence[str] = (), flip_labels: bool = False) -> DataFrame:
+    """AP of the negated score from the curve of the score itself: the counts
+    from the other end are the totals less the counts before. With
+    ``flip_labels`` also of the other class, as for (1 - y, 1 - p)."""
+    g = list(group)
+    tp, fp = F.col("P") - F.col("tp") + F.col("pos"), F.col("N") - F.col("fp") + F.col("neg")
+    at, total, hit = (F.col("neg"), F.max("N"), fp) if flip_labels else (F.col("pos"), F.max("P"), tp)
+    return c.groupBy(*g).agg(F.when(total > 0, F.sum(at * (hit / (tp + fp))) / total).alias("average_precision"))
+
+
 def roc_auc(c: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Σ pos_g · (negatives below + ties / 2) / (P · N); NULL if P or N is 0."""
     g = list(group)
@@ -70,29 +90,31 @@ def roc_auc(c: DataFrame, group: Sequence[str] = ()) -> DataFrame:
 
 def pr_curve(c: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """(threshold, precision, recall) at every distinct score plus the
-    final point (NULL threshold, precision 1, recall 0)."""
+    final point (NULL threshold, precision 1, recall 0). Where a score is
+    missing (NULL totals), precision and recall are NULL."""
     g = list(group)
-    pts = c.select(*g, "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                   F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(1.0)).alias("recall"))
+    known = F.col("P").isNotNull()
+    pts = c.select(*g, "threshold", F.when(known, F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                   F.when(F.col("P") > 0, F.col("tp") / F.col("P")).when(known, F.lit(1.0)).alias("recall"))
     last = c.select(*g).distinct().select(*g, F.lit(None).cast("double").alias("threshold"),
                                            F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(last)
 
 
 def best_f1_threshold(c: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Threshold maximising 2pr/(p+r+1e-12); ties go to the lowest threshold."""
+    """Threshold maximising 2pr/(p+r+1e-12); ties go to the lowest threshold; NULL where a score is missing."""
     g = list(group)
     pts = pr_curve(c, g).where(F.col("threshold").isNotNull())
     f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + 1e-12)
     pts = pts.withColumn("f1", f1)
     best = pts.groupBy(*g).agg(F.min_by(F.struct("threshold", "precision", "recall", "f1"),
-                                        F.struct(-F.col("f1"), F.col("threshold"))).alias("b"))
+                                        F.when(F.col("f1").isNotNull(), F.struct(-F.col("f1"), F.col("threshold")))).alias("b"))
     return best.select(*g, "b.threshold", "b.precision", "b.recall", "b.f1")
 
 
 def recall_at_precision(c: DataFrame, min_precision: float = 0.10, group: Sequence[str] = ()) -> DataFrame:
     """Highest recall with precision >= floor (lowest threshold on ties);
-    if no threshold reaches the floor, the highest precision."""
+    if no threshold reaches the floor, the highest precision; NULL where a score is missing."""
     g = list(group)
     pts = pr_curve(c, g).where(F.col("threshold").isNotNull())
     ok = F.col("precision") >= min_precision
@@ -100,8 +122,8 @@ def recall_at_precision(c: DataFrame, min_precision: float = 0.10, group: Sequen
         F.min_by(F.struct("threshold", "precision", "recall"),
                  F.when(ok, F.struct(-F.col("recall"), F.col("threshold")))).alias("a"),
         F.min_by(F.struct("threshold", "precision", "recall"),
-                 F.struct(-F.col("precision"), F.col("threshold"))).alias("b"),
-        F.count_if(ok).alias("_nok"))
+                 F.when(F.col("precision").isNotNull(), F.struct(-F.col("precision"), F.col("threshold")))).alias("b"),
+        F.when(F.count("precision") > 0, F.count_if(ok)).alias("_nok"))
     pick = F.when(F.col("_nok") > 0, F.col("a")).otherwise(F.col("b"))
     return res.select(*g, pick["threshold"].alias("threshold"), pick["precision"].alias("precision"),
                       pick["recall"].alias("recall"), (F.col("_nok") > 0).alias("meets_floor"))
@@ -163,6 +185,17 @@ def classification_report(k: DataFrame) -> DataFrame:
         row("weighted avg", w(p0, p1), w(r0, r1), w(f1_0, f1_1), n.cast("double")))))
 
 
+def report_at_threshold(scored: DataFrame, threshold: Column, label: str = "Class", score: str = "score") -> DataFrame:
+    """The classification report of ``score >= threshold`` with the threshold itself; all
+    NULL (but the supports) if there is no threshold or a score is missing."""
+    p = F.col(score).cast("double")
+    marked = scored.select(F.col(label), F.when(finite(p) & threshold.isNotNull(), (p >= threshold).cast("int")).alias("_pred"))
+    whole = marked.agg(F.count("_pred") == F.count(F.lit(1))).scalar()
+    rep = classification_report(confusion_counts(marked.withColumn("_pred", F.coalesce("_pred", F.lit(0))), label, "_pred"))
+    return rep.select("label", *[F.when(whole, F.col(c)).alias(c) for c in ("precision", "recall", "f1_score")], "support",
+                      threshold.alias("threshold"))
+
+
 def topk_table(df: DataFrame, ks: Sequence[int], label: str = "Class", score: str = "score",
                key: str = "txn_id") -> DataFrame:
     """For each k (capped at n): tp, fp, precision, recall of the k
@@ -190,15 +223,16 @@ def topk_table(df: DataFrame, ks: Sequence[int], label: str = "Class", score: st
 def calibration(df: DataFrame, label: str = "Class", score: str = "score", n_bins: int = 10,
                 edges: DataFrame | None = None) -> DataFrame:
     """Quantile-strategy calibration: bin = number of interior edges
-    strictly below the score; (bin, mean_pred, frac_pos, n) per non-empty bin."""
-    from vigil.operators.primitives import exact_quantiles
-    d = _prep(df, label, score, [])
+    strictly below the score; (bin, mean_pred, frac_pos, n) per non-empty bin.
+    Rows without a score are in no bin. ``edges``, if given, has one row with
+    an array of at most ``n_bins - 1`` edges."""
+    d = _prep(df, label, score, []).where(F.col("_p").isNotNull())
     if edges is None:
         probs = [i / n_bins for i in range(1, n_bins)]
         q = exact_quantiles(d.select(F.lit("s").alias("g"), F.col("_p").alias("value")), probs, group="g")
         edges = q.agg(F.array_sort(F.collect_list("q")).alias("edges"))
     e = edges.select("edges").scalar()  # one short array
-    b = d.withColumn("_edges", e).withColumn("bin", F.size(F.filter("_edges", lambda x: x < F.col("_p"))))
+    b = d.withColumn("_edges", e).withColumn("bin", edge_bin(F.col("_p"), F.col("_edges"), n_bins - 1, closed=False))
     return b.groupBy("bin").agg(F.avg("_p").alias("mean_pred"), F.avg("_y").alias("frac_pos"),
                                 F.count(F.lit(1)).cast("long").alias("n"))
 
@@ -209,30 +243,31 @@ def brier(df: DataFrame, label: str = "Class", score: str = "score") -> DataFram
 
 
 def feature_ap(df: DataFrame, features: Sequence[str], label: str = "Class") -> DataFrame:
-    """AP of each feature and of its negative in one job; strength is the
-    larger, direction '+' or '-'."""
+    """AP of each feature and of its negative from one curve each; strength
+    is the larger, direction '+' or '-'."""
     long = df.select(F.col(label).alias("_y"), *[F.col(f).cast("double").alias(f) for f in features]) \
         .unpivot(["_y"], list(features), "feature", "value")
-    both = long.select("feature", "_y", F.col("value").alias("v"), F.lit("+").alias("sign")).unionByName(
-        long.select("feature", "_y", (-F.col("value")).alias("v"), F.lit("-").alias("sign")))
-    c = curve(both, "_y", "v", group=["feature", "sign"], drop_missing=True)
-    ap = average_precision(c, ["feature", "sign"])
-    wide = ap.groupBy("feature").pivot("sign", ["+", "-"]).agg(F.first("average_precision"))
-    pos, neg = F.col("`+`"), F.col("`-`")
-    return wide.select("feature", pos.alias("ap_pos"), neg.alias("ap_neg"), F.greatest(pos, neg).alias("strength"),
+    c = curve(long, "_y", "value", group="feature", drop_missing=True)
+    ap = average_precision(c, ["feature"]).withColumnRenamed("average_precision", "ap_pos")
+    wide = ap.join(average_precision_reversed(c, ["feature"]).withColumnRenamed("average_precision", "ap_neg"), "feature")
+    pos, neg = F.col("ap_pos"), F.col("ap_neg")
+    return wide.select("feature", "ap_pos", "ap_neg", F.greatest(pos, neg).alias("strength"),
                        F.when(pos >= neg, "+").otherwise("-").alias("direction"))
 
 
 def log_loss(df: DataFrame, label: str = "Class", score: str = "score") -> DataFrame:
+    """Mean negative log-likelihood; NULL if a score is missing."""
     p = F.least(F.greatest(F.col(score), F.lit(LOG_EPS)), F.lit(1 - LOG_EPS))
     y = F.col(label)
-    return df.agg((-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"))
+    loss = -F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))
+    return df.agg(F.when(F.count(F.when(finite(score), 1)) == F.count(F.lit(1)), loss).alias("log_loss"))
 
 
 def canonical_metrics(df: DataFrame, label: str = "Class", score: str = "score", pred: str = "pred") -> DataFrame:
     """The 21 canonical run-metric names as (metric, value) rows, from the
     public definitions (binary case; macro/weighted over classes 0 and 1,
-    micro over the one-hot pairs (y, p) and (1 - y, 1 - p))."""
+    micro over the one-hot pairs (y, p) and (1 - y, 1 - p)). The metrics of
+    scores are NULL if one is missing."""
     k = confusion_counts(df, label, pred)
     tp, fp, fn, tn, n = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn", "n"))
     p1, r1, p0, r0 = _div0(tp, tp + fp), _div0(tp, tp + fn), _div0(tn, tn + fn), _div0(tn, tn + fp)
@@ -253,29 +288,24 @@ def canonical_metrics(df: DataFrame, label: str = "Class", score: str = "score",
         acc.alias("f1_score_micro"), ((f1_0 + f1_1) / 2).alias("f1_score_macro"),
         _div0(f1_0 * s0 + f1_1 * s1, n).alias("f1_score_weighted"),
         s0.alias("_s0"), s1.alias("_s1"), n.alias("_n"))
-    # Rank metrics per view: class 1 with p, class 0 with 1 - p, micro = both.
-    base = df.select(F.col(label).cast("int").alias("_y"), F.col(score).cast("double").alias("_p"))
-    views = (base.select(F.lit("c1").alias("view"), "_y", "_p")
-             .unionByName(base.select(F.lit("c0").alias("view"), (1 - F.col("_y")).alias("_y"), (1 - F.col("_p")).alias("_p"))))
-    views = views.unionByName(views.select(F.lit("micro").alias("view"), "_y", "_p"))
-    c = curve(views, "_y", "_p", group="view")
-    rk = average_precision(c, ["view"]).join(roc_auc(c, ["view"]), "view")
-    rk = rk.groupBy().pivot("view", ["c0", "c1", "micro"]).agg(F.first("average_precision").alias("ap"),
-                                                               F.first("roc_auc").alias("auc"))
-    # one-row results attached as scalar subqueries
-    allm = conf
-    for v in ("c0", "c1", "micro"):
-        for m in ("ap", "auc"):
-            allm = allm.withColumn(f"{v}_{m}", rk.select(f"{v}_{m}").scalar())
+    # Class 1 with p, class 0 with 1 - p (the same curve read from its other end), micro = both together.
+    every = score_counts(df, label, score)
+    c = curve_of_counts(every)
+    flipped = every.select((1 - F.col("_p")).alias("_p"), F.col("neg").alias("pos"), F.col("pos").alias("neg"))
+    micro = curve_of_counts(materialize(every.unionByName(flipped).groupBy("_p").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))))
+    auc = roc_auc(c).scalar()  # the same for both classes
+    allm = conf.withColumns({
+        "c1_ap": average_precision(c).scalar(), "c0_ap": average_precision_reversed(c, flip_labels=True).scalar(), "micro_ap": average_precision(micro).scalar(),
+        "c1_auc": auc, "c0_auc": auc, "micro_auc": roc_auc(micro).scalar()})
     allm = allm.withColumn("log_loss", log_loss(df, label, score).scalar())
     s0c, s1c, nc = F.col("_s0"), F.col("_s1"), F.col("_n")
     allm = allm.select(
         "*",
         ((F.col("c0_auc") + F.col("c1_auc")) / 2).alias("AUC_macro"),
-        _div0(F.col("c0_auc") * s0c + F.col("c1_auc") * s1c, nc).alias("AUC_weighted"),
+        F.try_divide(F.col("c0_auc") * s0c + F.col("c1_auc") * s1c, nc).alias("AUC_weighted"),
         F.col("micro_auc").alias("AUC_micro"),
         ((F.col("c0_ap") + F.col("c1_ap")) / 2).alias("average_precision_score_macro"),
-        _div0(F.col("c0_ap") * s0c + F.col("c1_ap") * s1c, nc).alias("average_precision_score_weighted"),
+        F.try_divide(F.col("c0_ap") * s0c + F.col("c1_ap") * s1c, nc).alias("average_precision_score_weighted"),
         F.col("micro_ap").alias("average_precision_score_micro"))
     from vigil.functions.scalars import CANONICAL_METRIC_KEYS
     names = [m[len("metrics."):] for m in CANONICAL_METRIC_KEYS]
@@ -293,7 +323,3 @@ def platt_training_rows(df: DataFrame, label: str = "Class", score: str = "score
     one = j.select("s", F.lit(1.0).alias("target"), t.alias("w"))
     zero = j.select("s", F.lit(0.0).alias("target"), (1 - t).alias("w"))
     return one.unionByName(zero)
-
-
-SCHEMA_CURVE = T.StructType([T.StructField("threshold", T.DoubleType()), T.StructField("precision", T.DoubleType()),
-                             T.StructField("recall", T.DoubleType())])

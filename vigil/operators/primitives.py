@@ -3,7 +3,6 @@
 P1 ``global_rank``    exact row_number over a total order (optionally per group)
 P2 ``running_sums``   cumulative sums over the distinct values of a column
 P4 ``to_long``        features to (feature, value) rows, finite values only
-P5 ``exact_quantiles`` numpy-style linear quantiles from order statistics
 
 Both P1 and P2 cut the order into buckets whose bounds are collected once
 (a bounded list of numbers, so every later branch of the plan sees the same
@@ -127,7 +126,7 @@ def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str
     """Join a small table by columns in which NULL equals NULL (a NULL group is a group)."""
     small = right.select(*[F.col(c).alias(f"_j_{c}") if c in cols else F.col(c) for c in right.columns])
     if not cols:
-        return left.join(F.broadcast(small), how=how)
+        return left if how == "left_semi" else left.join(F.broadcast(small), how=how)
     cond = None
     for c in cols:
         same = left[c].eqNullSafe(small[f"_j_{c}"])
@@ -307,7 +306,7 @@ def global_rank(df: DataFrame, key_hex: str, order: str | None = None, descendin
 
 def running_sums(df: DataFrame, value: str, sums: Sequence[str], group: str | Sequence[str] | None = None,
                  descending: bool = False, n_bounds: int | None = None,
-                 inclusive_suffix: str = "_cum", keep_bucket: bool = False) -> DataFrame:
+                 inclusive_suffix: str = "_cum") -> DataFrame:
     """For a table with one row per distinct (group, value) and count-like
     columns ``sums``, add ``<s>_cum`` = sum of ``s`` over rows with value before
     or equal in the order (ascending by default), per group.
@@ -326,58 +325,5 @@ def running_sums(df: DataFrame, value: str, sums: Sequence[str], group: str | Se
     w = Window.partitionBy(*bucket).orderBy(ordc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = work.select("*", *[F.sum(s).over(w).alias(f"_w_{s}") for s in sums])
     out = _null_safe(within, offsets, bucket, "inner")
-    out = out.select(*[c for c in df.columns], *(["_b"] if keep_bucket else []),
-                     *[(F.col(f"_o_{s}") + F.col(f"_w_{s}")).alias(f"{s}{inclusive_suffix}") for s in sums])
+    out = out.select(*[c for c in df.columns], *[(F.col(f"_o_{s}") + F.col(f"_w_{s}")).alias(f"{s}{inclusive_suffix}") for s in sums])
     return out
-
-
-def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str | Sequence[str] = "feature",
-                    value: str = "value", out_col: str = "q", prob_col: str = "prob") -> DataFrame:
-    """P5: numpy ``linear`` quantiles per group, from order statistics.
-
-    Returns (group..., prob, q). Distinct values are counted, their cumulative
-    counts come from P2, and the two order statistics around ``(n-1)p`` are
-    looked up with an equi-join on the bucket that holds them."""
-    group = _cols(group)
-    d = materialize(long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_sums(d, value, ["_c"], group=group, keep_bucket=True)
-    return order_statistics(cum, probs, group, value, "_c", "_c_cum", out_col, prob_col)
-
-
-def order_statistics(cum: DataFrame, probs: Sequence[float], group: str | Sequence[str], value: str,
-                     count_col: str, cum_col: str, out_col: str = "q", prob_col: str = "prob") -> DataFrame:
-    """Linear-interpolated quantiles from a cumulative table (one row per
-    distinct (group, value) with its count, the inclusive cumulative count in
-    ascending value order and the bucket path ``_b`` of ``running_sums``).
-    Rows with a zero count are ignored."""
-    group = _cols(group)
-    spark = cum.sparkSession
-    c = cum.where(F.col(count_col) > 0).select(*group, value, "_b", F.col(cum_col).alias("_cc"),
-                                               (F.col(cum_col) - F.col(count_col)).alias("_lo"))
-    # One row per (group, bucket): the range of order positions it holds.
-    ranges = c.groupBy(*group, "_b").agg(F.min("_lo").alias("_blo"), F.max("_cc").alias("_bhi"))
-    n = ranges.groupBy(*group).agg(F.max("_bhi").alias("_n"))
-    targets = (n.withColumn(prob_col, F.explode(F.array(*[F.lit(float(x)) for x in probs])))
-               .withColumn("_pos", (F.col("_n") - 1) * F.col(prob_col))
-               .withColumn("_i", F.floor("_pos").cast("long"))
-               .withColumn("_j", F.ceil("_pos").cast("long"))
-               .withColumn("_frac", F.col("_pos") - F.col("_i")))
-
-    def order_stat(pos: str, alias: str) -> DataFrame:
-        # Small x small: which bucket holds the position; then a broadcast
-        # equi-join on (group, bucket) with the large cumulative table.
-        tb = (targets.alias("t").join(
-            ranges.alias("r"),
-            [*(F.col(f"t.{g}") == F.col(f"r.{g}") for g in group),
-             F.col("r._blo") <= F.col(f"t.{pos}"), F.col(f"t.{pos}") < F.col("r._bhi")], "inner")
-            .select(*[F.col(f"t.{g}").alias(g) for g in group], F.col(f"t.{prob_col}").alias(prob_col),
-                    F.col("r._b").alias("_b"), F.col(f"t.{pos}").alias("_p")))
-        hit = (c.join(F.broadcast(tb), [*group, "_b"], "inner")
-               .where((F.col("_lo") <= F.col("_p")) & (F.col("_p") < F.col("_cc"))))
-        return hit.select(*group, prob_col, F.col(value).alias(alias))
-
-    lo = order_stat("_i", "_vlo")
-    hi = order_stat("_j", "_vhi")
-    return (targets.join(lo, [*group, prob_col]).join(hi, [*group, prob_col])
-            .select(*group, prob_col,
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias(out_col)))

@@ -7,15 +7,27 @@ order lexicographically in Spark), non-numeric texts sorting below.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.scalars import parse_version
+from vigil.functions.scalars import idempotency_key, parse_version
+from vigil.operators.primitives import materialize
 
 # Tag keys that may hold the producing run, in priority order,
 # and tag keys that may hold the training data version.
 RUN_ID_TAGS = ["run_id", "mlflow_run_id", "best_run_id"]
 DATASET_VERSION_TAGS = ["dataset_version", "train_dataset_version", "data_version"]
+# The fields of a promotion record and the tags of a registered model.
+RECORD_FIELDS = [
+    "metric", "metric_direction", "experiments", "best_run_id", "best_experiment_name", "best_metric_name", "best_metric_value",
+    "prod_metric_value", "prod_model_name", "prod_model_version", "prod_run_id", "decision", "promote", "model_name",
+    "model_version", "model_id", "dry_run"]
+TAG_KEYS = [
+    "experiment_name", "selected_metric", "metric_name", "metric_value", "best_run_id", "run_id", "git_sha", "idempotency_key",
+    "promotion", "promotion_decision", "promotion_reason", "model_source", "dataset_version", "stage", "alias"]
 
 
 def _c(c: Column | str) -> Column:
@@ -131,3 +143,68 @@ def decide(candidate: DataFrame, prod: DataFrame, epsilon: float = 0.0, delta: f
     return out.withColumn("model_name", F.when(F.col("decision") == "skip", F.lit(None).cast("string"))
                           .when(F.col("should_promote"), target)
                           .otherwise(F.concat(F.lit("model_"), F.col("run_id"))))
+
+
+def promotion_records(decisions: DataFrame, experiments: Sequence[str], versions: DataFrame | None = None, dataset_version: Column | str | None = None,
+                      git_sha: str | None = None, automl_experiment: str = "automl_train", dry_run: bool = True, force: bool = False) -> DataFrame:
+    """The record of each decision (``RECORD_FIELDS``) with the ``tags`` of
+    the model to register and its ``idempotency_key`` (B18).
+
+    ``versions`` (name, next_version; see ``next_versions``) numbers the new
+    models, first ones are 1. ``dataset_version`` is a text or a column of the
+    decisions. Without a registration (a skip, unless ``force`` registers it as
+    staged, or a dry run) version, id, tags and key are NULL.
+    """
+    d = decisions
+    name = F.col("name") if "name" in d.columns else F.lit(None).cast("string")
+    key = idempotency_key([F.coalesce("experiment_name", F.lit("")), "metric", "run_id"], F.lit(git_sha) if git_sha else None)
+    forced = (F.col("decision") == "skip") & F.lit(force)
+    d = d.withColumns({"_prod": name, "_forced": forced, "_target": F.when(forced, F.concat(F.lit("model_"), F.col("run_id"))).otherwise(F.col("model_name"))})
+    if versions is not None:
+        v = versions.select(F.col("name").alias("_vn"), F.col("next_version").alias("_nv"))
+        d = d.join(v, d["_target"] == v["_vn"], "left").drop("_vn")
+    else:
+        d = d.withColumn("_nv", F.lit(None).cast("string"))
+    registers = F.lit(not dry_run) & ((F.col("decision") != "skip") | F.col("_forced"))
+    stage = F.when(F.col("should_promote"), "production").otherwise("staging")
+    version = F.when(registers, F.coalesce("_nv", F.lit("1")))
+    data = _c(dataset_version) if isinstance(dataset_version, Column) else F.lit(dataset_version or "unknown")
+    values = {
+        "experiment_name": F.col("experiment_name"), "selected_metric": F.col("metric"), "metric_name": F.col("metric"),
+        "metric_value": F.col("metric_value").cast("string"), "best_run_id": F.col("run_id"), "run_id": F.col("run_id"),
+        "git_sha": F.lit(git_sha or "unknown"), "idempotency_key": key, "promotion": F.col("should_promote").cast("string"),
+        "promotion_decision": F.col("decision"), "promotion_reason": F.col("reason"),
+        "model_source": F.when(F.col("experiment_name") == automl_experiment, "automl").otherwise("custom"),
+        "dataset_version": data, "stage": stage, "alias": stage}
+    tags = F.create_map(*[x for k in TAG_KEYS for x in (F.lit(k), values[k])])
+    fields = {
+        "metric": F.col("metric"), "metric_direction": F.col("direction"), "experiments": F.array(*[F.lit(e) for e in experiments]).cast("array<string>"),
+        "best_run_id": F.col("run_id"), "best_experiment_name": F.col("experiment_name"), "best_metric_name": F.col("metric"), "best_metric_value": F.col("metric_value"),
+        "prod_metric_value": F.col("prod_value"), "prod_model_name": F.col("_prod"), "prod_model_version": F.col("prod_version"), "prod_run_id": F.col("prod_run_id"),
+        "decision": F.col("decision"), "promote": F.col("should_promote"), "model_name": F.col("_target"), "model_version": version,
+        "model_id": F.when(registers, F.concat(F.col("_target"), F.lit(":"), version)), "dry_run": F.lit(dry_run)}
+    return d.select(*[fields[f].alias(f) for f in RECORD_FIELDS], F.when(registers, tags).alias("tags"), F.when(registers, key).alias("idempotency_key"))
+
+
+def append_promotions(records: DataFrame, path: str) -> DataFrame:
+    """Add the registrations among ``records`` to the ledger at ``path`` (Parquet) and return what was added.
+
+    A registration is known by its idempotency key and model name: one that the
+    ledger has is not added again, so a run can be repeated; of several new ones
+    the record against the first production model (by name) is taken.
+    Records without a registration (dry runs, skips) write nothing. One writer at
+    a time.
+    """
+    spark = records.sparkSession
+    new = (records.where(F.col("idempotency_key").isNotNull()).groupBy("idempotency_key", "model_name")
+           .agg(F.min_by(F.struct(*records.columns), F.struct("prod_model_name", "decision")).alias("_r")).select("_r.*"))
+    try:
+        known = spark.read.schema(records.schema).parquet(path).select("idempotency_key", "model_name")
+        new = new.join(known, ["idempotency_key", "model_name"], "left_anti").select(*records.columns)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    new = materialize(new)  # read from the ledger before it is written
+    if not new.isEmpty():
+        new.write.mode("append").parquet(path)
+    return new

@@ -2,8 +2,9 @@
 
 Every pseudo-random choice is an order by ``md5(key:seed)`` inside the
 stratum, so a split is exact in size, repartition-proof and reproducible by
-any engine that has md5. Ranks come from the distributed ``global_rank``;
-sizes come from a per-class count (a bounded summary).
+any engine that has md5. Splits and samples compare each row's hash with its
+class's cut, found by selection (``hash_cuts``), and shuffle nothing; folds and
+batches need every row's rank, from the distributed ``global_rank``.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.primitives import global_rank
+from vigil.operators.select import hash_cuts
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
@@ -54,29 +56,44 @@ def _hash(key: str, *salt) -> F.Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), *[F.lit(str(s)) for s in salt]))
 
 
-def _size_map(sizes: dict):
-    return F.create_map(*[x for k, v in sizes.items() if k is not None for x in (F.lit(k), F.lit(int(v)))])
+def _by_class(values: dict, label: str | None, kind) -> F.Column:
+    """The value of a row's class as a column; rows without a label are a class of their own."""
+    if label is None:
+        return F.lit(values["__all__"])
+    listed = [x for k, v in values.items() if k is not None for x in (F.lit(k), F.lit(v))]
+    rest = F.lit(values.get(None, kind()))
+    return F.coalesce(F.element_at(F.create_map(*listed), F.col(label)), rest) if listed else rest
+
+
+def _mark_first(df: DataFrame, hashed: str, key: str, label: str | None, wanted, flag: str) -> tuple[DataFrame, dict, dict]:
+    """Mark the first rows of each class by hash: a comparison with the class's cut, so no row is shuffled.
+
+    If a cut would part equal hashes (rows that share a key), rows are ranked instead.
+    Returns the marked rows, the class counts and the sizes.
+    """
+    sizes: dict = {}
+
+    def choose(counts: dict) -> dict:
+        sizes.update(wanted(counts))
+        return sizes
+
+    counts, cuts = hash_cuts(df, hashed, label, choose)
+    if cuts is not None:
+        return df.withColumn(flag, F.col(hashed) <= _by_class(cuts, label, str)), counts, sizes
+    ranked = global_rank(df, hashed, group=label, rank_col="_srk", group_counts=counts if label else None)
+    return ranked.withColumn(flag, F.col("_srk") <= _by_class(sizes, label, int)).drop("_srk"), counts, sizes
 
 
 def mark_split(df: DataFrame, key: str, label: str = "Class", test: float = 0.1, seed: int = 42,
-               stratify: bool = True, salt: Sequence = (), flag: str = "is_test",
-               counts: dict | None = None) -> tuple[DataFrame, dict]:
+               stratify: bool = True, salt: Sequence = (), flag: str = "is_test") -> tuple[DataFrame, dict]:
     """D1 core: add boolean ``flag`` marking the exact test members.
 
     Returns the marked frame and the per-class test sizes."""
     if stratify and label not in df.columns:
-        raise ValueError(f"Label column '{label}' not found in DataFrame.")
-    counts = counts if counts is not None else (class_counts(df, label) if stratify
-                                                else {"__all__": df.count()})
-    sizes = allocate_test(counts, test, stratify)
+        raise ValueError(f"There is no label column '{label}' to split by.")
     h = df.withColumn("_sh", _hash(key, seed, *salt))
-    if test == 0:
-        return df.withColumn(flag, F.lit(False)), sizes
-    ranked = global_rank(h, "_sh", group=label if stratify else None, rank_col="_srk",
-                         group_counts=counts if stratify else None)
-    # rows without a label are a stratum of their own
-    bound = F.coalesce(F.element_at(_size_map(sizes), F.col(label)), F.lit(sizes.get(None, 0))) if stratify else F.lit(sizes["__all__"])
-    return ranked.withColumn(flag, F.col("_srk") <= bound).drop("_sh", "_srk"), sizes
+    marked, _, sizes = _mark_first(h, "_sh", key, label if stratify else None, lambda c: allocate_test(c, test, stratify), flag)
+    return marked.drop("_sh"), sizes
 
 
 def split_data(df: DataFrame, key: str, label: str = "Class", test: float = 0.1, seed: int = 42,
@@ -94,12 +111,9 @@ def three_way_split(df: DataFrame, key: str, label: str = "Class", test_size: fl
                     val_size: float = 0.2, seed: int = 42, val_is_total: bool = False) -> DataFrame:
     """D3: adds ``split`` in {train, val, test}. Test is drawn first; the
     validation share then applies to the rest (rescaled if ``val_is_total``)."""
-    counts = class_counts(df, label)
-    m1, test_sizes = mark_split(df, key, label, test_size, seed, counts=counts, flag="_is_test")
-    rest_counts = {c: counts[c] - test_sizes[c] for c in counts}
+    m1, _ = mark_split(df, key, label, test_size, seed, flag="_is_test")
     v = val_size / (1 - test_size) if val_is_total else val_size
-    rest = m1.where(~F.col("_is_test"))
-    m2, _ = mark_split(rest, key, label, v, seed, salt=("val",), counts=rest_counts, flag="_is_val")
+    m2, _ = mark_split(m1.where(~F.col("_is_test")), key, label, v, seed, salt=("val",), flag="_is_val")
     tests = m1.where(F.col("_is_test")).drop("_is_test").withColumn("split", F.lit("test"))
     others = m2.drop("_is_test").withColumn("split", F.when(F.col("_is_val"), "val").otherwise("train")).drop("_is_val")
     return others.unionByName(tests)
@@ -117,11 +131,9 @@ def stratified_kfold(df: DataFrame, key: str, label: str = "Class", k: int = 5,
 
 def undersample(df: DataFrame, key: str, label: str = "Class", seed: int = 42) -> DataFrame:
     """All positives plus as many negatives, chosen by md5 order."""
-    counts = class_counts(df, label)
-    n_pos = counts.get(1, 0)
-    neg = df.where(F.col(label) == 0).withColumn("_uh", _hash(key, seed, "under"))
-    chosen = global_rank(neg, "_uh", rank_col="_urk").where(F.col("_urk") <= n_pos).drop("_uh", "_urk")
-    return df.where(F.col(label) == 1).unionByName(chosen)
+    h = df.withColumn("_uh", _hash(key, seed, "under"))
+    marked, _, _ = _mark_first(h, "_uh", key, label, lambda c: {k: c.get(1, 0) if k == 0 else n if k == 1 else 0 for k, n in c.items()}, "_kept")
+    return marked.where("_kept").drop("_uh", "_kept")
 
 
 def batches(df: DataFrame, key_hex: str, batch_size: int = 200, batch_col: str = "batch_id",
@@ -138,5 +150,7 @@ def permute_within(df: DataFrame, key: str, group: str, column: str, repeat: int
     keys takes the value of row i of another md5 order (salted by repeat)."""
     a = global_rank(df.withColumn("_pa", _hash(key, seed, "perm-a")), "_pa", group=group, rank_col="_ra")
     b = global_rank(df.select(group, column, _hash(key, seed, "perm-b", repeat).alias("_pb")),
-                    "_pb", group=group, rank_col="_ra").select(group, "_ra", F.col(column).alias("_pv"))
-    return a.join(b, [group, "_ra"]).drop(column, "_pa", "_ra").withColumnRenamed("_pv", column)
+                    "_pb", group=group, rank_col="_ra").select(F.col(group).alias("_pg"), F.col("_ra").alias("_rb"), F.col(column).alias("_pv"))
+    # rows without a group are a group
+    pairs = a.join(b, a[group].eqNullSafe(F.col("_pg")) & (F.col("_ra") == F.col("_rb")))
+    return pairs.drop(column, "_pa", "_ra", "_pg", "_rb").withColumnRenamed("_pv", column)

@@ -1,19 +1,22 @@
 """Exploratory statistics.
 
 Columns are unpivoted once (``to_long``) so every statistic over many
-features is one grouped job. Quantiles are exact (order statistics from the
-distributed running sums), never a single-task buffer of all values.
+features is one grouped job. Quantiles are exact order statistics, found by
+selection, never a single-task buffer of all values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.scalars import is_missing
-from vigil.operators.primitives import exact_quantiles, to_long
+from vigil.operators.primitives import finite, to_long
+from vigil.operators.select import edge_bin, exact_quantiles
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,9 +76,8 @@ def qcut(df: DataFrame, column: str, q: int = 10, bin_col: str = "bin") -> DataF
     dropped; adds ``bin`` and the bin's ``lo``/``hi`` edges."""
     e = quantile_edges(df, column, q).select("edges").scalar()  # one short array
     x = F.col(column)
-    # a subquery cannot sit inside a lambda: bind it to a column first
     inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
-    b = F.size(F.filter(inner, lambda v: v < x))
+    b = edge_bin(x, inner, q - 1, closed=False)
     return (df.withColumn("_edges", e).withColumn(bin_col, b)
             .withColumn("lo", F.element_at("_edges", F.col(bin_col) + 1))
             .withColumn("hi", F.element_at("_edges", F.col(bin_col) + 2)).drop("_edges"))
@@ -202,31 +204,76 @@ def score_summary(df: DataFrame, score: str = "score", label: str = "Class") ->
                   F.avg(score).alias("score_mean"), F.avg(label).alias("base_rate"))
 
 
+@dataclass
+class Projection:
+    """A linear projection: its strengths, the loadings (features x components) and the shift that is taken off first."""
+    features: list[str]
+    #: explained variance ratios (PCA) or singular values (SVD)
+    values: list[float]
+    loadings: np.ndarray
+    shift: np.ndarray
+
+    def rows(self, df: DataFrame, prefix: str = "pc") -> DataFrame:
+        """``df`` with one column for each component; NULL where a feature is missing. Plain column arithmetic."""
+        x = [F.col(f).cast("double") - F.lit(float(m)) for f, m in zip(self.features, self.shift)]
+        whole = F.lit(True)
+        for f in self.features:
+            whole = whole & finite(F.col(f).cast("double"))
+        return df.withColumns({f"{prefix}{k + 1}": F.when(whole, sum([a * F.lit(float(w)) for a, w in zip(x, self.loadings[:, k])], F.lit(0.0)))
+                               for k in range(self.loadings.shape[1])})
+
+
+def _moments(df: DataFrame, features: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, means, population covariances) of the rows without missing features: one aggregate, features squared numbers."""
+    x = df.select(*[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
+    for c in x.columns:
+        x = x.where(finite(c))
+    d = len(features)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    r = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{c}") for c in x.columns],
+              *[F.covar_pop(f"_x{i}", f"_x{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    if not r["n"]:
+        raise ValueError("There is no row in which all features have values.")
+    cov = np.zeros((d, d))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
+    return r["n"], np.array([r[f"m{c}"] for c in x.columns]), cov
+
+
+def _axes(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k leading eigenvalues and vectors; of each vector the entry largest in size (the first of equal ones) is positive."""
+    values, vectors = np.linalg.eigh(matrix)
+    order = np.argsort(-values, kind="stable")[:k]
+    values, vectors = np.maximum(values[order], 0.0), vectors[:, order]
+    sign = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
+    return values, vectors * np.where(sign == 0, 1.0, sign)
+
+
+def pca(df: DataFrame, features: Sequence[str], k: int = 3) -> Projection:
+    """the first k principal components, from the covariance matrix (one aggregate)."""
+    _, means, cov = _moments(df, features)
+    values, vectors = _axes(cov, k)
+    total = float(np.trace(cov))
+    return Projection(list(features), [float(v) / total if total else 0.0 for v in values], vectors, means)
+
+
+def truncated_svd(df: DataFrame, features: Sequence[str], k: int = 3) -> Projection:
+    """the k leading singular directions of the uncentred matrix, from its Gram matrix n * (cov + mean mean')."""
+    n, means, cov = _moments(df, features)
+    values, vectors = _axes(n * (cov + np.outer(means, means)), k)
+    return Projection(list(features), [float(v) ** 0.5 for v in values], vectors, np.zeros(len(means)))
+
+
 def pca_variance(df: DataFrame, features: Sequence[str], k: int = 3) -> DataFrame:
-    """explained variance ratio of the first k principal components, after
-    centring (MLlib's PCA does not subtract the mean)."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    va = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip")
-    x = va.transform(df.select(*[F.col(f).cast("double").alias(f) for f in features]))
-    sc = StandardScaler(withMean=True, withStd=False, inputCol="_x", outputCol="_xc").fit(x)
-    model = PCA(k=k, inputCol="_xc", outputCol="_pc").fit(sc.transform(x))
-    ev = model.explainedVariance.toArray().tolist()
-    spark = df.sparkSession
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(ev)],
-                                 "component int, explained_variance_ratio double")
+    """(component, explained_variance_ratio)."""
+    values = pca(df, features, k).values
+    return df.sparkSession.createDataFrame([(i + 1, v) for i, v in enumerate(values)], "component int, explained_variance_ratio double")
 
 
 def svd_values(df: DataFrame, features: Sequence[str], k: int = 3) -> DataFrame:
-    """the k leading singular values of the (uncentred) feature matrix."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.mllib.linalg import Vectors as MLLibVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    va = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip")
-    x = va.transform(df.select(*[F.col(f).cast("double").alias(f) for f in features])).select("_x")
-    rm = RowMatrix(x.rdd.map(lambda r: MLLibVectors.fromML(r["_x"])))
-    s = rm.computeSVD(k, computeU=False).s.toArray().tolist()
-    return df.sparkSession.createDataFrame([(i + 1, float(v)) for i, v in enumerate(s)],
-                                           "component int, singular_value double")
+    """(component, singular_value)."""
+    values = truncated_svd(df, features, k).values
+    return df.sparkSession.createDataFrame([(i + 1, v) for i, v in enumerate(values)], "component int, singular_value double")
 
 
 def kernel_density(df: DataFrame, column: str, points: int = 50, bandwidth: float | None = None) -> DataFrame:

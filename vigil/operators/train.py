@@ -1,10 +1,10 @@
 """Training, selection and scoring on ``pyspark.ml``.
 
 Boosted trees are MLlib's ``GBTClassifier`` (depth-wise growth, logistic
-loss, row subsampling, a validation indicator for early stopping on loss).
-Differences from the histogram boosters the survey names are documented in
-the README: no leaf-wise growth, no L1/L2 on leaves, early stopping on loss
-rather than on average precision, ``stepSize`` limited to (0, 1].
+loss, row subsampling). ``fit_with_patience`` stops early by patience on
+average precision; ``fit`` alone stops on MLlib's validation loss. Differences
+from the histogram boosters the survey names are documented in the README: no
+leaf-wise growth, no L1/L2 on leaves, ``stepSize`` limited to (0, 1].
 
 Model quality is always measured with the tie-exact AP / ROC-AUC of
 ``vigil.operators.metrics`` (a Spark job), never with a local library.
@@ -13,9 +13,12 @@ Model quality is always measured with the tie-exact AP / ROC-AUC of
 from __future__ import annotations
 
 import random
+import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -26,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.operators import metrics as met
+from vigil.operators.primitives import _null_safe, global_rank, materialize
+from vigil.operators.scale import with_weights
 
 # The boosted-tree settings the reference trains with (XGBoost
 # variant: depth 5, learning rate 0.05, row/column sampling 0.8, patience 50,
@@ -34,8 +39,12 @@ XGB_DEFAULTS = {"maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featur
                 "maxIter": 2000}
 LGBM_DEFAULTS = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
                  "maxIter": 5000, "minInstancesPerNode": 20}
-# The most trials that the reference's sweep starts.
-SEARCH_TRIALS = 300
+# The most trials that the reference's sweep starts, and how many of them run at once.
+SEARCH_TRIALS, SEARCH_PARALLEL = 300, 3
+# Rounds without a better validation AP after which boosting ends.
+PATIENCE = 50
+# Rounds that are ranked in one job.
+STAGED = 32
 
 
 @dataclass
@@ -107,7 +116,8 @@ def evaluate(scored: DataFrame, label: str = "Class", score_col: str = "p_hat",
              group: Sequence[str] = ()) -> DataFrame:
     """AP and ROC-AUC of scored rows (per group)."""
     c = met.curve(scored, label, score_col, group=list(group) or None)
-    return met.average_precision(c, group).join(met.roc_auc(c, group), list(group)) if group else \
+    # one row for each group
+    return _null_safe(met.average_precision(c, group), met.roc_auc(c, group), list(group), "inner") if group else \
         met.average_precision(c).withColumn("roc_auc", met.roc_auc(c).scalar())
 
 
@@ -130,23 +140,104 @@ def sample_grid(space: dict, n_trials: int, seed: int = 42) -> list[dict]:
 
 def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], space: dict,
                   n_trials: int = SEARCH_TRIALS, label: str = "Class", seed: int = 42, base: dict | None = None,
-                  metric: str = "average_precision") -> DataFrame:
-    """I4: bounded trials; each trial is one fit on the (cached by the caller)
-    split, stopped early on ``valid``, and one Spark evaluation on it. Settings
-    that neither ``base`` nor ``space`` names are the variant's defaults.
-    Returns (trial, params json, ap, roc_auc)."""
+                  parallelism: int = SEARCH_PARALLEL, time_limit: float | None = None) -> DataFrame:
+    """I4: at most ``n_trials`` trials, ``parallelism`` of them at a time on one prepared table.
+
+    Each trial is one fit, stopped early on ``valid``, and one Spark evaluation
+    on it. Settings that neither ``base`` nor ``space`` names are the variant's
+    defaults. After ``time_limit`` seconds no further trial starts; those that
+    run are finished. Returns (trial, params, average_precision, roc_auc) of the
+    finished trials, the best one first."""
     spark = train.sparkSession
-    marked = train.withColumn("is_val", F.lit(False)).unionByName(valid.withColumn("is_val", F.lit(True)))
-    rows = []
-    for i, p in enumerate(sample_grid(space, n_trials, seed)):
-        params = dict(base or {})
-        params.update(p)
-        r = fit(marked, features, gbt(params, label=label, weight="weight" if "weight" in train.columns else None), label)
-        ev = evaluate(score(r.model, valid, [label]), label).first()
-        rows.append((i, str(sorted(params.items())), ev["average_precision"], ev["roc_auc"]))
+    marked = materialize(train.withColumn("is_val", F.lit(False)).unionByName(valid.withColumn("is_val", F.lit(True))))
+    held = marked.where("is_val")
+    weight = "weight" if "weight" in train.columns else None
+    started = time.monotonic()
+
+    def trial(number: int, drawn: dict) -> tuple | None:
+        if time_limit is not None and time.monotonic() - started >= time_limit:
+            return None
+        params = {**(base or {}), **drawn}
+        r = fit(marked, features, gbt(params, label=label, weight=weight), label)
+        ev = evaluate(score(r.model, held, [label]), label).first()
+        return number, str(sorted(params.items())), ev["average_precision"], ev["roc_auc"]
+
+    draws = sample_grid(space, n_trials, seed)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(trial), k, p) for k, p in enumerate(draws)]
+        rows = [r for job in jobs if (r := job.result()) is not None]
+    rows.sort(key=lambda r: (-(r[2] if r[2] is not None else -1.0), r[0]))
     return spark.createDataFrame(rows, "trial int, params string, average_precision double, roc_auc double")
 
 
+@dataclass
+class PatientFit:
+    result: TrainResult
+    best_round: int
+    #: (round, average_precision) of every round that was looked at
+    rounds: DataFrame
+
+
+def staged_ap(trees: Sequence, weights: Sequence[float], data: DataFrame, label: str, after: int = 0, margin: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(round, average_precision) on ``data`` (with features) after each of the trees, which come behind the ``after`` ones that made ``margin``.
+
+    Each tree is evaluated once and all rounds are ranked in one grouped job.
+    Also returns ``data`` with the new margin, to go on from.
+    """
+    now = data.withColumn("_m", F.col(margin) if margin else F.lit(0.0))
+    for k, tree in enumerate(trees):
+        now = tree.setPredictionCol(f"_t{k}").transform(now)
+    steps, total = [], F.col("_m")
+    for k, w in enumerate(weights):
+        total = total + F.lit(float(w)) * F.col(f"_t{k}")
+        steps.append(total)
+    long = now.select(F.col(label), F.posexplode(F.array(*steps)).alias("_k", "_s")).withColumn("round", F.col("_k") + F.lit(after + 1))
+    ap = met.average_precision(met.curve(long, label, "_s", group="round"), ["round"])
+    return ap, now.withColumn("_margin", total).drop("_m", *[f"_t{k}" for k in range(len(trees))])
+
+
+def fit_with_patience(train: DataFrame, features: Sequence[str], params: dict | None = None, label: str = "Class", variant: str = "xgb",
+                      validation: str = "is_val", patience: int = PATIENCE, first_rounds: int | None = None) -> PatientFit:
+    """Boosting with early stopping by patience on validation average precision.
+
+    Rounds are added until ``patience`` of them in a row did not better the
+    best AP on the rows that ``validation`` marks, or the variant's most rounds
+    are reached; the model of the best round (the first of equal ones) is kept.
+    MLlib cannot go on from a model, but a fit with more rounds begins with the
+    same trees; so rounds are doubled from ``first_rounds`` (patience and a
+    third more), and only new trees are scored.
+    """
+    weight = "weight" if "weight" in train.columns else None
+    most = gbt(params, label=label, variant=variant).getOrDefault("maxIter")
+    grown = materialize(assembler(features).transform(train.where(~F.col(validation))))
+    held = materialize(assembler(features).transform(train.where(F.col(validation))).select(label, "features"))
+
+    def boosted(n: int):
+        return gbt({**(params or {}), "maxIter": n}, label=label, weight=weight, validation=None, variant=variant).fit(grown)
+
+    rounds, seen = min(most, first_rounds or patience + patience // 3), []
+    margin, done = None, 0
+    while True:
+        model = boosted(rounds)
+        trees, weights = model.trees, list(model.treeWeights)
+        while done < rounds:
+            upto = min(done + STAGED, rounds)
+            ap, held = staged_ap(trees[done:upto], weights[done:upto], held, label, done, margin)
+            held, margin = materialize(held.select(label, "features", "_margin")), "_margin"
+            seen += [(r["round"], r["average_precision"]) for r in ap.collect()]
+            done = upto
+            best = min(seen, key=lambda x: (-(x[1] if x[1] is not None else -1.0), x[0]))[0]
+            if done - best >= patience:
+                break
+        if done - best >= patience or rounds >= most:
+            break
+        rounds = min(most, 2 * rounds)
+    kept = model if best == rounds else boosted(best)
+    pipeline = PipelineModel([assembler(features), kept])
+    table = train.sparkSession.createDataFrame(sorted(seen), "round int, average_precision double")
+    return PatientFit(TrainResult(pipeline, list(features), label, {"best_round": best}, dict(params or {})), best, table)
+
+
 def model_selection(df: DataFrame, features: Sequence[str], label: str = "Class", fold_col: str = "fold",
                     algorithms: Sequence[str] | None = None, parallelism: int = 2, k: int = 5) -> DataFrame:
     """K-fold cross-validation (folds from D4 via ``foldCol``) over several
@@ -180,8 +271,14 @@ def fold_scores(df: DataFrame, features: Sequence[str], label: str = "Class", fo
     stop the rounds early; without it all rounds are run. All folds'
     validation scores are evaluated in one grouped job."""
     results, scored = [], None
+    fitted = F.lit(True) if "is_val" not in df.columns else ~F.col("is_val")
+    # at most two rows for each fold
+    n = {(r["f"], r["y"]): r["count"] for r in df.where(fitted).groupBy(F.col(fold_col).alias("f"), (F.col(label) == 1).alias("y")).count().collect()}
     for f in range(k):
         tr = df.where(F.col(fold_col) != f)
+        if "weight" in df.columns:  # the class weight of this fold's own training rows
+            pos, neg = (sum(c for (g, y), c in n.items() if g is not None and g != f and y is hit) for hit in (True, False))
+            tr = with_weights(tr, neg / max(pos, 1), label)
         r = fit(tr, features, gbt(params, label=label, weight="weight" if "weight" in df.columns else None,
                                   validation="is_val" if "is_val" in df.columns else None), label)
         results.append(r)
@@ -190,50 +287,67 @@ def fold_scores(df: DataFrame, features: Sequence[str], label: str = "Class", fo
     return evaluate(scored, label, group=[fold_col]), results
 
 
-def permutation_importance(model: PipelineModel, valid: DataFrame, features: Sequence[str], key: str,
-                           label: str = "Class", n_repeats: int = 5, seed: int = 42,
-                           group_col: str | None = None) -> DataFrame:
-    """I7 + D7: AP drop when one feature is shuffled within the validation
-    rows (within ``group_col`` if given). Row i of one md5 order of the keys
-    takes the values of row i of another md5 order salted by the repeat: two
-    distributed ranks serve every (feature, repeat). All copies are scored in
-    ONE transform and AP is computed grouped by (feature, repeat).
-    Returns (feature, importance_mean, importance_std)."""
-    from vigil.operators.primitives import global_rank
-    spark = valid.sparkSession
-    base = evaluate(score(model, valid, [label]), label).first()["average_precision"]
-    g = group_col or "_grp"
-    v = valid if group_col else valid.withColumn(g, F.lit(0))
+def permutation_drops(models: dict, valid: DataFrame, features: Sequence[str], key: str, group_col: str,
+                      label: str = "Class", n_repeats: int = 5, seed: int = 42) -> DataFrame:
+    """I7 + D7: (group, feature, repeat, drop): how much a group's AP under its own model falls when one feature is shuffled within the group.
+
+    Row i of one md5 order of the keys takes the values of row i of another,
+    salted by the repeat. Two distributed ranks and one join serve every feature
+    and repeat: the shuffled row is carried beside the row, and only then copied
+    for each feature. All copies are ranked in one grouped job.
+    """
+    g = group_col
     salt = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
-    a = global_rank(v.withColumn("_pa", F.md5(F.concat_ws(":", salt, F.lit("perm-a")))), "_pa", group=g,
-                    rank_col="_ra").drop("_pa")
+    a = global_rank(valid.select(g, key, label, *features).withColumn("_pa", F.md5(F.concat_ws(":", salt, F.lit("perm-a")))), "_pa", group=g,
+                    rank_col="_ra").drop("_pa", key)
     rep_ids = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat")
-    vb = v.select(key, g, *features, rep_ids).withColumn(
-        "_pb", F.md5(F.concat_ws(":", salt, F.lit("perm-b"), F.col("repeat").cast("string"))))
-    b = global_rank(vb, "_pb", group=[g, "repeat"], rank_col="_ra").drop("_pb", key)
-    ar = a.select("*", rep_ids)
-    copies = None
-    for f in features:
-        pb = b.select(g, "repeat", "_ra", F.col(f).alias("_pv"))
-        c = (ar.join(pb, [g, "repeat", "_ra"]).drop(f).withColumnRenamed("_pv", f)
-             .withColumn("feature", F.lit(f)))
-        copies = c if copies is None else copies.unionByName(c)
-    s = score(model, copies, [label, "feature", "repeat"])
-    ap = evaluate(s, label, group=["feature", "repeat"])
-    drops = ap.select("feature", "repeat", (F.lit(base) - F.col("average_precision")).alias("drop"))
-    return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
-                                        F.stddev_pop("drop").alias("importance_std"))
+    vb = valid.select(g, key, *features, rep_ids).withColumn("_pb", F.md5(F.concat_ws(":", salt, F.lit("perm-b"), F.col("repeat").cast("string"))))
+    b = global_rank(vb, "_pb", group=[g, "repeat"], rank_col="_rb").select(
+        F.col(g).alias("_g"), "repeat", "_rb", *[F.col(f).alias(f"_p{i}") for i, f in enumerate(features)])
+    pairs = a.join(b, a[g].eqNullSafe(F.col("_g")) & (F.col("_ra") == F.col("_rb")))
+    each = [F.struct(F.lit(f).alias("feature"), *[F.col(f"_p{k}" if k == i else h).cast("double").alias(h) for k, h in enumerate(features)]) for i, f in enumerate(features)]
+    # the row as it is comes once, as the group's own AP
+    plain = F.when(F.col("repeat") == 0, F.struct(F.lit(None).cast("string").alias("feature"), *[F.col(h).cast("double").alias(h) for h in features]))
+    copies = pairs.select(g, label, "repeat", F.explode(F.array_compact(F.array(plain, *each))).alias("c")).select(g, label, "repeat", "c.*")
+    copies = materialize(copies)
+    scored = None
+    for value, model in models.items():
+        s = score(model, copies.where(F.col(g).eqNullSafe(F.lit(value))), [g, label, "feature", "repeat"])
+        scored = s if scored is None else scored.unionByName(s)
+    by = [g, "feature", "repeat"]
+    ap = materialize(met.average_precision(met.curve(scored, label, "p_hat", group=by), by))
+    base = ap.where("feature IS NULL").select(F.col(g).alias("_g"), F.col("average_precision").alias("_base"))  # one row for each model
+    shuffled = ap.where("feature IS NOT NULL")
+    return shuffled.join(base, shuffled[g].eqNullSafe(F.col("_g"))).select(g, "feature", "repeat", (F.col("_base") - F.col("average_precision")).alias("drop"))
+
+
+def permutation_importance(model: PipelineModel, valid: DataFrame, features: Sequence[str], key: str,
+                           label: str = "Class", n_repeats: int = 5, seed: int = 42) -> DataFrame:
+    """I7 of one model: (feature, importance_mean, importance_std) over the repeats."""
+    drops = permutation_drops({0: model}, valid.withColumn("_grp", F.lit(0)), features, key, "_grp", label, n_repeats, seed)
+    return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+
+
+def fold_permutation_importance(results: Sequence[TrainResult], folds: DataFrame, key: str, fold_col: str = "fold",
+                                n_repeats: int = 5, seed: int = 42) -> DataFrame:
+    """I7 per fold: (feature, fold, importance), each fold's model on the fold it has not seen, the mean over the repeats. Feeds F24."""
+    first = results[0]
+    drops = permutation_drops({f: r.model for f, r in enumerate(results)}, folds, first.features, key, fold_col, first.label, n_repeats, seed)
+    return drops.groupBy("feature", fold_col).agg(F.avg("drop").alias("importance"))
 
 
 def fold_importance_summary(per_fold: DataFrame, top: int = 30) -> DataFrame:
     """per feature mean, sample std and cv = std / (|mean| + 1e-12) of
-    per-fold importances; rank by mean (descending) and flag the top ones."""
+    per-fold importances; rank by mean (descending), flag the top ones, and
+    among these rank the most unstable (largest cv) first."""
     s = per_fold.groupBy("feature").agg(F.avg("importance").alias("mean_importance"),
                                         F.stddev_samp("importance").alias("std_importance"))
     s = s.withColumn("cv", F.col("std_importance") / (F.abs("mean_importance") + 1e-12))
     # one row per feature: a bounded table
     w = Window.orderBy(F.desc("mean_importance"), "feature")
-    return s.withColumn("rank", F.row_number().over(w)).withColumn("in_top", F.col("rank") <= top)
+    s = s.withColumn("rank", F.row_number().over(w)).withColumn("in_top", F.col("rank") <= top)
+    unstable = F.row_number().over(Window.partitionBy("in_top").orderBy(F.desc("cv"), "feature"))
+    return s.withColumn("unstable_rank", F.when(F.col("in_top"), unstable))
 
 
 def feature_importances(result: TrainResult) -> DataFrame:

@@ -399,6 +399,24 @@ SELECT metric, round(value, 6) AS value FROM (
   UNION ALL SELECT 'metrics.accuracy', acc FROM m
   UNION ALL SELECT 'metrics.balanced_accuracy', bal FROM m)"""
 
+ORACLE["pr_curve_missing"] = "WITH " + TXN_SQL + """
+SELECT count(DISTINCT score) + 1 AS points, CAST(1 AS BIGINT) AS with_recall, CAST(NULL AS DOUBLE) AS best_f1, CAST(NULL AS DOUBLE) AS at_precision
+FROM transactions WHERE txn_id NOT LIKE '1%'"""
+ORACLE["calibration_missing"] = ORACLE["calibration"].replace("FROM transactions", "FROM (SELECT * FROM transactions WHERE txn_id NOT LIKE '1%')")
+ORACLE["canonical_missing"] = """SELECT metric, CASE WHEN metric NOT LIKE '%AUC%' AND metric NOT LIKE '%average_precision%' AND metric NOT LIKE '%log_loss' THEN value END AS value
+FROM (""" + ORACLE["canonical_metrics"] + ")"
+
+_UNIT = TXN_SQL + """,
+u AS (SELECT "Time" / 1e8 AS a, "Amount" / 1e5 AS b, "V1" AS c, "V2" AS d, "V3" / 10.0 AS e FROM transactions),
+m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(d) AS md, avg(e) AS me FROM u)"""
+ORACLE["pca_rows"] = "WITH " + _UNIT + """,
+z AS (SELECT pow(a - ma, 2) + pow(b - mb, 2) + pow(c - mc, 2) + pow(d - md, 2) + pow(e - me, 2) AS s FROM u, m)
+SELECT round((SELECT var_samp(a) + var_samp(b) + var_samp(c) + var_samp(d) + var_samp(e) FROM u), 6) AS variance, round(avg(s * s), 6) AS fourth,
+       0.0::DOUBLE AS covariance, count(*) AS n, true AS ordered FROM z"""
+ORACLE["svd_rows"] = "WITH " + _UNIT + """,
+z AS (SELECT a * a + b * b + c * c + d * d + e * e AS s FROM u)
+SELECT round(avg(s), 6) AS second, round(avg(s * s), 6) AS fourth, round(avg(s), 6) AS from_values, 1.0::DOUBLE AS first_share FROM z"""
+
 
 # --- alerts, runs, registry ---------------------------------------------------------
 
@@ -521,6 +539,18 @@ SELECT name, metric, run_id, round(metric_value, 6) AS metric_value, prod_versio
 FROM e"""
 
 
+ORACLE["promotion_ledger"] = ORACLE["promotion"].rsplit("SELECT name, metric", 1)[0] + """,
+nv AS (SELECT name, max(parts) AS v FROM vp WHERE parts IS NOT NULL GROUP BY name),
+t AS (SELECT *, CASE WHEN decision = 'promote' THEN name ELSE 'model_' || run_id END AS model_name,
+             left(sha1(experiment_name || '::' || metric || '::' || run_id || '::abc1234'), 7) AS k FROM e),
+g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, model_name ORDER BY name NULLS FIRST) AS rn FROM t) WHERE rn = 1),
+f AS (SELECT g.*, coalesce(array_to_string(list_concat(v[1:len(v) - 1], [v[len(v)] + 1]), '.'), '1') AS mv FROM g LEFT JOIN nv ON nv.name = g.model_name)
+SELECT metric, direction AS metric_direction, 'custom_train,automl_train' AS experiments, run_id AS best_run_id, experiment_name AS best_experiment_name,
+       metric AS best_metric_name, round(metric_value, 6) AS best_metric_value, round(prod_value, 6) AS prod_metric_value, decision, decision = 'promote' AS promote,
+       model_name, mv AS model_version, model_name || ':' || mv AS model_id, false AS dry_run, k AS idempotency_key,
+       CASE WHEN decision = 'promote' THEN 'production' ELSE 'staging' END AS stage, CASE WHEN experiment_name = 'automl_train' THEN 'automl' ELSE 'custom' END AS model_source,
+       CASE WHEN decision = 'promote' THEN 'true' ELSE 'false' END AS promotion, reason, 15 AS n_tags FROM f"""
+
 ORACLE["promotion_first_model"] = "WITH " + _PROD + _best_sql(["auc"]) + """
 SELECT metric, run_id, round(metric_value, 6) AS metric_value, CASE WHEN metric_value >= 0.6 THEN 'promote' ELSE 'stage' END AS decision,
        CASE WHEN metric_value >= 0.6 THEN 'no_prod_model' ELSE 'below_min_threshold' END AS reason, metric_value >= 0.6 AS should_promote
@@ -641,6 +671,24 @@ SELECT l_orderkey AS request_key, CAST(idx AS BIGINT) AS record_idx, round(CAST(
                                 WHEN 2 THEN 2 END AS DOUBLE) AS max_alerts
 FROM li"""
 
+ORACLE["request_responses"] = "WITH " + _REQ + """,
+s AS (SELECT l_orderkey AS k, idx AS pos, CAST(l_linenumber AS DOUBLE) AS row_id, (CAST(floor(l_extendedprice) AS BIGINT) % 1000) / 1000 AS p,
+             greatest(coalesce(CASE l_orderkey % 6 WHEN 0 THEN coalesce(nullif(l_orderkey % 3, 0), 3) WHEN 1 THEN l_orderkey % 4 WHEN 2 THEN 2 END, 100), 0) AS cap,
+             count(*) OVER (PARTITION BY l_orderkey) AS n FROM li),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY p DESC, pos) AS rnk, least(cap, n) AS kk FROM s)
+SELECT k AS request_key, CAST(pos AS BIGINT) AS pos, CAST(rnk <= kk AS BIGINT) AS predicted_label, round(p, 6) AS probability, CAST(rnk AS BIGINT) AS rank,
+       row_id, round(coalesce(min(p) FILTER (WHERE rnk <= kk) OVER (PARTITION BY k), 1.0), 6) AS threshold_used, CAST(cap AS BIGINT) AS max_alerts,
+       CAST(kk AS BIGINT) AS num_alerts FROM r"""
+
+ORACLE["request_states"] = """
+WITH o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+t(m, state, max_alerts, record_idx, row_id, amount, v1) AS (VALUES
+  (0, 'not_json', NULL, NULL, NULL, NULL, NULL), (1, 'bad_shape', NULL, NULL, NULL, NULL, NULL), (2, 'bad_cap', NULL, NULL, NULL, NULL, NULL),
+  (3, 'ok', NULL, 0, 'x1', 7.0, NULL), (4, 'ok', NULL, 0, 'y', 1.5, NULL), (4, 'ok', NULL, 1, NULL, 2.0, NULL), (5, 'empty', NULL, NULL, NULL, NULL, NULL),
+  (6, 'ok', NULL, 0, 'u', 1.0, 9.0), (6, 'ok', NULL, 1, '2', 4.0, 9.0))
+SELECT k AS request_key, state, CAST(max_alerts AS DOUBLE) AS max_alerts, CAST(record_idx AS BIGINT) AS record_idx, row_id,
+       CAST(amount AS DOUBLE) AS amount, CAST(v1 AS DOUBLE) AS v1 FROM o JOIN t ON t.m = k % 7"""
+
 ORACLE["request_id"] = """
 SELECT o_orderkey AS request_key,
        CASE WHEN o_orderkey % 6 <= 2 AND o_orderkey % 5 < 4 THEN 'req-' || CAST(o_orderkey AS VARCHAR)

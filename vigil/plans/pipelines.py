@@ -21,6 +21,7 @@ from vigil.operators import registry as reg
 from vigil.operators import scale as scale_ops
 from vigil.operators import split as split_ops
 from vigil.operators import validate as val_ops
+from vigil.operators.primitives import materialize
 from vigil.sources import files as io
 
 
@@ -118,15 +119,19 @@ def monitor(current: DataFrame, reference: DataFrame | None, mode: str = "both",
 
 def promote(best: DataFrame, assets: DataFrame, run_metrics: DataFrame, metric: str,
             epsilon: float = 0.0, delta: float = 0.0, min_threshold: float | None = None,
-            dry_run: bool = True, output: str | None = None) -> DataFrame:
-    """M4: decide for every model name; the decisions gate later publishing
-    (a promoted name would be re-scored / registered by the caller). A dry
-    run writes nothing."""
+            dry_run: bool = True, output: str | None = None, experiments: Sequence[str] = (), git_sha: str | None = None,
+            force: bool = False) -> DataFrame:
+    """M4: decide for every model name and, unless it is a dry run, add the
+    registrations to the ledger ``output`` (J7); a repeated run adds nothing.
+    ``force`` registers a candidate whose metric equals production's as staged.
+    Returns the decisions."""
     named = assets.sparkSession.range(1).select(normalize_metric(F.lit(metric)).alias("m")).select("m.*").first()
     if not named["valid"]:
         raise ValueError(f"Unknown metric: {metric}")
     prod = reg.prod_metrics(assets, run_metrics, named["bare"])
     d = reg.decide(best, prod, epsilon, delta, min_threshold)
     if output and not dry_run:
-        d.write.mode("append").parquet(output)
+        d = materialize(d)
+        records = reg.promotion_records(d, experiments, reg.next_versions(assets), git_sha=git_sha, dry_run=False, force=force)
+        reg.append_promotions(records, output)
     return d

@@ -423,6 +423,35 @@ def incomplete_scores(spark, sf_dir):
     return pipes.evaluate(t, "Class", "pred", "score").select("metric", r6("value").alias("value"))
 
 
+def _some_scores(spark, sf_dir):
+    """Transactions of which one in sixteen has no score."""
+    return fx.transactions(spark, sf_dir).withColumn("score", F.when(F.substring("txn_id", 1, 1) != "1", F.col("score")))
+
+
+@register("pr_curve_missing")
+def pr_curve_missing(spark, sf_dir):
+    """G7 + G8 + G9 with missing scores: no precision, recall or threshold is claimed."""
+    c = met.curve(_some_scores(spark, sf_dir))
+    p = met.pr_curve(c).agg(F.count(F.lit(1)).cast("long").alias("points"), F.count("recall").cast("long").alias("with_recall"))
+    f1 = met.best_f1_threshold(c).select("threshold").scalar()
+    floor = met.recall_at_precision(c, 0.10).select("threshold").scalar()
+    return p.withColumn("best_f1", r6(f1)).withColumn("at_precision", r6(floor))
+
+
+@register("calibration_missing")
+def calibration_missing(spark, sf_dir):
+    """G12 with missing scores: such rows are in no bin."""
+    c = met.calibration(_some_scores(spark, sf_dir), n_bins=10)
+    return c.select(F.col("bin").cast("long").alias("bin"), r6("mean_pred").alias("mean_pred"), r6("frac_pos").alias("frac_pos"), "n")
+
+
+@register("canonical_missing")
+def canonical_missing(spark, sf_dir):
+    """G16 with missing scores: the seven metrics of scores are NULL, the others stand."""
+    t = _scored(spark, sf_dir).withColumn("score", F.when(F.substring("txn_id", 1, 1) != "1", F.col("score")))
+    return met.canonical_metrics(t).select("metric", r6("value").alias("value"))
+
+
 # --- exploratory statistics (F1-F23) ---------------------------------------------
 
 from vigil.operators import stats as st  # noqa: E402
@@ -506,6 +535,41 @@ def pca_variance(spark, sf_dir):
     return st.pca_variance(fx.transactions(spark, sf_dir), fx.TXN_FEATURES, 3)
 
 
+@register("pca_rows")
+def pca_rows(spark, sf_dir):
+    """the projected rows. All components together are a rotation of the centred, scaled rows, so variances,
+    distances and the fourth powers of distances stay, and components are uncorrelated."""
+    t = _unit_scaled(spark, sf_dir)
+    names = [f"pc{i + 1}" for i in range(len(fx.TXN_FEATURES))]
+    p = st.pca(t, fx.TXN_FEATURES, len(names))
+    rows = p.rows(t)
+    size = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
+    off = [F.abs(F.covar_samp(a, b)) for i, a in enumerate(names) for b in names[i + 1:]]
+    return rows.agg(r6(sum((F.var_samp(c) for c in names), F.lit(0.0))).alias("variance"), r6(F.avg(size * size)).alias("fourth"),
+                    r6(F.greatest(*off)).alias("covariance"), F.count_if(F.col("pc1").isNotNull()).cast("long").alias("n")).withColumn(
+        "ordered", F.lit(p.values == sorted(p.values, reverse=True)))
+
+
+@register("svd_rows")
+def svd_rows(spark, sf_dir):
+    """the projected rows of all directions keep the rows' lengths; squared singular values are the sums of squares."""
+    t = _unit_scaled(spark, sf_dir)
+    names = [f"pc{i + 1}" for i in range(len(fx.TXN_FEATURES))]
+    p = st.truncated_svd(t, fx.TXN_FEATURES, len(names))
+    rows = p.rows(t)
+    size = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
+    first = F.sum(F.col("pc1") * F.col("pc1")) / F.lit(p.values[0] ** 2)
+    return rows.agg(r6(F.avg(size)).alias("second"), r6(F.avg(size * size)).alias("fourth"), r6(F.lit(sum(v * v for v in p.values)) / F.count(F.lit(1))).alias("from_values"),
+                    r6(first).alias("first_share"))
+
+
+def _unit_scaled(spark, sf_dir):
+    """Features divided by fixed sizes, so that none drowns the others in six places."""
+    sizes = {"Time": 1e8, "Amount": 1e5, "V1": 1.0, "V2": 1.0, "V3": 10.0}
+    t = fx.transactions(spark, sf_dir)
+    return t.select("txn_id", *[(F.col(f).cast("double") / F.lit(sizes.get(f, 1.0))).alias(f) for f in fx.TXN_FEATURES])
+
+
 @register("svd")
 def svd(spark, sf_dir):
     return st.svd_values(fx.transactions(spark, sf_dir), fx.TXN_FEATURES, 3)
@@ -520,7 +584,7 @@ from vigil.operators import payload as pl  # noqa: E402
 def parse_requests(spark, sf_dir):
     r = pl.parse_requests(fx.request_logs(spark, sf_dir), keep=["request_key"])
     return r.select("request_key", F.col("record_idx").cast("long").alias("record_idx"),
-                    *[r6(F.col("record")[c]).alias(c) for c in fx.REQUEST_COLUMNS],
+                    *[r6(pl.record_field("record", c)).alias(c) for c in fx.REQUEST_COLUMNS],
                     F.col("max_alerts").cast("double").alias("max_alerts"))
 
 
@@ -655,7 +719,7 @@ def _training_setup(spark, sf_dir):
 @register("gbt_scores")
 def gbt_scores(spark, sf_dir):
     train, test, params = _training_setup(spark, sf_dir)
-    r = tr.fit(train, TRAIN_FEATURES, tr.gbt())
+    r = tr.fit_with_patience(train, TRAIN_FEATURES).result
     scored = tr.score(r.model, scale_ops.apply_for_serving(test, params), ["txn_id", "Class"])
     return scored.select("txn_id", "Class", r6("p_hat").alias("p_hat"))
 
@@ -663,11 +727,24 @@ def gbt_scores(spark, sf_dir):
 @register("gbt_metrics")
 def gbt_metrics(spark, sf_dir):
     train, test, params = _training_setup(spark, sf_dir)
-    r = tr.fit(train, TRAIN_FEATURES, tr.gbt(variant="lgbm"))
+    r = tr.fit_with_patience(train, TRAIN_FEATURES, variant="lgbm").result
     ev = tr.evaluate(tr.score(r.model, scale_ops.apply_for_serving(test, params), ["Class"]))
     return ev.select(r6("average_precision").alias("average_precision"), r6("roc_auc").alias("roc_auc"))
 
 
+@register("early_stopping")
+def early_stopping(spark, sf_dir):
+    """Validation AP after every round, with the round that is kept."""
+    train, _, _ = _training_setup(spark, sf_dir)
+    p = tr.fit_with_patience(train, TRAIN_FEATURES)
+    return p.rounds.select(F.col("round").cast("long").alias("round"), r6("average_precision").alias("average_precision"),
+                           (F.col("round") == p.best_round).alias("kept"))
+
+
+#: Trials of the registered search; the operator's own bound is ``train.SEARCH_TRIALS``.
+QUERY_TRIALS = 6
+
+
 @register("random_search")
 def random_search(spark, sf_dir):
     train, test, params = _training_setup(spark, sf_dir)
@@ -675,7 +752,7 @@ def random_search(spark, sf_dir):
     valid = train.where(F.col("is_val"))
     space = {"maxDepth": ("choice", [3, 4, 5]), "stepSize": ("uniform", 0.05, 0.3),
              "subsamplingRate": ("uniform", 0.6, 1.0)}
-    return tr.random_search(fit_part, valid, TRAIN_FEATURES, space)
+    return tr.random_search(fit_part, valid, TRAIN_FEATURES, space, n_trials=QUERY_TRIALS)
 
 
 @register("model_selection")
@@ -711,15 +788,9 @@ def importances(spark, sf_dir):
 @register("fold_importance_summary")
 def fold_importance_summary(spark, sf_dir):
     train, _, _ = _training_setup(spark, sf_dir)
-    # F24 summarises any per-fold importance table; here the fold models'
-    # own importances (I8) feed it, permutation importance has its own query.
     folds = split_ops.stratified_kfold(train, "txn_id", "Class", k=5).checkpoint()
-    per = None
     _, results = tr.fold_scores(folds, TRAIN_FEATURES, k=5)
-    for f, res in enumerate(results):
-        fi = tr.feature_importances(res).select("feature", "importance", F.lit(f).alias("fold"))
-        per = fi if per is None else per.unionByName(fi)
-    return tr.fold_importance_summary(per)
+    return tr.fold_importance_summary(tr.fold_permutation_importance(results, folds, "txn_id"))
 
 
 @register("platt")
@@ -798,7 +869,7 @@ def stream_scores(spark, sf_dir):
 
     def transform(stream):
         recs = pl.parse_requests(stream, keep=["request_key"])
-        flat = recs.select("request_key", "record_idx", *[F.col("record")[c].alias(c) for c in fx.REQUEST_COLUMNS])
+        flat = recs.select("request_key", "record_idx", *[pl.record_field("record", c).alias(c) for c in fx.REQUEST_COLUMNS])
         scaled = scale_ops.apply_for_serving(flat, params)
         return tr.score(model, scaled, ["request_key", "record_idx"])
     out = sm.stream_scores(sm.file_stream(spark, folder, "request_key bigint, payload string"), transform)
@@ -838,6 +909,21 @@ def promote_pipeline(spark, sf_dir):
     return d.groupBy("decision", "reason").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+@register("promotion_ledger")
+def promotion_ledger(spark, sf_dir):
+    """J7 + M4: a dry run, two runs that force equal metrics, and the ledger that they leave (each registration once)."""
+    best = alert_ops.best_runs(fx.runs(spark, sf_dir), fx.run_metrics(spark, sf_dir), ["auc"], EXPERIMENTS)
+    ledger = io.scratch_dir(spark, "promotions")
+    for dry_run in (True, False, False):
+        pipes.promote(best, fx.model_assets(spark, sf_dir), fx.run_metrics(spark, sf_dir), "AUC_macro", delta=0.001, min_threshold=0.6,
+                      dry_run=dry_run, output=ledger, experiments=["custom_train", "automl_train"], git_sha="abc1234", force=True)
+    r = spark.read.parquet(ledger)
+    return r.select("metric", "metric_direction", F.array_join("experiments", ",").alias("experiments"), "best_run_id", "best_experiment_name", "best_metric_name",
+                    r6("best_metric_value").alias("best_metric_value"), r6("prod_metric_value").alias("prod_metric_value"), "decision", "promote", "model_name",
+                    "model_version", "model_id", "dry_run", "idempotency_key", F.col("tags")["stage"].alias("stage"), F.col("tags")["model_source"].alias("model_source"),
+                    F.col("tags")["promotion"].alias("promotion"), F.col("tags")["promotion_reason"].alias("reason"), F.size("tags").alias("n_tags"))
+
+
 # --- more compositions: G10, I10 ------------------------------------------------------------
 
 
@@ -846,36 +932,53 @@ def eval_at_threshold(spark, sf_dir):
     """Threshold with the best F1 on the train part, applied to the test part."""
     m, _ = split_ops.mark_split(fx.transactions(spark, sf_dir), "txn_id", "Class", test=0.1, seed=42)
     thr = met.best_f1_threshold(met.curve(m.where(~F.col("is_test")))).select("threshold").scalar()
-    scored = m.where(F.col("is_test")).withColumn("pred", sc.threshold_label("score", thr))
-    rep = met.classification_report(met.confusion_counts(scored, "Class", "pred"))
-    return rep.select("label", *[r6(c).alias(c) for c in ["precision", "recall", "f1_score", "support"]],
-                      r6(thr).alias("threshold"))
+    rep = met.report_at_threshold(m.where(F.col("is_test")), thr)
+    return rep.select("label", *[r6(c).alias(c) for c in ["precision", "recall", "f1_score", "support", "threshold"]])
 
 
 @register("score_requests")
 def score_requests(spark, sf_dir):
     """I10 on a log table: parse each request (K1), keep its row id (B4), drop
-    label/ids (B1), scale (E3), project (B2), score (I9), then the alert
-    budget per request with its own cap, default 100 (H1 + H3)."""
-    from vigil.functions import schema as sch
+    label/ids (B1), scale (E3), project (B2), score (I9), then the alert budget
+    per request with its own cap, default 100 (H1 + H3), up to the response (K4)."""
+    from vigil.operators import serve
     train, _, params = _training_setup(spark, sf_dir)
-    feats = ["Amount", "V1", "V2", "V3"]
-    model = tr.fit(train, feats, tr.gbt()).model
+    r = tr.fit(train, ["Amount", "V1", "V2", "V3"], tr.gbt())
+    return serve.answer_requests(fx.request_logs(spark, sf_dir), r, params, "request_key")
+
+
+RESPONSE_FIELDS = ("predicted_label array<long>, probability array<double>, threshold_used double, max_alerts long, num_alerts long, "
+                   "rank array<long>, row_ids array<string>")
+
+
+@register("request_responses")
+def request_responses(spark, sf_dir):
+    """K1 + K4: responses of all requests by a plain score (Amount modulo 1000, many ties), read back record by record."""
     recs = pl.parse_requests(fx.request_logs(spark, sf_dir), keep=["request_key"])
-    flat = recs.select("request_key", "record_idx", "max_alerts",
-                       *[F.col("record")[c].alias(c) for c in fx.REQUEST_COLUMNS])
-    flat, rid = sch.extract_row_id(flat)
-    scaled = scale_ops.apply_for_serving(flat, params)
-    feats_df = sch.project_features(scaled.drop("Class"), ["request_key", "record_idx", "max_alerts", rid, *feats])
-    scored = tr.score(model, feats_df, ["request_key", "record_idx", "max_alerts", rid])
-    scored = scored.withColumn("_key", F.format_string("%012d", "record_idx"))
-    cap = alert_ops.resolve_cap(F.col("max_alerts").cast("long"))
-    per = scored.withColumn("_cap", cap)
-    from pyspark.sql import Window
-    w = Window.partitionBy("request_key").orderBy(F.col("p_hat").desc(), F.col("_key"))  # one request per window
-    out = per.withColumn("rank", F.row_number().over(w)).withColumn("alert", (F.col("rank") <= F.col("_cap")).cast("int"))
-    return out.select("request_key", F.col("record_idx").cast("long").alias("record_idx"), rid,
-                      r6("p_hat").alias("p_hat"), F.col("rank").cast("long").alias("rank"), "alert")
+    scored = recs.select("request_key", "record_idx", "max_alerts", pl.record_field("record", "row_id", "string").alias("row_id"),
+                         (F.floor(pl.record_field("record", "Amount")) % 1000 / 1000).alias("p_hat"))
+    answers = pl.score_responses(scored, "request_key")
+    r = answers.select("request_key", F.from_json("response", RESPONSE_FIELDS).alias("r")).select("request_key", "r.*")
+    rows = r.select("request_key", "threshold_used", "max_alerts", "num_alerts",
+                    F.posexplode(F.arrays_zip("predicted_label", "probability", "rank", "row_ids")).alias("pos", "x"))
+    return rows.select("request_key", F.col("pos").cast("long").alias("pos"), F.col("x.predicted_label").alias("predicted_label"),
+                       r6(F.col("x.probability")).alias("probability"), F.col("x.rank").alias("rank"),
+                       r6(F.col("x.row_ids").cast("double")).alias("row_id"), r6("threshold_used").alias("threshold_used"), "max_alerts", "num_alerts")
+
+
+@register("request_states")
+def request_states(spark, sf_dir):
+    """K1 on damaged logs: text row ids, data of other shapes, broken JSON and caps that are no numbers."""
+    k = F.col("request_key")
+    broken = (F.when(k % 7 == 0, F.concat(F.lit("{"), F.col("payload"))).when(k % 7 == 1, F.lit('{"data": 5}'))
+              .when(k % 7 == 2, F.lit('{"columns": ["row_id", "Amount"], "data": [["abc", 1], ["d", 2.5]], "max_alerts": "many"}'))
+              .when(k % 7 == 3, F.lit('{"columns": ["Amount"], "data": [{"row_id": "x1", "Amount": 7}]}'))
+              .when(k % 7 == 4, F.lit('{"input_data": {"data": [{"row_id": "y", "Amount": 1.5}, {"Amount": 2}]}, "max_alerts": 0}'))
+              .when(k % 7 == 5, F.lit('[]')).otherwise(F.lit('{"row_id": ["u", 2], "Amount": [1, 4], "V1": 9}')))
+    recs = pl.parse_requests(fx.request_logs(spark, sf_dir).withColumn("payload", broken), keep=["request_key"])
+    return recs.select("request_key", "state", F.col("max_alerts").cast("double").alias("max_alerts"), F.col("record_idx").cast("long").alias("record_idx"),
+                       pl.record_field("record", "row_id", "string").alias("row_id"), pl.record_field("record", "Amount").alias("amount"),
+                       pl.record_field("record", "V1").alias("v1"))
 
 
 @register("kernel_density")
