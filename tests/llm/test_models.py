@@ -139,3 +139,75 @@ def test_secrets_of_other_shapes(spark):
     for r in sc.scan(df, sc.train(spark)).collect():
         got.setdefault(r.doc_id, []).append(r.candidate)
     assert got == {i: [c] for i, (_, c) in rows.items() if c}
+
+
+@pytest.mark.parametrize("inside, want", [
+    ("<h2 id='related-work'>Related work</h2><p>One two.</p>", "Related work\nOne two."),
+    ("<section id='login'><h2>Logging in</h2><p>Type it.</p></section>", "Logging in\nType it."),
+    ("<div class='post-header'><h1>The title</h1></div><p>Text.</p>", "The title\nText."),
+    ("<p>Text.</p><p class='form-text'>More text.</p>", "Text.\nMore text."),
+    ("<section class='section-header'><h2>Part</h2></section><p>Text.</p>", "Part\nText."),
+    ("<p>Text.</p><ol class='footnotes'><li>A note.</li></ol>", "Text.\nA note."),
+    ("<p>Text.</p><dl class='tags'><dt>Term</dt><dd>Its sense.</dd></dl>", "Text.\nTerm\nIts sense."),
+    ("<p>Text.</p><div class='share'><a href='x'>Share it</a></div><section class='comments'><p>I agree with all of this text.</p></section>", "Text."),
+])
+def test_names_inside_articles(inside, want):
+    assert ht.main_text(f"<nav><a href='/'>home</a></nav><article>{inside}</article><footer>Imprint</footer>") == want
+    # a menu that is never closed does not swallow the article
+    assert ht.main_text(f"<nav><a href='/'>home</a><article>{inside}</article><footer>Imprint</footer>") == want
+
+
+def blocks_by_tree(html):
+    """Texts of the blocks from a tree of open elements, walked anew for each text."""
+    from html.parser import HTMLParser
+    out, stack, parts = [], [], []
+
+    def flush():
+        text = " ".join("".join(parts).split())
+        if text:
+            out.append((text, any(t in ht.HEADINGS for t in stack), "li" in stack))
+        parts.clear()
+
+    class Walk(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            if tag in ht.BLOCK_TAGS:
+                flush()
+                if tag in ht.CLOSES_P and "p" in stack:
+                    del stack[len(stack) - 1 - stack[::-1].index("p"):]
+            if tag not in ht.VOID_TAGS:
+                if tag in ("li", "td", "tr") and stack and stack[-1] == tag:
+                    stack.pop()
+                stack.append(tag)
+
+        def handle_endtag(self, tag):
+            if tag in ht.BLOCK_TAGS:
+                flush()
+            if tag in stack:
+                del stack[len(stack) - 1 - stack[::-1].index(tag):]
+
+        def handle_data(self, data):
+            if not any(t in ht.HIDDEN_TAGS for t in stack):
+                parts.append(data)
+
+    w = Walk()
+    w.feed(html)
+    w.close()
+    flush()
+    return out
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_blocks_equal_a_plain_walk(seed):
+    import random
+    rng = random.Random(seed)
+    tags = "div p ul li h2 section a b script table tr td blockquote span aside".split()
+    html = "".join(rng.choice([f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", f" w{rng.randint(0, 99)} ", "&amp;x", "\n"]) for _ in range(rng.randint(0, 120)))
+    assert [(b.text, b.heading, b.item) for b in ht.blocks(html)] == blocks_by_tree(html)
+
+
+@pytest.mark.parametrize("html", ["<div>x" * 8000, "<div class='a'><p>x" * 8000, "<a " * 40_000, "<ul><li>" * 20_000 + "x", "x < y " * 20_000])
+def test_long_pages_take_linear_time(html):
+    import time
+    t0 = time.time()
+    ht.main_text(html)
+    assert time.time() - t0 < 5

@@ -44,4 +44,9 @@ PAGES = [
     f'<div class="layout right-sidebar"><article><h1>+ In a layout</h1><p>+ {_LONG}</p><p>+ Short.</p></article><div class="sidebar"><p>- {_LONG}</p></div></div>',
     f'<main class="content has-sidebar"><h1>+ Beside it</h1><p>+ {_LONG}</p><p>+ Let <math><mi>x</mi></math> be a number.</p><aside><p>- {_MID}</p></aside></main>',
     f'<div class="comment-list"><article class="comment-body"><p>- {_LONG}</p></article></div>',
+    # names inside an article that are only those of its parts; furniture that is never closed
+    f'<article><div class="post-header"><h1>+ A title</h1></div><h2 id="related-work">+ Related work</h2><p>+ {_LONG}</p><section id="login"><h2>+ To log in</h2><p>+ {_MID}</p></section>'
+    f'<section class="section-header"><h2>+ Part two</h2></section><p class="form-text">+ {_MID}</p><dl class="tags"><dt>+ Tag</dt><dd>+ {_MID}</dd></dl><ol class="footnotes"><li>+ {_MID}</li></ol>'
+    f'<ul class="share-links">{_LINKS}</ul><ol class="comment-list"><li>- {_LONG}</li></ol></article>',
+    f"<nav><ul>{_LINKS}</ul><article><h1>+ After an open menu</h1><p>+ {_LONG}</p><p>+ {_MID}</p></article><footer>- {_MID}</footer>",
 ]

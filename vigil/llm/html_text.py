@@ -56,8 +56,14 @@ LAYOUT_NAMES = re.compile(r"(?<!\S)((has|no|with|without)[-_]\S+|\S+[-_](open|cl
 SIDE_LAYOUT = re.compile(r"(?<!\S)((left|right)[-_]side-?bar|side-?bar[-_](left|right))(?!\S)", re.I)
 LAYOUT = re.compile(r"(?<!\S)(layout|page|site|wrapper|wrap|container|grid|row|columns)(?!\S)", re.I)
 HARD_NAMES = re.compile(
-    r"((^|[-_\s])(ads?|advert\w*|sponsor\w*|promo\w*|comments?|disqus|replies|respond|related|recommend\w*|trending|newsletter|widget|popup|modal|overlay|cookies?|consent|foot\w*)($|[-_\s])"
+    r"((^|[-_\s])(ads?|advert\w*|sponsor\w*|promo\w*|comments?|disqus|replies|respond|related|recommend\w*|trending|newsletter|widget|popup|modal|overlay|cookies?|consent|foot(?!note)\w*)($|[-_\s])"
     r"|(?<!\S)side-?bar(?!\S))", re.I)
+#: Names of boxes that are no text of the article they lie in, and elements whose names say nothing there.
+WITHIN_NAMES = re.compile(
+    HARD_NAMES.pattern + r"|(^|[-_\s])(banner|gdpr|menu\w*|nav\w*|breadcrumbs?|logo|copyright|imprint|share|sharing|social|subscri\w*|sign-?up|login|search|toolbar|pagination|pager)($|[-_\s])",
+    re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXT_TAGS = HEADINGS | frozenset("p li dl dt dd header figure figcaption blockquote pre table caption thead tbody tfoot tr td th hr details summary span em strong b i a".split())
 INNER_NAMES = re.compile(r"(^|[-_\s])(article|content|post|entry|story|text|body|main|page-?body)($|[-_\s])", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "outer", "inner", "heading", "item", "header", "point", "first")
@@ -76,12 +82,15 @@ class Block:
 
 
 class _Blocks(HTMLParser):
-    """Collects the blocks of one page."""
+    """Collects the blocks of one page. What the open elements say together is kept as counts and as the state at the
+    top of the stack, so that a tag costs the same however deeply it lies."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # open elements: tag, whether it is outer (2: also for an article inside; -1, -2: it ends such marks from further out), whether inner
-        self.hidden = self.links = 0
+        # open elements: tag, whether text in it is outer (2: also in an article inside), whether it is inner
+        self.stack: list[tuple[str, int, bool]] = []
+        self.places: dict[str, list[int]] = {}  # places in the stack by tag
+        self.hidden = self.inner = self.headings = 0
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
@@ -89,27 +98,37 @@ class _Blocks(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            tags = [t for t, _, _ in self.stack]
-            inner = max((k for k, e in enumerate(self.stack) if e[2]), default=-1)
-            header = any(t == "header" for t in tags) and "article" not in tags and inner < 0
-            self.blocks.append(Block(text, len(text.split()), len(" ".join(self.linked).split()), self._outer(), inner >= 0,
-                                     any(re.fullmatch("h[1-6]", t) for t in tags), "li" in tags, header))
+            header = self._has("header") and not self._has("article") and not self.inner
+            self.blocks.append(Block(text, len(text.split()), len(" ".join(self.linked).split()), self._state() > 0, self.inner > 0,
+                                     self.headings > 0, self._has("li"), header))
         self.parts, self.linked = [], []
 
-    def _outer(self) -> bool:
-        state = 0
-        for _, mark, _ in self.stack:
-            state = max(state, mark) if mark >= 0 else 0 if state <= -mark else state
-        return state > 0
+    def _state(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
+
+    def _has(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def _push(self, tag: str, mark: int, inner: bool) -> None:
+        """``mark`` 1 or 2 makes outer, -1 or -2 ends such states from further out, 0 leaves them."""
+        before = self._state()
+        state = max(before, mark) if mark >= 0 else 0 if before <= -mark else before
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, state, inner))
+        self.hidden += tag in HIDDEN_TAGS
+        self.headings += tag in HEADINGS
+        self.inner += inner
 
     def _pop(self, at: int) -> None:
-        for tag, _, _ in self.stack[at:]:
+        for tag, _, inner in self.stack[at:]:
+            self.places[tag].pop()
             self.hidden -= tag in HIDDEN_TAGS
-            self.links -= tag == "a"
+            self.headings -= tag in HEADINGS
+            self.inner -= inner
         del self.stack[at:]
 
     def _open(self, tag: str) -> int:
-        return next((k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k][0] == tag), -1)
+        return self.places[tag][-1] if self._has(tag) else -1
 
     def _end_head(self) -> None:
         if self.stack and self.stack[-1][0] == "head":
@@ -131,22 +150,27 @@ class _Blocks(HTMLParser):
         if tag in ("li", "td", "tr") and self.stack and self.stack[-1][0] == tag:
             self._pop(len(self.stack) - 1)
         named = {k: v or "" for k, v in attrs if k in ("class", "id", "role")}
-        names = f"{named.get('class', '')} {named.get('id', '')}"
         role = named.get("role", "")
+        main = tag == "main" or role == "main"
+        article = main or tag == "article" or role == "article"
+        if tag in ("article", "main") and not (self._has("article") or self._has("main")):
+            # page furniture holds no article: what is still open was never closed
+            if at := [k for k in map(self._open, ("nav", "header", "footer")) if k >= 0]:
+                self._pop(min(at))
+        within = self._has("article") or self._has("main")
+        names = named.get("class", "") if within and tag == "section" else f"{named.get('class', '')} {named.get('id', '')}"
         names = LAYOUT_NAMES.sub(" ", names)
         if LAYOUT.search(names):
             names = SIDE_LAYOUT.sub(" ", names)
         plain = tag in ("html", "body")
-        main = tag == "main" or role == "main"
-        article = main or tag == "article" or role == "article"
-        named_outer = (HARD_NAMES if article else OUTER_NAMES).search(names) and not main
+        if within and tag in TEXT_TAGS:  # names of the article's own parts; the id of a heading is its anchor
+            names = ""
+        outer_names = HARD_NAMES if article or within and tag == "ol" else WITHIN_NAMES if within else OUTER_NAMES
+        named_outer = outer_names.search(names) and not main
         outer = not plain and (tag in OUTER_TAGS or role in OUTER_ROLES or bool(named_outer))
         inner = not plain and not outer and (article or bool(names.strip() and INNER_NAMES.search(names)))
         hard = tag in OUTER_TAGS - {"form"} or role in OUTER_ROLES - {"form"} or bool(HARD_NAMES.search(names))
-        mark = 1 + hard if outer else -2 if main and inner else -1 if article and inner else 0
-        self.hidden += tag in HIDDEN_TAGS
-        self.links += tag == "a"
-        self.stack.append((tag, mark, inner))
+        self._push(tag, 1 + hard if outer else -2 if main and inner else -1 if article and inner else 0, inner)
 
     def handle_startendtag(self, tag, attrs):
         if tag == "br":
@@ -165,7 +189,7 @@ class _Blocks(HTMLParser):
             self._end_head()
         if not self.hidden:
             self.parts.append(data)
-            if self.links:
+            if self._has("a"):
                 self.linked.append(data)
 
     def result(self) -> list[Block]:
@@ -173,10 +197,17 @@ class _Blocks(HTMLParser):
         return self.blocks
 
 
+#: A tag that the end of the page cuts off.
+CUT_TAG = re.compile(r"<[A-Za-z/]")
+
+
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order."""
     parser = _Blocks()
-    parser.feed(html.replace("\0", ""))
+    html = html.replace("\0", "")
+    if cut := CUT_TAG.search(html, html.rfind(">") + 1):  # without this the parser would try each of its tags to the end
+        html = html[: cut.start()]
+    parser.feed(html)
     parser.close()
     return parser.result()
 
