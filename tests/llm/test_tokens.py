@@ -80,3 +80,29 @@ def test_op8_rows(spark, tik):
     back = {r.doc_id: r.text for r in bpe.decode(bpe.encode(df)).collect()}
     assert all(back[k if k else None] == (t or "") for k, t in enumerate(texts))
     assert bpe.round_trip(df.limit(0)).count() == 0
+
+
+def test_every_prefix_equals_the_library():
+    import random
+    from tokenizers import Tokenizer
+    from vigil.llm import token_counts as TC
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, c, rng = Tokenizer.from_file(path), TC.counter(path), random.Random(11)
+    units = ["a", "the", "\n", " ", "  ", "\t", "'s", "'", "'re", "'ll", "=", "==", "!?", "7", "42", "é", "日", "\u00a0", "<|endoftext|>", "<|", "x'", "\u0301", "\U0001f600"]
+    for _ in range(400):
+        text = "".join(rng.choice(units) for _ in range(rng.randint(0, 12)))
+        t = c.table(text)
+        # a prefix that ends inside an added token's string is no longer that token
+        want = [len(lib.encode(text[:p], add_special_tokens=False).ids) for p in range(len(text) + 1)]
+        assert [t.count(p) for p in range(len(text) + 1)] == want, repr(text)
+        for budget in (0, 1, 3, 6):
+            assert t.longest_within(budget) == max(p for p, n in enumerate(want) if n <= budget), (repr(text), budget)
+
+
+@pytest.mark.parametrize("text", ["=" * 100_000, "\n" * 100_000 + "x", "a" * 100_000, " " * 50_000 + "word", "'" * 30_000])
+def test_long_runs_take_linear_time(text):
+    import time
+    from vigil.llm import token_counts as TC
+    t0 = time.time()
+    t = TC.counter(public_tokenizers.path("byte_bpe_50k.json")).table(text)
+    assert t.longest_within(8) > 0 and time.time() - t0 < 20

@@ -173,27 +173,28 @@ class PrefixTable:
     def _inside(self, k: int) -> list[tuple[int, int]]:
         """(length, tokens) of the prefixes that end inside piece k, its end excluded.
 
-        The pattern may cut the end of a shortened text otherwise (white space,
-        contractions), so it is applied again from the start of the piece before.
+        A piece that is cut short is one piece still, so one table of its
+        prefixes answers for all of them, but for three kinds: contractions and
+        the strings of added tokens (short ones; what is left of them is cut by
+        the pattern together with the piece before), and the space before a
+        word, which joins white space before it.
         """
-        first = max(k - 1, 0)
-        if self.counter.special is not None and first < k and self.counter.special.fullmatch(self.pieces[first]):
-            first = k
-        start = int(self.ends[first - 1]) if first else 0
-        base = int(self.counts[first - 1]) if first else 0
-        head = int(self.ends[k - 1]) if k else 0
-        out = []
         piece = self.pieces[k]
-        plain = piece.lstrip(" ").isalnum() and not (k and self.pieces[k - 1].isspace())
-        if plain:
-            at = self.counter.prefixes(piece.encode("utf-8"))
-            base, size = (int(self.counts[k - 1]) if k else 0), 0
-            for c in range(len(piece) - 1):
-                size += len(piece[c].encode("utf-8"))
-                out.append((head + c + 1, base + at[size]))
-            return out
-        for p in range(head + 1, int(self.ends[k])):
-            out.append((p, base + sum(self.counter.total(self.counter.split(self.text[start:p])))))
+        head, base = (int(self.ends[k - 1]), int(self.counts[k - 1])) if k else (0, 0)
+        added = self.counter.special is not None and self.counter.special.fullmatch(piece)
+        if added or piece[0] == "'" and piece[1:].isalpha():
+            lead = self.pieces[k - 1] if k else ""
+            if lead and self.counter.special is not None and self.counter.special.fullmatch(lead):
+                lead = ""
+            base = base if not lead else int(self.counts[k - 2]) if k > 1 else 0
+            return [(head + c, base + sum(self.counter.total(self.counter.split(lead + piece[:c])))) for c in range(1, len(piece))]
+        at, size, out = self.counter.prefixes(piece.encode("utf-8")), 0, []
+        for c in range(1, len(piece)):
+            size += len(piece[c - 1].encode("utf-8"))
+            out.append((head + c, base + at[size]))
+        if out and k and piece[0].isspace() and not piece.isspace() and self.pieces[k - 1].isspace():
+            before = int(self.counts[k - 2]) if k > 1 else 0
+            out[0] = head + 1, before + self.counter.piece(self.pieces[k - 1] + piece[0])
         return out
 
     def count(self, length: int) -> int:
