@@ -85,3 +85,52 @@ def test_repeated_id_with_another_text_stays(spark):
     rows = [(1, a, 0), (2, a.upper(), 1), (2, b, 2), (3, a, 3), (4, None, 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(2)
     assert sorted(r.n for r in nd.representatives(df).collect()) == [0, 2, 4]
+
+
+def near_group(n, chained, seed=1):
+    """n near copies of a text of 150 words; with ``chained`` each is made from an earlier one."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(10 ** 6)}" for _ in range(150)]
+    out = []
+    for _ in range(n):
+        words = list(r.choice(out) if chained and out else base)
+        for _ in range(r.randint(0, 8)):
+            words[r.randrange(150)] = f"x{r.randrange(10 ** 6)}"
+        out.append(words)
+    return [" ".join(w) for w in out]
+
+
+@pytest.mark.parametrize("chained", [False, True])
+def test_large_group_compares_few_pairs(spark, monkeypatch, chained):
+    texts = near_group(400, chained)
+    asked, real = [], nd.confirmed
+
+    def confirmed(pairs, sets, percent):
+        asked.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(nd, "confirmed", confirmed)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in nd.near_dedup(df, 80).collect()}
+    assert got == brute(list(enumerate(texts)), 80)
+    assert sum(asked) < 15 * len(texts)  # all pairs would be 79,800
+
+
+def test_bitmaps_rule_out_no_link(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    pairs = []
+    for k in range(300):
+        n, m = rng.integers(1, 200), rng.integers(1, 200)
+        both = int(rng.integers(0, min(n, m) + 1))
+        if k % 2:  # around the threshold
+            m, both = n, n - int(rng.integers(0, n // 5 + 1))
+        shared = rng.integers(0, 2 ** 63, both, dtype=np.uint64)
+        x = np.unique(np.concatenate([shared, rng.integers(0, 2 ** 63, n - both, dtype=np.uint64)]))
+        y = np.unique(np.concatenate([shared, rng.integers(0, 2 ** 63, m - both, dtype=np.uint64)]))
+        c = len(np.intersect1d(x, y))
+        pairs.append((len(x), nd.bitmap(x).tolist(), len(y), nd.bitmap(y).tolist(), bool(100 * c >= 80 * (len(x) + len(y) - c))))
+    df = spark.createDataFrame(pairs, "n long, x array<long>, m long, y array<long>, linked boolean").withColumn("may", nd._may_link("n", "x", "m", "y", 80))
+    rows = df.collect()
+    assert all(r.may for r in rows if r.linked) and sum(r.linked for r in rows) > 50
+    assert sum(r.may for r in rows if not r.linked) < 100

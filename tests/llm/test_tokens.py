@@ -99,7 +99,7 @@ def test_every_prefix_equals_the_library():
             assert t.longest_within(budget) == max(p for p, n in enumerate(want) if n <= budget), (repr(text), budget)
 
 
-@pytest.mark.parametrize("text", ["=" * 100_000, "\n" * 100_000 + "x", "a" * 100_000, " " * 50_000 + "word", "'" * 30_000])
+@pytest.mark.parametrize("text", ["=" * 20_000, "\n" * 20_000 + "x", "a" * 20_000, " " * 20_000 + "word", "'" * 20_000])
 def test_long_runs_take_linear_time(text):
     import time
     from vigil.llm import token_counts as TC

@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,6 +149,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of tables that nothing refers to any more.
+
+    Its cleaner acts on garbage collections of the driver, and a driver with
+    little to hold hardly has any; jobs with many rounds call this between them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

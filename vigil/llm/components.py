@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import cut
+from vigil.llm.common import cut, release
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
@@ -36,6 +36,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         star = _stars(large)
         small = star.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(star.select("u", F.col("m").alias("v")))
         now = cut(small.where("u != v").distinct())
+        release(now.sparkSession)
         new = _mark(now)
         if new == mark:
             break

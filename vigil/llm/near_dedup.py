@@ -14,15 +14,20 @@ shingle). Two texts are linked when 100 * |A & B| >= percent * |A | B|.
 3. Representatives that agree in a band (6 bins) share a bucket. A bucket of m
    gives m - 1 candidate edges, a star around its smallest member.
 4. Candidates are confirmed on the full sets; confirmed links give components.
+   Pairs that cannot be linked are told before that by the sets' bitmaps (512
+   residues): a residue that only one of two sets has is a shingle that the
+   other lacks. So full sets are shuffled for few pairs only.
 5. A star alone can miss a link between two members that are both unlike the
-   hub. So in every bucket that still holds several components, each member
-   outside its largest component meets the members of the other components,
-   once for each pair (in the first band that both share), unless no link is
-   possible: two sets are linked only if both have at least
+   hub. Two sets are linked only if both have at least
    percent / (100 + percent) * (|A| + |B|) shingles in common with any other
-   set at all, and shingles that a single set has are counted beforehand.
-   After that, all pairs that share a bucket are connected, tested or proved
-   unlike. Pairs inside a component are never emitted.
+   set at all; members of buckets with several components that have too many
+   shingles of their own for that are ruled out. Of the others, those with the
+   fewest shingles of their own are the best hubs (a text that many others were
+   made from has none), so each such bucket gets one more star around them,
+   which ties nearly all of a large group at once. What then is still apart in a
+   bucket meets the members of its other components pair by pair. After that,
+   all pairs that share a bucket are connected, tested or proved unlike. Pairs
+   inside a component are never emitted.
 
 With 42 bands of 6, two sets at similarity 0.8 share no band with probability
 3e-6, at 0.85 with 2e-9.
@@ -44,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import U64, chunks, cut, map_arrow, mix64, only, read_table, shingle_hashes, text_buffers, word_hashes
+from vigil.llm.common import U64, chunks, cut, map_arrow, mix64, only, read_table, release, shingle_hashes, text_buffers, word_hashes
 from vigil.llm.components import components
 
 BINS, BANDS, WIDTH = 256, 42, 6
@@ -54,6 +59,11 @@ QUERY_PERCENT, STAGE_PERCENT = 85, 80
 #: Up to so many ids the candidates or dropped rows are broadcast to a text scan; beyond it they are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
+#: Further stars in buckets that hold several components, before their rest is compared pair by pair.
+HUB_ROUNDS = 1
+#: Bits of a set's bitmap.
+BITS = 512
+
 #: For each bin a random order of all bins: rank of bin j when bin i looks for a value.
 _DRAW = np.argsort(np.random.default_rng(20240229).random((BINS, BINS)), axis=1).argsort(axis=1).astype(np.int16)
 _ROW = np.array([pow(0x9FB21C651E98DF25, k + 1, 1 << 64) for k in range(WIDTH)], U64)
@@ -89,21 +99,29 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return mix64((sig[: BANDS * WIDTH].reshape(BANDS, WIDTH) * _ROW).sum(axis=1, dtype=U64) ^ _BAND).view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits, as 64-bit numbers: which residues the set has."""
+    has = np.zeros(BITS, bool)
+    has[(shingles % U64(BITS)).astype(np.int64)] = True
+    return np.packbits(has).view(np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of (doc_id, text); digest and bands are null for an empty set."""
+    """(doc_id, n_shingles, digest, bands, bits) of (doc_id, text); digest, bands and bits are null for an empty set."""
 
     def run(batches):
         for b in batches:
-            n, digest, bands = [], [], []
+            n, digest, bands, bits = [], [], [], []
             for s in text_sets(b.column(1)):
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 bands.append(band_keys(signature(s)) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                                             ["doc_id", "n_shingles", "digest", "bands"])
+                bits.append(bitmap(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *[pa.array(x, pa.list_(pa.int64())) for x in (bands, bits)]],
+                                             ["doc_id", "n_shingles", "digest", "bands", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs, run, f"doc_id {kind}, n_shingles long, digest binary, bands array<bigint>")
+    return map_arrow(docs, run, f"doc_id {kind}, n_shingles long, digest binary, bands array<bigint>, bits array<bigint>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -142,12 +160,30 @@ def _near_size(n: str, m: str, percent: int):
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
 
+def _may_link(n: str, x: str, m: str, y: str, percent: int):
+    """Whether sets of n and m shingles with the bitmaps x and y can be linked: a residue that only one
+    set has stands for a shingle that the other lacks, which bounds what they share."""
+
+    def only(a: str, b: str):
+        return sum([F.bit_count(F.get(a, F.lit(k)).bitwiseAND(F.bitwise_not(F.get(b, F.lit(k))))) for k in range(BITS // 64)], F.lit(0))
+
+    both = F.least(F.col(n) - only(x, y), F.col(m) - only(y, x))
+    return (100 + percent) * both >= percent * (F.col(n) + F.col(m))
+
+
+def _hopeful(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their bitmaps do not rule out."""
+    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_x"))
+    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_x"))
+    return pairs.join(left, "a").join(right, "b").where(_may_link("a_n", "a_x", "b_n", "b_x", percent)).select("a", "b")
+
+
 def _able(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(rep, n, shared): the nodes that can have a link among ``nodes``.
 
     ``shared`` counts the shingles that another of the nodes has too. A link
     needs at least percent of a hundred of a set to be shared, so nodes below
-    are taken out; that lowers the counts of others, so it is done twice.
+    are taken out.
     """
 
     def spread(batches):
@@ -157,13 +193,43 @@ def _able(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rep, pa.array(np.concatenate(each) if each else np.zeros(0, np.int64))], ["rep", "h"])
 
     kind = nodes.schema["rep"].dataType.simpleString()
-    for _ in range(2):
-        of = sets.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "shingles")
-        single = map_arrow(of, spread, f"rep {kind}, h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep")).where("c = 1")
-        alone = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-        nodes = cut(nodes.select("rep", "n").join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
-                    .where(F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("n")))
-    return nodes
+    of = sets.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "shingles")
+    single = map_arrow(of, spread, f"rep {kind}, h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep")).where("c = 1")
+    alone = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    return (nodes.join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+            .where(F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("n")))
+
+
+def _split_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, rep, n, comp, top) of the buckets that hold several components; ``top`` is a bucket's largest one."""
+    placed = cut(members.join(comps, members["rep"] == comps["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")))
+    groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
+    most = groups.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp")).alias("top")).where("comps > 1")
+    return placed.join(most.select("key", F.col("top.comp").alias("top")), "key")
+
+
+def _enough(n: str, s: str, x: str, m: str, r: str, y: str, percent: int):
+    """Whether sets of n and m shingles, s and r of them shared with any other, with bitmaps x and y, can be linked."""
+    return _near_size(n, m, percent) & ((100 + percent) * F.least(s, r) >= percent * (F.col(n) + F.col(m))) & _may_link(n, x, m, y, percent)
+
+
+def _hub_pairs(split: DataFrame, percent: int, outside: bool) -> DataFrame:
+    """Each member with its bucket's hub if that is of another component: the member with the fewest
+    shingles of its own (with ``outside`` among those outside the largest component)."""
+    own = F.struct((F.col("n") - F.col("shared")).alias("own"), "rep", "n", "comp", "shared", "bits")
+    hubs = (split.where("comp != top") if outside else split).groupBy("key").agg(F.min(own).alias("h")).select(
+        "key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.comp").alias("hub_comp"), F.col("h.shared").alias("hub_s"), F.col("h.bits").alias("hub_x"))
+    met = split.join(hubs, "key").where((F.col("comp") != F.col("hub_comp")) & _enough("n", "shared", "bits", "hub_n", "hub_s", "hub_x", percent))
+    return met.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
+
+
+def _rest_pairs(split: DataFrame, percent: int) -> DataFrame:
+    """Each member outside its bucket's largest component with the members of the other components."""
+    mine = split.where("comp != top").select("key", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_comp"), F.col("shared").alias("a_s"), F.col("bits").alias("a_x"))
+    others = split.select("key", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_comp"), F.col("shared").alias("b_s"), F.col("bits").alias("b_x"), "top")
+    met = mine.join(others, "key").where((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a") > F.col("b")))
+                                         & _enough("a_n", "a_s", "a_x", "b_n", "b_s", "b_x", percent))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, percent: int = QUERY_PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,38 +242,41 @@ def _marked(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFr
     source = only(docs, doc_id=id_col, text=text_col)
     rows = cut(signatures(source))
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    reps = cut(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    reps = cut(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")))
 
-    entries = reps.select("rep", "n", F.posexplode("bands").alias("band", "key"))
+    entries = reps.select("rep", "n", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("hub")).where("size > 1").drop("size")
-    members = cut(entries.join(shared, "key").select("key", "band", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")))
+    members = cut(entries.join(shared, "key").select("key", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")))
     star = cut(members.where((F.col("rep") != F.col("hub")) & _near_size("n", "hub_n", percent)).select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct())
 
+    release(docs.sparkSession)
+
     wanted = cut(members.select("rep").distinct())
     near = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     sets = cut(full_sets(source.join(near, source["doc_id"] == near["rep"], "left_semi")))
-    links = cut(confirmed(star, sets, percent))
+    links = cut(confirmed(_hopeful(star, reps, percent), sets, percent))
+    release(docs.sparkSession)
     comps = components(links, "a", "b")
 
-    # buckets that still hold several components: members outside the largest one against the members of the others
-    placed = cut(members.join(comps, members["rep"] == comps["node"], "left").select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("comp")))
-    groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    most = groups.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp")).alias("top")).where("comps > 1")
-    split = cut(placed.join(most.select("key", F.col("top.comp").alias("top")), "key"))
-    if not split.isEmpty():
-        able = _able(split.select("rep", "n").distinct(), sets, percent)
-        nodes = able.join(reps.select(F.col("rep").alias("r"), "bands"), F.col("rep") == F.col("r")).select("rep", "shared", "bands")
-        rows_in = split.join(cut(nodes), "rep")
-        mine = rows_in.where("comp != top").select("key", "band", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_comp"), F.col("shared").alias("a_s"), F.col("bands").alias("a_b"))
-        others = rows_in.select("key", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_comp"), F.col("shared").alias("b_s"), F.col("bands").alias("b_b"), "top")
-        earlier = F.exists(F.zip_with(F.slice("a_b", 1, F.col("band")), F.slice("b_b", 1, F.col("band")), lambda x, y: x == y), lambda same: same)
-        rest = (mine.join(others, "key")
-                .where((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a") > F.col("b"))) & _near_size("a_n", "b_n", percent)
-                       & ((100 + percent) * F.least("a_s", "b_s") >= percent * (F.col("a_n") + F.col("b_n"))) & ~earlier)
-                .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        more = cut(confirmed(rest.join(star, ["a", "b"], "left_anti"), sets, percent))
+    # buckets that still hold several components: stars around the best hubs, then what is left of them pair by pair
+    able, tested = None, star
+    for turn in range(HUB_ROUNDS + 1):
+        split = _split_buckets(members, comps)
+        if able is not None:
+            split = split.drop("n").join(able, "rep")
+        elif not split.isEmpty():
+            able = cut(_able(split.select("rep", "n").distinct(), sets, percent).join(reps.select("rep", "bits"), "rep"))
+            split = split.drop("n").join(able, "rep")
+        if able is None or (split := cut(split)).isEmpty():
+            break
+        pairs = _hub_pairs(split, percent, outside=turn > 0) if turn < HUB_ROUNDS else _rest_pairs(split, percent)
+        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
+        more = cut(confirmed(pairs, sets, percent))
+        tested = tested.unionByName(pairs)
         if not more.isEmpty():
-            comps = components(links.unionByName(more), "a", "b")
+            links = links.unionByName(more)
+            comps = components(links, "a", "b")
+        release(docs.sparkSession)
 
     labels = reps.join(comps, reps["rep"] == comps["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
     in_sets = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
