@@ -72,9 +72,11 @@ def evaluate(scored: DataFrame, label: str = "Class", pred: str = "pred", score:
     and count, ROC-AUC and AP (NULL without scores, or if any score is
     missing). Labels are coerced first (B8): an unreadable one counts as 0."""
     scored = scored.withColumn(label, coerce_label(F.col(label), scored.schema[label].dataType))
-    b = met.basic_metrics(met.confusion_counts(scored, label, pred))
+    # one pass over the rows; both the confusion and the curve are sums of its counts
+    counts = materialize(scored.groupBy(label, pred, *([score] if score else [])).agg(F.count(F.lit(1)).alias("_n")))
+    b = met.basic_metrics(met.confusion_counts(counts, label, pred, count="_n"))
     if score:
-        c = met.curve(scored, label, score)
+        c = met.curve(counts, label, score, count="_n")
         b = b.withColumn("roc_auc", met.roc_auc(c).scalar()) \
             .withColumn("average_precision", met.average_precision(c).scalar())
     else:
