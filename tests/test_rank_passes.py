@@ -53,3 +53,26 @@ def test_an_evaluation_reads_its_rows_once(spark):
     assert got["metrics.f1"] == plain["f1"] and got["metrics.accuracy"] == plain["accuracy"] and got["metrics.alert_count"] == plain["alert_count"]
     curve = met.curve(df)
     assert got["metrics.roc_auc"] == pytest.approx(met.roc_auc(curve).first()[0]) and got["metrics.pr_auc"] == pytest.approx(met.average_precision(curve).first()[0])
+
+
+def test_many_groups_have_shorter_leads(spark, tiny_buckets, monkeypatch):
+    monkeypatch.setattr(P, "MOST_LEADS", 400)
+    df = spark.range(3000).withColumn("g", F.col("id") % 20).withColumn("k", F.md5(F.col("id").cast("string")))
+    work, offsets = P._by_leads(df, ["g"], "k")
+    assert offsets.count() <= 400 and work.where("octet_length(_b) >= 4").count() == 0
+    got = P.global_rank(df, "k", group="g", rank_col="r").withColumn("w", F.row_number().over(Window.partitionBy("g").orderBy("k")))
+    assert got.count() == 3000 and got.where("r != w").count() == 0
+
+
+def test_shuffled_copies_are_not_written(spark, monkeypatch):
+    """Each row is written once for a repeat, not once more for every feature."""
+    from vigil.operators import train as tr
+    written = []
+    monkeypatch.setattr(tr, "materialize", lambda df: (written.append(out := P.materialize(df)), out)[1])
+    df = spark.range(400).select(F.md5(F.col("id").cast("string")).alias("k"), (F.col("id") % 3 == 0).cast("int").alias("Class"),
+                                 *[(F.col("id") % m).cast("double").alias(f"f{m}") for m in (3, 5, 7, 11)])
+    features = ["f3", "f5", "f7", "f11"]
+    monkeypatch.setattr(tr, "score", lambda model, rows, keep: rows.select(*keep, (-F.col("f3")).alias("p_hat")))
+    got = {r.feature: r.importance_mean for r in tr.permutation_importance(None, df, features, "k", n_repeats=2).collect()}
+    assert got["f3"] > 0.3 and got["f5"] == got["f7"] == got["f11"] == 0
+    assert max(d.count() for d in written) <= 2 * 400
