@@ -52,3 +52,18 @@ def test_selection_learns_trees_of_a_large_table_from_bins(rows, monkeypatch):
 def test_selection_wants_every_fold(rows):
     with pytest.raises(ValueError, match="Folds must be 0 to 3"):
         TR.model_selection(rows, FEATURES, k=4)
+
+
+def test_search_sums_a_large_table_once(rows, monkeypatch):
+    space, base = {"maxDepth": ("choice", [2, 3]), "stepSize": ("uniform", 0.1, 0.5)}, {"maxIter": 4, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    split = rows.where("NOT is_val").drop("is_val"), rows.where("is_val").drop("is_val")
+    want = {r.trial: r for r in TR.random_search(*split, FEATURES, space, n_trials=4, base=base).collect()}
+    monkeypatch.setattr(TR, "BINNED_ROWS", 200)
+    made, real = [], TR.binned
+    monkeypatch.setattr(TR, "binned", lambda *args: made.append(real(*args)) or made[-1])
+    got = {r.trial: r for r in TR.random_search(*split, FEATURES, space, n_trials=4, base=base).collect()}
+    assert len(made) == 1 and made[0].agg(F.sum("_n")).first()[0] == rows.count()
+    assert set(got) == set(want) == set(range(4))
+    for k, r in want.items():
+        assert got[k].params == r.params
+        assert got[k].average_precision == pytest.approx(r.average_precision, abs=1e-9) and got[k].roc_auc == pytest.approx(r.roc_auc, abs=1e-9)
