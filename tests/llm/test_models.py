@@ -114,6 +114,35 @@ def test_pair_seen_once_counts(spark):
     assert "HAVING" not in lm.OP3_WHOLE_SQL and "HAVING count(*) >= 2" in lm.OP3_SQL
 
 
+def test_language_model_reads_each_text_once_to_score_it(spark, monkeypatch):
+    """Words behind the numbered ones go through bitmaps; a full bitmap only lets more rows pass."""
+    texts = [" ".join(f"w{(i * j * j + j) % (7 + i % 60)}" for j in range(i % 50)) + f" once{i}" * (i % 3) for i in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    given = {"min_count": 2, "frequent_rows": 8}
+    out = lm.scores(df, **given)
+    assert len(_explodes(out)) == 1
+    want = {r.doc_id: r for r in out.collect()}
+    monkeypatch.setattr(lm, "_maybe", lambda bitmap, keys: np.ones(len(keys), bool))
+    got = {r.doc_id: r for r in lm.scores(df, **given).collect()}
+    assert len(want) == 300 and set(got) == set(want)
+    for k, r in want.items():
+        assert (got[k].n_words, got[k].counted_pairs) == (r.n_words, r.counted_pairs) and got[k].log_score == pytest.approx(r.log_score, abs=1e-9)
+
+
+def _explodes(out):
+    """The places of the plan that explode the texts."""
+    return [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in x and "grams#" in x]
+
+
+def test_bitmap_never_loses_a_key(spark):
+    rng = np.random.default_rng(5)
+    keys = rng.integers(-2**63, 2**62, 20000)
+    bitmap = lm._bitmap(spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(7)).value
+    others = rng.integers(-2**63, 2**62, 20000)
+    assert lm._maybe(bitmap, keys).all() and lm._maybe(bitmap, others).mean() < 0.15
+    assert not lm._maybe(lm._bitmap(spark.createDataFrame([], "key long")).value, keys).any()
+
+
 def test_secrets(spark):
     key, sha = "AKIA" + "Q7ZK2M4XW9BD3TFH", "9f8b2c1d0e3a4f5b6c7d8e9f0a1b2c3d4e5f6a7b"
     rows = [(1, f'say token = "{sha}" here'), (2, f"aws {key} end"), (3, "card 4111111111111111 paid"), (4, None), (5, ""), (6, f"see commit {sha} for it"),
