@@ -110,3 +110,40 @@ def test_one_class_and_one_bin(spark, large):
         r = TR.fit(data, FEATURES, TR.gbt({"maxIter": 3, "subsamplingRate": 1.0}, validation=None))
         p = TR.score(r.model, df.limit(1)).first().p_hat
         assert 0.0 < p < 0.5 and r.model.stages[-1].trees[0].numNodes == 1
+
+
+def test_each_set_of_bins_is_scored_once(rows, large, monkeypatch):
+    m = TR.fit(rows, FEATURES, TR.gbt(WHOLE)).model
+    twice = rows.unionByName(rows).withColumn("a", F.when(F.col("k") != "k7", F.col("a")))
+    sets = TR.PipelineModel(m.stages[:1]).transform(twice).select("_bin_a", "_bin_b", "_bin_c").distinct().count()
+
+    def counts(df, n):
+        return {(r.Class, r.p): r.n for r in df.groupBy("Class", F.round("p_hat", 12).alias("p")).agg(n.alias("n")).collect()}
+
+    want, seen, real = counts(TR.score(m, twice, ["Class"]), F.count(F.lit(1))), [], B.probabilities
+    monkeypatch.setattr(B, "probabilities", lambda model, df: seen.append(df.count()) or real(model, df))
+    assert counts(TR.score_sums(m, twice, ["Class"]), F.sum("_n")) == want and sum(want.values()) == 8000 and seen == [sets]
+    # a model that was not grown here goes through MLlib
+    del m.stages[-1].grown
+    assert counts(TR.score_sums(m, twice, ["Class"]), F.sum("_n")) == want and seen == [sets]
+
+
+def test_missing_values_of_held_rows(rows, large):
+    est = TR.gbt(WHOLE)
+    table = _summed(rows.withColumn("c", F.when(F.col("is_val") & (F.col("b") < 20), F.lit(float("nan"))).otherwise(F.col("c"))), est)
+    want, got = _weighted(est).fit(table), B.as_model(est, table, B.grow(est, table))
+    assert got.getNumTrees == want.getNumTrees and got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), rel=1e-6)
+    with pytest.raises(Exception, match="missing values"):
+        B.grow(est, _summed(rows.withColumn("a", F.when(F.col("k") != "k0", F.col("a"))), est))
+
+
+def test_permutation_and_folds_on_bins(spark, rows, monkeypatch):
+    folds = rows.withColumn("fold", (F.substring("k", 2, 5).cast("int") % 2).cast("int"))
+    monkeypatch.setattr(TR, "BINNED_ROWS", 400)
+    res, models = TR.fold_scores(folds, FEATURES, k=2, params={**WHOLE, "maxIter": 4})
+    drops = {(r.feature, r.fold): r.importance for r in TR.fold_permutation_importance(models, folds, "k", n_repeats=2).collect()}
+    got = {r.fold: r.average_precision for r in res.collect()}
+    monkeypatch.setattr(TR, "score_sums", lambda model, df, keep: TR.score(model, df, keep).withColumn("_n", F.lit(1).cast("long")))  # row by row
+    assert {(r.feature, r.fold): r.importance for r in TR.fold_permutation_importance(models, folds, "k", n_repeats=2).collect()} == pytest.approx(drops, abs=1e-12)
+    assert len(drops) == 6 and got == {f: pytest.approx(TR.evaluate(TR.score(m.model, folds.where(F.col("fold") == f), ["Class"])).first()["average_precision"], abs=1e-12)
+                                       for f, m in enumerate(models)}
